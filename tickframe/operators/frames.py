@@ -18,6 +18,7 @@ from tickframe.operators.layout import block_window, rolling
 
 MA_PERIODS = (5, 10, 20, 50, 100, 200)
 YEAR_BARS = 252       # 52-week high / low look-back, by row count
+PREFIX_FROM = 50      # averages this long use running-sum differences
 
 
 def full_frame(agg, x: str | Column, p: int, key: str = "symbol") -> Column:
@@ -67,9 +68,11 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
     ``gain_seed`` / ``loss_seed`` (mean of the first 14 changes, at rn 15),
     and ``hi52`` / ``lo52`` on the newest bar of each symbol.
     """
+    wb = block_window(key)
     lvl1 = [F.col(c) for c in blocked.columns]
-    lvl1 += [sma("close", p, key).alias(f"ma{p}") for p in MA_PERIODS]
+    lvl1 += [sma("close", p, key).alias(f"ma{p}") for p in MA_PERIODS if p < PREFIX_FROM]
     lvl1 += [
+        F.sum("close").over(wb.rowsBetween(Window.unboundedPreceding, 0)).alias("_csum"),
         sma("volume", 20, key).alias("vol_ma20"),
         rolling_std("close", 20, key).alias("_std20"),
         prev("close", key).alias("prev_close"),
@@ -77,14 +80,24 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
         full_frame(F.max, "high", 14, key).alias("hi14"),
     ]
     a = blocked.select(*lvl1)
-    a = (a.withColumn("bb_mid", F.col("ma20"))
-          .withColumn("bb_upper", F.col("ma20") + F.lit(2.0) * F.col("_std20"))
-          .withColumn("bb_lower", F.col("ma20") - F.lit(2.0) * F.col("_std20"))
-          .withColumn("delta", F.col("close") - F.col("prev_close"))
-          .withColumn("tr", true_range())
-          .withColumn("stoch_k", stochastic_k())
-          .drop("_std20"))
-    a = a.withColumn("gain", clip_low0(F.col("delta"))).withColumn("loss", clip_low0(-F.col("delta")))
+    # long averages from the running sum: sum(rn-p+1 .. rn) = S(rn) - S(rn-p)
+    delta = F.col("close") - F.col("prev_close")
+    lvl2 = [F.col(c) for c in a.columns if c not in ("_csum", "_std20")]
+    lvl2 += [F.when(F.col("rn") >= p,
+                    (F.col("_csum") - F.coalesce(F.lag("_csum", p).over(wb), F.lit(0.0)))
+                    / F.lit(float(p))).alias(f"ma{p}")
+             for p in MA_PERIODS if p >= PREFIX_FROM]
+    lvl2 += [
+        F.col("ma20").alias("bb_mid"),
+        (F.col("ma20") + F.lit(2.0) * F.col("_std20")).alias("bb_upper"),
+        (F.col("ma20") - F.lit(2.0) * F.col("_std20")).alias("bb_lower"),
+        delta.alias("delta"),
+        true_range().alias("tr"),
+        stochastic_k().alias("stoch_k"),
+        clip_low0(delta).alias("gain"),
+        clip_low0(-delta).alias("loss"),
+    ]
+    a = a.select(*lvl2)
     f14 = rolling(14, key)
     whole = Window.partitionBy(key, "blk")
     in_year = F.col("rn") > F.col("n_bars") - F.lit(YEAR_BARS)

@@ -22,14 +22,33 @@ INDICATOR_COLUMNS = [
 ]
 
 
+def materialize(df: DataFrame, mode: str = "cache") -> DataFrame:
+    """Compute ``df`` once for several consumers.
+
+    ``cache``: persist (memory, spilling to disk) and fill it now; lost blocks
+    are recomputed from lineage.  ``checkpoint``: write it to the cluster's
+    ``spark.checkpoint.dir`` and cut the lineage.  ``none``: stay lazy.
+    """
+    if mode == "cache":
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df.count()
+        return df
+    if mode == "checkpoint":
+        from tickframe.session import materialize as ckpt
+        return ckpt(df)
+    return df
+
+
 def indicators(bars: DataFrame, key: str = "symbol", block: int = BLOCK,
-               bucket: str = "MM") -> DataFrame:
+               bucket: str = "MM", mode: str = "cache") -> DataFrame:
     """Bars plus ``rn``, ``n_bars``, ``blk``, ``prev_close`` and the 17 indicators."""
     base = bars.select(*BAR_COLUMNS) if key == "symbol" else bars
     idx = with_row_index(base, bucket=bucket, key=key)
     fr = drop_halo(finite_frames(with_blocks(idx, LOOKBACK, block), key))
-    # the scans read this stage four times (running sums and block totals, twice)
-    fr = fr.persist(StorageLevel.MEMORY_AND_DISK)
+    # The two scans read this stage four times (running sums and block totals,
+    # twice).  Materialize it once up front: left lazy, the four independent
+    # shuffle stages start together and each computes the windows itself.
+    fr = materialize(fr, mode)
     out = wilder_and_macd(fr, key, block)
     keep = [c for c in base.columns] + ["rn", "n_bars", "blk", "prev_close"] + INDICATOR_COLUMNS \
         + ["hi52", "lo52"]

@@ -51,8 +51,8 @@ def check_block(q: float, block: int) -> None:
         raise ValueError(f"block {block} too long for q={q}: q^-(B-1) would overflow")
 
 
-def _horner(factor: float):
-    return lambda acc, t: acc * F.lit(factor) + t
+def _horner(factor: float, field: str):
+    return lambda acc, t: acc * F.lit(factor) + t[field]
 
 
 def affine_scan(df: DataFrame, specs: list[tuple[str, Column, float]], key: str = "symbol",
@@ -71,22 +71,20 @@ def affine_scan(df: DataFrame, specs: list[tuple[str, Column, float]], key: str
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = df.select("*", *[F.sum(weighted[n]).over(run).alias(f"_u_{n}") for n, _, _ in specs])
 
-    totals = df.groupBy(key, "blk").agg(*[F.sum(weighted[n]).alias(f"_t_{n}") for n, _, _ in specs])
-    carry_cols = []
-    for name, _, q in specs:
-        big_q = q ** block
-        k = carry_depth(q, block)
-        prev_blocks = Window.partitionBy(key).orderBy("blk").rowsBetween(-k, -1)
-        fold = F.aggregate(F.collect_list(f"_t_{name}").over(prev_blocks), F.lit(0.0),
-                           _horner(big_q))
-        carry_cols.append(fold.alias(f"_c_{name}"))
-    carries = totals.select(key, "blk", *carry_cols)
-
+    totals = df.groupBy(key, "blk").agg(
+        F.struct(*[F.sum(weighted[n]).alias(n) for n, _, _ in specs]).alias("_t"))
+    # one frame for every spec: folding older totals than a spec needs only
+    # adds terms that are exactly zero in double arithmetic
+    k = max(carry_depth(q, block) for _, _, q in specs)
+    prev_blocks = Window.partitionBy(key).orderBy("blk").rowsBetween(-k, -1)
+    hist = F.collect_list("_t").over(prev_blocks)
+    carries = totals.select(key, "blk", hist.alias("_hist")).select(
+        key, "blk", *[F.aggregate(F.col("_hist"), F.lit(0.0), _horner(q ** block, name))
+                      .alias(f"_c_{name}") for name, _, q in specs])
     out = out.join(carries, [key, "blk"], "left")
-    for name, _, q in specs:
-        in_block = F.col(f"_u_{name}") / F.pow(F.lit(q), F.lit(block - 1) - j)
-        out = out.withColumn(name, in_block + F.col(f"_c_{name}") * F.pow(F.lit(q), j + F.lit(1)))
-    return out.drop(*[c for n, _, _ in specs for c in (f"_u_{n}", f"_c_{n}")])
+    ys = [(F.col(f"_u_{n}") / F.pow(F.lit(q), F.lit(block - 1) - j)
+           + F.col(f"_c_{n}") * F.pow(F.lit(q), j + F.lit(1))).alias(n) for n, _, q in specs]
+    return out.select(*[F.col(c) for c in df.columns], *ys)
 
 
 def ema_spec(name: str, x: str, span: int) -> tuple[str, Column, float]:
@@ -117,12 +115,13 @@ def wilder_and_macd(frames: DataFrame, key: str = "symbol", block: int = BLOCK)
         rma_spec("_avg_gain", "gain", "gain_seed", 14, 15),
         rma_spec("_avg_loss", "loss", "loss_seed", 14, 15),
     ], key, block)
-    s1 = (s1.withColumn("macd", F.col("_ema12") - F.col("_ema26"))
-            .withColumn("atr14", F.when(F.col("rn") >= 14, F.col("_atr")))
-            .withColumn("rsi14", F.when(
-                F.col("rn") >= 15,
-                F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.col("_avg_gain")
-                                                / F.nullif(F.col("_avg_loss"), F.lit(0.0)))))
-            .drop("_ema12", "_ema26", "_atr", "_avg_gain", "_avg_loss"))
+    s1 = s1.select(
+        *[F.col(c) for c in frames.columns],
+        (F.col("_ema12") - F.col("_ema26")).alias("macd"),
+        F.when(F.col("rn") >= 14, F.col("_atr")).alias("atr14"),
+        F.when(F.col("rn") >= 15,
+               F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.col("_avg_gain")
+                                               / F.nullif(F.col("_avg_loss"), F.lit(0.0))))
+        .alias("rsi14"))
     s2 = affine_scan(s1, [ema_spec("macd_signal", "macd", 9)], key, block)
-    return s2.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    return s2.select("*", (F.col("macd") - F.col("macd_signal")).alias("macd_hist"))
