@@ -22,25 +22,31 @@ INDICATOR_COLUMNS = [
 ]
 
 
-def materialize(df: DataFrame, mode: str = "cache") -> DataFrame:
+def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     """Compute ``df`` once for several consumers.
 
-    ``cache``: persist (memory, spilling to disk) and fill it now; lost blocks
-    are recomputed from lineage.  ``checkpoint``: write it to the cluster's
-    ``spark.checkpoint.dir`` and cut the lineage.  ``none``: stay lazy.
+    ``checkpoint`` (default): write it to the cluster's ``spark.checkpoint.dir``
+    and cut the lineage; nothing stays in executor memory and a lost executor
+    costs a re-read, not a recompute.  ``cache``: persist (memory, spilling to
+    disk) and fill it now; lost blocks are recomputed from lineage.
+    ``none``: stay lazy.
     """
     if mode == "cache":
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         df.count()
         return df
     if mode == "checkpoint":
-        from tickframe.session import materialize as ckpt
-        return ckpt(df)
+        from tickframe.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)   # computed once, then written
+        out = df.checkpoint(eager=True)
+        df.unpersist()
+        return out
     return df
 
 
 def indicators(bars: DataFrame, key: str = "symbol", block: int = BLOCK,
-               bucket: str = "MM", mode: str = "cache") -> DataFrame:
+               bucket: str = "MM", mode: str = "checkpoint") -> DataFrame:
     """Bars plus ``rn``, ``n_bars``, ``blk``, ``prev_close`` and the 17 indicators."""
     base = bars.select(*BAR_COLUMNS) if key == "symbol" else bars
     idx = with_row_index(base, bucket=bucket, key=key)

@@ -50,9 +50,14 @@ def _frame(fn: str, x: str, p: int) -> str:
 
 def indicator_ctes(view: str) -> str:
     """CTEs ``bars``, ``o`` (row numbers, lag), ``f`` (frames), ``rc`` (recursion), ``ind``."""
+    return indicator_ctes_from(bars_cte(view))
+
+
+def indicator_ctes_from(bars_ctes: str) -> str:
+    """The indicator CTEs on top of CTE text that defines ``bars``."""
     mas = ", ".join(f"{_frame('avg', 'close', p)} as ma{p}" for p in (5, 10, 20, 50, 100, 200))
     w14 = "(partition by symbol order by rn rows between 13 preceding and current row)"
-    return f"""{bars_cte(view)},
+    return f"""{bars_ctes},
 o as (select *, row_number() over (partition by symbol order by time) as rn,
              count(*) over (partition by symbol) as n_bars,
              lag(close) over (partition by symbol order by time) as prev_close
@@ -138,3 +143,57 @@ def last_two_cte(src: str = "bars", scale: str = "1000.0") -> str:
 
 
 PCT = "case when prev_close = 0 then 0.0 else (close - prev_close) / nullif(prev_close, 0) * 100.0 end"
+
+
+# -------------------------------------------------------------- formatting
+def na(x: str, d: int = 2, sign: bool = False) -> str:
+    """Twin of ``text.fmt_or_na``."""
+    x = q(x)
+    return f"case when {x} is null then 'N/A' else printf('%{'+' if sign else ''}.{d}f', {r(x, d)}) end"
+
+
+def q(x: str) -> str:
+    """Quote a bare column name that is a DuckDB keyword."""
+    return f'"{x}"' if x in ("pivot",) else x
+
+
+def fixed(x: str, d: int = 2, sign: bool = False) -> str:
+    """Twin of ``text.fixed`` (null stays null)."""
+    x = q(x)
+    return f"printf('%{'+' if sign else ''}.{d}f', {r(x, d)})"
+
+
+def fmt_num(x: str, d: int = 2) -> str:
+    """Twin of ``text.fmt_num``."""
+    x = q(x)
+    return f"coalesce(format('{{:,.{d}f}}', {r(x, d)}), '—')"
+
+
+def fmt_int(x: str) -> str:
+    return f"coalesce(format('{{:,}}', cast({x} as bigint)), 'N/A')"
+
+
+WS = r"'^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$'"
+
+
+def strip_ws(x: str) -> str:
+    return f"regexp_replace({x}, {WS}, '', 'g')"
+
+
+# ------------------------------------------------------------ market ctes
+def market_ctes(history: int = 400, min_bars: int = 50) -> str:
+    """Index series (flag bars of the three tickers), guard, rescale, indicators."""
+    scaled = ", ".join(
+        f"case when m_{c} < 100 then r.{c} * 1000.0 else r.{c} end as {c}"
+        for c in ("open", "high", "low", "close"))
+    src = f"""raw as ({BARS_SQL['flag']}),
+{INDEX_CTE},
+recent as (select symbol, time, open, high, low, close, volume from (
+             select raw.*, row_number() over (partition by symbol order by time desc) as rd
+             from raw where symbol in (select ticker from ix)) where rd <= {history}),
+cnt as (select symbol, count(*) as n from recent group by symbol),
+mx as (select symbol, max(open) as m_open, max(high) as m_high, max(low) as m_low,
+              max(close) as m_close from recent group by symbol),
+bars as (select r.symbol, r.time, {scaled}, r.volume
+         from recent r join mx using (symbol) join cnt using (symbol) where cnt.n >= {min_bars})"""
+    return indicator_ctes_from(src)

@@ -70,6 +70,11 @@ for _v in ("brand", "supp", "flag", "hour", "user"):
 
 # ------------------------------------------------------------ L1-L4 snapshot
 def _snapshot_sql(view: str) -> str:
+    return O.with_recursive(snapshot_ctes(O.indicator_ctes(view)), "select symbol, "
+                            + snapshot_cols() + " from last")
+
+
+def snapshot_cols() -> str:
     lv = {
         "pivot": "pv",
         "r1": "2 * pv - low", "r2": "pv + high - low", "r3": "high + 2 * (pv - low)",
@@ -89,13 +94,16 @@ def _snapshot_sql(view: str) -> str:
             cols.append("cast(trunc(volume) as bigint) as volume")
         else:
             cols.append(f"{O.r(lv.get(c) or c, 2)} as {c}")
-    ctes = O.indicator_ctes(view) + """,
+    return ", ".join(cols)
+
+
+def snapshot_ctes(ind_ctes: str) -> str:
+    return ind_ctes + """,
 yr as (select symbol, max(high) as hi52, min(low) as lo52 from ind
        where rn > n_bars - 252 group by symbol),
 last as (select ind.*, coalesce(prev_close, close) as pc, (high + low + close) / 3.0 as pv,
                 yr.hi52, yr.lo52
          from ind join yr using (symbol) where rn = n_bars)"""
-    return O.with_recursive(ctes, "select symbol, " + ", ".join(cols) + " from last")
 
 
 def _snapshot_query(view: str) -> Query:
@@ -179,3 +187,377 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
+
+
+# =========================================================== market document
+def _stock_ctes(view: str = "brand") -> str:
+    """Stock-side CTEs for the document: ``mv`` (movers) and ``sp`` (sectors)."""
+    l2 = O.last_two_cte("sbars").replace("l2 as (", "sl2 as (", 1)
+    pct = O.PCT
+    return f"""sbars as ({O.BARS_SQL[view]}),
+{O.UNIVERSE_CTE},
+{O.SECTOR_CTE},
+{l2},
+mres as (select u."index", u.ord, u.symbol, sl2.close,
+                {O.r(pct.replace('prev_close', 'sl2.prev_close').replace('(close', '(sl2.close'), 2)} as change_pct
+         from u join sl2 using (symbol) where u.ord <= 30 and sl2.n_last = 2),
+mrk as (select *, row_number() over (partition by "index" order by change_pct desc, ord asc) as up,
+               row_number() over (partition by "index" order by change_pct asc, ord desc) as dn
+        from mres),
+mv as (select "index", 'gainer' as side, up as rank, symbol, close, change_pct from mrk where up <= 3
+       union all
+       select "index", 'loser' as side, dn as rank, symbol, close, change_pct from mrk where dn <= 3),
+mem as (select distinct u."index", sec.sector, sec.sector_ord, sec.symbol from u join sec using (symbol)),
+spc as (select symbol, {pct} as pct from sl2 where n_last = 2),
+sagg as (select "index", sector, sector_ord, {O.r('avg(pct)', 2)} as change_pct
+         from mem join spc using (symbol) group by 1, 2, 3),
+srk as (select *, row_number() over (partition by "index" order by change_pct desc, sector_ord asc) as all_rank,
+               row_number() over (partition by "index" order by change_pct asc, sector_ord desc) as lag
+        from sagg),
+sp as (select "index", sector, change_pct, all_rank,
+              case when all_rank <= 3 then all_rank end as lead_rank,
+              case when lag <= 3 then lag end as lag_rank from srk)"""
+
+
+def _market_snapshot_ctes() -> str:
+    return snapshot_ctes(O.market_ctes()) + """,
+msnap as (select ix."index", """ + snapshot_cols() + """ from last join ix on ix.ticker = last.symbol)"""
+
+
+_EXPORT = ["open", "high", "low", "close", "volume", "ma5", "ma10", "ma20", "ma50", "ma100", "ma200",
+           "bb_upper", "bb_mid", "bb_lower", "rsi14", "macd", "macd_signal", "macd_hist", "stoch_k",
+           "stoch_d"]
+
+
+def _market_export_ctes() -> str:
+    cols = ", ".join(f"ind.{c}" for c in _EXPORT)
+    return O.market_ctes() + f""",
+{'' if False else ''}mexp as (select ix."index", ind.rn, substr(cast(ind.time as varchar), 1, 10) as time, {cols},
+                 row_number() over (partition by ix."index" order by ind.rn) as pos
+          from ind join ix on ix.ticker = ind.symbol where ind.rn > ind.n_bars - 365)"""
+
+
+def _market(spark: SparkSession, sf_dir: str):
+    from tickframe.plans.market import market_tables
+    index_bars = bars(spark, sf_dir, "flag")
+    stock = rank.scale_fixed(bars(spark, sf_dir, "brand"))
+    return market_tables(spark, index_bars, stock)
+
+
+def _round_doubles(df: DataFrame, d: int = 4) -> DataFrame:
+    return df.select(*[rnd(f.name, d).alias(f.name) if f.dataType.typeName() == "double"
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+@register("market_snapshot", O.with_recursive(_market_snapshot_ctes(), "select * from msnap"))
+def market_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1, S4, P8, P7, L4 on the three index series, keyed by index code."""
+    return _market(spark, sf_dir).snapshot.drop("symbol")
+
+
+@register("market_export", O.with_recursive(
+    _market_export_ctes(),
+    "select \"index\", rn, time, " + ", ".join(f"{O.r(c)} as {c}" for c in _EXPORT) + " from mexp"))
+def market_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 365-bar export rows per index."""
+    return _round_doubles(_market(spark, sf_dir).ohlcv.drop("symbol"))
+
+
+def _hero_sql() -> str:
+    up = "coalesce(change_pct, 0) >= 0"
+    sign = f"case when {up} then '+' else '' end"
+    body = f"""select "index", case when {up} then 'hero-up' else 'hero-down' end as css,
+       {O.fmt_num('close')} as price,
+       {sign} || {O.fixed('change')} || ' (' || {sign} || {O.fixed('change_pct')} || '%)' as change,
+       coalesce(date, '') as date, {O.fmt_int('volume')} as volume,
+       {O.fmt_num('high')} as high, {O.fmt_num('low')} as low
+from msnap"""
+    return O.with_recursive(_market_snapshot_ctes(), body)
+
+
+@register("report_hero", _hero_sql())
+def report_hero_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.plans import report
+    return report.report_hero(_market(spark, sf_dir).document)
+
+
+def _indicators_report_sql() -> str:
+    from tickframe.plans.report import INDICATOR_ROWS
+    parts = []
+    for pos, grp, label, field, d, st in INDICATOR_ROWS:
+        if st == "rsi":
+            status = ("case when coalesce(rsi14, 0) > 70 then 'overbought' "
+                      "when coalesce(rsi14, 0) < 30 then 'oversold' else 'neutral' end")
+        elif st == "macd":
+            status = "case when coalesce(macd_hist, 0) > 0 then 'positive' else 'negative' end"
+        else:
+            status = "cast(null as varchar)"
+        parts.append(f"""select "index", cast({pos} as bigint) as pos, '{grp}' as grp, '{label}' as label,
+       {O.fmt_num(field, d)} as value, {status} as status from msnap""")
+    return O.with_recursive(_market_snapshot_ctes(), "\nunion all\n".join(parts))
+
+
+@register("report_indicators", _indicators_report_sql())
+def report_indicators_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.plans import report
+    return report.report_indicators(_market(spark, sf_dir).document)
+
+
+def _levels_report_sql() -> str:
+    from tickframe.plans.report import LEVEL_ROWS
+    parts = []
+    for pos, label, source, field in LEVEL_ROWS:
+        val = "cast(null as double)" if source == "analysis" else O.q(field)
+        parts.append(f"""select "index", cast({pos} as bigint) as pos, '{label}' as level,
+       {O.r(val, 2)} as value, {O.fmt_num(val)} as text from msnap""")
+    return O.with_recursive(_market_snapshot_ctes(), "\nunion all\n".join(parts))
+
+
+@register("report_levels", _levels_report_sql())
+def report_levels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.plans import report
+    return report.report_levels(_market(spark, sf_dir).document)
+
+
+def _movers_report_sql() -> str:
+    ctes = O.market_ctes() + ",\n" + _stock_ctes() + """,
+items as (
+  select "index", 'leading' as list, lead_rank as rank, sector as name, 'pos' as css, change_pct
+  from sp where lead_rank is not null
+  union all
+  select "index", 'lagging', lag_rank, sector, 'neg', change_pct from sp where lag_rank is not null
+  union all
+  select "index", 'gainers', rank, symbol, 'pos', change_pct from mv where side = 'gainer'
+  union all
+  select "index", 'losers', rank, symbol, 'neg', change_pct from mv where side = 'loser'),
+ok as (select ix."index" from ix where ix.ticker in (select symbol from ind)),
+lists as (select * from (values ('leading'), ('lagging'), ('gainers'), ('losers')) t(list))"""
+    body = f"""select i."index", i.list, cast(i.rank as bigint) as rank, i.name, i.css,
+       {O.fixed('i.change_pct', 2, True)} || '%' as change
+from items i join ok using ("index")
+union all
+select ok."index", lists.list, cast(0 as bigint), 'no data', cast(null as varchar), cast(null as varchar)
+from ok, lists
+where not exists (select 1 from items i where i."index" = ok."index" and i.list = lists.list)"""
+    return O.with_recursive(ctes, body)
+
+
+@register("report_movers", _movers_report_sql())
+def report_movers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.plans import report
+    return report.report_movers(_market(spark, sf_dir).document)
+
+
+@register("report_index_order", O.with_recursive(
+    O.market_ctes() + ",\nok as (select distinct symbol from ind)",
+    """select ix."index", ix.ord, ix.ord = (select min(ord) from ix) as active,
+       ix.ticker in (select symbol from ok) as has_data from ix"""))
+def report_index_order_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tabs in order with the document's status."""
+    from tickframe.plans.market import index_order
+    doc = _market(spark, sf_dir).document
+    order = index_order(dims.dim_index(spark))
+    return order.join(doc.select("index", F.col("error").isNull().alias("has_data")), "index", "left")
+
+
+def _chart_sql(kind: str) -> str:
+    ctes = _market_export_ctes()
+    if kind == "candles":
+        body = ("select \"index\", pos, time, " + ", ".join(f"{O.r(c)} as {c}" for c in
+                ("open", "high", "low", "close")) + " from mexp where close is not null and close <> 0")
+    elif kind == "volume":
+        body = (f"select \"index\", pos, time, {O.r('volume')} as value, "
+                "case when close >= open then 'up' else 'down' end as color "
+                "from mexp where volume is not null and volume <> 0")
+    else:
+        from tickframe.plans.report import CHART_LINES
+        body = "\nunion all\n".join(
+            f"select \"index\", pos, time, '{c}' as line, {O.r(c)} as value from mexp "
+            f"where {c} is not null and {c} <> 0" for c in CHART_LINES)
+    return O.with_recursive(ctes, body)
+
+
+@register("chart_candles", _chart_sql("candles"))
+def chart_candles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.plans import report
+    return _round_doubles(report.chart_candles(_market(spark, sf_dir).document))
+
+
+@register("chart_volume", _chart_sql("volume"))
+def chart_volume_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.plans import report
+    return _round_doubles(report.chart_volume(_market(spark, sf_dir).document))
+
+
+@register("chart_lines", _chart_sql("lines"))
+def chart_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.plans import report
+    return _round_doubles(report.chart_lines(_market(spark, sf_dir).document))
+
+
+@register("series_json")
+def series_json_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 (rows-only: JSON number text differs between engines)."""
+    from tickframe.plans import report
+    return report.series_json(_market(spark, sf_dir).document)
+
+
+def _prompt_sql() -> str:
+    ctes = _market_snapshot_ctes() + ",\n" + _stock_ctes() + """,
+lst as (select ix."index",
+          (select string_agg(sector || ' (' || """ + O.fixed('change_pct', 1, True) + """ || '%)', ', ' order by lead_rank)
+           from sp where sp."index" = ix."index" and lead_rank is not null) as leading,
+          (select string_agg(sector || ' (' || """ + O.fixed('change_pct', 1, True) + """ || '%)', ', ' order by lag_rank)
+           from sp where sp."index" = ix."index" and lag_rank is not null) as lagging,
+          (select string_agg(symbol || ' (' || """ + O.fixed('change_pct', 1, True) + """ || '%)', ', ' order by rank)
+           from mv where mv."index" = ix."index" and side = 'gainer') as gainers,
+          (select string_agg(symbol || ' (' || """ + O.fixed('change_pct', 1, True) + """ || '%)', ', ' order by rank)
+           from mv where mv."index" = ix."index" and side = 'loser') as losers
+        from ix)"""
+    n = O.na
+    lines = [
+        "'Technical analysis of ' || s.\"index\" || ' for ' || coalesce(date, 'today') || '.'",
+        f"'Close: ' || {n('close')} || ' | Change: ' || {n('change_pct', 2, True)} || '%'",
+        f"'Open/High/Low: ' || {n('open')} || ' / ' || {n('high')} || ' / ' || {n('low')}",
+        f"'Volume: ' || {O.fmt_int('volume')} || ' | Volume MA20: ' || {n('vol_ma20', 0)}",
+        f"'Moving averages: MA5=' || {n('ma5')} || ' | MA10=' || {n('ma10')} || ' | MA20=' || {n('ma20')}"
+        f" || ' | MA50=' || {n('ma50')} || ' | MA100=' || {n('ma100')} || ' | MA200=' || {n('ma200')}",
+        f"'Bollinger bands: upper=' || {n('bb_upper')} || ' | mid=' || {n('bb_mid')} || ' | lower=' || {n('bb_lower')}",
+        f"'RSI(14): ' || {n('rsi14', 1)} || ' | Stochastic %K/%D: ' || {n('stoch_k', 1)} || '/' || {n('stoch_d', 1)}",
+        f"'MACD: ' || {n('macd')} || ' | signal: ' || {n('macd_signal')} || ' | histogram: ' || {n('macd_hist')}",
+        f"'ATR(14): ' || {n('atr14')}",
+        f"'Pivot: ' || {n('pivot')} || ' | R1=' || {n('r1')} || ' R2=' || {n('r2')} || ' R3=' || {n('r3')}"
+        f" || ' | S1=' || {n('s1')} || ' S2=' || {n('s2')} || ' S3=' || {n('s3')}",
+        f"'Fibonacci (52-week high=' || {n('hi52')} || ', low=' || {n('lo52')} || '): 23.6%=' || {n('fibo_236')}"
+        f" || ' | 38.2%=' || {n('fibo_382')} || ' | 50%=' || {n('fibo_500')} || ' | 61.8%=' || {n('fibo_618')}"
+        f" || ' | 78.6%=' || {n('fibo_786')}",
+        "'Leading sectors: ' || coalesce(nullif(l.leading, ''), 'N/A')",
+        "'Lagging sectors: ' || coalesce(nullif(l.lagging, ''), 'N/A')",
+        "'Top gainers: ' || coalesce(nullif(l.gainers, ''), 'N/A')",
+        "'Top losers: ' || coalesce(nullif(l.losers, ''), 'N/A')",
+        "'Answer with one JSON object with the keys summary, market_description, "
+        "support_resistance, timeframe_analysis, scenarios, key_levels, sentiment, recommendation.'",
+    ]
+    body = ("select s.\"index\", concat_ws(chr(10), " + ",\n  ".join(lines)
+            + ") as prompt from msnap s join lst l using (\"index\")")
+    return O.with_recursive(ctes, body)
+
+
+@register("prompt_text", _prompt_sql())
+def prompt_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8 with F6 / F7: one prompt per index."""
+    from tickframe.plans import report
+    return report.build_prompt(_market(spark, sf_dir).document)
+
+
+# ================================================================ answers
+def _answers_sql() -> str:
+    ws = O.strip_ws
+    ctes = f"""a as (select conv_id, turn, text from conversations where role = 'assistant'),
+s0 as (select conv_id, turn, {ws('text')} as s from a),
+t as (select *, case when instr(s, chr(10)) > 0 then substr(s, instr(s, chr(10)) + 1) else '' end as tail
+      from s0),
+f as (select *, case when starts_with(s, '```')
+                     then {ws("case when contains(tail, '```') then regexp_extract(tail, '^(.*)```', 1, 's') else tail end")}
+                     else s end as body from t),
+p as (select *, coalesce(starts_with(body, '{{') and ends_with(body, '}}') and json_valid(body), false) as ok
+      from f)"""
+    body = """select conv_id, turn, ok as parsed, case when not ok then 'JSON parse error' end as error,
+       case when not ok then substr(case when body = '' then s else body end, 1, 500) end as raw
+from p"""
+    return O.with_recursive(ctes, body)
+
+
+@register("answers_conversations", _answers_sql())
+def answers_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 / F10 over every assistant turn (whole texts; the kept raw text is the feature)."""
+    from tickframe.functions.text import parse_analysis
+    from tickframe.sources.fixtures import read_table
+    conv = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    p = conv.select("conv_id", "turn", parse_analysis("text").alias("p"))
+    return p.select("conv_id", "turn", F.col("p.analysis").isNotNull().alias("parsed"),
+                    F.col("p.error").alias("error"), F.col("p.raw").alias("raw"))
+
+
+# ================================================================ ingestion
+@register("candles_index_flag", O.with_recursive(
+    O.bars_cte("flag") + """,
+last400 as (select *, row_number() over (partition by symbol order by time desc) as rd from bars)""",
+    "select symbol, cast(time as varchar) as time, "
+    + ", ".join(f"{O.r(c)} as {c}" for c in PRICES) + " from last400 where rd <= 400"))
+def candles_index_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index candle documents (three shapes) back to bars."""
+    from tickframe.sources import candles
+    docs = candles.render_documents(bars(spark, sf_dir, "flag"), "index")
+    b = candles.read_index_bars(docs)
+    return b.select("symbol", time_text().alias("time"), *[rnd(c, 4).alias(c) for c in PRICES])
+
+
+@register("candles_stock_supp", O.with_recursive(
+    O.bars_cte("supp") + """,
+last10 as (select *, row_number() over (partition by symbol order by time desc) as rd from bars)""",
+    "select symbol, cast(time as varchar) as time, "
+    + ", ".join(f"{O.r(c)} as {c}" for c in PRICES) + " from last10 where rd <= 10"))
+def candles_stock_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock envelopes (epoch or date text, prices in thousands)."""
+    from tickframe.sources import candles
+    docs = candles.render_documents(bars(spark, sf_dir, "supp"), "stock", price_div=1000.0)
+    b = candles.read_stock_bars(docs)
+    return b.select("symbol", time_text().alias("time"), *[rnd(c, 4).alias(c) for c in PRICES])
+
+
+@register("rescaled_user", O.with_recursive(
+    O.bars_cte("user") + """,
+mx as (select symbol, max(open) as m_open, max(high) as m_high, max(low) as m_low, max(close) as m_close
+       from bars group by symbol)""",
+    "select symbol, cast(time as varchar) as time, "
+    + ", ".join(f"{O.r(f'case when m_{c} < 100 then {c} * 1000.0 else {c} end')} as {c}"
+                for c in ("open", "high", "low", "close"))
+    + f", {O.r('volume')} as volume from bars join mx using (symbol)"))
+def rescaled_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per series and column, prices whose maximum is below 100 are x1000."""
+    from tickframe.operators.clean import scale_if_small
+    b = scale_if_small(bars(spark, sf_dir, "user"))
+    return b.select("symbol", time_text().alias("time"), *[rnd(c, 4).alias(c) for c in PRICES])
+
+
+@register("history_guard_user", O.with_recursive(
+    O.bars_cte("user"),
+    """select symbol, cast(null as varchar) as time, 'not enough data: only ' || n || ' rows' as error
+from (select symbol, count(*) as n from bars group by symbol) where n < 50"""))
+def history_guard_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short series become error rows."""
+    from tickframe.operators.clean import require_history
+    return require_history(bars(spark, sf_dir, "user"))[1]
+
+
+@register("history_guard_brand", O.with_recursive(
+    O.bars_cte("brand") + ",\ncnt as (select symbol, count(*) as n from bars group by symbol)",
+    """select symbol, cast(time as varchar) as time, {o} as open, {c} as close
+from bars join cnt using (symbol) where n >= 50""".format(o=O.r("open"), c=O.r("close"))))
+def history_guard_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 good side: series with enough history pass unchanged."""
+    from tickframe.operators.clean import require_history
+    good = require_history(bars(spark, sf_dir, "brand"))[0]
+    return good.select("symbol", time_text().alias("time"), rnd("open", 4).alias("open"),
+                       rnd("close", 4).alias("close"))
+
+
+@register("missing_sector_symbols", O.with_recursive(
+    O.bars_cte("brand") + ",\n" + O.SECTOR_CTE,
+    """select symbol, cast(null as varchar) as time, 'no data for ' || symbol as error
+from (select distinct symbol from sec) where symbol not in (select symbol from bars)"""))
+def missing_sector_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested tickers without bars (anti join)."""
+    from tickframe.operators.clean import require_nonempty
+    return require_nonempty(dims.dim_sector(spark), bars(spark, sf_dir, "brand"))
+
+
+@register("export_brand", O.with_recursive(
+    O.indicator_ctes("brand"),
+    "select symbol, rn, substr(cast(time as varchar), 1, 10) as time, "
+    + ", ".join(f"{O.r(c)} as {c}" for c in _EXPORT) + " from ind where rn > n_bars - 365"))
+def export_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 / W13 / P13 on the 25 brand series."""
+    from tickframe.operators.clean import export_columns
+    return _round_doubles(export_columns(indicators(bars(spark, sf_dir, "brand")), 365))
