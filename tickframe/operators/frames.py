@@ -18,7 +18,7 @@ from tickframe.operators.layout import block_window, rolling
 
 MA_PERIODS = (5, 10, 20, 50, 100, 200)
 YEAR_BARS = 252       # 52-week high / low look-back, by row count
-PREFIX_FROM = 50      # averages this long use running-sum differences
+PREFIX_FROM = 1       # averages at least this long use running-sum differences
 
 
 def full_frame(agg, x: str | Column, p: int, key: str = "symbol") -> Column:
@@ -33,6 +33,19 @@ def sma(x: str | Column, p: int, key: str = "symbol") -> Column:
     return full_frame(F.avg, x, p, key)
 
 
+def prefix_mean(running_sum: str, p: int, key: str = "symbol") -> Column:
+    """Mean of the last ``p`` rows as ``(S(rn) - S(rn - p)) / p`` of a running sum.
+
+    Equals ``sma`` for a column without nulls (bars are validated) at O(1) per
+    row: Spark re-aggregates a sliding frame whenever its lower bound moves.
+    The running sum restarts in every block (at most ``BLOCK + LOOKBACK``
+    rows), so its magnitude and rounding error stay bounded however long the
+    series is.
+    """
+    before = F.coalesce(F.lag(running_sum, p).over(block_window(key)), F.lit(0.0))
+    return F.when(F.col("rn") >= p, (F.col(running_sum) - before) / F.lit(float(p)))
+
+
 def rolling_std(x: str | Column, p: int, key: str = "symbol") -> Column:
     """Sample standard deviation (ddof 1) with the full-frame rule."""
     return full_frame(F.stddev_samp, x, p, key)
@@ -70,10 +83,9 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
     """
     wb = block_window(key)
     lvl1 = [F.col(c) for c in blocked.columns]
-    lvl1 += [sma("close", p, key).alias(f"ma{p}") for p in MA_PERIODS if p < PREFIX_FROM]
     lvl1 += [
         F.sum("close").over(wb.rowsBetween(Window.unboundedPreceding, 0)).alias("_csum"),
-        sma("volume", 20, key).alias("vol_ma20"),
+        F.sum("volume").over(wb.rowsBetween(Window.unboundedPreceding, 0)).alias("_vsum"),
         rolling_std("close", 20, key).alias("_std20"),
         prev("close", key).alias("prev_close"),
         full_frame(F.min, "low", 14, key).alias("lo14"),
@@ -82,11 +94,9 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
     a = blocked.select(*lvl1)
     # long averages from the running sum: sum(rn-p+1 .. rn) = S(rn) - S(rn-p)
     delta = F.col("close") - F.col("prev_close")
-    lvl2 = [F.col(c) for c in a.columns if c not in ("_csum", "_std20")]
-    lvl2 += [F.when(F.col("rn") >= p,
-                    (F.col("_csum") - F.coalesce(F.lag("_csum", p).over(wb), F.lit(0.0)))
-                    / F.lit(float(p))).alias(f"ma{p}")
-             for p in MA_PERIODS if p >= PREFIX_FROM]
+    lvl2 = [F.col(c) for c in a.columns if c not in ("_csum", "_vsum", "_std20")]
+    lvl2 += [prefix_mean("_csum", p, key).alias(f"ma{p}") for p in MA_PERIODS if p >= PREFIX_FROM]
+    lvl2 += [prefix_mean("_vsum", 20, key).alias("vol_ma20")]
     lvl2 += [
         F.col("ma20").alias("bb_mid"),
         (F.col("ma20") + F.lit(2.0) * F.col("_std20")).alias("bb_upper"),
@@ -98,16 +108,17 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
         clip_low0(-delta).alias("loss"),
     ]
     a = a.select(*lvl2)
-    f14 = rolling(14, key)
+    run = wb.rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(key, "blk")
     in_year = F.col("rn") > F.col("n_bars") - F.lit(YEAR_BARS)
     is_last = F.col("rn") == F.col("n_bars")
     return a.select(
         "*",
         full_frame(F.avg, "stoch_k", 3, key).alias("stoch_d"),
-        F.when(F.col("rn") == 14, F.avg("tr").over(f14)).alias("tr_seed"),
-        F.when(F.col("rn") == 15, F.avg("gain").over(f14)).alias("gain_seed"),
-        F.when(F.col("rn") == 15, F.avg("loss").over(f14)).alias("loss_seed"),
+        # Block 0 starts at rn 1, so its running sums are sums from the first bar
+        F.when(F.col("rn") == 14, F.sum("tr").over(run) / F.lit(14.0)).alias("tr_seed"),
+        F.when(F.col("rn") == 15, F.sum("gain").over(run) / F.lit(14.0)).alias("gain_seed"),
+        F.when(F.col("rn") == 15, F.sum("loss").over(run) / F.lit(14.0)).alias("loss_seed"),
         # A3: the last block plus its halo holds the newest YEAR_BARS rows
         F.when(is_last, F.max(F.when(in_year, F.col("high"))).over(whole)).alias("hi52"),
         F.when(is_last, F.min(F.when(in_year, F.col("low"))).over(whole)).alias("lo52"),
