@@ -186,7 +186,9 @@ def report_timeframes(doc_with_analysis: DataFrame) -> DataFrame:
                                ta[key].alias("tf")) for o, lbl, key in TIMEFRAMES])
     e = doc_with_analysis.select("index", F.explode(cards).alias("_c")).filter(F.col("_c.tf").isNotNull())
     badge = labels.trend_badge(F.col("_c.tf.trend"), F.col("_c.tf.strength"))
-    e = e.select("index", "_c.pos", "_c.frame", badge["css"].alias("css"), badge["text"].alias("badge"),
+    e = e.select("index", "_c", badge.alias("_b"))
+    e = e.select("index", "_c.pos", "_c.frame", F.col("_b.css").alias("css"),
+                 F.col("_b.text").alias("badge"),
                  F.coalesce(F.col("_c.tf.comment"), F.lit("")).alias("comment"),
                  F.posexplode_outer(F.col("_c.tf.signals")).alias("_sp", "signal"))
     return e.select("index", "pos", "frame", "css", "badge", "comment",
@@ -277,7 +279,7 @@ def view_range(doc: DataFrame, days: int) -> DataFrame:
     """W13 for the chart zoom buttons: the last ``days`` export rows (by count)."""
     o = _ohlcv_rows(doc)
     n = F.max("pos").over(Window.partitionBy("index"))     # <= 365 export rows per index
-    return o.filter(F.col("pos") > n - F.lit(days))
+    return o.withColumn("_n", n).filter(F.col("pos") > F.col("_n") - F.lit(days)).drop("_n")
 
 
 def series_json(doc: DataFrame) -> DataFrame:
