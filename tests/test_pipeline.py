@@ -211,3 +211,18 @@ def test_report_sections_with_analysis(spark):
     assert len(report.report_indicators(m.document).collect()) == 17
     assert report.view_range(m.document, 30).count() == 30
     assert report.build_prompt(m.document).count() == 1
+
+
+def test_end_to_end_job(spark):
+    from tickframe.plans import job
+    from tickframe.sources.fixtures import bars
+    from tests.conftest import SF001
+    out = tempfile.mkdtemp(prefix="tf-job-")
+    answers = spark.createDataFrame([("IX_ALL", json.dumps(GOOD, ensure_ascii=False)),
+                                     ("IX_TOP", "not json")], "index string, raw string")
+    paths = job.run(spark, bars(spark, SF001, "flag"), bars(spark, SF001, "brand"), out, answers)
+    assert spark.read.parquet(paths["prompts"]).count() == 3
+    assert spark.read.parquet(paths["report/indicators"]).count() == 51
+    assert spark.read.parquet(paths["report/summary"]).count() == 1
+    errs = {r["index"]: r.error for r in spark.read.parquet(paths["analysis"]).collect()}
+    assert errs == {"IX_ALL": None, "IX_TOP": "JSON parse error", "IX_WIDE": None}
