@@ -28,6 +28,8 @@ FIELD_SYNONYMS = {"open": ["open", "o"], "high": ["high", "h"], "low": ["low", "
 DATE_LAYOUTS = ["yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss",
                 "yyyy/MM/dd", "MM/dd/yyyy", "dd-MM-yyyy", "yyyyMMdd"]
 EPOCH_THRESHOLD = 1e9     # a time value above this is unix seconds (P3)
+SMALL_PRICE = 100.0       # a price column whose maximum is below this is rescaled (P7)
+SMALL_FACTOR = 1000.0
 
 
 def _first_present(df: DataFrame, names: list[str]) -> Column | None:
@@ -109,7 +111,7 @@ def coerce_bars(df: DataFrame, time_rule=None, scale: float | None = None) -> Da
                     fill_volume(F.col("volume")).alias("volume"))
 
 
-def scale_if_small(bars: DataFrame, threshold: float = 100.0, factor: float = 1000.0,
+def scale_if_small(bars: DataFrame, threshold: float = SMALL_PRICE, factor: float = SMALL_FACTOR,
                    key: str = "symbol") -> DataFrame:
     """Per series and per column, prices whose maximum is below 100 are x1000.
 

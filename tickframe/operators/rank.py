@@ -63,17 +63,20 @@ def cap_universe(universe: DataFrame, cap: int = MOVER_CAP) -> DataFrame:
 
 
 def top_movers(universe: DataFrame, stock_bars: DataFrame, k: int = TOP_K,
-               cap: int = MOVER_CAP) -> DataFrame:
+               cap: int = MOVER_CAP, last2: DataFrame | None = None) -> DataFrame:
     """T6 flat: ``index, side, rank, symbol, close, change_pct``.
 
     Gainers: rounded percent descending, ties in list order.  Losers: the last
     ``k`` of that order reversed = percent ascending, ties in reverse list
     order.  With fewer than ``2k`` symbols the two lists overlap (N9).
+    ``last2`` may be a precomputed ``last_two`` table shared with sectors.
     """
     capped = F.broadcast(cap_universe(universe, cap))      # <= cap rows per index
-    wanted = stock_bars.join(F.broadcast(capped.select("symbol").distinct()), "symbol",
-                             "left_semi")
-    l2 = require_two_bars(last_two(wanted))
+    if last2 is None:
+        wanted = stock_bars.join(F.broadcast(capped.select("symbol").distinct()), "symbol",
+                                 "left_semi")
+        last2 = last_two(wanted)
+    l2 = require_two_bars(last2)
     res = capped.join(l2, "symbol").select(
         "index", "ord", "symbol", "close",
         rnd(pct_change(F.col("close"), F.col("prev_close")), 2).alias("change_pct"))
@@ -109,16 +112,19 @@ def sector_members(indexes: DataFrame, universe: DataFrame, sectors: DataFrame,
     return members.select("index", "sector", "sector_ord", "symbol")
 
 
-def sector_performance(members: DataFrame, stock_bars: DataFrame, k: int = TOP_K) -> DataFrame:
+def sector_performance(members: DataFrame, stock_bars: DataFrame, k: int = TOP_K,
+                       last2: DataFrame | None = None) -> DataFrame:
     """T7 flat: ``index, sector, change_pct, all_rank, lead_rank, lag_rank``.
 
     A1: the mean of the unrounded member percents, rounded to 2; sectors
     without a member with two bars are omitted.  T4/T5 rank the rounded means
     (ties by sector order; lagging ties by reverse sector order).
     """
-    wanted = stock_bars.join(F.broadcast(members.select("symbol").distinct()), "symbol",
-                             "left_semi")
-    l2 = require_two_bars(last_two(wanted)).select(
+    if last2 is None:
+        wanted = stock_bars.join(F.broadcast(members.select("symbol").distinct()), "symbol",
+                                 "left_semi")
+        last2 = last_two(wanted)
+    l2 = require_two_bars(last2).select(
         "symbol", pct_change(F.col("close"), F.col("prev_close")).alias("_pct"))
     sec = F.broadcast(members).join(l2, "symbol").groupBy("index", "sector", "sector_ord") \
         .agg(rnd(F.avg("_pct"), 2).alias("change_pct"))

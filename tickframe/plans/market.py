@@ -46,15 +46,28 @@ def index_series(index_bars: DataFrame, indexes: DataFrame,
     Returns ``(bars, index errors, rejected rows)``: index errors (no data,
     too little history) fail that index only; rejected rows (missing price,
     duplicate time) are dropped and reported without failing it.
+
+    After the newest-``history`` cut each series holds at most ``history``
+    rows, so the bar count (P8) and the column maxima (P7) are windows over
+    that bounded set, on the partitioning the cut already made.
     """
     tick = F.broadcast(indexes.select("index", F.col("ticker").alias("symbol")))   # #indexes rows
     wanted = index_bars.join(tick.select("symbol"), "symbol", "left_semi")
     good, rejected = clean.validate_bars(wanted)
     recent = rank.last_n_bars(good, history).drop("rn_desc")
-    ok, short = clean.require_history(recent, MIN_BARS)
+    w = Window.partitionBy("symbol")
+    sized = recent.select("*", F.count(F.lit(1)).over(w).alias("_n"),
+                          *[F.max(c).over(w).alias(f"_mx_{c}") for c in clean.PRICE_COLUMNS])
+    scaled = sized.filter(F.col("_n") >= MIN_BARS).select(
+        *[F.when(F.col(f"_mx_{c}") < clean.SMALL_PRICE, F.col(c) * F.lit(clean.SMALL_FACTOR))
+          .otherwise(F.col(c)).alias(c) if c in clean.PRICE_COLUMNS else F.col(c)
+          for c in recent.columns])
+    short = sized.filter(F.col("_n") < MIN_BARS).groupBy("symbol").agg(F.first("_n").alias("n_bars"))
+    short_err = clean.errors_of(short, F.concat(F.lit("not enough data: only "),
+                                                F.col("n_bars").cast("string"), F.lit(" rows")))
     missing = clean.require_nonempty(tick, recent)
-    errors = short.unionByName(missing).join(tick, "symbol").select("index", "error")
-    return clean.scale_if_small(ok), errors, rejected
+    errors = short_err.unionByName(missing).join(tick, "symbol").select("index", "error")
+    return scaled, errors, rejected
 
 
 def market_tables(spark: SparkSession, index_bars: DataFrame, stock_bars: DataFrame,
@@ -75,10 +88,17 @@ def market_tables(spark: SparkSession, index_bars: DataFrame, stock_bars: DataFr
     ohlcv = clean.export_columns(ind, EXPORT_BARS).join(
         F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")
 
-    movers = rank.top_movers(universe, stock_bars)
+    # every stock is read once for movers and sectors of all indexes: the wanted
+    # symbols are bounded (cap x #indexes + sector members), so they are broadcast
     members = rank.sector_members(indexes, universe, sectors_dim, sector_rows)
-    sectors = rank.sector_performance(members, stock_bars)
-    doc = document(indexes, universe, snap, ohlcv, movers, sectors, errors)
+    wanted = rank.cap_universe(universe).select("symbol").unionByName(members.select("symbol")) \
+        .distinct()
+    last2 = materialize(rank.last_two(stock_bars.join(F.broadcast(wanted), "symbol", "left_semi")),
+                        mode)
+    movers = rank.top_movers(universe, stock_bars, last2=last2)
+    sectors = rank.sector_performance(members, stock_bars, last2=last2)
+    # the document is #indexes rows; every report card reads it
+    doc = materialize(document(indexes, universe, snap, ohlcv, movers, sectors, errors), mode)
     return MarketTables(series, ind, snap, ohlcv, movers, sectors, errors, doc)
 
 
@@ -104,9 +124,10 @@ def document(indexes: DataFrame, universe: DataFrame, snap: DataFrame, ohlcv: Da
         F.transform(F.array_sort(F.collect_list(F.struct("ord", "symbol"))),
                     lambda x: x["symbol"]).alias("symbols"))
     err = errors.groupBy("index").agg(F.concat_ws("; ", F.collect_list("error")).alias("error"))
-    d = (indexes.select("index", "ord")
-         .join(s, "index", "left").join(o, "index", "left").join(lists, "index", "left")
-         .join(syms, "index", "left").join(err, "index", "left"))
+    # every part has at most one row per index code (a constant dimension)
+    d = indexes.select("index", "ord")
+    for part in (s, o, lists, syms, err):
+        d = d.join(F.broadcast(part), "index", "left")
     failed = F.col("error").isNotNull()
     return d.select(
         "index", "ord",

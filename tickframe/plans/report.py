@@ -107,27 +107,24 @@ def report_movers(doc: DataFrame) -> DataFrame:
     """four lists (leading / lagging sectors, top gainers / losers).
 
     One row per item with a signed percent; an empty list yields one
-    placeholder row with ``rank`` 0.
+    placeholder row with ``rank`` 0.  The four lists are concatenated and
+    exploded once, so the document is read once.
     """
-    def items(arr: Column, label: str, name: str, css: str) -> DataFrame:
-        e = doc.filter(F.col("error").isNull()).select(
-            "index", F.posexplode_outer(arr).alias("_pos", "_it"))
-        return e.select(
-            "index", F.lit(label).alias("list"),
-            F.when(F.col("_it").isNull(), F.lit(0)).otherwise(F.col("_pos") + 1).cast("long").alias("rank"),
-            F.coalesce(F.col("_it")[name], F.lit(NO_DATA)).alias("name"),
-            F.when(F.col("_it").isNotNull(), F.lit(css)).alias("css"),
-            F.when(F.col("_it").isNotNull(),
-                   fixed(F.col("_it")["change_pct"], 2, sign=True)).alias("change"))
-    parts = [items(F.col("sectors")["leading"], "leading", "name", "pos"),
-             items(F.col("sectors")["lagging"], "lagging", "name", "neg"),
-             items(F.col("movers")["top_gainers"], "gainers", "symbol", "pos"),
-             items(F.col("movers")["top_losers"], "losers", "symbol", "neg")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("index", "list", "rank", "name", "css",
-                      F.concat(F.col("change"), F.lit("%")).alias("change"))
+    def items(arr: Column, label: str, name: str, css: str) -> Column:
+        tagged = F.transform(arr, lambda x, i: F.struct(
+            F.lit(label).alias("list"), (i + 1).cast("long").alias("rank"), x[name].alias("name"),
+            F.lit(css).alias("css"), x["change_pct"].alias("change_pct")))
+        empty = F.array(F.struct(F.lit(label).alias("list"), F.lit(0).cast("long").alias("rank"),
+                                 F.lit(NO_DATA).alias("name"), F.lit(None).cast("string").alias("css"),
+                                 F.lit(None).cast("double").alias("change_pct")))
+        return F.when(F.coalesce(F.size(arr), F.lit(0)) > 0, tagged).otherwise(empty)
+    all_items = F.concat(items(F.col("sectors")["leading"], "leading", "name", "pos"),
+                         items(F.col("sectors")["lagging"], "lagging", "name", "neg"),
+                         items(F.col("movers")["top_gainers"], "gainers", "symbol", "pos"),
+                         items(F.col("movers")["top_losers"], "losers", "symbol", "neg"))
+    e = doc.filter(F.col("error").isNull()).select("index", F.explode(all_items).alias("_it"))
+    return e.select("index", "_it.list", "_it.rank", "_it.name", "_it.css",
+                    F.concat(fixed(F.col("_it.change_pct"), 2, sign=True), F.lit("%")).alias("change"))
 
 
 # ----------------------------------------------------------------------- F20
