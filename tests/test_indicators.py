@@ -192,3 +192,19 @@ def test_adding_a_symbol_changes_nothing_else(spark):
     a = indicators(make(spark, base)).filter("symbol = 'A'").orderBy("rn").collect()
     b = indicators(make(spark, more)).filter("symbol = 'A'").orderBy("rn").collect()
     assert [r.asDict() for r in a] == [r.asDict() for r in b]
+
+
+def test_same_answers_at_one_and_many_partitions(spark):
+    """SURVEY §5: results do not depend on the number of shuffle partitions."""
+    def run():
+        ind = indicators(bars(spark, SF01, "hour"))
+        return sorted(tuple(r) for r in ind.select("symbol", "rn", *[rnd(c, 6).alias(c) for c in INDICATOR_COLUMNS]).collect())
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = run()
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        many = run()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert one == many

@@ -226,3 +226,18 @@ def test_end_to_end_job(spark):
     assert spark.read.parquet(paths["report/summary"]).count() == 1
     errs = {r["index"]: r.error for r in spark.read.parquet(paths["analysis"]).collect()}
     assert errs == {"IX_ALL": None, "IX_TOP": "JSON parse error", "IX_WIDE": None}
+
+
+def test_missing_document_and_generated_text(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("index", T.StringType()), T.StructField("generated", T.TimestampType())])
+    assert market.read_document(spark, tempfile.mkdtemp(prefix="tf-none-") + "/absent", schema).count() == 0
+    df = spark.createDataFrame([("IX", dt.datetime(2024, 5, 6, 17, 8, 9))], schema)
+    assert df.select(market.generated_text().alias("g")).first().g == "2024-05-06 17:08"
+
+
+def test_fmt_chg(spark):
+    from tickframe.functions.text import fmt_chg
+    df = spark.createDataFrame([(1.234,), (-0.5,), (0.0,), (None,)], "v double")
+    got = [(r.c.css, r.c.text) for r in df.select(fmt_chg("v").alias("c")).collect()]
+    assert got == [("pos", "+1.23%"), ("neg", "-0.50%"), ("flat", "0.00%"), (None, "—")]

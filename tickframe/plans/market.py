@@ -146,10 +146,24 @@ def write_document(doc: DataFrame, path: str) -> None:
 
 
 def read_document(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read a written document back with its schema (no inference)."""
+    """Read a written document back with its schema (no inference).
+
+    A missing document is not an error: the result is empty, like the
+    reference, which reports the missing file and stops.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(path)
 
 
+def generated_text(ts: str = "generated"):
+    """the run time as ``yyyy-MM-dd HH:mm`` (ISO text cut to 16, ``T`` -> space)."""
+    return F.date_format(F.col(ts), "yyyy-MM-dd HH:mm")
+
+
 def document_json(doc: DataFrame) -> DataFrame:
     """The reference's single-file shape: ``{code: record, ..., "generated_at": ts}``.
 
