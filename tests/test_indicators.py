@@ -106,7 +106,7 @@ def test_affine_scan_small_blocks(spark):
     """The two-level scan with tiny blocks equals the recursion."""
     xs = [float((i * 37) % 11) for i in range(1, 58)]
     df = spark.createDataFrame([("s", i + 1, x) for i, x in enumerate(xs)], "symbol string, rn long, x double")
-    df = df.withColumn("blk", F.expr("(rn - 1) div 4"))
+    df = df.withColumn("blk", F.expr("(rn - 1) div 4"))   # noqa
     out = affine_scan(df, [ema_spec("e", "x", 3)], block=4).orderBy("rn").collect()
     ref = ema(xs, 3)
     assert all(abs(r.e - v) < 1e-9 for r, v in zip(out, ref))

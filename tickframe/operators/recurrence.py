@@ -51,54 +51,51 @@ def check_block(q: float, block: int) -> None:
         raise ValueError(f"block {block} too long for q={q}: q^-(B-1) would overflow")
 
 
-def _horner(factor: float, field: str):
-    return lambda acc, t: acc * F.lit(factor) + t[field]
+def dlit(x: float) -> str:
+    """A double literal for SQL text (``repr`` round-trips exactly)."""
+    return f"{x!r}D"
 
 
-def affine_scan(df: DataFrame, specs: list[tuple[str, Column, float]], key: str = "symbol",
+def affine_scan(df: DataFrame, specs: list[tuple[str, str, float]], key: str = "symbol",
                 block: int = BLOCK) -> DataFrame:
     """Add one column per ``(name, b, q)``: ``y = q * y_prev + b`` along ``rn``.
 
-    ``df`` must carry ``rn`` (dense, 1-based per key) and ``blk = (rn-1) div block``
-    without halo rows.
+    ``b`` is a SQL expression.  ``df`` must carry ``rn`` (dense, 1-based per
+    key) and ``blk = (rn-1) div block`` without halo rows.  The expressions
+    are SQL text so the whole scan is a handful of calls from the driver.
     """
     for _, _, q in specs:
         check_block(q, block)
-    j = F.col("rn") - F.lit(1) - F.col("blk") * F.lit(block)
-    weighted = {name: b * F.pow(F.lit(q), F.lit(block - 1) - j) for name, b, q in specs}
+    j = f"(rn - 1 - blk * {block})"
+    weighted = {n: f"(({b}) * pow({dlit(q)}, {block - 1} - {j}))" for n, b, q in specs}
+    run = f"over (partition by {key}, blk order by rn rows between unbounded preceding and current row)"
+    out = df.selectExpr("*", *[f"sum({weighted[n]}) {run} as _u_{n}" for n, _, _ in specs])
 
-    run = Window.partitionBy(key, "blk").orderBy("rn") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df.select("*", *[F.sum(weighted[n]).over(run).alias(f"_u_{n}") for n, _, _ in specs])
-
-    totals = df.groupBy(key, "blk").agg(
-        F.struct(*[F.sum(weighted[n]).alias(n) for n, _, _ in specs]).alias("_t"))
+    totals = df.groupBy(key, "blk").agg(F.expr(
+        "named_struct(" + ", ".join(f"'{n}', sum({weighted[n]})" for n, _, _ in specs) + ") as _t"))
     # one frame for every spec: folding older totals than a spec needs only
     # adds terms that are exactly zero in double arithmetic
     k = max(carry_depth(q, block) for _, _, q in specs)
-    prev_blocks = Window.partitionBy(key).orderBy("blk").rowsBetween(-k, -1)
-    hist = F.collect_list("_t").over(prev_blocks)
-    carries = totals.select(key, "blk", hist.alias("_hist")).select(
-        key, "blk", *[F.aggregate(F.col("_hist"), F.lit(0.0), _horner(q ** block, name))
-                      .alias(f"_c_{name}") for name, _, q in specs])
+    hist = f"collect_list(_t) over (partition by {key} order by blk rows between {k} preceding and 1 preceding)"
+    carries = totals.selectExpr(key, "blk", f"{hist} as _hist").selectExpr(
+        key, "blk", *[f"aggregate(_hist, 0D, (acc, t) -> acc * {dlit(q ** block)} + t.{n}) as _c_{n}"
+                      for n, _, q in specs])
     out = out.join(carries, [key, "blk"], "left")
-    ys = [(F.col(f"_u_{n}") / F.pow(F.lit(q), F.lit(block - 1) - j)
-           + F.col(f"_c_{n}") * F.pow(F.lit(q), j + F.lit(1))).alias(n) for n, _, q in specs]
-    return out.select(*[F.col(c) for c in df.columns], *ys)
+    ys = [f"_u_{n} / pow({dlit(q)}, {block - 1} - {j}) + _c_{n} * pow({dlit(q)}, {j} + 1) as {n}"
+          for n, _, q in specs]
+    return out.selectExpr(*[f"`{c}`" for c in df.columns], *ys)
 
 
-def ema_spec(name: str, x: str, span: int) -> tuple[str, Column, float]:
+def ema_spec(name: str, x: str, span: int) -> tuple[str, str, float]:
     """R2: ``ewm(span, adjust=False).mean()`` — y_1 = x_1, no null prefix."""
     a = 2.0 / (span + 1.0)
-    b = F.when(F.col("rn") == 1, F.col(x)).otherwise(F.lit(a) * F.col(x))
-    return name, b, 1.0 - a
+    return name, f"case when rn = 1 then {x} else {dlit(a)} * {x} end", 1.0 - a
 
 
-def rma_spec(name: str, x: str, seed: str, p: int, first_rn: int) -> tuple[str, Column, float]:
+def rma_spec(name: str, x: str, seed: str, p: int, first_rn: int) -> tuple[str, str, float]:
     """Wilder smoothing; ``seed`` holds the mean of the first p values at ``first_rn``."""
-    b = (F.when(F.col("rn") == first_rn, F.col(seed))
-          .when(F.col("rn") > first_rn, F.col(x) / F.lit(float(p)))
-          .otherwise(F.lit(0.0)))
+    b = (f"case when rn = {first_rn} then {seed} when rn > {first_rn} then {x} / {dlit(float(p))} "
+         f"else 0D end")
     return name, b, (p - 1.0) / p
 
 
@@ -115,13 +112,10 @@ def wilder_and_macd(frames: DataFrame, key: str = "symbol", block: int = BLOCK)
         rma_spec("_avg_gain", "gain", "gain_seed", 14, 15),
         rma_spec("_avg_loss", "loss", "loss_seed", 14, 15),
     ], key, block)
-    s1 = s1.select(
-        *[F.col(c) for c in frames.columns],
-        (F.col("_ema12") - F.col("_ema26")).alias("macd"),
-        F.when(F.col("rn") >= 14, F.col("_atr")).alias("atr14"),
-        F.when(F.col("rn") >= 15,
-               F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.col("_avg_gain")
-                                               / F.nullif(F.col("_avg_loss"), F.lit(0.0))))
-        .alias("rsi14"))
+    s1 = s1.selectExpr(
+        *[f"`{c}`" for c in frames.columns],
+        "_ema12 - _ema26 as macd",
+        "case when rn >= 14 then _atr end as atr14",
+        "case when rn >= 15 then 100D - 100D / (1D + _avg_gain / nullif(_avg_loss, 0D)) end as rsi14")
     s2 = affine_scan(s1, [ema_spec("macd_signal", "macd", 9)], key, block)
-    return s2.select("*", (F.col("macd") - F.col("macd_signal")).alias("macd_hist"))
+    return s2.selectExpr("*", "macd - macd_signal as macd_hist")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.operators import clean, rank
-from tickframe.operators.indicators import INDICATOR_COLUMNS, indicators, materialize
+from tickframe.operators.indicators import indicators
 from tickframe.operators.levels import snapshot
 from tickframe.sources import dims
 from tickframe.sources.candles import INDEX_HISTORY
@@ -80,9 +80,8 @@ def market_tables(spark: SparkSession, index_bars: DataFrame, stock_bars: DataFr
     sector_rows = sector_rows if sector_rows is not None else dims.sector_rows()
 
     series, errors, _rejected = index_series(index_bars, indexes)
-    ind = indicators(series, mode=mode)
-    ind = materialize(ind.join(F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))),
-                               "symbol"), mode)
+    ind = indicators(series, mode=mode)     # frame stage checkpointed inside
+    ind = ind.join(F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")
     snap = snapshot(ind).join(
         F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")
     ohlcv = clean.export_columns(ind, EXPORT_BARS).join(
@@ -93,12 +92,12 @@ def market_tables(spark: SparkSession, index_bars: DataFrame, stock_bars: DataFr
     members = rank.sector_members(indexes, universe, sectors_dim, sector_rows)
     wanted = rank.cap_universe(universe).select("symbol").unionByName(members.select("symbol")) \
         .distinct()
-    last2 = materialize(rank.last_two(stock_bars.join(F.broadcast(wanted), "symbol", "left_semi")),
-                        mode)
+    # one plan shared by movers and sectors: identical subtrees, one reused exchange
+    last2 = rank.last_two(stock_bars.join(F.broadcast(wanted), "symbol", "left_semi"))
     movers = rank.top_movers(universe, stock_bars, last2=last2)
     sectors = rank.sector_performance(members, stock_bars, last2=last2)
-    # the document is #indexes rows; every report card reads it
-    doc = materialize(document(indexes, universe, snap, ohlcv, movers, sectors, errors), mode)
+    # lazy: each report card reads the document once; ``job.run`` writes it once
+    doc = document(indexes, universe, snap, ohlcv, movers, sectors, errors)
     return MarketTables(series, ind, snap, ohlcv, movers, sectors, errors, doc)
 
 
