@@ -46,9 +46,19 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
 
 
 def indicators(bars: DataFrame, key: str = "symbol", block: int = BLOCK,
-               bucket: str = "MM", mode: str = "checkpoint") -> DataFrame:
-    """Bars plus ``rn``, ``n_bars``, ``blk``, ``prev_close`` and the 17 indicators."""
+               bucket: str = "MM", mode: str = "checkpoint",
+               materialize_input: bool = True) -> DataFrame:
+    """Bars plus ``rn``, ``n_bars``, ``blk``, ``prev_close`` and the 17 indicators.
+
+    The row index reads the bars twice (month counts and row numbers).  Column
+    pruning makes the two reads different plans, so a lazy input (bars still
+    being aggregated from raw ticks) would be computed twice; the input is
+    therefore materialized once first.  Pass ``materialize_input=False`` for a
+    bars table that is already stored.
+    """
     base = bars.select(*BAR_COLUMNS) if key == "symbol" else bars
+    if materialize_input:
+        base = materialize(base, mode)
     idx = with_row_index(base, bucket=bucket, key=key)
     fr = drop_halo(finite_frames(with_blocks(idx, LOOKBACK, block), key))
     # The two scans read this stage four times (running sums and block totals,

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.operators import clean, rank
-from tickframe.operators.indicators import indicators
+from tickframe.operators.indicators import indicators, materialize
 from tickframe.operators.levels import snapshot
 from tickframe.sources import dims
 from tickframe.sources.candles import INDEX_HISTORY
@@ -39,8 +39,8 @@ class MarketTables:
     document: DataFrame     # one nested row per index
 
 
-def index_series(index_bars: DataFrame, indexes: DataFrame,
-                 history: int = INDEX_HISTORY) -> tuple[DataFrame, DataFrame, DataFrame]:
+def index_series(index_bars: DataFrame, indexes: DataFrame, history: int = INDEX_HISTORY,
+                 mode: str = "checkpoint") -> tuple[DataFrame, DataFrame, DataFrame]:
     """S1 + S4 + P9 + P14 + P8 + P7 for the index series.
 
     Returns ``(bars, index errors, rejected rows)``: index errors (no data,
@@ -54,7 +54,8 @@ def index_series(index_bars: DataFrame, indexes: DataFrame,
     tick = F.broadcast(indexes.select("index", F.col("ticker").alias("symbol")))   # #indexes rows
     wanted = index_bars.join(tick.select("symbol"), "symbol", "left_semi")
     good, rejected = clean.validate_bars(wanted)
-    recent = rank.last_n_bars(good, history).drop("rn_desc")
+    # read by the guards, the error rows and the indicators: computed once
+    recent = materialize(rank.last_n_bars(good, history).drop("rn_desc"), mode)
     w = Window.partitionBy("symbol")
     sized = recent.select("*", F.count(F.lit(1)).over(w).alias("_n"),
                           *[F.max(c).over(w).alias(f"_mx_{c}") for c in clean.PRICE_COLUMNS])
@@ -79,8 +80,8 @@ def market_tables(spark: SparkSession, index_bars: DataFrame, stock_bars: DataFr
     sectors_dim = sectors_dim if sectors_dim is not None else dims.dim_sector(spark)
     sector_rows = sector_rows if sector_rows is not None else dims.sector_rows()
 
-    series, errors, _rejected = index_series(index_bars, indexes)
-    ind = indicators(series, mode=mode)     # frame stage checkpointed inside
+    series, errors, _rejected = index_series(index_bars, indexes, mode=mode)
+    ind = indicators(series, mode=mode, materialize_input=False)   # frame stage checkpointed inside
     ind = ind.join(F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")
     snap = snapshot(ind).join(
         F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")
