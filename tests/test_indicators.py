@@ -208,3 +208,14 @@ def test_same_answers_at_one_and_many_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert one == many
+
+
+def test_long_series_is_split_into_bounded_blocks(spark):
+    """A hot symbol is spread over (symbol, blk) groups of at most BLOCK + LOOKBACK rows."""
+    from tickframe.operators.layout import BLOCK, LOOKBACK, with_blocks
+    b = make(spark, {"HOT": closes_of(5000, 1), "COLD": closes_of(40, 2)})
+    groups = with_blocks(with_row_index(b)).groupBy("symbol", "blk").count().collect()
+    hot = sorted((r.blk, r["count"]) for r in groups if r.symbol == "HOT")
+    assert [g for g, _ in hot] == [0, 1, 2]
+    assert max(c for _, c in hot) <= BLOCK + LOOKBACK
+    assert sum(c for _, c in hot) == 5000 + 2 * LOOKBACK      # halo copies only

@@ -107,8 +107,9 @@ def document(indexes: DataFrame, universe: DataFrame, snap: DataFrame, ohlcv: Da
     """The index codes, in order, left-joined with every per-index part.
 
     Every nested list is bounded per index (365 export rows, k movers,
-    #sectors, the universe list), so the ``collect_list`` calls never gather
-    an unbounded group.
+    #sectors, the universe list — a configuration list, like the reference's
+    symbol lists), so the ``collect_list`` calls never gather an unbounded
+    group.
     """
     snap_cols = [c for c in snap.columns if c not in ("index", "symbol")]
     s = snap.select("index", F.struct(*snap_cols).alias("snapshot"))
