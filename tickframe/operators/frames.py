@@ -81,45 +81,50 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
     ``gain_seed`` / ``loss_seed`` (mean of the first 14 changes, at rn 15),
     and ``hi52`` / ``lo52`` on the newest bar of each symbol.
     """
-    wb = block_window(key)
-    lvl1 = [F.col(c) for c in blocked.columns]
-    lvl1 += [
-        F.sum("close").over(wb.rowsBetween(Window.unboundedPreceding, 0)).alias("_csum"),
-        F.sum("volume").over(wb.rowsBetween(Window.unboundedPreceding, 0)).alias("_vsum"),
-        rolling_std("close", 20, key).alias("_std20"),
-        prev("close", key).alias("prev_close"),
-        full_frame(F.min, "low", 14, key).alias("lo14"),
-        full_frame(F.max, "high", 14, key).alias("hi14"),
-    ]
-    a = blocked.select(*lvl1)
-    # long averages from the running sum: sum(rn-p+1 .. rn) = S(rn) - S(rn-p)
-    delta = F.col("close") - F.col("prev_close")
-    lvl2 = [F.col(c) for c in a.columns if c not in ("_csum", "_vsum", "_std20")]
-    lvl2 += [prefix_mean("_csum", p, key).alias(f"ma{p}") for p in MA_PERIODS if p >= PREFIX_FROM]
-    lvl2 += [prefix_mean("_vsum", 20, key).alias("vol_ma20")]
-    lvl2 += [
-        F.col("ma20").alias("bb_mid"),
-        (F.col("ma20") + F.lit(2.0) * F.col("_std20")).alias("bb_upper"),
-        (F.col("ma20") - F.lit(2.0) * F.col("_std20")).alias("bb_lower"),
-        delta.alias("delta"),
-        true_range().alias("tr"),
-        stochastic_k().alias("stoch_k"),
-        clip_low0(delta).alias("gain"),
-        clip_low0(-delta).alias("loss"),
-    ]
-    a = a.select(*lvl2)
-    run = wb.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(key, "blk")
-    in_year = F.col("rn") > F.col("n_bars") - F.lit(YEAR_BARS)
-    is_last = F.col("rn") == F.col("n_bars")
-    return a.select(
+    # SQL text: three selects instead of thousands of driver round trips
+    w = f"partition by {key}, blk order by rn"
+    run = f"over ({w} rows between unbounded preceding and current row)"
+
+    def frame(p: int) -> str:
+        return f"over ({w} rows between {p - 1} preceding and current row)"
+
+    def guarded(fn: str, x: str, p: int) -> str:
+        return f"case when count({x}) {frame(p)} = {p} then {fn}({x}) {frame(p)} end"
+
+    a = blocked.selectExpr(
         "*",
-        full_frame(F.avg, "stoch_k", 3, key).alias("stoch_d"),
+        f"sum(close) {run} as _csum",
+        f"sum(volume) {run} as _vsum",
+        f"{guarded('stddev_samp', 'close', 20)} as _std20",
+        f"lag(close, 1) over ({w}) as prev_close",
+        f"{guarded('min', 'low', 14)} as lo14",
+        f"{guarded('max', 'high', 14)} as hi14")
+
+    def prefix(col: str, p: int) -> str:
+        # mean of the last p rows from a running sum restarted in every block
+        return (f"case when rn >= {p} then ({col} - coalesce(lag({col}, {p}) over ({w}), 0D))"
+                f" / {float(p)!r}D end")
+    delta = "(close - prev_close)"
+    a = a.selectExpr(
+        *[f"`{c}`" for c in a.columns if c not in ("_csum", "_vsum")],
+        *[f"{prefix('_csum', p)} as ma{p}" for p in MA_PERIODS],
+        f"{prefix('_vsum', 20)} as vol_ma20",
+        f"{delta} as delta",
+        "greatest(high - low, abs(high - prev_close), abs(low - prev_close)) as tr",
+        "100D * (close - lo14) / nullif(hi14 - lo14, 0D) as stoch_k",
+        f"case when {delta} is not null then greatest({delta}, 0D) end as gain",
+        f"case when {delta} is not null then greatest(-{delta}, 0D) end as loss")
+    whole = f"over (partition by {key}, blk)"
+    return a.selectExpr(
+        *[f"`{c}`" for c in a.columns if c != "_std20"],
+        "ma20 as bb_mid",
+        "ma20 + 2D * _std20 as bb_upper",
+        "ma20 - 2D * _std20 as bb_lower",
+        f"{guarded('avg', 'stoch_k', 3)} as stoch_d",
         # Block 0 starts at rn 1, so its running sums are sums from the first bar
-        F.when(F.col("rn") == 14, F.sum("tr").over(run) / F.lit(14.0)).alias("tr_seed"),
-        F.when(F.col("rn") == 15, F.sum("gain").over(run) / F.lit(14.0)).alias("gain_seed"),
-        F.when(F.col("rn") == 15, F.sum("loss").over(run) / F.lit(14.0)).alias("loss_seed"),
+        f"case when rn = 14 then sum(tr) {run} / 14D end as tr_seed",
+        f"case when rn = 15 then sum(gain) {run} / 14D end as gain_seed",
+        f"case when rn = 15 then sum(loss) {run} / 14D end as loss_seed",
         # A3: the last block plus its halo holds the newest YEAR_BARS rows
-        F.when(is_last, F.max(F.when(in_year, F.col("high"))).over(whole)).alias("hi52"),
-        F.when(is_last, F.min(F.when(in_year, F.col("low"))).over(whole)).alias("lo52"),
-    )
+        f"case when rn = n_bars then max(case when rn > n_bars - {YEAR_BARS} then high end) {whole} end as hi52",
+        f"case when rn = n_bars then min(case when rn > n_bars - {YEAR_BARS} then low end) {whole} end as lo52")
