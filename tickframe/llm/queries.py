@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickframe.llm import fingerprint, licenses, packing, sharding
+from tickframe.llm import fingerprint, langid, licenses, packing, sharding
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(_documents(spark, sf_dir))
 
 
+def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    model = langid.train(docs.filter(~held_out))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(_documents(spark, sf_dir), shards=40)
     return out.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),

@@ -10,7 +10,7 @@ of at most ``range_bytes``, and are numbered within their range; the counts of
 the ranges before it complete the slot, so no task holds a whole shard.
 
 Cases: a null text counts as no bytes; an empty table gives no rows; rows equal
-in id and text have one key and stay together; further columns pass through.
+in id and text have one key and stay together; further columns pass through (``size``, ``shard`` and ``slot`` are replaced).
 """
 
 from __future__ import annotations
@@ -97,8 +97,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
 
     ``tolerance`` is the allowed error of a boundary as a share of a shard's bytes.
     """
-    rows = docs.withColumn("size", row_size(text_col)).withColumn("key", sort_key(id_col, text_col))
-    keys = stored(rows.select("key", "size"))             # narrow: rounds don't read the texts again
+    rows = docs.withColumn("size", row_size(text_col)).withColumn("_key", sort_key(id_col, text_col))
+    keys = stored(rows.select(F.col("_key").alias("key"), "size"))             # narrow: rounds don't read the texts again
     whole = keys.agg(F.sum("size"), F.count(F.lit(1))).first()
     total = (whole[0] or 0, whole[1])
     per = max(1, math.ceil(total[0] / shards / range_bytes))            # ranges in a shard
@@ -113,8 +113,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
         import pandas as pd
         return pd.Series(np.searchsorted(edges, key.to_numpy().astype("S32"), side="right").astype(np.int32))
 
-    ranged = rows.withColumn("range", range_of("key"))
-    place = F.row_number().over(Window.partitionBy("range").orderBy("key", id_col)) - 1
-    offset = F.element_at(F.array(*[F.lit(a) for a in ahead]), F.col("range") + 1)
+    ranged = rows.withColumn("_range", range_of("_key"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_key", id_col)) - 1
+    offset = F.element_at(F.array(*[F.lit(a) for a in ahead]), F.col("_range") + 1)
     return (ranged.withColumn("slot", (place + offset).cast("long"))
-            .withColumn("shard", F.expr(f"cast(range div {per} as int)")).drop("range", "key"))
+            .withColumn("shard", F.expr(f"cast(_range div {per} as int)")).drop("_range", "_key"))
