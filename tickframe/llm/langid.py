@@ -11,7 +11,7 @@ The sample: per language the rows with the smallest hash of their id, at most
 ``rows`` of them, whole texts while they hold no more than ``symbols``
 characters together (the first one always).  A fifth of them is left out of the
 counts and calibrates the limit: the mean cross-entropy plus ``z`` standard
-deviations, wider for texts shorter than usual, or half way to the cross-entropy
+deviations, wider for texts shorter than usual, or three quarters of the way to that
 of the nearest other language's texts (or of evenly drawn symbols), if that is
 more; texts that mix known languages stay below it.
 
@@ -141,7 +141,7 @@ class Model:
     languages: list[str]
     orders: list[Order]
     floor: np.ndarray                                     # log-probability of a symbol no model knows
-    limit: np.ndarray                                     # languages x (mean, deviation, symbols of a usual text, half way to other text)
+    limit: np.ndarray                                     # languages x (mean, deviation, symbols of a usual text, three quarters of the way to other text)
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -265,7 +265,7 @@ def train(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text
             model.limit[j, :3] = -model.floor[j], 0.3, 200
     for j in range(len(languages)):
         foreign = np.append(np.delete(cross[:, j], j), -model.floor[j])
-        model.limit[j, 3] = (model.limit[j, 0] + np.nanmin(foreign)) / 2
+        model.limit[j, 3] = 0.25 * model.limit[j, 0] + 0.75 * np.nanmin(foreign)
     return model
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickframe.llm import fingerprint, langid, licenses, packing, sharding
+from tickframe.llm import fingerprint, langid, licenses, lm, packing, sharding
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +17,20 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(_documents(spark, sf_dir))
 
 
+def _remainder(n: int):
+    """crc32 of the id as text modulo n (a null id: of the empty text)."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = lm.train(docs.filter(_remainder(5) != 1))
+    return lm.score(docs, model).withColumn("held_out", _remainder(5) == 1)
+
+
 def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    held_out = _remainder(4) == 2
     model = langid.train(docs.filter(~held_out))
     return langid.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "rejected")
