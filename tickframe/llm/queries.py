@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickframe.llm import fingerprint, langid, licenses, lm, packing, sharding
+from tickframe.llm import chat, fingerprint, langid, licenses, lm, packing, secrets, sharding
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def _remainder(n: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_documents(spark, sf_dir))
+
+
 def op5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = lm.train(docs.filter(_remainder(5) != 1))
@@ -50,6 +54,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir)).drop("ids")
 
 
+def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = chat.preference_pairs(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+    def written(mask: str):
+        return F.concat_ws(",", F.transform(mask, lambda m: F.concat_ws(":", m["start"], m["end"]))).alias(mask)
+
+    return chat.format_pairs(pairs).select("pair_id", "prompt_turns", "prompt", "chosen", "rejected", written("chosen_mask"), written("rejected_mask"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
