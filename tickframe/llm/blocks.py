@@ -8,6 +8,7 @@ character counts as a word byte, so words can be found on bytes exactly.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -184,3 +185,11 @@ def runs_of(words: Words, k: int, count: np.ndarray | None = None) -> tuple[np.n
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet in the shared folder, read again: its lineage ends there and columns stay prunable."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
