@@ -140,12 +140,15 @@ class Words:
 
     __slots__ = ("row", "start", "end", "hash", "first")
 
-    def __init__(self, offsets: np.ndarray, data: np.ndarray, table: np.ndarray):
+    def __init__(self, offsets: np.ndarray, data: np.ndarray, table: np.ndarray, breaks: np.ndarray | None = None):
+        """``breaks``: bytes at which, within a word, another one begins."""
         rows = len(offsets) - 1
         n = len(data)
         mapped = table[data]
         inside = mapped != 0
         cut = np.zeros(n + 1, bool)
+        if breaks is not None:
+            cut[:n] = breaks
         cut[offsets] = True
         begins = inside.copy()
         begins[1:] &= ~inside[:-1] | cut[1:n]

@@ -8,8 +8,8 @@ its padding.  With ``f(j)`` the least cost of the stream up to cut ``j``,
 minimum over a sliding window, which a monotone queue gives in constant time.
 The rest at the end of a range is cut into powers of two, which need no padding.
 
-Tokens come from a public tokenizer whose words never cross ASCII white space,
-so each distinct word of a batch is encoded once and its ids are gathered.
+Tokens come from a public tokenizer that lower-cases and whose words never cross
+ASCII white space, so each distinct word is encoded once and its ids are gathered.
 
 Cases: a null text is empty and has only its end token; rows of one id are
 ordered by text, null ids come last; very long texts are cut like others; an
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickframe.llm.blocks import RAW_WORDS, Words, batch_of, partitions, pieces
+from tickframe.llm.blocks import RAW_WORDS, SPACE_WORDS, Words, batch_of, partitions, pieces
 
 SIZE = 2048
 END_ID = 1
@@ -38,7 +39,7 @@ GRID = 32
 #: where nothing ends for this many tokens, cuts are tried at this distance
 STRIDE = 48
 STREAM = 1 << 17
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -46,51 +47,132 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class HashTable:
+    """Numbers by 64-bit hash: open addressing, looked up and filled for whole arrays."""
+
+    def __init__(self, bits: int):
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+        self.mask = np.uint64((1 << bits) - 1)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        out, open_, at = np.full(len(h), -1, np.int64), np.arange(len(h)), h & self.mask
+        while len(open_):
+            key, wanted = self.keys[at], h[open_]
+            hit = key == wanted
+            out[open_[hit]] = self.values[at[hit]]
+            on = ~hit & (key != 0)
+            open_, at = open_[on], (at[on] + np.uint64(1)) & self.mask
+        return out
+
+    def add(self, h: np.ndarray, values: np.ndarray) -> None:
+        """Distinct hashes that aren't there yet."""
+        at = h & self.mask
+        while len(h):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = h[free]
+            won = self.keys[at] == h
+            self.values[at[won]] = values[won]
+            h, values, at = h[~won], values[~won], (at[~won] + np.uint64(1)) & self.mask
+
+
+def word_breaks(data: np.ndarray) -> np.ndarray:
+    """Where a mark .,!?;: follows an ASCII letter or digit, or the other way round: the tokenizer splits there too."""
+    kind = _KINDS[data]
+    out = np.zeros(len(data), bool)
+    out[1:] = (kind[1:] * kind[:-1]) == 2
+    return out
+
+
+_KINDS = np.array([1 if chr(b) in ".,!?;:" else 2 if b < 128 and chr(b).isalnum() else 0 for b in range(256)], np.uint8)
+
+
 class WordIds:
-    """Ids of words, each encoded once while it stays cached."""
+    """Ids of words, each encoded once while it stays cached; one per worker and tokenizer."""
+
+    _of: dict[str, "WordIds"] = {}
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)          # ids that end a word
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
+    @classmethod
+    def of(cls, path: str) -> "WordIds":
+        if path not in cls._of:
+            cls._of[path] = cls(path)
+        return cls._of[path]
+
     def clear(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.table = HashTable((2 * CACHED_WORDS).bit_length())
         self.size = np.zeros(1 << 16, np.int32)
         self.at = np.zeros(1 << 16, np.int64)
         self.pool = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def add(self, hashes: list[int], words: list[str]) -> None:
-        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        ids = [e.ids for e in got]
-        size = np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(size.sum()))
-        n = len(self.slots)
-        while len(self.size) < n + len(ids):
+        self.words = self.used = 0
+
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and how many each has."""
+        ids: list[np.ndarray] = []
+        sizes = np.zeros(len(words), np.int64)
+        # words of Latin letters have one end each, so many can be encoded as one text
+        plain = [k for k, w in enumerate(words) if w.isalpha() and max(w) < "\u0130"]
+        groups = [plain[k:k + 256] for k in range(0, len(plain), 256)]
+        order: list[int] = []
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join([words[k] for k in g]) for g in groups], add_special_tokens=False)):
+            flat = np.array(e.ids, np.uint32)
+            last = np.flatnonzero(self.ends[flat])
+            if len(last) == len(group):
+                ids.append(flat)
+                sizes[group] = np.diff(last, prepend=-1)
+                order += group
+        done = set(order)
+        rest = [k for k in range(len(words)) if k not in done]
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)):
+            ids.append(np.array(e.ids, np.uint32))
+            sizes[k] = len(e.ids)
+        order += rest
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        start = np.zeros(len(words), np.int64)
+        start[order] = np.cumsum(sizes[order]) - sizes[order]
+        return flat, np.stack([start, sizes])
+
+    def add(self, hashes: np.ndarray, words: list[str]) -> None:
+        flat, (start, size) = self.encoded(words)
+        n = self.words
+        while len(self.size) < n + len(words):
             self.size, self.at = np.resize(self.size, 2 * len(self.size)), np.resize(self.at, 2 * len(self.at))
         while len(self.pool) < self.used + len(flat):
             self.pool = np.resize(self.pool, 2 * len(self.pool))
         self.pool[self.used:self.used + len(flat)] = flat
-        self.size[n:n + len(ids)] = size
-        self.at[n:n + len(ids)] = self.used + np.cumsum(size) - size
+        self.size[n:n + len(words)] = size
+        self.at[n:n + len(words)] = self.used + start
+        self.table.add(hashes, np.arange(n, n + len(words)))
         self.used += len(flat)
-        self.slots.update(zip(hashes, range(n, n + len(ids))))
+        self.words += len(words)
 
     def ids(self, off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of a run of texts: all ids with each text's end id, ids of each text, places after a sentence end."""
-        w = Words(off, data, RAW_WORDS)
-        uniq, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
-        if len(self.slots) > CACHED_WORDS:
-            self.clear()
-        keys = uniq.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.slots]
-        if new:
-            raw = data.tobytes()
+        raw = data.tobytes()
+        special = b"<|" in raw                            # special tokens are told by case
+        w = Words(off, data, RAW_WORDS if special else SPACE_WORDS, word_breaks(data))
+        hashes = w.hash ^ np.uint64(0xA5A5A5A5A5A5A5A5) if special else w.hash
+        uniq, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        slot = self.table.find(uniq)
+        new = np.flatnonzero(slot < 0)
+        if self.words + len(new) > CACHED_WORDS:
+            if self.words:
+                self.clear()
+            if len(uniq) > CACHED_WORDS:                  # one very long text: a table of its own
+                self.table = HashTable((2 * len(uniq)).bit_length())
+            new = np.arange(len(uniq))
+        if len(new):
             at = first[new]
-            self.add([keys[k] for k in new], [raw[s:e].decode() for s, e in zip(w.start[at].tolist(), w.end[at].tolist())])
-        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))[which]
+            self.add(uniq[new], [raw[s:e].decode() for s, e in zip(w.start[at].tolist(), w.end[at].tolist())])
+            slot = self.table.find(uniq)
+        slot = slot[which]
         rows = len(off) - 1
         # one more "word" at the end of each text: its end id
         sizes = np.insert(self.size[slot].astype(np.int64), w.first[1:], 1)
@@ -100,7 +182,9 @@ class WordIds:
         at = np.arange(till[-1] if len(till) else 0) + np.repeat(starts - (till - sizes), sizes)
         out = self.pool[at]
         out[till[ends] - 1] = END_ID
-        stop = np.insert(np.isin(data[w.end - 1], [33, 46, 63]) if len(w.end) else np.zeros(0, bool), w.first[1:], False)
+        last = np.isin(data[w.end - 1], [33, 46, 63])     # . ! ? before white space or the end
+        last &= (w.end == off[1:][w.row]) | (SPACE_WORDS[data[np.minimum(w.end, len(data) - 1)]] == 0)
+        stop = np.insert(last, w.first[1:], False)
         return out, np.diff(np.concatenate([[0], till[ends]])), till[stop & (sizes > 0)]
 
 
@@ -120,7 +204,7 @@ def candidates(n: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple
 
 
 def cuts(place: list[int], cost: list[float], size: int = SIZE) -> list[int]:
-    """The cheapest cuts of a stream whose last place must be one."""
+    """The cheapest cuts of a stream whose last place must be one; the last window costs no padding."""
     best, came = [0.0] * (len(place) + 1), [0] * (len(place) + 1)
     at = [0, *place]
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])   # best + place, rising; index
@@ -135,6 +219,7 @@ def cuts(place: list[int], cost: list[float], size: int = SIZE) -> list[int]:
             queue.pop()
         queue.append((key, j))
     out, j = [], len(at) - 1
+    came[j] = min((i for i in range(bisect_left(at, at[j] - size), j)), key=best.__getitem__, default=0)
     while j:
         out.append(at[j])
         j = came[j]
@@ -212,7 +297,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, id_col
         for b in batches:
             for lo, hi, off, data in pieces(b.column(1), 1 << 19):
                 if words is None:
-                    words = WordIds(path)
+                    words = WordIds.of(path)
                     stream = Stream(b.column(2)[0].as_py() << 40, size)
                 stream.add(b.column(0).slice(lo, hi - lo).to_pylist(), *words.ids(off, data))
                 if stream.held >= STREAM:
@@ -221,7 +306,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, id_col
             yield from stream.flush(True)
 
     rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
-    ranged = rows.repartitionByRange(partitions(docs.sparkSession), F.asc_nulls_last("doc_id"), F.asc("text")) \
+    ranged = rows.repartitionByRange(partitions(docs.sparkSession), F.asc_nulls_last("doc_id")) \
         .sortWithinPartitions(F.asc_nulls_last("doc_id"), F.asc("text")).withColumn("part", F.spark_partition_id())
     return ranged.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
                                   "offset long, ids array<int>")
