@@ -1,25 +1,64 @@
-"""The corpus pipeline: five stages over ``documents``."""
+"""The corpus pipeline: five stages over ``documents``.
+
+Each stage gets all that the one before it kept, written as Parquet and read
+again.  The first four return the columns of ``documents``; the last returns the
+pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickframe.llm import packing
+from tickframe.llm import decontaminate, jaccard, langid, packing, secrets
+from tickframe.llm.blocks import shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID (6): documents that no learned language's model accepts go."""
+    model = langid.train(docs)
+    return langid.identify(docs, model).filter("not rejected").select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join (3), five words and 0.8: the least id of each group stays."""
+    return jaccard.one_of_each(docs, words=5, percent=80).select(*COLUMNS)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (2): documents that hold a benchmark item go."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans (4): every document stays, with its secrets replaced and its length set anew."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing (9): the documents as pieces of sequences."""
     return packing.pack(docs).drop("ids")
 
 
-STAGES = [("packing", pack_sequences)]
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_benchmark_leaks),
+    ("secret scans", redact_secrets),
+    ("packing", pack_sequences),
+]
+#: No stage but the fixed patterns of the fourth can be written in SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        docs.write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
     return docs

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tickframe.llm.blocks import SPACE_WORDS, Words, batch_of, mix, pieces, runs_of, written
 
@@ -313,7 +313,8 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "d
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the least id of each component; of rows with that id, the one with the least text."""
+    """The document with the least id of each component.  Rows that share an id are told apart by their texts."""
     kept = classes(docs, words, percent, id_col, text_col).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
-    return rows
+    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "inner")
+    copy = F.row_number().over(Window.partitionBy("_kept", F.xxhash64(text_col)).orderBy("_kept"))
+    return rows.withColumn("_copy", copy).filter("_copy = 1").select(*[f"`{c}`" for c in docs.columns])
