@@ -49,9 +49,10 @@ def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = sharding.shard(_documents(spark, sf_dir), shards=40)
-    return out.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-                      F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    out = sharding.shard(_documents(spark, sf_dir).withColumn("text_crc32", crc), shards=40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
