@@ -224,13 +224,13 @@ def block_links(entries: DataFrame, sets: DataFrame, classes: DataFrame, percent
 
     def run(table: pa.Table) -> pa.Table:
         col = {f: table.column(f) for f in ("sig", "n", "matches", "tokens", "shingles", "copies", "block", "lo", "hi")}
-        token = np.uint64(table.column("token")[0].as_py() & (1 << 64) - 1)
+        token = table.column("token")[0].as_py()          # tokens are compared as signed numbers, as Spark does
         block = np.asarray(col["block"])
         same = col["lo"][0].as_py() == col["hi"][0].as_py()
         left = np.flatnonzero(block == col["lo"][0].as_py())
         right = left if same else np.flatnonzero(block != col["lo"][0].as_py())
         n, need, copies = (np.asarray(col[f]).astype(np.int64) for f in ("n", "matches", "copies"))
-        tokens = [np.array(t, np.int64).view(np.uint64) for t in col["tokens"].to_pylist()]
+        tokens = [np.array(t, np.int64) for t in col["tokens"].to_pylist()]
         whole = [np.frombuffer(s, np.uint64) for s in col["shingles"].to_pylist()]
 
         def counted(of: list[np.ndarray]) -> np.ndarray:

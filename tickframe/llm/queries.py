@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickframe.llm import chat, decontaminate, fingerprint, jaccard, langid, licenses, lm, packing, secrets, sharding
+from tickframe.llm import chat, decontaminate, fingerprint, jaccard, langid, licenses, lm, oracles, packing, secrets, sharding
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,4 +77,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can express a query; tests hold the others against brute force."""
+    return {"op3_jaccard": oracles.OP3, "op10_preferences": oracles.OP10}
