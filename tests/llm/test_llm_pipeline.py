@@ -23,7 +23,7 @@ def folder(spark, tmp_path_factory):
     noise = " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(150))
     rows = [(9000, noise), (9001, "12 34 !!"), (9002, None), (9003, text[50]), (9004, text[51] + " tail."),
             (9005, "Before it. " + items.first()["text"] + " After it."), (9006, text[60][:300] + ' token = "zz11yy22xx33ww44" and more')]
-    planted = spark.createDataFrame([(i, t, "en", "planted", len(t or "")) for i, t in rows], docs.schema)
+    planted = spark.createDataFrame([(i, t, None if i < 9003 else "en", "planted", len(t or "")) for i, t in rows], docs.schema)
     docs.union(planted).write.parquet(f"{path}/documents.parquet")
     items.write.parquet(f"{path}/benchmark.parquet")
     return str(path)

@@ -6,7 +6,7 @@ WITH RECURSIVE words AS (
                                     '[^\x20\x09-\x0D]+') AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
 shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 common AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS nx, any_value(b.n) AS ny
@@ -24,16 +24,16 @@ FROM sets JOIN component USING (doc_id) LEFT JOIN degree ON doc_id = x
 
 
 def _side(name: str) -> str:
-    rendered = f"list_transform({name}[prompt_turns + 1:], t -> '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10))"
+    rendered = f"list_transform({name}[prompt_turns + 1:], lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10))"
     return f"""{name}[prompt_turns + 1:] AS {name}_turns, {rendered} AS {name}_parts"""
 
 
 def _mask(name: str) -> str:
-    before = f"coalesce(list_sum(list_transform({name}_parts[:i - 1], p -> length(p))), 0)"
+    before = f"coalesce(list_sum(list_transform({name}_parts[:i - 1], lambda p: length(p))), 0)"
     start = f"CAST({before} + length({name}_turns[i].role) + 5 AS BIGINT)"
     end = f"CAST({before} + length({name}_parts[i]) AS BIGINT)"
-    return f"""array_to_string(list_transform(list_filter(range(1, len({name}_parts) + 1), i -> {name}_turns[i].role = 'assistant'),
-      i -> {start} || ':' || {end}), ',') AS {name}_mask"""
+    return f"""array_to_string(list_transform(list_filter(range(1, len({name}_parts) + 1), lambda i: {name}_turns[i].role = 'assistant'),
+      lambda i: {start} || ':' || {end}), ',') AS {name}_mask"""
 
 
 OP10 = f"""
@@ -41,7 +41,7 @@ WITH whole AS (
   SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
     ORDER BY turn NULLS LAST, coalesce(role, ''), coalesce(text, '')) AS turns FROM conversations GROUP BY 1),
 cut AS (
-  SELECT conv_id, list_max(list_filter(range(1, len(turns) + 1), i -> turns[i].role = 'assistant')) AS n, turns FROM whole),
+  SELECT conv_id, list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')) AS n, turns FROM whole),
 given AS (SELECT conv_id, turns[:n] AS chosen, turns[n] AS last FROM cut WHERE n IS NOT NULL),
 pairs AS (
   SELECT a.conv_id AS pair_id, a.chosen,
@@ -49,11 +49,11 @@ pairs AS (
   FROM given a LEFT JOIN given b ON b.conv_id = a.conv_id + 1),
 differ AS (
   SELECT *, list_min(list_filter(range(1, least(len(chosen), len(rejected)) + 1),
-    i -> chosen[i].role <> rejected[i].role OR chosen[i].text <> rejected[i].text)) AS at FROM pairs),
-split AS (SELECT *, CAST(coalesce(at - 1, least(len(chosen), len(rejected))) AS INTEGER) AS prompt_turns FROM differ),
+    lambda i: chosen[i].role <> rejected[i].role OR chosen[i].text <> rejected[i].text)) AS place FROM pairs),
+split AS (SELECT *, CAST(coalesce(place - 1, least(len(chosen), len(rejected))) AS INTEGER) AS prompt_turns FROM differ),
 parts AS (
   SELECT pair_id, prompt_turns, list_transform(chosen[:prompt_turns],
-      t -> '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS prompt_parts,
+      lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)) AS prompt_parts,
     {_side('chosen')}, {_side('rejected')} FROM split)
 SELECT pair_id, prompt_turns, array_to_string(prompt_parts, '') AS prompt,
   array_to_string(chosen_parts, '') AS chosen, array_to_string(rejected_parts, '') AS rejected,
