@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF01
 from tests.harness import compare, duck
 from tickframe.operators.indicators import INDICATOR_COLUMNS, indicators
-from tickframe.operators.layout import with_row_index
+from tickframe.operators.layout import drop_halo, with_blocks, with_row_index
 from tickframe.operators.levels import snapshot
 from tickframe.operators.recurrence import affine_scan, ema_spec
 from tickframe.functions.numeric import rnd
@@ -103,11 +103,12 @@ def test_matches_sequential_definitions(spark, block):
 
 
 def test_affine_scan_small_blocks(spark):
-    """The two-level scan with tiny blocks equals the recursion."""
+    """The scan with tiny blocks and a halo of many blocks equals the recursion."""
     xs = [float((i * 37) % 11) for i in range(1, 58)]
     df = spark.createDataFrame([("s", i + 1, x) for i, x in enumerate(xs)], "symbol string, rn long, x double")
-    df = df.withColumn("blk", F.expr("(rn - 1) div 4"))   # noqa
-    out = affine_scan(df, [ema_spec("e", "x", 3)], block=4).orderBy("rn").collect()
+    df = with_blocks(df.withColumn("n_bars", F.lit(len(xs)).cast("long")), 64, 4)
+    out = drop_halo(affine_scan(df, [ema_spec("e", "x", 3)], block=4, lookback=64)).orderBy("rn").collect()
+    assert [r.rn for r in out] == list(range(1, len(xs) + 1))
     ref = ema(xs, 3)
     assert all(abs(r.e - v) < 1e-9 for r, v in zip(out, ref))
 
@@ -212,10 +213,23 @@ def test_same_answers_at_one_and_many_partitions(spark):
 
 def test_long_series_is_split_into_bounded_blocks(spark):
     """A hot symbol is spread over (symbol, blk) groups of at most BLOCK + LOOKBACK rows."""
-    from tickframe.operators.layout import BLOCK, LOOKBACK, with_blocks
+    from tickframe.operators.layout import BLOCK, LOOKBACK
     b = make(spark, {"HOT": closes_of(5000, 1), "COLD": closes_of(40, 2)})
     groups = with_blocks(with_row_index(b)).groupBy("symbol", "blk").count().collect()
     hot = sorted((r.blk, r["count"]) for r in groups if r.symbol == "HOT")
     assert [g for g, _ in hot] == [0, 1, 2]
     assert max(c for _, c in hot) <= BLOCK + LOOKBACK
     assert sum(c for _, c in hot) == 5000 + 2 * LOOKBACK      # halo copies only
+
+
+def test_indicators_are_one_lazy_plan(spark):
+    """Building the plan runs no job, and a filter on the symbol reaches the scan."""
+    b = bars(spark, SF01, "supp")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "plan building")
+    ind = indicators(b).filter("symbol = '7'")
+    plan = ind._jdf.queryExecution().toString()
+    assert list(tracker.getJobIdsForGroup("lazy")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "checkpoint" not in plan.lower() and plan.count("Scan ExistingRDD") == 0
+    assert "cast(l_suppkey" in plan.split("== Physical Plan ==")[1] and "= 7" in plan.split("== Physical Plan ==")[1]

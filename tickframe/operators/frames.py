@@ -1,87 +1,28 @@
-"""Finite-frame window operators (W1-W11) on the blocked layout.
+"""Finite-frame window operators (W1-W11, A3) on the blocked layout.
 
 Rule shared by every rolling statistic (pandas ``rolling(p)``): the value is
 null until the frame holds ``p`` non-null rows and null whenever the frame
-holds a null.  In Spark: ``when(count(x) over f == p, agg(x) over f)``.
-
-All frames use one window spec ``(symbol, blk) ORDER BY rn``, so Spark plans
-one sort and two ``Window`` operators (the second level consumes %K, delta
-and true range of the first).
+holds a null.  All frames use one window spec ``(symbol, blk) ORDER BY rn``,
+so Spark plans one sort and a few ``Window`` operators on one shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-from tickframe.operators.layout import block_window, rolling
+from pyspark.sql import DataFrame
 
 MA_PERIODS = (5, 10, 20, 50, 100, 200)
 YEAR_BARS = 252       # 52-week high / low look-back, by row count
-PREFIX_FROM = 1       # averages at least this long use running-sum differences
-
-
-def full_frame(agg, x: str | Column, p: int, key: str = "symbol") -> Column:
-    """``agg(x)`` over the last ``p`` rows, null unless all ``p`` are present."""
-    col = F.col(x) if isinstance(x, str) else x
-    f = rolling(p, key)
-    return F.when(F.count(col).over(f) == p, agg(col).over(f))
-
-
-def sma(x: str | Column, p: int, key: str = "symbol") -> Column:
-    """Simple moving average with the full-frame rule."""
-    return full_frame(F.avg, x, p, key)
-
-
-def prefix_mean(running_sum: str, p: int, key: str = "symbol") -> Column:
-    """Mean of the last ``p`` rows as ``(S(rn) - S(rn - p)) / p`` of a running sum.
-
-    Equals ``sma`` for a column without nulls (bars are validated) at O(1) per
-    row: Spark re-aggregates a sliding frame whenever its lower bound moves.
-    The running sum restarts in every block (at most ``BLOCK + LOOKBACK``
-    rows), so its magnitude and rounding error stay bounded however long the
-    series is.
-    """
-    before = F.coalesce(F.lag(running_sum, p).over(block_window(key)), F.lit(0.0))
-    return F.when(F.col("rn") >= p, (F.col(running_sum) - before) / F.lit(float(p)))
-
-
-def rolling_std(x: str | Column, p: int, key: str = "symbol") -> Column:
-    """Sample standard deviation (ddof 1) with the full-frame rule."""
-    return full_frame(F.stddev_samp, x, p, key)
-
-
-def prev(x: str, key: str = "symbol") -> Column:
-    """Value of the previous bar."""
-    return F.lag(x, 1).over(block_window(key))
-
-
-def true_range(high: str = "high", low: str = "low", prev_close: str = "prev_close") -> Column:
-    """Row max of h-l, |h-pc|, |l-pc|, skipping nulls (bar 1 is h-l)."""
-    h, lo, pc = F.col(high), F.col(low), F.col(prev_close)
-    return F.greatest(h - lo, F.abs(h - pc), F.abs(lo - pc))
-
-
-def clip_low0(x: Column) -> Column:
-    """``clip(lower=0)`` that keeps null as null (bare ``greatest`` would not)."""
-    return F.when(x.isNotNull(), F.greatest(x, F.lit(0.0)))
-
-
-def stochastic_k(close: str = "close", lo: str = "lo14", hi: str = "hi14") -> Column:
-    """100 (c - lo) / (hi - lo); zero range gives null."""
-    return F.lit(100.0) * (F.col(close) - F.col(lo)) / F.nullif(F.col(hi) - F.col(lo), F.lit(0.0))
+#: averages longer than this are differences of running sums (Spark sums a sliding frame anew for each row)
+DIRECT_FRAME = 20
 
 
 def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
     """All finite-frame columns plus the inputs of the recurrences.
 
     Adds ma5..ma200, vol_ma20, bb_mid/upper/lower, prev_close, delta, tr,
-    gain, loss, lo14, hi14, stoch_k, stoch_d and the Wilder seeds
-    ``tr_seed`` (mean of the first 14 true ranges, at rn 14) and
-    ``gain_seed`` / ``loss_seed`` (mean of the first 14 changes, at rn 15),
-    and ``hi52`` / ``lo52`` on the newest bar of each symbol.
+    gain, loss, lo14, hi14, stoch_k, stoch_d, and ``hi52`` / ``lo52`` on the
+    newest bar of each symbol.
     """
-    # SQL text: three selects instead of thousands of driver round trips
     w = f"partition by {key}, blk order by rn"
     run = f"over ({w} rows between unbounded preceding and current row)"
 
@@ -91,24 +32,25 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
     def guarded(fn: str, x: str, p: int) -> str:
         return f"case when count({x}) {frame(p)} = {p} then {fn}({x}) {frame(p)} end"
 
+    def difference(p: int) -> str:
+        # the sums restart in every block, so they stay as small as a block; the counts tell nulls
+        before = [f"coalesce(lag({c}, {p}) over ({w}), {zero})" for c, zero in (("_sum", "0D"), ("_count", "0L"))]
+        return f"case when _count - {before[1]} = {p} then (_sum - {before[0]}) / {float(p)!r}D end"
+
     a = blocked.selectExpr(
         "*",
-        f"sum(close) {run} as _csum",
-        f"sum(volume) {run} as _vsum",
+        f"sum(close) {run} as _sum",
+        f"count(close) {run} as _count",
         f"{guarded('stddev_samp', 'close', 20)} as _std20",
         f"lag(close, 1) over ({w}) as prev_close",
         f"{guarded('min', 'low', 14)} as lo14",
-        f"{guarded('max', 'high', 14)} as hi14")
-
-    def prefix(col: str, p: int) -> str:
-        # mean of the last p rows from a running sum restarted in every block
-        return (f"case when rn >= {p} then ({col} - coalesce(lag({col}, {p}) over ({w}), 0D))"
-                f" / {float(p)!r}D end")
+        f"{guarded('max', 'high', 14)} as hi14",
+        f"{guarded('avg', 'volume', 20)} as vol_ma20",
+        *[f"{guarded('avg', 'close', p)} as ma{p}" for p in MA_PERIODS if p <= DIRECT_FRAME])
     delta = "(close - prev_close)"
     a = a.selectExpr(
-        *[f"`{c}`" for c in a.columns if c not in ("_csum", "_vsum")],
-        *[f"{prefix('_csum', p)} as ma{p}" for p in MA_PERIODS],
-        f"{prefix('_vsum', 20)} as vol_ma20",
+        *[f"`{c}`" for c in a.columns if c not in ("_sum", "_count")],
+        *[f"{difference(p)} as ma{p}" for p in MA_PERIODS if p > DIRECT_FRAME],
         f"{delta} as delta",
         "greatest(high - low, abs(high - prev_close), abs(low - prev_close)) as tr",
         "100D * (close - lo14) / nullif(hi14 - lo14, 0D) as stoch_k",
@@ -121,10 +63,6 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
         "ma20 + 2D * _std20 as bb_upper",
         "ma20 - 2D * _std20 as bb_lower",
         f"{guarded('avg', 'stoch_k', 3)} as stoch_d",
-        # Block 0 starts at rn 1, so its running sums are sums from the first bar
-        f"case when rn = 14 then sum(tr) {run} / 14D end as tr_seed",
-        f"case when rn = 15 then sum(gain) {run} / 14D end as gain_seed",
-        f"case when rn = 15 then sum(loss) {run} / 14D end as loss_seed",
-        # A3: the last block plus its halo holds the newest YEAR_BARS rows
+        # the last block plus its halo holds the newest YEAR_BARS rows
         f"case when rn = n_bars then max(case when rn > n_bars - {YEAR_BARS} then high end) {whole} end as hi52",
         f"case when rn = n_bars then min(case when rn > n_bars - {YEAR_BARS} then low end) {whole} end as lo52")

@@ -1,20 +1,20 @@
 """The 17 per-bar indicator columns (the reference's ``calc_indicators``).
 
-``indicators(bars)`` = layout -> finite frames -> recurrences.  Input bars must
-be clean (``clean.validate_bars``): unique ``(symbol, time)`` and non-null
-open / high / low / close.
+``indicators(bars)`` = layout -> finite frames -> recurrences, as one lazy plan:
+nothing runs or is stored while it is built, and filters on the key reach the
+scan.  Input bars must be clean (``clean.validate_bars``): unique
+``(symbol, time)`` and finite open / high / low / close.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tickframe.operators.frames import finite_frames
 from tickframe.operators.layout import BLOCK, LOOKBACK, drop_halo, with_blocks, with_row_index
 from tickframe.operators.recurrence import wilder_and_macd
-from tickframe.sources.fixtures import BAR_COLUMNS
 
+# Names of the indicator columns.
 INDICATOR_COLUMNS = [
     "ma5", "ma10", "ma20", "ma50", "ma100", "ma200", "vol_ma20", "atr14",
     "bb_mid", "bb_upper", "bb_lower", "rsi14", "macd", "macd_signal", "macd_hist",
@@ -22,50 +22,15 @@ INDICATOR_COLUMNS = [
 ]
 
 
-def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
-    """Compute ``df`` once for several consumers.
+def indicators(bars: DataFrame, key: str = "symbol", block: int = BLOCK, lookback: int = LOOKBACK,
+               bucket: str = "MM") -> DataFrame:
+    """Bars plus ``rn``, ``n_bars``, ``blk``, ``prev_close``, the 17 indicators, ``hi52`` and ``lo52``.
 
-    ``checkpoint`` (default): write it to the cluster's ``spark.checkpoint.dir``
-    and cut the lineage; nothing stays in executor memory and a lost executor
-    costs a re-read, not a recompute.  ``cache``: persist (memory, spilling to
-    disk) and fill it now; lost blocks are recomputed from lineage.
-    ``none``: stay lazy.
+    The rows move twice: once to be numbered by ``(key, bucket)``, once to
+    ``(key, blk)``, where all windows run.  The bar counts per bucket are a
+    second, narrow read of key and time.
     """
-    if mode == "cache":
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        df.count()
-        return df
-    if mode == "checkpoint":
-        from tickframe.session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)   # computed once, then written
-        out = df.checkpoint(eager=True)
-        df.unpersist()
-        return out
-    return df
-
-
-def indicators(bars: DataFrame, key: str = "symbol", block: int = BLOCK,
-               bucket: str = "MM", mode: str = "checkpoint",
-               materialize_input: bool = True) -> DataFrame:
-    """Bars plus ``rn``, ``n_bars``, ``blk``, ``prev_close`` and the 17 indicators.
-
-    The row index reads the bars twice (month counts and row numbers).  Column
-    pruning makes the two reads different plans, so a lazy input (bars still
-    being aggregated from raw ticks) would be computed twice; the input is
-    therefore materialized once first.  Pass ``materialize_input=False`` for a
-    bars table that is already stored.
-    """
-    base = bars.select(*BAR_COLUMNS) if key == "symbol" else bars
-    if materialize_input:
-        base = materialize(base, mode)
-    idx = with_row_index(base, bucket=bucket, key=key)
-    fr = drop_halo(finite_frames(with_blocks(idx, LOOKBACK, block), key))
-    # The two scans read this stage four times (running sums and block totals,
-    # twice).  Materialize it once up front: left lazy, the four independent
-    # shuffle stages start together and each computes the windows itself.
-    fr = materialize(fr, mode)
-    out = wilder_and_macd(fr, key, block)
-    keep = [c for c in base.columns] + ["rn", "n_bars", "blk", "prev_close"] + INDICATOR_COLUMNS \
-        + ["hi52", "lo52"]
-    return out.select(*keep)
+    idx = with_row_index(bars, bucket=bucket, key=key)
+    frames = finite_frames(with_blocks(idx, lookback, block), key)
+    out = drop_halo(wilder_and_macd(frames, key, block, lookback))
+    return out.select(*[f"`{c}`" for c in bars.columns], "rn", "n_bars", "blk", "prev_close", *INDICATOR_COLUMNS, "hi52", "lo52")

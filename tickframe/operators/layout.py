@@ -9,13 +9,13 @@ of all bars, so the layout spreads every series over bounded units:
    offset is added to a ``row_number`` taken inside ``(symbol, month)``.  The
    largest task is one symbol-month, never one symbol.
 2. ``with_blocks`` cuts each series into blocks of ``BLOCK`` rows.  The last
-   ``lookback`` rows of a block are copied into the next block as *halo*
-   rows, so every finite frame (at most ``lookback`` preceding rows) can be
-   evaluated inside ``(symbol, blk)``.  Halo rows are dropped after the
-   windows ran.  The copies cost ``lookback / BLOCK`` (< 10 %) extra rows.
+   ``lookback`` rows before a block are copied into it as *halo* rows, so every
+   finite frame (at most ``lookback`` preceding rows) and every recurrence (see
+   ``recurrence.py``) can be evaluated inside ``(symbol, blk)``.  Halo rows are
+   dropped after the windows ran.  In a long series the copies cost
+   ``lookback / BLOCK`` extra rows; a series of one block has none.
 
-The same ``(symbol, blk)`` hash partitioning then serves the recurrence scan
-(``recurrence.py``), so the indicator stage has a single large shuffle.
+All windows of the indicators run on the one ``(symbol, blk)`` shuffle.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 2048          # rows per block
-LOOKBACK = 251        # 252-bar high / low (A3) minus the current row; covers ma200
+LOOKBACK = 640        # covers the 252-bar high / low; (25/27)^640 < 1e-21 for the recurrences
 
 
 def with_row_index(bars: DataFrame, bucket: str = "MM", key: str = "symbol") -> DataFrame:
@@ -51,37 +51,14 @@ def with_row_index(bars: DataFrame, bucket: str = "MM", key: str = "symbol") ->
 
 def with_blocks(indexed: DataFrame, lookback: int = LOOKBACK, block: int = BLOCK) -> DataFrame:
     """Assign ``blk`` and replicate halo rows; ``_halo`` marks the copies."""
-    if lookback >= block:
-        raise ValueError("lookback must be shorter than a block")
     own = F.expr(f"(rn - 1) div {block}")
-    pos = F.expr(f"(rn - 1) % {block}")
-    next_exists = (own + 1) * block < F.col("n_bars")
-    homes = F.when((pos >= block - lookback) & next_exists, F.array(own, own + 1)) \
-             .otherwise(F.array(own))
+    homes = F.expr(f"sequence((rn - 1) div {block}, least((rn - 1 + {lookback}) div {block}, (n_bars - 1) div {block}))")
     return (indexed.withColumn("_own", own)
             .withColumn("blk", F.explode(homes))
             .withColumn("_halo", F.col("blk") != F.col("_own"))
             .drop("_own"))
 
 
-def block_window(key: str = "symbol") -> Window:
-    return Window.partitionBy(key, "blk").orderBy("rn")
-
-
-def rolling(p: int, key: str = "symbol"):
-    """Frame of the current row and the ``p - 1`` rows before it."""
-    return block_window(key).rowsBetween(-(p - 1), 0)
-
-
 def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("_halo")).drop("_halo")
 
-
-def latest(indexed: DataFrame) -> DataFrame:
-    """Newest bar of every symbol (W12): ``rn = n_bars``, no window needed."""
-    return indexed.filter(F.col("rn") == F.col("n_bars"))
-
-
-def tail(indexed: DataFrame, n: int) -> DataFrame:
-    """Last ``n`` bars of every symbol by row count."""
-    return indexed.filter(F.col("rn") > F.col("n_bars") - F.lit(n))

@@ -1,54 +1,39 @@
-"""Recursive indicators (R1-R7) as a blocked affine scan of built-in functions.
+"""Recursive indicators (R1-R7) inside the blocks of the layout.
 
 EMA and Wilder's RMA are first-order recurrences with a constant factor:
 
-    y_i = q * y_{i-1} + b_i,   y_0 = 0,   i = rn = 1..n
+    y_i = q * y_{i-1} + b_i,   so   y_i = sum over k <= i of b_k q^(i-k)
 
-* EMA(span):  a = 2 / (span + 1), q = 1 - a, b_1 = x_1, b_i = a * x_i.
-* RMA(p):     q = (p - 1) / p, b = mean of the first p valid values at the
-              p-th valid row, b = x / p after it, 0 before it (output null).
+* EMA(span):  a = 2 / (span + 1), q = 1 - a, b_1 = x_1, b_i = a x_i.
+* RMA(p):     q = (p - 1) / p, b_i = x_i / p; up to the seed row the terms are
+              weighted so that the value there is the plain mean of the first p.
 
-So ``y_i = sum_{k <= i} b_k q^(i-k)``, evaluated in two levels:
+A block carries the ``LOOKBACK`` rows before it, and the sum starts at the
+first of them.  What it leaves out is ``q^LOOKBACK`` of the value before, less
+than 1e-20 of it for every factor used here: below the rounding of a double.  So
+no carry has to travel between blocks, and one window per block serves all
+recurrences.  The running sum is scaled by ``q^(width - 1 - j)``, and
+``check_width`` keeps that inside the double range.
 
-1. Inside a block of ``B`` rows (the layout's ``blk``):
-   ``u_j = sum_{k <= j} b_k q^(B-1-k)`` is a running ``sum`` window and the
-   in-block value is ``p_j = u_j / q^(B-1-j)``.  ``B`` is chosen so that
-   ``q^-(B-1)`` stays far inside the double range.
-2. Across blocks: block totals ``T`` come from a partial ``groupBy``; the
-   carry into block ``m`` is ``C_m = sum_{r >= 1} T_{m-r} Q^(r-1)`` with
-   ``Q = q^B``, a Horner fold (``aggregate``) over the ``K`` previous block
-   totals.  ``K`` is the smallest count with ``Q^K`` below the smallest
-   positive double, so the omitted terms are exactly zero in double
-   arithmetic and the result equals the sequential recursion to rounding.
-
-``y_j = p_j + C_m * q^(j+1)``.  Every step is a window, aggregate or join on
-``(symbol, blk)``; no Python runs per row and one long series is processed
-by as many tasks as it has blocks.
+The MACD signal is an EMA of a difference of EMAs.  The response of two chained
+recurrences is a difference of two geometric ones, so the signal is a linear
+combination of both EMAs and one more sum with the signal's own factor.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-from tickframe.operators.layout import BLOCK
-
-_LN_TINY = 745.2  # -ln(smallest positive double)
-
+from pyspark.sql import DataFrame
 
-def carry_depth(q: float, block: int) -> int:
-    """Number of previous block totals that can still change a double."""
-    per_block = block * -math.log(q)
-    return max(1, math.ceil(_LN_TINY / per_block) + 1)
+from tickframe.operators.layout import BLOCK, LOOKBACK
 
 
-def check_block(q: float, block: int) -> None:
+def check_width(q: float, width: int) -> None:
     if not 0.0 < q < 1.0:
         raise ValueError(f"decay factor must be in (0, 1), got {q}")
-    if (block - 1) * -math.log(q) > 650.0:
-        raise ValueError(f"block {block} too long for q={q}: q^-(B-1) would overflow")
+    if (width - 1) * -math.log(q) > 650.0:
+        raise ValueError(f"{width} rows are too many for q={q}: q^-(width-1) would overflow")
 
 
 def dlit(x: float) -> str:
@@ -57,65 +42,55 @@ def dlit(x: float) -> str:
 
 
 def affine_scan(df: DataFrame, specs: list[tuple[str, str, float]], key: str = "symbol",
-                block: int = BLOCK) -> DataFrame:
+                block: int = BLOCK, lookback: int = LOOKBACK) -> DataFrame:
     """Add one column per ``(name, b, q)``: ``y = q * y_prev + b`` along ``rn``.
 
-    ``b`` is a SQL expression.  ``df`` must carry ``rn`` (dense, 1-based per
-    key) and ``blk = (rn-1) div block`` without halo rows.  The expressions
-    are SQL text so the whole scan is a handful of calls from the driver.
+    ``df`` has the rows of ``with_blocks(.., lookback, block)``, halo included;
+    ``b`` is a SQL expression.
     """
+    width = block + lookback
     for _, _, q in specs:
-        check_block(q, block)
-    j = f"(rn - 1 - blk * {block})"
-    weighted = {n: f"(({b}) * pow({dlit(q)}, {block - 1} - {j}))" for n, b, q in specs}
+        check_width(q, width)
+    j = f"(rn - 1 - greatest(blk * {block} - {lookback}, 0))"
     run = f"over (partition by {key}, blk order by rn rows between unbounded preceding and current row)"
-    out = df.selectExpr("*", *[f"sum({weighted[n]}) {run} as _u_{n}" for n, _, _ in specs])
-
-    totals = df.groupBy(key, "blk").agg(F.expr(
-        "named_struct(" + ", ".join(f"'{n}', sum({weighted[n]})" for n, _, _ in specs) + ") as _t"))
-    # one frame for every spec: folding older totals than a spec needs only
-    # adds terms that are exactly zero in double arithmetic
-    k = max(carry_depth(q, block) for _, _, q in specs)
-    hist = f"collect_list(_t) over (partition by {key} order by blk rows between {k} preceding and 1 preceding)"
-    carries = totals.selectExpr(key, "blk", f"{hist} as _hist").selectExpr(
-        key, "blk", *[f"aggregate(_hist, 0D, (acc, t) -> acc * {dlit(q ** block)} + t.{n}) as _c_{n}"
-                      for n, _, q in specs])
-    out = out.join(carries, [key, "blk"], "left")
-    ys = [f"_u_{n} / pow({dlit(q)}, {block - 1} - {j}) + _c_{n} * pow({dlit(q)}, {j} + 1) as {n}"
-          for n, _, q in specs]
-    return out.selectExpr(*[f"`{c}`" for c in df.columns], *ys)
+    return df.selectExpr("*", *[
+        f"sum(({b}) * pow({dlit(q)}, {width - 1} - {j})) {run} / pow({dlit(q)}, {width - 1} - {j}) as {n}"
+        for n, b, q in specs])
 
 
 def ema_spec(name: str, x: str, span: int) -> tuple[str, str, float]:
-    """R2: ``ewm(span, adjust=False).mean()`` — y_1 = x_1, no null prefix."""
+    """R2: ``ewm(span, adjust=False).mean()``: y_1 = x_1, no null prefix."""
     a = 2.0 / (span + 1.0)
     return name, f"case when rn = 1 then {x} else {dlit(a)} * {x} end", 1.0 - a
 
 
-def rma_spec(name: str, x: str, seed: str, p: int, first_rn: int) -> tuple[str, str, float]:
-    """Wilder smoothing; ``seed`` holds the mean of the first p values at ``first_rn``."""
-    b = (f"case when rn = {first_rn} then {seed} when rn > {first_rn} then {x} / {dlit(float(p))} "
-         f"else 0D end")
-    return name, b, (p - 1.0) / p
+def rma_spec(name: str, x: str, p: int, first_rn: int) -> tuple[str, str, float]:
+    """Wilder smoothing; its value at ``first_rn`` is the mean of the p values up to there."""
+    q = (p - 1.0) / p
+    return name, f"{x} / {dlit(float(p))} * case when rn < {first_rn} then pow({dlit(q)}, rn - {first_rn}) else 1D end", q
 
 
-def wilder_and_macd(frames: DataFrame, key: str = "symbol", block: int = BLOCK) -> DataFrame:
-    """R1-R7 on the output of ``finite_frames`` (halo rows already removed).
+def wilder_and_macd(frames: DataFrame, key: str = "symbol", block: int = BLOCK, lookback: int = LOOKBACK) -> DataFrame:
+    """R1-R7 on the output of ``finite_frames`` (halo rows included).
 
     atr14 from rn 14, rsi14 from rn 15 (null when the loss average is 0),
     macd / macd_signal / macd_hist from rn 1.
     """
-    s1 = affine_scan(frames, [
-        ema_spec("_ema12", "close", 12),
-        ema_spec("_ema26", "close", 26),
-        rma_spec("_atr", "tr", "tr_seed", 14, 14),
-        rma_spec("_avg_gain", "gain", "gain_seed", 14, 15),
-        rma_spec("_avg_loss", "loss", "loss_seed", 14, 15),
-    ], key, block)
-    s1 = s1.selectExpr(
+    fast, slow = ema_spec("_ema12", "close", 12), ema_spec("_ema26", "close", 26)
+    a, r = 0.2, 0.8                                       # the signal's EMA of span 9
+    of_fast, of_slow = a / (fast[2] - r), a / (slow[2] - r)
+    mixed = ("_mixed", f"{dlit(of_fast)} * ({fast[1]}) - {dlit(of_slow)} * ({slow[1]})", r)
+    s = affine_scan(frames, [
+        fast, slow, mixed,
+        rma_spec("_atr", "tr", 14, 14),
+        rma_spec("_avg_gain", "gain", 14, 15),
+        rma_spec("_avg_loss", "loss", 14, 15),
+    ], key, block, lookback)
+    signal = f"({dlit(of_fast * fast[2])} * _ema12 - {dlit(of_slow * slow[2])} * _ema26 - {dlit(r)} * _mixed)"
+    return s.selectExpr(
         *[f"`{c}`" for c in frames.columns],
         "_ema12 - _ema26 as macd",
+        f"{signal} as macd_signal",
+        f"_ema12 - _ema26 - {signal} as macd_hist",
         "case when rn >= 14 then _atr end as atr14",
         "case when rn >= 15 then 100D - 100D / (1D + _avg_gain / nullif(_avg_loss, 0D)) end as rsi14")
-    s2 = affine_scan(s1, [ema_spec("macd_signal", "macd", 9)], key, block)
-    return s2.selectExpr("*", "macd - macd_signal as macd_hist")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.operators import clean, rank
-from tickframe.operators.indicators import indicators, materialize
+from tickframe.operators.indicators import indicators
 from tickframe.operators.levels import snapshot
 from tickframe.sources import dims
 from tickframe.sources.candles import INDEX_HISTORY
@@ -55,7 +55,7 @@ def index_series(index_bars: DataFrame, indexes: DataFrame, history: int = INDEX
     wanted = index_bars.join(tick.select("symbol"), "symbol", "left_semi")
     good, rejected = clean.validate_bars(wanted)
     # read by the guards, the error rows and the indicators: computed once
-    recent = materialize(rank.last_n_bars(good, history).drop("rn_desc"), mode)
+    recent = rank.last_n_bars(good, history).drop("rn_desc")
     w = Window.partitionBy("symbol")
     sized = recent.select("*", F.count(F.lit(1)).over(w).alias("_n"),
                           *[F.max(c).over(w).alias(f"_mx_{c}") for c in clean.PRICE_COLUMNS])
@@ -81,7 +81,7 @@ def market_tables(spark: SparkSession, index_bars: DataFrame, stock_bars: DataFr
     sector_rows = sector_rows if sector_rows is not None else dims.sector_rows()
 
     series, errors, _rejected = index_series(index_bars, indexes, mode=mode)
-    ind = indicators(series, mode=mode, materialize_input=False)   # frame stage checkpointed inside
+    ind = indicators(series)
     ind = ind.join(F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")
     snap = snapshot(ind).join(
         F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")

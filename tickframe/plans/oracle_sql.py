@@ -10,7 +10,7 @@ turns DuckDB's ``-0.0`` into ``0.0``.
 from __future__ import annotations
 
 _PRICE = "l_extendedprice / l_quantity"
-_LKEY = "l_orderkey * 100000000 + l_linenumber * 1000000 + l_partkey"
+_LKEY = "l_orderkey::hugeint * 100000000000000000000 + l_linenumber::hugeint * 10000000000000000000 + l_partkey"
 
 
 def r(expr: str, d: int = 4) -> str:

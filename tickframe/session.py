@@ -44,8 +44,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (unit tests on a laptop) a private folder
-    is created and registered.
+    A session on one machine (tests, the bench) that names none gets a folder of
+    its own; on a cluster that is an error, as executors would not share it.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -53,18 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tickframe-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def materialize(df, spark: SparkSession | None = None):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    spark = spark or df.sparkSession
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
-
-
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

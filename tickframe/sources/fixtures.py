@@ -44,9 +44,10 @@ def _li_price() -> Column:
 
 
 def _li_key() -> Column:
-    # unique with the ship date: l_linenumber <= 7, l_partkey < 1e6 at every scale
-    return (F.col("l_orderkey") * F.lit(100000000) + F.col("l_linenumber") * F.lit(1000000)
-            + F.col("l_partkey"))
+    # order, line (one digit) and part (19 digits) side by side: a decimal keeps the aggregate hash-based
+    return F.expr("cast(l_orderkey as decimal(18, 0)) * cast(100000000000000000000 as decimal(21, 0))"
+                  " + cast(l_linenumber as decimal(1, 0)) * cast(10000000000000000000 as decimal(20, 0))"
+                  " + cast(l_partkey as decimal(19, 0))").cast("decimal(38, 0)")
 
 
 def bars_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
