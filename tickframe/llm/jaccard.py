@@ -138,18 +138,42 @@ def documents_as_sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, sig binary, matches int, prefix array<long>")
 
 
+def id_bits(ids: DataFrame, column: str) -> tuple[int, np.ndarray]:
+    """A bit table of hashed ids, built by Spark: its size (a power of two) and its bytes.
+
+    Sixteen bits for each id, 64 MB at most; a fuller table lets more rows through,
+    which a later join drops.
+    """
+    n = ids.count()
+    size = 1 << min(29, max(16, (16 * n - 1).bit_length()))
+    place = F.pmod(F.xxhash64(column), F.lit(size)) + 1
+    got = ids.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    table = np.zeros(size // 8, np.uint8)
+    for r in got:                                         # at most size / 32768 rows of 4 KB
+        part = np.frombuffer(r["bits"], np.uint8)
+        table[4096 * (r["b"] - 1):4096 * r["b"]] = part[:len(table) - 4096 * (r["b"] - 1)]
+    return size, table
+
+
 def whole_sets(texts: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(sig, shingles) of the documents whose id is among ``ids`` (rep); shingles are 8 bytes each."""
+    """(sig, shingles) of the documents whose id is (by its hash) among ``ids`` (rep); shingles are 8 bytes each.
+
+    The texts don't move: each task drops the other documents by the bit table.
+    """
+    size, table = id_bits(ids, "rep")
+    sent = texts.sparkSession.sparkContext.broadcast(table)
     schema = pa.schema([("sig", pa.binary()), ("shingles", pa.binary())])
 
     def run(batches):
+        table = sent.value
         for b in batches:
+            place = np.asarray(b.column(1))
+            b = b.filter(pa.array((table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
             for _, _, off, data in pieces(b.column(0)):
                 sets = list(shingle_sets(off, data, k))
                 yield batch_of(schema, [[signature(s) for s in sets], [s.tobytes() for s in sets]])
 
-    some = texts.join(ids.select("rep").distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    return some.select("text").mapInArrow(run, "sig binary, shingles binary").dropDuplicates(["sig"])
+    return texts.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("place")).mapInArrow(run, "sig binary, shingles binary")
 
 
 # ------------------------------------------------------------------ candidate pairs and links
@@ -158,24 +182,23 @@ def _linked(common: np.ndarray, n1: np.ndarray, n2: np.ndarray, percent: int) ->
 
 
 def direct_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): candidates under shingles with few classes."""
+    """(a, b): candidate classes under shingles with few of them."""
     few = entries.filter(F.col("p") <= DIRECT)
     a, b = few.alias("a"), few.alias("b")
-    return a.join(b, F.expr(f"""a.token = b.token and a.sig < b.sig
+    return a.join(b, F.expr(f"""a.token = b.token and a.cid < b.cid
             and 100L * least(a.n, b.n) >= {percent}L * greatest(a.n, b.n)
             and array_min(array_intersect(a.tokens, b.tokens)) = a.token
             and size(array_intersect(a.tokens, b.tokens)) >= least(a.matches, b.matches)""")) \
-        .select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b"))
-
+        .select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b"))
 
-def verified(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(sig, root, weight): both directions of each linked pair; the weight is the other side's copies."""
-    whole = sets.join(classes.select("sig", "copies"), "sig")
 
+def verified(pairs: DataFrame, sets: DataFrame, names: DataFrame, percent: int) -> DataFrame:
+    """(cid, root, weight): both directions of each linked pair; the weight is the other side's copies."""
     def side(x: str, rest: DataFrame) -> DataFrame:
-        return rest.join(whole.select(F.col("sig").alias(x), F.col("shingles").alias(f"s{x}"), F.col("copies").alias(f"c{x}")), x)
+        sig = names.select(F.col("cid").alias(x), F.col("sig").alias(f"g{x}"), F.col("copies").alias(f"c{x}"))
+        return rest.join(sig, x).join(sets.select(F.col("sig").alias(f"g{x}"), F.col("shingles").alias(f"s{x}")), f"g{x}")
 
-    schema = pa.schema([("sig", pa.binary()), ("root", pa.binary()), ("weight", pa.int64())])
+    schema = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())])
 
     def run(batches):
         for t in batches:
@@ -191,7 +214,9 @@ def verified(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int
             if out:
                 yield batch_of(schema, list(zip(*out)))
 
-    return side("b", side("a", pairs)).select("a", "b", "sa", "sb", "ca", "cb").mapInArrow(run, "sig binary, root binary, weight long")
+    # a class has several rows of sets if its id stands in several rows
+    return side("b", side("a", pairs)).select("a", "b", "sa", "sb", "ca", "cb") \
+        .mapInArrow(run, "cid long, root long, weight long").dropDuplicates(["cid", "root"])
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -213,17 +238,19 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def block_links(entries: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(sig, root, weight) of the links under shingles with many classes, two blocks of classes at a time."""
-    many = entries.filter(F.col("p") > DIRECT).join(sets, "sig").join(classes.select("sig", "copies"), "sig")
+def block_links(entries: DataFrame, sets: DataFrame, names: DataFrame, percent: int) -> DataFrame:
+    """(cid, root, weight) of the links under shingles with many classes, two blocks of classes at a time."""
+    many = entries.filter(F.col("p") > DIRECT).join(names.select("cid", "sig", "copies"), "cid").join(sets, "sig")
     blocks = F.ceil(F.col("p") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("sig"), blocks).cast("int")
+    own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
     dealt = many.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
         .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    schema = pa.schema([("sig", pa.binary()), ("root", pa.binary()), ("weight", pa.int64())])
+    schema = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        col = {f: table.column(f) for f in ("sig", "n", "matches", "tokens", "shingles", "copies", "block", "lo", "hi")}
+        first = np.unique(np.asarray(table.column("cid")), return_index=True)[1]
+        table = table.take(pa.array(first))               # a class has several rows if its id stands in several
+        col = {f: table.column(f) for f in ("cid", "n", "matches", "tokens", "shingles", "copies", "block", "lo", "hi")}
         token = table.column("token")[0].as_py()          # tokens are compared as signed numbers, as Spark does
         block = np.asarray(col["block"])
         same = col["lo"][0].as_py() == col["hi"][0].as_py()
@@ -244,12 +271,12 @@ def block_links(entries: DataFrame, sets: DataFrame, classes: DataFrame, percent
             ok &= ~np.eye(len(left), dtype=bool)          # both directions of each pair stay
         if ok.any():
             ok &= _linked(counted(whole), n1, n2, percent)
-        sigs = col["sig"].to_pylist()
-        weight = np.zeros(len(sigs), np.int64)
+        cids = np.asarray(col["cid"])
+        weight = np.zeros(len(cids), np.int64)
         weight[left] += ok @ copies[right]
         if not same:
             weight[right] += copies[left] @ ok
-        root = np.arange(len(sigs))
+        root = np.arange(len(cids))
         i, j = left[np.nonzero(ok)[0]], right[np.nonzero(ok)[1]]
         while len(i):                                     # the least row of each linked group
             old = root.copy()
@@ -259,10 +286,10 @@ def block_links(entries: DataFrame, sets: DataFrame, classes: DataFrame, percent
             if (old == root).all():
                 break
         some = np.flatnonzero(weight > 0)
-        return pa.Table.from_batches([batch_of(schema, [[sigs[k] for k in some], [sigs[root[k]] for k in some], weight[some]])])
+        return pa.Table.from_batches([batch_of(schema, [cids[some], cids[root[some]], weight[some]])])
 
-    cols = ["token", "lo", "hi", "sig", "n", "matches", "tokens", "shingles", "copies", "block"]
-    return dealt.select(*cols).groupBy("token", "lo", "hi").applyInArrow(run, "sig binary, root binary, weight long")
+    cols = ["token", "lo", "hi", "cid", "n", "matches", "tokens", "shingles", "copies", "block"]
+    return dealt.select(*cols).groupBy("token", "lo", "hi").applyInArrow(run, "cid long, root long, weight long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -286,24 +313,28 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "d
     """Per row: n_shingles, component_id (least id reachable by links) and n_links (other documents it links with)."""
     texts = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
     sets = written(documents_as_sets(texts, words, percent))
+    # classes go by their least id, or by a hash of the set where that is null or names two classes
+    one = F.count(F.lit(1)).over(Window.partitionBy("rep")) == 1
     cls = written(sets.filter("n > 0").groupBy("sig").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("matches").alias("matches"), F.first("prefix").alias("prefix")))
-    rows = cls.select("sig", F.explode("prefix").alias("token"))
+        F.first("matches").alias("matches"), F.first("prefix").alias("prefix"))
+        .withColumn("cid", F.when(F.col("rep").isNotNull() & one, F.col("rep")).otherwise(F.xxhash64("sig"))))
+    names = cls.select("cid", "sig", "rep", "copies")
+    rows = cls.select("cid", F.explode("prefix").alias("token"))
     shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("p")).filter("p > 1")
-    found = written(rows.join(shared, "token").groupBy("sig").agg(F.collect_list(F.struct("token", "p")).alias("found")))
-    entries = found.join(cls.select("sig", "n", "matches"), "sig").select(
-        "sig", "n", "matches", F.col("found.token").alias("tokens"), F.explode("found").alias("f")) \
-        .select("sig", "n", "matches", "tokens", "f.token", "f.p")
+    found = written(rows.join(shared, "token").groupBy("cid").agg(F.collect_list(F.struct("token", "p")).alias("found"))
+                    .join(cls.select("cid", "n", "matches"), "cid"))
+    entries = found.select("cid", "n", "matches", F.col("found.token").alias("tokens"), F.explode("found").alias("f")) \
+        .select("cid", "n", "matches", "tokens", "f.token", "f.p")
     pairs = written(direct_pairs(entries, percent))
-    hot = entries.filter(F.col("p") > DIRECT).select("sig")
-    wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).union(hot).distinct()
-    whole = written(whole_sets(texts, cls.select("sig", "rep").join(wanted, "sig"), words))
-    links = written(verified(pairs, whole, cls, percent).union(block_links(entries, whole, cls, percent)))
-    group = components(links.select(F.col("sig").alias("a"), F.col("root").alias("b")))
-    degree = links.groupBy("sig").agg(F.sum("weight").alias("links"))
-    named = cls.select("sig", "rep", "copies").join(group, F.col("sig") == F.col("node"), "left").join(degree, "sig", "left") \
-        .select("sig", "rep", "copies", F.coalesce("root", "sig").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+    hot = entries.filter(F.col("p") > DIRECT).select("cid")
+    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(hot).distinct()
+    whole = whole_sets(texts, written(names.join(wanted, "cid").select("rep")), words)
+    links = written(verified(pairs, whole, names, percent).union(block_links(entries, whole, names, percent)))
+    group = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
+    degree = links.groupBy("cid").agg(F.sum("weight").alias("links"))
+    named = names.join(group, F.col("cid") == F.col("node"), "left").join(degree, "cid", "left") \
+        .select("sig", "rep", "copies", F.coalesce("root", "cid").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     final = named.join(least, "root").select("sig", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     return sets.select("doc_id", "n", "sig").join(final, "sig", "left").select(
