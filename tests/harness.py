@@ -26,9 +26,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return float(v)
+        return "NaN" if math.isnan(v) else float(v)   # NaN is no null
     if hasattr(v, "item"):
         return _norm(v.item())
     return v

@@ -113,16 +113,17 @@ def test_movers_cap_and_two_bars(spark):
     spec = {s: [100.0, 100.0 + i] for i, s in enumerate(syms)}
     spec["S00"] = [100.0]                           # one bar: skipped (P10)
     m = rank.top_movers(universe(spark, syms), series(spark, spec)).filter("side = 'gainer'")
-    assert [r.symbol for r in m.orderBy("rank").collect()] == ["S29", "S28", "S27"]   # cap 30 (P11)
+    assert [r.symbol for r in m.orderBy("rank").collect()] == ["S39", "S38", "S37"]   # the whole universe
+    m = rank.top_movers(universe(spark, syms), series(spark, spec), cap=30).filter("side = 'gainer'")
+    assert [r.symbol for r in m.orderBy("rank").collect()] == ["S29", "S28", "S27"]   # an explicit cap (P11)
 
 
 def test_sector_performance_and_empty_universe(spark):
     sec = spark.createDataFrame([("Up", 0, "A"), ("Up", 0, "B"), ("Down", 1, "C"), ("None", 2, "Z")],
                                 "sector string, sector_ord int, symbol string")
-    rows = [("Up", 0, "A"), ("Up", 0, "B"), ("Down", 1, "C"), ("None", 2, "Z")]
     idx = spark.createDataFrame([("IX", "T", 1), ("EMPTY", "T", 2)], "index string, ticker string, ord int")
     uni = universe(spark, ["A", "B", "C"])
-    members = rank.sector_members(idx, uni, sec, rows)
+    members = rank.sector_members(idx, uni, sec)
     stock = series(spark, {"A": [100.0, 110.0], "B": [100.0, 100.0], "C": [100.0, 90.0]})
     res = {(r["index"], r.sector): r for r in rank.sector_performance(members, stock).collect()}
     assert res[("IX", "Up")].change_pct == 5.0 and res[("IX", "Up")].lead_rank == 1
@@ -150,7 +151,7 @@ def test_parse_answers(spark):
     assert out[1].analysis.summary == "s" and out[2].analysis.key_levels.strong_support == 1100.0
     for i in (3, 4, 5, 6):
         assert out[i].analysis is None and out[i].error == "JSON parse error"
-    assert out[3].raw.startswith("```") and len(out[6].raw) == 500
+    assert out[3].raw.startswith("```") and out[6].raw == "x" * 900      # whole, not cut
 
 
 def test_labels(spark):
@@ -169,63 +170,76 @@ def market_fixture(spark):
     stock = series(spark, {"A": [100.0, 101.0], "B": [100.0, 99.0], "C": [50.0, 50.0]})
     uni = universe(spark, ["A", "B", "C"], "IX1").unionByName(universe(spark, ["A"], "IX3"))
     sec = spark.createDataFrame([("S1", 0, "A"), ("S2", 1, "B")], "sector string, sector_ord int, symbol string")
-    return market.market_tables(spark, index_bars, stock, idx, uni, sec,
-                                [("S1", 0, "A"), ("S2", 1, "B")])
+    return market.market_tables(index_bars, stock, idx, uni, sec)
 
 
 def test_document_errors_and_roundtrip(spark):
     m = market_fixture(spark)
-    doc = {r["index"]: r for r in m.document.collect()}
+    doc = {r["index"]: r for r in m.document().collect()}
     assert doc["IX1"].error is None and len(doc["IX1"].ohlcv) == 80
     assert doc["IX1"].snapshot.close == 1000.0 + (79 % 9)
     assert doc["IX2"].error.startswith("not enough data") and doc["IX2"].snapshot is None
     assert doc["IX3"].error == "no data for I3"
     assert [g.symbol for g in doc["IX1"].movers.top_gainers] == ["A", "C", "B"]
     d = tempfile.mkdtemp(prefix="tf-doc-")
-    market.write_document(m.document, d + "/doc")
-    back = market.read_document(spark, d + "/doc", m.document.schema)
+    market.write_document(m.document(), d + "/doc")
+    back = market.read_document(spark, d + "/doc", m.document().schema)
     assert back.count() == 3
-    one = json.loads(market.document_json(m.document).first().document)
-    assert set(one) == {"IX1", "IX2", "IX3", "generated_at"}
+    one = json.loads("{" + ",".join(r.entry for r in market.document_json(m.document()).collect()) + "}")
+    assert set(one) == {"IX1", "IX2", "IX3"} and one["IX2"]["error"].startswith("not enough data")
+    errors = report.report_errors(m.indexes, m.errors).orderBy("ord").collect()
+    assert [(r["index"], r.error) for r in errors] == [("IX2", "not enough data: only 20 rows"), ("IX3", "no data for I3")]
+    assert {r["index"] for r in m.reported(m.indexes).collect()} == {"IX1"}
 
 
 def test_report_sections_with_analysis(spark):
     m = market_fixture(spark)
     answers = spark.createDataFrame([("IX1", json.dumps(GOOD, ensure_ascii=False)), ("IX2", "{}")],
                                     "index string, raw string")
-    da = report.attach_analysis(m.document, answers)
+    da = report.analyses(m.indexes, m.errors, answers)
     summ = report.report_summary(da).collect()
     assert len(summ) == 1 and summ[0].description == "" and summ[0].sentiment == "↑ Tích cực"
     tf = report.report_timeframes(da).orderBy("pos", "signal_pos").collect()
     assert [(r.frame, r.signal) for r in tf] == [("short", "a"), ("short", "b"), ("long", None)]
-    assert tf[0].css == "badge-bull" and tf[0].badge == "Tăng · Mạnh" and tf[2].badge == "x"
+    assert tf[0].tone == "bull" and tf[0].badge == "Tăng · Mạnh" and tf[2].badge == "x"
     sc = report.report_scenarios(da).orderBy("pos").collect()
-    assert [(r.css, r.probability) for r in sc] == [("sc-bull", 40.0), ("sc-bear", 0.0), ("sc-neutral", 25.0)]
-    lv = {r.level: r for r in report.report_levels(da).filter("index = 'IX1'").collect()}
+    assert [(r.tone, r.probability) for r in sc] == [("bull", 40.0), ("bear", 0.0), ("neutral", 25.0)]
+    lv = {r.level: r for r in report.report_levels(m.snapshot, da).filter("index = 'IX1'").collect()}
     assert lv["immediate_resistance"].text == "1,250.50" and lv["strong_resistance"].text == "—"
     assert [r.comment for r in report.report_levels_comment(da).collect()] == ["near pivot"]
-    ana = {r["index"]: r.analysis for r in da.collect()}
+    ana = {r["index"]: r for r in da.collect()}
     assert ana["IX2"].error.startswith("not enough data")      # P15: failed upstream, not analysed
-    mv = report.report_movers(m.document).filter("index = 'IX1'").collect()
+    mv = report.report_movers(m.movers, m.sectors, m.reported(m.indexes)).filter("index = 'IX1'").collect()
     assert ("lagging", 0, "no data") not in [(r.list, r.rank, r.name) for r in mv]
-    assert len(report.report_indicators(m.document).collect()) == 17
-    assert report.view_range(m.document, 30).count() == 30
-    assert report.build_prompt(m.document).count() == 1
+    assert len(report.report_indicators(m.snapshot).collect()) == 17
+    assert report.view_range(m.ohlcv, 30).count() == 30
+    assert report.build_prompt(m.snapshot, m.movers, m.sectors).count() == 1
 
 
 def test_end_to_end_job(spark):
     from tickframe.plans import job
+    from tickframe.sources import fixtures
     from tickframe.sources.fixtures import bars
     from tests.conftest import SF001
     out = tempfile.mkdtemp(prefix="tf-job-")
-    answers = spark.createDataFrame([("IX_ALL", json.dumps(GOOD, ensure_ascii=False)),
-                                     ("IX_TOP", "not json")], "index string, raw string")
-    paths = job.run(spark, bars(spark, SF001, "flag"), bars(spark, SF001, "brand"), out, answers)
-    assert spark.read.parquet(paths["prompts"]).count() == 3
-    assert spark.read.parquet(paths["report/indicators"]).count() == 51
-    assert spark.read.parquet(paths["report/summary"]).count() == 1
-    errs = {r["index"]: r.error for r in spark.read.parquet(paths["analysis"]).collect()}
-    assert errs == {"IX_ALL": None, "IX_TOP": "JSON parse error", "IX_WIDE": None}
+    answers = spark.createDataFrame([("FIRST", json.dumps(GOOD, ensure_ascii=False)),
+                                     ("SECOND", "not json")], "index string, raw string")
+    # tables of its own: suppliers as stocks, return flags as index series
+    indexes = dims.values(spark, [("FIRST", "A", 1), ("SECOND", "N", 2), ("ABSENT", "Z", 3)], "index, ticker, ord")
+    uni = dims.values(spark, [("FIRST", str(k), k) for k in range(1, 9)] + [("SECOND", "3", 1), ("SECOND", "4", 2)], "index, symbol, ord")
+    sec = dims.values(spark, [(f"Sector {k % 3}", k % 3, str(k)) for k in range(1, 9)], "sector, sector_ord, symbol")
+    stock = fixtures.dirty(bars(spark, SF001, "supp"))
+    paths = job.run(spark, bars(spark, SF001, "flag"), stock, indexes, uni, sec, out, answers,
+                    settings=market.MarketSettings(export_bars=100, mover_cap=5))
+    read = lambda name: spark.read.parquet(paths[name])
+    assert read("prompts").count() == 2 and read("report/indicators").count() == 34
+    assert read("report/summary").count() == 1 and read("report/series").filter("points = 100").count() == 2
+    assert [(r["index"], r.error) for r in read("errors").collect()] == [("ABSENT", "no data for Z")] == [
+        (r["index"], r.error) for r in read("report/errors").collect()]
+    assert {r.kind for r in read("rejected").collect()} == {"stock"}
+    assert {r.symbol for r in read("market/movers").filter("index = 'FIRST'").collect()} <= {"1", "2", "3", "4", "5"}
+    errs = {r["index"]: r.error for r in read("analysis").collect()}
+    assert errs == {"FIRST": None, "SECOND": "JSON parse error", "ABSENT": "no data for Z"}
 
 
 def test_missing_document_and_generated_text(spark):
@@ -239,5 +253,42 @@ def test_missing_document_and_generated_text(spark):
 def test_fmt_chg(spark):
     from tickframe.functions.text import fmt_chg
     df = spark.createDataFrame([(1.234,), (-0.5,), (0.0,), (None,)], "v double")
-    got = [(r.c.css, r.c.text) for r in df.select(fmt_chg("v").alias("c")).collect()]
+    got = [(r.c.tone, r.c.text) for r in df.select(fmt_chg("v").alias("c")).collect()]
     assert got == [("pos", "+1.23%"), ("neg", "-0.50%"), ("flat", "0.00%"), (None, "—")]
+
+
+def test_non_finite_prices_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    b = spark.createDataFrame([("S", D0 + dt.timedelta(days=i), 1.0, 2.0, 1.0, c, v) for i, (c, v) in enumerate(
+        [(1.5, 1.0), (nan, 1.0), (inf, 1.0), (None, 1.0), (1.5, nan)])], BARS)
+    good, bad = clean.validate_bars(b)
+    assert sorted(r.volume for r in good.collect()) == [0.0, 1.0]
+    assert [r.error for r in bad.collect()] == ["missing price"] * 3
+    scaled = {str(r.time): r.close for r in clean.scale_if_small(b).collect()}
+    assert scaled["2020-01-01"] == 1500.0                      # a NaN doesn't switch the rescale off
+    assert clean.scale_if_small(b, threshold=None) is b
+
+
+def test_a_faulty_newest_bar_ranks_nobody(spark):
+    b = series(spark, {"A": [100.0, 101.0], "B": [100.0, 99.0], "C": [100.0, 103.0]}).unionAll(
+        spark.createDataFrame([("C", D0 + dt.timedelta(days=2), None, None, None, None, 1.0)], BARS))
+    m = rank.top_movers(universe(spark, ["A", "B", "C"]), b).filter("side = 'loser'").orderBy("rank").collect()
+    assert [r.symbol for r in m] == ["B", "A"]                 # unchecked: the null percent is left out
+    m = rank.top_movers(universe(spark, ["A", "B", "C"]), clean.validate_bars(b)[0]).filter("side = 'loser'").orderBy("rank").collect()
+    assert [r.symbol for r in m] == ["B", "A", "C"]
+
+
+def test_answers_keep_their_good_parts(spark):
+    raw = [(1, '{"scenarios":[{"name":"a","probability":"40%"},{"probability":12.5}],"key_levels":{"immediate_support":"1,250"},'
+               '"support_resistance":"plain","summary":"s"}'), (2, '{"summary":"s"} {"x":1}'), (3, '{"a":1}],[{}'), (4, '{"a":1}},{"x":{}'), (5, "[{}]")]
+    out = {r.id: r.p for r in spark.createDataFrame(raw, "id int, raw string").select("id", parse_analysis("raw").alias("p")).collect()}
+    a = out[1].analysis
+    assert [s.probability for s in a.scenarios] == [40.0, 12.5] and a.key_levels.immediate_support == 1250.0
+    assert a.support_resistance is None and a.summary == "s" and out[1].error is None
+    assert all(out[k].analysis is None and out[k].raw == raw[k - 1][1] for k in (2, 3, 4, 5))
+
+
+def test_epochs_out_of_range(spark):
+    df = spark.createDataFrame([("1704153600",), ("1704153600000",), ("1e20",), ("NaN",), ("2024-01-02",)], "t string")
+    got = [str(r.d) for r in df.select(clean.epoch_or_date(F.col("t")).alias("d")).collect()]
+    assert got == ["2024-01-02", "None", "None", "None", "2024-01-02"]

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tickframe.sources.dims import SENTIMENT_ICON, TREND_CLASS
-
+# Report labels (Vietnamese strings kept as data, as in the reference).
+TREND_TONE = [("Tăng", "bull"), ("Giảm", "bear"), ("Đi ngang", "neutral")]
+SENTIMENT_ICON = [("Tích cực", "↑", "pos"), ("Tiêu cực", "↓", "neg"), ("Trung lập", "→", "flat")]
 # Thresholds of the RSI status.
 RSI_OVERBOUGHT = 70.0
 RSI_OVERSOLD = 30.0
@@ -50,20 +51,20 @@ def _lookup(pairs, key: Column) -> Column:
 
 
 def trend_badge(trend: str | Column, strength: str | Column) -> Column:
-    """``struct<css, text>``: class by trend (default neutral), ``trend · strength``."""
+    """``struct<tone, text>``: tone by trend (default neutral), ``trend · strength``."""
     t, s = _c(trend), _c(strength)
-    css = F.coalesce(_lookup(TREND_CLASS, t), F.lit("badge-neutral"))
+    tone = F.coalesce(_lookup(TREND_TONE, t), F.lit("neutral"))
     text = F.when(F.coalesce(s, F.lit("")) != "", F.concat(F.coalesce(t, F.lit("")), F.lit(" · "), s)) \
         .otherwise(F.coalesce(t, F.lit("")))
-    return F.struct(css.alias("css"), text.alias("text"))
+    return F.struct(tone.alias("tone"), text.alias("text"))
 
 
 def sentiment_icon(sentiment: str | Column) -> Column:
-    """``struct<css, text>``: arrow and class of a sentiment, defaults ``—`` / flat."""
+    """``struct<tone, text>``: arrow and tone of a sentiment, defaults ``—`` / flat."""
     s = _c(sentiment)
     icon = F.coalesce(_lookup([(k, i) for k, i, _ in SENTIMENT_ICON], s), F.lit("—"))
-    css = F.coalesce(_lookup([(k, c) for k, _, c in SENTIMENT_ICON], s), F.lit("flat"))
-    return F.struct(css.alias("css"), F.concat_ws(" ", icon, F.coalesce(s, F.lit(""))).alias("text"))
+    tone = F.coalesce(_lookup([(k, c) for k, _, c in SENTIMENT_ICON], s), F.lit("flat"))
+    return F.struct(tone.alias("tone"), F.concat_ws(" ", icon, F.coalesce(s, F.lit(""))).alias("text"))
 
 
 def scenario_class(name: str | Column) -> Column:
@@ -72,12 +73,12 @@ def scenario_class(name: str | Column) -> Column:
     low = F.lower(n)
     bull = n.contains(BULL_WORDS[0]) | low.contains(BULL_WORDS[1])
     bear = n.contains(BEAR_WORDS[0]) | low.contains(BEAR_WORDS[1])
-    return F.when(bull, F.lit("sc-bull")).when(bear, F.lit("sc-bear")).otherwise(F.lit("sc-neutral"))
+    return F.when(bull, F.lit("bull")).when(bear, F.lit("bear")).otherwise(F.lit("neutral"))
 
 
 def hero_direction(change_pct: str | Column) -> Column:
-    """F16: ``struct<up, css, sign>``: up when ``(pct or 0) >= 0``; zero gets ``+``."""
+    """F16: ``struct<up, tone, sign>``: up when ``(pct or 0) >= 0``; zero gets ``+``."""
     up = F.coalesce(_c(change_pct), F.lit(0.0)) >= 0
     return F.struct(up.alias("up"),
-                    F.when(up, F.lit("hero-up")).otherwise(F.lit("hero-down")).alias("css"),
+                    F.when(up, F.lit("up")).otherwise(F.lit("down")).alias("tone"),
                     F.when(up, F.lit("+")).otherwise(F.lit("")).alias("sign"))

@@ -6,15 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NOISE_PLACES = 10
+
+
 def rnd(x: str | Column, d: int = 2) -> Column:
     """Round half-up to ``d`` places, stable across engines.
 
-    Rounding first to 6 places absorbs floating noise, so values that are an
-    exact decimal midpoint (a 200-bar mean of 2-decimal prices often is) round
-    the same way however the sum was accumulated.
+    Ten places come first: that absorbs the noise of a sum (values that are an
+    exact decimal midpoint, as a 200-bar mean of 2-decimal prices often is, round
+    the same way however the sum was accumulated) and moves no value that differs
+    from a midpoint by more than 5e-11.
     """
     c = F.col(x) if isinstance(x, str) else x
-    return F.round(F.round(c, 6), d)
+    return F.round(F.round(c, NOISE_PLACES), d)
 
 
 def safe_float(x: str | Column, d: int = 2) -> Column:
@@ -22,7 +26,3 @@ def safe_float(x: str | Column, d: int = 2) -> Column:
     c = F.col(x) if isinstance(x, str) else x
     return rnd(c.try_cast("double"), d)
 
-
-def safe_div(num: Column, den: Column) -> Column:
-    """``num / den`` with a zero denominator giving null (ANSI-safe)."""
-    return num / F.nullif(den, F.lit(0.0))

@@ -19,7 +19,6 @@ from tickframe.functions.numeric import rnd
 
 PLACEHOLDER = "—"      # shown for a missing number (F4)
 NOT_AVAILABLE = "N/A"  # shown for a missing number in the prompt (F6)
-RAW_KEEP = 500         # characters of an unparsable answer kept for the error record (F10)
 
 
 def _c(x: str | Column) -> Column:
@@ -53,7 +52,7 @@ def fmt_chg(x: str | Column) -> Column:
     v = _c(x)
     sign = F.when(v > 0, F.lit("+")).otherwise(F.lit(""))
     text = F.when(v.isNull(), F.lit(PLACEHOLDER)).otherwise(F.concat(sign, fixed(v, 2), F.lit("%")))
-    return F.struct(chg_class(v).alias("css"), text.alias("text"))
+    return F.struct(chg_class(v).alias("tone"), text.alias("text"))
 
 
 def fmt_or_na(x: str | Column, d: int = 2, sign: bool = False) -> Column:
@@ -116,23 +115,46 @@ ANALYSIS = T.StructType([
 PARSE_ERROR = "JSON parse error"
 
 
+
+def _number(text: Column) -> Column:
+    """A number written as such, with thousands separators, or with a percent sign; else null."""
+    return F.regexp_replace(text, r"[,%\s]", "").try_cast("double")
+
+
 def parse_analysis(raw: str | Column) -> Column:
     """answer text -> ``struct<analysis, error, raw>``.
 
-    The fence is stripped first (F9).  A text is valid only when it is one
-    JSON object: it must start with ``{`` and end with ``}`` (Spark's parser
-    would silently accept a tail after a complete object) and ``from_json``
-    in FAILFAST-free mode must not report a corrupt record.  Malformed answers
-    keep the first 500 characters of the stripped text.
+    The fence is stripped first (F9).  Validity is one strict check of the whole
+    text, which must be one JSON object.  The parser ignores what follows a
+    value, so the text is parsed inside brackets and inside braces: no tail can
+    close both.  The record's parts are then read one by one:
+    a part of another type is null (numbers may be written as text), and the
+    rest of the answer stays.  A malformed answer keeps its whole stripped text.
     """
     s = strip_fence(raw)
-    schema = T.StructType(ANALYSIS.fields + [T.StructField("_corrupt", T.StringType())])
-    parsed = F.from_json(s, schema,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    shaped = s.startswith("{") & s.endswith("}")
-    ok = shaped & parsed.isNotNull() & parsed["_corrupt"].isNull()
-    analysis = F.when(ok, parsed.dropFields("_corrupt"))
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), s, F.lit("]"))), "$", "array<variant>")
+    value = F.get(listed, F.lit(0))
+    ok = F.coalesce((F.size(listed) == 1) & F.schema_of_variant(value).startswith("OBJECT")
+                    & F.try_parse_json(F.concat(F.lit('{"":'), s, F.lit("}"))).isNotNull(), F.lit(False))
+
+    def part(t: T.DataType, path: str) -> Column:
+        if isinstance(t, T.StructType):
+            return F.when(F.try_variant_get(value, path, "map<string,variant>").isNotNull(),
+                          F.struct(*[part(f.dataType, f"{path}.{f.name}").alias(f.name) for f in t.fields]))
+        if isinstance(t, T.ArrayType):
+            whole = F.try_variant_get(value, path, "array<variant>")
+            inside = t.elementType
+            if isinstance(inside, T.StructType):
+                return F.transform(whole, lambda v: F.struct(*[
+                    leaf(f.dataType, F.try_variant_get(v, f"$.{f.name}", "string")).alias(f.name) for f in inside.fields]))
+            return F.transform(whole, lambda v: F.try_variant_get(v, "$", "string"))
+        return leaf(t, F.try_variant_get(value, path, "string"))
+
+    def leaf(t: T.DataType, text: Column) -> Column:
+        return _number(text) if isinstance(t, T.DoubleType) else text
+
+    analysis = F.when(ok, F.struct(*[part(f.dataType, f"$.{f.name}").alias(f.name) for f in ANALYSIS.fields]))
     shown = F.when(s == "", strip_ws(_c(raw))).otherwise(s)
     return F.struct(analysis.alias("analysis"),
                     F.when(~ok, F.lit(PARSE_ERROR)).alias("error"),
-                    F.when(~ok, F.substring(shown, 1, RAW_KEEP)).alias("raw"))
+                    F.when(~ok, shown).alias("raw"))

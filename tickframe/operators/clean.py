@@ -28,9 +28,15 @@ FIELD_SYNONYMS = {"open": ["open", "o"], "high": ["high", "h"], "low": ["low", "
 DATE_LAYOUTS = ["yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss",
                 "yyyy/MM/dd", "MM/dd/yyyy", "dd-MM-yyyy", "yyyyMMdd"]
 EPOCH_THRESHOLD = 1e9     # a time value above this is unix seconds (P3)
+EPOCH_LATEST = 4102444800.0   # 2100-01-01: later numbers are no unix seconds (milliseconds, noise)
 SMALL_PRICE = 100.0       # a price column whose maximum is below this is rescaled (P7)
 SMALL_FACTOR = 1000.0
 
+# Columns of the chart export.
+EXPORT_COLUMNS = ["time", "open", "high", "low", "close", "volume", "ma5", "ma10", "ma20", "ma50",
+                  "ma100", "ma200", "bb_upper", "bb_mid", "bb_lower", "rsi14", "macd", "macd_signal",
+                  "macd_hist", "stoch_k", "stoch_d"]
+
 
 def _first_present(df: DataFrame, names: list[str]) -> Column | None:
     present = {c.lower(): c for c in df.columns}
@@ -78,15 +84,22 @@ def epoch_or_date(x: Column) -> Column:
     """Numbers above 1e9 are unix seconds (UTC), anything else is date text.
 
     The reference looks at the first value of a series only; files have no
-    arrival order, so the rule is applied per value.
+    arrival order, so the rule is applied per value.  Numbers that are no
+    plausible seconds give null, which ``validate_bars`` reports.
     """
-    num = x.cast("string").try_cast("double")
-    return F.when(num > F.lit(EPOCH_THRESHOLD), epoch_day(num)).otherwise(normalize_date(x))
+    num = coerce_numeric(x)
+    seconds = F.when(num <= F.lit(EPOCH_LATEST), num)
+    return F.when(num > F.lit(EPOCH_THRESHOLD), epoch_day(seconds)).otherwise(normalize_date(x))
+
+
+def finite(x: Column) -> Column:
+    """A number as it is; NaN and infinities are null."""
+    return F.when(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), x)
 
 
 def coerce_numeric(x: Column) -> Column:
-    """``pd.to_numeric(errors='coerce')`` -> ``try_cast`` (text like 'n/a' is null)."""
-    return F.trim(x.cast("string")).try_cast("double")
+    """``pd.to_numeric(errors='coerce')`` -> ``try_cast``; text like 'n/a', 'NaN' or 'Infinity' is null."""
+    return finite(F.trim(x.cast("string")).try_cast("double"))
 
 
 def fill_volume(x: Column) -> Column:
@@ -111,15 +124,17 @@ def coerce_bars(df: DataFrame, time_rule=None, scale: float | None = None) -> Da
                     fill_volume(F.col("volume")).alias("volume"))
 
 
-def scale_if_small(bars: DataFrame, threshold: float = SMALL_PRICE, factor: float = SMALL_FACTOR,
+def scale_if_small(bars: DataFrame, threshold: float | None = SMALL_PRICE, factor: float = SMALL_FACTOR,
                    key: str = "symbol") -> DataFrame:
-    """Per series and per column, prices whose maximum is below 100 are x1000.
+    """Per series and per column, prices whose maximum is below 100 are x1000 (``None``: never).
 
     The maxima come from a partial ``groupBy`` (one row per symbol) joined
     back, so a hot symbol is reduced on the mappers; AQE picks a broadcast
     when the per-symbol table is small at run time.
     """
-    mx = bars.groupBy(key).agg(*[F.max(c).alias(f"_mx_{c}") for c in PRICE_COLUMNS])
+    if threshold is None:
+        return bars
+    mx = bars.groupBy(key).agg(*[F.max(finite(F.col(c))).alias(f"_mx_{c}") for c in PRICE_COLUMNS])
     j = bars.join(mx, key)
     cols = [F.when(F.col(f"_mx_{c}") < threshold, F.col(c) * F.lit(factor))
             .otherwise(F.col(c)).alias(c) if c in PRICE_COLUMNS else F.col(c)
@@ -136,15 +151,18 @@ def errors_of(df: DataFrame, message: Column, time: Column | None = None) -> Dat
 def validate_bars(bars: DataFrame, key: str = "symbol") -> tuple[DataFrame, DataFrame]:
     """Split ``(good bars, error rows)``.
 
-    Rejected rows: a null time or price (a bar needs all four prices), and
-    every copy of a duplicated ``(symbol, time)``.  The duplicate count is a
+    Rejected rows: a null time, a price that is null, NaN or infinite (a bar
+    needs all four prices), and every copy of a duplicated ``(symbol, time)``.
+    A volume that is no finite number becomes 0 (P5).  The duplicate count is a
     window over ``(symbol, time)``, a key that is unique in clean data.
     """
     w = Window.partitionBy(key, "time")
+    if "volume" in bars.columns:
+        bars = bars.withColumn("volume", F.coalesce(finite(F.col("volume").cast("double")), F.lit(0.0)))
     counted = bars.withColumn("_dup", F.count(F.lit(1)).over(w))
     missing = F.col("time").isNull()
     for c in PRICE_COLUMNS:
-        missing = missing | F.col(c).isNull()
+        missing = missing | finite(F.col(c)).isNull()
     reason = (F.when(F.col("time").isNull(), F.lit("missing time"))
                .when(missing, F.lit("missing price"))
                .when(F.col("_dup") > 1, F.lit("duplicate time")))
@@ -181,12 +199,9 @@ def export_columns(ind: DataFrame, n: int = 365) -> DataFrame:
     Only columns that exist are kept; time is cut to 10 characters; missing
     values are SQL NULL (never NaN).
     """
-    wanted = ["time", "open", "high", "low", "close", "volume", "ma5", "ma10", "ma20", "ma50",
-              "ma100", "ma200", "bb_upper", "bb_mid", "bb_lower", "rsi14", "macd", "macd_signal",
-              "macd_hist", "stoch_k", "stoch_d"]
     tail = ind.filter(F.col("rn") > F.col("n_bars") - F.lit(n))
-    cols = [F.col("symbol"), F.col("rn")]
-    for c in wanted:
+    cols = [F.col(c) for c in ("index", "symbol", "rn", "pos") if c in ind.columns]
+    for c in EXPORT_COLUMNS:
         if c == "time":
             cols.append(F.substring(F.col("time").cast("string"), 1, 10).alias("time"))
         elif c in ind.columns:

@@ -17,6 +17,7 @@ from tickframe.operators.indicators import INDICATOR_COLUMNS
 FIBO_RATIOS = {"fibo_236": 0.236, "fibo_382": 0.382, "fibo_500": 0.5, "fibo_618": 0.618,
                "fibo_786": 0.786}
 
+# Fields of the latest-bar record (L4).
 SNAPSHOT_COLUMNS = (
     ["date", "close", "open", "high", "low", "volume", "change", "change_pct"]
     + ["ma5", "ma10", "ma20", "ma50", "ma100", "ma200", "bb_upper", "bb_mid", "bb_lower",
@@ -60,7 +61,7 @@ def change(close: Column, prev_close: Column) -> tuple[Column, Column]:
     return chg, pct
 
 
-def snapshot(ind: DataFrame, key: str = "symbol", digits: int = 2) -> DataFrame:
+def snapshot(ind: DataFrame, keys: tuple[str, ...] = ("symbol",), digits: int = 2) -> DataFrame:
     """L4: the 39-field latest-bar record per symbol, rounded like ``safe_float``.
 
     A one-bar series uses its only bar as the previous one (change 0).
@@ -78,7 +79,7 @@ def snapshot(ind: DataFrame, key: str = "symbol", digits: int = 2) -> DataFrame:
     vals.update({name: F.col(name) for name in INDICATOR_COLUMNS})
     vals.update(pivot_levels(h, lo, c))
     vals.update(fibonacci_levels(F.col("hi52"), F.col("lo52")))
-    cols = [F.col(key)]
+    cols = [F.col(k) for k in keys]
     for name in SNAPSHOT_COLUMNS:
         v = vals[name]
         if name not in ("date", "volume"):

@@ -7,8 +7,7 @@ and sectors of all indexes.
 ``last_two`` keeps two rows per symbol with ``row_number() <= 2``; Spark plans
 that filter as a ``WindowGroupLimit`` on both sides of the shuffle, so a
 symbol with a third of all bars ships at most two rows per map task.
-Dimensions (universe after the cap, sector map) have a proven size bound and
-are broadcast.
+Dimension tables are joined without hints: Spark broadcasts them if their size allows.
 """
 
 from __future__ import annotations
@@ -17,9 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.numeric import rnd
-from tickframe.sources.dims import MOVER_CAP, TOP_K
 
 STOCK_SCALE = 1000.0     # stock candles are quoted in thousands (S2)
+TOP_K = 3                # movers and sectors listed on each side
 
 
 def scale_fixed(bars: DataFrame, factor: float = STOCK_SCALE) -> DataFrame:
@@ -57,13 +56,13 @@ def require_two_bars(last2: DataFrame) -> DataFrame:
     return last2.filter(F.col("n_last") >= 2)
 
 
-def cap_universe(universe: DataFrame, cap: int = MOVER_CAP) -> DataFrame:
-    """Only the first ``cap`` entries of every universe are ranked."""
-    return universe.filter(F.col("ord") <= cap)
+def cap_universe(universe: DataFrame, cap: int | None = None) -> DataFrame:
+    """Only the first ``cap`` entries of every universe are ranked (``None``: all of them)."""
+    return universe if cap is None else universe.filter(F.col("ord") <= cap)
 
 
 def top_movers(universe: DataFrame, stock_bars: DataFrame, k: int = TOP_K,
-               cap: int = MOVER_CAP, last2: DataFrame | None = None) -> DataFrame:
+               cap: int | None = None, last2: DataFrame | None = None) -> DataFrame:
     """T6 flat: ``index, side, rank, symbol, close, change_pct``.
 
     Gainers: rounded percent descending, ties in list order.  Losers: the last
@@ -71,15 +70,13 @@ def top_movers(universe: DataFrame, stock_bars: DataFrame, k: int = TOP_K,
     order.  With fewer than ``2k`` symbols the two lists overlap (N9).
     ``last2`` may be a precomputed ``last_two`` table shared with sectors.
     """
-    capped = F.broadcast(cap_universe(universe, cap))      # <= cap rows per index
+    capped = cap_universe(universe, cap)
     if last2 is None:
-        wanted = stock_bars.join(F.broadcast(capped.select("symbol").distinct()), "symbol",
-                                 "left_semi")
-        last2 = last_two(wanted)
+        last2 = last_two(stock_bars.join(capped.select("symbol").distinct(), "symbol", "left_semi"))
     l2 = require_two_bars(last2)
     res = capped.join(l2, "symbol").select(
         "index", "ord", "symbol", "close",
-        rnd(pct_change(F.col("close"), F.col("prev_close")), 2).alias("change_pct"))
+        rnd(pct_change(F.col("close"), F.col("prev_close")), 2).alias("change_pct")).filter("change_pct is not null")
     w_up = Window.partitionBy("index").orderBy(F.col("change_pct").desc(), F.col("ord").asc())
     w_dn = Window.partitionBy("index").orderBy(F.col("change_pct").asc(), F.col("ord").desc())
     ranked = res.select("*", F.row_number().over(w_up).alias("_up"),
@@ -93,23 +90,19 @@ def top_movers(universe: DataFrame, stock_bars: DataFrame, k: int = TOP_K,
     return gain.unionByName(lose)
 
 
-def sector_members(indexes: DataFrame, universe: DataFrame, sectors: DataFrame,
-                   sector_rows: list[tuple[str, int, str]] | None = None) -> DataFrame:
+def sector_members(indexes: DataFrame, universe: DataFrame, sectors: DataFrame) -> DataFrame:
     """``index, sector, sector_ord, symbol`` — tickers of the index universe.
 
-    An index with an empty universe keeps every mapped ticker; those rows come
-    from the constant sector list (``sector_rows``) through ``explode``.
+    An index with an empty universe keeps every mapped ticker of ``sectors``.
     """
     members = universe.select("index", "symbol").distinct() \
-        .join(F.broadcast(sectors), "symbol")
-    if sector_rows:
-        empty = indexes.select("index").join(universe.select("index"), "index", "left_anti")
-        lit_rows = F.array(*[F.struct(F.lit(s).alias("sector"), F.lit(o).alias("sector_ord"),
-                                      F.lit(sym).alias("symbol")) for s, o, sym in sector_rows])
-        everyone = empty.select("index", F.explode(lit_rows).alias("_m")).select(
-            "index", "_m.sector", "_m.sector_ord", "_m.symbol")
-        members = members.select("index", "sector", "sector_ord", "symbol").unionByName(everyone)
-    return members.select("index", "sector", "sector_ord", "symbol")
+        .join(sectors, "symbol")
+    # an index without a universe takes the whole map: its code is added to every row of it
+    empty = indexes.select("index").join(universe.select("index"), "index", "left_anti")
+    codes = empty.agg(F.collect_list("index")).scalar()
+    everyone = sectors.select("*", F.explode(codes).alias("index"))
+    columns = ["index", "sector", "sector_ord", "symbol"]
+    return members.select(*columns).unionByName(everyone.select(*columns))
 
 
 def sector_performance(members: DataFrame, stock_bars: DataFrame, k: int = TOP_K,
@@ -121,12 +114,10 @@ def sector_performance(members: DataFrame, stock_bars: DataFrame, k: int = TOP_K
     (ties by sector order; lagging ties by reverse sector order).
     """
     if last2 is None:
-        wanted = stock_bars.join(F.broadcast(members.select("symbol").distinct()), "symbol",
-                                 "left_semi")
-        last2 = last_two(wanted)
+        last2 = last_two(stock_bars.join(members.select("symbol").distinct(), "symbol", "left_semi"))
     l2 = require_two_bars(last2).select(
-        "symbol", pct_change(F.col("close"), F.col("prev_close")).alias("_pct"))
-    sec = F.broadcast(members).join(l2, "symbol").groupBy("index", "sector", "sector_ord") \
+        "symbol", pct_change(F.col("close"), F.col("prev_close")).alias("_pct")).filter("_pct is not null")
+    sec = members.join(l2, "symbol").groupBy("index", "sector", "sector_ord") \
         .agg(rnd(F.avg("_pct"), 2).alias("change_pct"))
     w_all = Window.partitionBy("index").orderBy(F.col("change_pct").desc(), F.col("sector_ord").asc())
     w_lag = Window.partitionBy("index").orderBy(F.col("change_pct").asc(), F.col("sector_ord").desc())

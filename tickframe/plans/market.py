@@ -1,144 +1,125 @@
 """The market job (the reference's fetch stage) as one Spark plan.
 
-Per index code: index bars -> newest 400 -> 50-bar guard -> per-column rescale
--> indicators -> snapshot and 365-bar export; movers and sector rankings of its
-universe; one document row per index with the same nested shape as the
-reference's JSON document, plus an error column (P14: a failing index becomes
-``{index, error}`` and never stops the others).
+Per index code: index bars -> checks -> 50-bar guard -> per-column rescale ->
+indicators -> snapshot and 365-bar export; movers and sector rankings of its
+universe.  The results are flat tables; ``document`` nests them into one row per
+index with the same shape as the reference's JSON document, plus an error
+column (P14: a failing index becomes ``{index, error}`` and never stops the
+others).
 
 All indexes run in the same plan: the reference's loop over indexes (and its
-184 sequential downloads) becomes one scan and a few shuffles.
+184 sequential downloads) becomes one scan and a few shuffles.  Nothing is
+computed before a table is read, so a caller pays for the tables it reads.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.operators import clean, rank
 from tickframe.operators.indicators import indicators
 from tickframe.operators.levels import snapshot
-from tickframe.sources import dims
-from tickframe.sources.candles import INDEX_HISTORY
 
-EXPORT_BARS = 365       # rows per index in the chart export (P12)
-MIN_BARS = 50           # history guard (P8)
+
+@dataclass(frozen=True)
+class MarketSettings:
+    """What a caller may set; ``None`` switches a cut or rule off."""
+    history: int | None = None         # newest bars per index that take part (S4)
+    min_bars: int = 50                 # fewer bars make an index fail (P8)
+    export_bars: int = 365             # rows per index in the chart export (P12)
+    small_price: float | None = clean.SMALL_PRICE   # rescale rule (P7)
+    mover_cap: int | None = None       # symbols of a universe that are ranked (P11)
+    top: int = rank.TOP_K
 
 
 @dataclass
 class MarketTables:
-    index_bars: DataFrame   # cleaned, rescaled index bars with ``index``
+    indexes: DataFrame      # index, ticker, ord
+    universe: DataFrame     # index, symbol, ord
     ind: DataFrame          # index bars + indicators
     snapshot: DataFrame     # one row per index (L4), rounded
-    ohlcv: DataFrame        # export rows per index (P12)
+    ohlcv: DataFrame        # export rows per index (P12), ``pos`` from 1
     movers: DataFrame       # flat T6 rows
     sectors: DataFrame      # flat T7 rows
-    errors: DataFrame       # index, error
-    document: DataFrame     # one nested row per index
+    errors: DataFrame       # index, error: indexes that failed
+    rejected: DataFrame     # kind (index / stock), symbol, time, error: bars that take no part
+
+    def document(self) -> DataFrame:
+        return document(self)
 
+    def reported(self, flat: DataFrame) -> DataFrame:
+        """The rows of a flat table whose index did not fail."""
+        return flat.join(self.errors.select("index"), "index", "left_anti")
 
-def index_series(index_bars: DataFrame, indexes: DataFrame, history: int = INDEX_HISTORY,
-                 mode: str = "checkpoint") -> tuple[DataFrame, DataFrame, DataFrame]:
+
+def index_series(index_bars: DataFrame, indexes: DataFrame,
+                 settings: MarketSettings = MarketSettings()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S1 + S4 + P9 + P14 + P8 + P7 for the index series.
 
     Returns ``(bars, index errors, rejected rows)``: index errors (no data,
     too little history) fail that index only; rejected rows (missing price,
     duplicate time) are dropped and reported without failing it.
-
-    After the newest-``history`` cut each series holds at most ``history``
-    rows, so the bar count (P8) and the column maxima (P7) are windows over
-    that bounded set, on the partitioning the cut already made.
     """
-    tick = F.broadcast(indexes.select("index", F.col("ticker").alias("symbol")))   # #indexes rows
-    wanted = index_bars.join(tick.select("symbol"), "symbol", "left_semi")
+    tick = indexes.select("index", F.col("ticker").alias("symbol"))
+    wanted = index_bars.join(tick.select("symbol").distinct(), "symbol", "left_semi")
     good, rejected = clean.validate_bars(wanted)
-    # read by the guards, the error rows and the indicators: computed once
-    recent = rank.last_n_bars(good, history).drop("rn_desc")
-    w = Window.partitionBy("symbol")
-    sized = recent.select("*", F.count(F.lit(1)).over(w).alias("_n"),
-                          *[F.max(c).over(w).alias(f"_mx_{c}") for c in clean.PRICE_COLUMNS])
-    scaled = sized.filter(F.col("_n") >= MIN_BARS).select(
-        *[F.when(F.col(f"_mx_{c}") < clean.SMALL_PRICE, F.col(c) * F.lit(clean.SMALL_FACTOR))
-          .otherwise(F.col(c)).alias(c) if c in clean.PRICE_COLUMNS else F.col(c)
-          for c in recent.columns])
-    short = sized.filter(F.col("_n") < MIN_BARS).groupBy("symbol").agg(F.first("_n").alias("n_bars"))
-    short_err = clean.errors_of(short, F.concat(F.lit("not enough data: only "),
-                                                F.col("n_bars").cast("string"), F.lit(" rows")))
-    missing = clean.require_nonempty(tick, recent)
-    errors = short_err.unionByName(missing).join(tick, "symbol").select("index", "error")
-    return scaled, errors, rejected
-
-
-def market_tables(spark: SparkSession, index_bars: DataFrame, stock_bars: DataFrame,
-                  indexes: DataFrame | None = None, universe: DataFrame | None = None,
-                  sectors_dim: DataFrame | None = None, sector_rows=None,
-                  mode: str = "checkpoint") -> MarketTables:
-    indexes = indexes if indexes is not None else dims.dim_index(spark)
-    universe = universe if universe is not None else dims.dim_universe(spark)
-    sectors_dim = sectors_dim if sectors_dim is not None else dims.dim_sector(spark)
-    sector_rows = sector_rows if sector_rows is not None else dims.sector_rows()
-
-    series, errors, _rejected = index_series(index_bars, indexes, mode=mode)
-    ind = indicators(series)
-    ind = ind.join(F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")
-    snap = snapshot(ind).join(
-        F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")
-    ohlcv = clean.export_columns(ind, EXPORT_BARS).join(
-        F.broadcast(indexes.select("index", F.col("ticker").alias("symbol"))), "symbol")
-
-    # every stock is read once for movers and sectors of all indexes: the wanted
-    # symbols are bounded (cap x #indexes + sector members), so they are broadcast
-    members = rank.sector_members(indexes, universe, sectors_dim, sector_rows)
-    wanted = rank.cap_universe(universe).select("symbol").unionByName(members.select("symbol")) \
-        .distinct()
+    if settings.history is not None:
+        good = rank.last_n_bars(good, settings.history).drop("rn_desc")
+    enough, short = clean.require_history(good, settings.min_bars)
+    missing = clean.require_nonempty(tick, good)
+    errors = short.unionByName(missing).join(tick, "symbol").select("index", "error")
+    return clean.scale_if_small(enough, settings.small_price), errors, rejected
+
+
+def market_tables(index_bars: DataFrame, stock_bars: DataFrame, indexes: DataFrame, universe: DataFrame,
+                  sectors: DataFrame, settings: MarketSettings = MarketSettings()) -> MarketTables:
+    """All tables of the job for the given ``indexes`` (index, ticker, ord), ``universe`` (index,
+    symbol, ord) and ``sectors`` (sector, sector_ord, symbol)."""
+    tick = indexes.select("index", F.col("ticker").alias("symbol"))
+    series, errors, bad_index = index_series(index_bars, indexes, settings)
+    ind = indicators(series).join(tick, "symbol")
+    snap = snapshot(ind, keys=("index", "symbol"))
+    n = settings.export_bars
+    pos = F.col("rn") - F.greatest(F.col("n_bars") - F.lit(n), F.lit(0))
+    ohlcv = clean.export_columns(ind.withColumn("pos", pos), n)
+
+    members = rank.sector_members(indexes, universe, sectors)
+    capped = rank.cap_universe(universe, settings.mover_cap)
+    wanted = capped.select("symbol").union(members.select("symbol")).distinct()
+    good, bad_stock = clean.validate_bars(stock_bars.join(wanted, "symbol", "left_semi"))
     # one plan shared by movers and sectors: identical subtrees, one reused exchange
-    last2 = rank.last_two(stock_bars.join(F.broadcast(wanted), "symbol", "left_semi"))
-    movers = rank.top_movers(universe, stock_bars, last2=last2)
-    sectors = rank.sector_performance(members, stock_bars, last2=last2)
-    # lazy: each report card reads the document once; ``job.run`` writes it once
-    doc = document(indexes, universe, snap, ohlcv, movers, sectors, errors)
-    return MarketTables(series, ind, snap, ohlcv, movers, sectors, errors, doc)
-
-
-def document(indexes: DataFrame, universe: DataFrame, snap: DataFrame, ohlcv: DataFrame,
-             movers: DataFrame, sectors: DataFrame, errors: DataFrame) -> DataFrame:
-    """The index codes, in order, left-joined with every per-index part.
-
-    Every nested list is bounded per index (365 export rows, k movers,
-    #sectors, the universe list — a configuration list, like the reference's
-    symbol lists), so the ``collect_list`` calls never gather an unbounded
-    group.
+    last2 = rank.last_two(good)
+    movers = rank.top_movers(capped, good, settings.top, last2=last2)
+    performance = rank.sector_performance(members, good, settings.top, last2=last2)
+    rejected = bad_index.select(F.lit("index").alias("kind"), "*").union(bad_stock.select(F.lit("stock"), "*"))
+    return MarketTables(indexes, universe, ind, snap, ohlcv, movers, performance, errors, rejected)
+
+
+def document(m: MarketTables) -> DataFrame:
+    """The index codes, in order, left-joined with every per-index part (S7's rows).
+
+    The nested lists are the export rows, the top movers, the sectors and the
+    universe of one index; an index's universe is a configuration list.
     """
-    snap_cols = [c for c in snap.columns if c not in ("index", "symbol")]
-    s = snap.select("index", F.struct(*snap_cols).alias("snapshot"))
-    export_cols = [c for c in ohlcv.columns if c not in ("index", "symbol", "rn")]
-    o = ohlcv.groupBy("index").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rn", *export_cols))),
-                    lambda x: x.dropFields("rn")).alias("ohlcv"))
-    lists = rank.collect_top_lists(movers, sectors).select(
-        "index",
-        F.struct("top_gainers", "top_losers").alias("movers"),
-        F.struct("leading", "lagging", "all").alias("sectors"))
-    syms = universe.groupBy("index").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "symbol"))),
-                    lambda x: x["symbol"]).alias("symbols"))
-    err = errors.groupBy("index").agg(F.concat_ws("; ", F.collect_list("error")).alias("error"))
-    # every part has at most one row per index code (a constant dimension)
-    d = indexes.select("index", "ord")
+    s = m.snapshot.select("index", F.struct(*[c for c in m.snapshot.columns if c not in ("index", "symbol")]).alias("snapshot"))
+    export_cols = [c for c in m.ohlcv.columns if c not in ("index", "symbol", "rn", "pos")]
+    o = m.ohlcv.groupBy("index").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", *export_cols))), lambda x: x.dropFields("pos")).alias("ohlcv"))
+    lists = rank.collect_top_lists(m.movers, m.sectors).select(
+        "index", F.struct("top_gainers", "top_losers").alias("movers"), F.struct("leading", "lagging", "all").alias("sectors"))
+    syms = m.universe.groupBy("index").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("ord", "symbol"))), lambda x: x["symbol"]).alias("symbols"))
+    err = m.errors.groupBy("index").agg(F.concat_ws("; ", F.array_sort(F.collect_list("error"))).alias("error"))
+    d = m.indexes.select("index", "ord")
     for part in (s, o, lists, syms, err):
-        d = d.join(F.broadcast(part), "index", "left")
-    failed = F.col("error").isNotNull()
-    return d.select(
-        "index", "ord",
-        F.when(~failed, F.col("snapshot")).alias("snapshot"),
-        F.when(~failed, F.col("ohlcv")).alias("ohlcv"),
-        F.when(~failed, F.col("movers")).alias("movers"),
-        F.when(~failed, F.col("sectors")).alias("sectors"),
-        F.when(~failed, F.col("symbols")).alias("symbols"),
-        F.current_timestamp().alias("generated"),
-        "error")
+        d = d.join(part, "index", "left")
+    sound = F.col("error").isNull()
+    return d.select("index", "ord", *[F.when(sound, F.col(c)).alias(c) for c in ("snapshot", "ohlcv", "movers", "sectors", "symbols")],
+                    F.current_timestamp().alias("generated"), "error")
 
 
 def write_document(doc: DataFrame, path: str) -> None:
@@ -152,12 +133,12 @@ def read_document(spark: SparkSession, path: str, schema) -> DataFrame:
     A missing document is not an error: the result is empty, like the
     reference, which reports the missing file and stops.
     """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(path)
 
 
 def generated_text(ts: str = "generated"):
@@ -166,23 +147,16 @@ def generated_text(ts: str = "generated"):
 
 
 def document_json(doc: DataFrame) -> DataFrame:
-    """The reference's single-file shape: ``{code: record, ..., "generated_at": ts}``.
+    """The reference's record per code: ``index, entry`` where entry is ``"code":{...}`` as JSON text.
 
-    Built from one row per index, so the collected map has #indexes entries.
+    One row per index; a file of all of them is ``{`` + the entries + ``}``.
     """
     rec = F.to_json(F.struct(*[c for c in doc.columns if c not in ("ord", "generated")]))
-    one = doc.groupBy().agg(F.collect_list(F.struct("index", rec.alias("rec"))).alias("items"),
-                            F.max("generated").alias("generated_at"))
-    def entry(x):
-        key = F.regexp_replace(F.to_json(F.array(x["index"])), r"^\[|\]$", "")   # JSON-escaped
-        return F.concat(key, F.lit(":"), x["rec"])
-    entries = F.transform("items", entry)
-    body = F.concat(F.lit("{"), F.array_join(entries, ","), F.lit(',"generated_at":"'),
-                    F.date_format("generated_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('"}'))
-    return one.select(body.alias("document"))
+    key = F.regexp_replace(F.to_json(F.array("index")), r"^\[|\]$", "")   # JSON-escaped
+    return doc.select("index", F.concat(key, F.lit(":"), rec).alias("entry"), generated_text().alias("generated_at"))
 
 
 def index_order(indexes: DataFrame) -> DataFrame:
-    """tabs in fixed order, the first one active (a constant 3-row dimension)."""
-    first = F.min("ord").over(Window.partitionBy(F.lit(0)))   # over #indexes rows only
+    """tabs in fixed order, the first one active."""
+    first = indexes.agg(F.min("ord")).scalar()
     return indexes.select("index", "ord", (F.col("ord") == first).alias("active"))

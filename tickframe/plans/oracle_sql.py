@@ -15,7 +15,7 @@ _LKEY = "l_orderkey::hugeint * 100000000000000000000 + l_linenumber::hugeint * 1
 
 def r(expr: str, d: int = 4) -> str:
     """Two-step half-up rounding through DECIMAL, the twin of ``functions.numeric.rnd``."""
-    return f"cast(round(cast({expr} as decimal(38, 6)), {d}) as double)"
+    return f"cast(round(cast({expr} as decimal(38, 10)), {d}) as double)"
 
 
 def _ohlcv(symbol: str, time: str, price: str, key: str, volume: str, src: str) -> str:
@@ -107,6 +107,7 @@ ind as (
 )"""
 
 
+# Names of the indicator columns.
 INDICATORS = ["ma5", "ma10", "ma20", "ma50", "ma100", "ma200", "vol_ma20", "atr14",
               "bb_mid", "bb_upper", "bb_lower", "rsi14", "macd", "macd_signal", "macd_hist",
               "stoch_k", "stoch_d"]
@@ -181,16 +182,14 @@ def strip_ws(x: str) -> str:
 
 
 # ------------------------------------------------------------ market ctes
-def market_ctes(history: int = 400, min_bars: int = 50) -> str:
+def market_ctes(min_bars: int = 50) -> str:
     """Index series (flag bars of the three tickers), guard, rescale, indicators."""
     scaled = ", ".join(
         f"case when m_{c} < 100 then r.{c} * 1000.0 else r.{c} end as {c}"
         for c in ("open", "high", "low", "close"))
     src = f"""raw as ({BARS_SQL['flag']}),
 {INDEX_CTE},
-recent as (select symbol, time, open, high, low, close, volume from (
-             select raw.*, row_number() over (partition by symbol order by time desc) as rd
-             from raw where symbol in (select ticker from ix)) where rd <= {history}),
+recent as (select * from raw where symbol in (select ticker from ix)),
 cnt as (select symbol, count(*) as n from recent group by symbol),
 mx as (select symbol, max(open) as m_open, max(high) as m_high, max(low) as m_low,
               max(close) as m_close from recent group by symbol),

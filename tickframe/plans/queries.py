@@ -18,6 +18,9 @@ from tickframe.operators.levels import SNAPSHOT_COLUMNS, snapshot
 from tickframe.operators import rank
 from tickframe.plans import oracle_sql as O
 from tickframe.sources import dims
+from tickframe.operators.clean import EXPORT_COLUMNS
+from tickframe.plans import market, report
+from tickframe.sources import fixtures
 from tickframe.sources.fixtures import bars, time_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,13 +120,13 @@ for _v in ("brand", "flag", "hour", "user"):
 
 
 # ------------------------------------------------------ T6 movers, T7 sectors
-def _movers_sql(view: str, universe_cte: str) -> str:
+def _movers_sql(view: str, universe_cte: str, where: str = "") -> str:
     ctes = f"""{O.bars_cte(view)},
 {universe_cte},
 {O.last_two_cte()},
 res as (select u."index", u.ord, u.symbol, l2.close,
                {O.r(O.PCT.replace('close', 'l2.close').replace('prev_l2.close', 'l2.prev_close'), 2)} as change_pct
-        from u join l2 using (symbol) where u.ord <= 30 and l2.n_last = 2),
+        from u join l2 using (symbol) where l2.n_last = 2{where}),
 rk as (select *, row_number() over (partition by "index" order by change_pct desc, ord asc) as up,
               row_number() over (partition by "index" order by change_pct asc, ord desc) as dn
        from res)"""
@@ -153,6 +156,14 @@ def top_movers_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.withColumn("close", rnd("close", 4))
 
 
+@register("top_movers_supp_capped", _movers_sql("supp", _SUPP_UNIVERSE, f" and u.ord <= {dims.MOVER_CAP}"))
+def top_movers_supp_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cap, passed explicitly."""
+    stock = rank.scale_fixed(bars(spark, sf_dir, "supp"))
+    m = rank.top_movers(dims.dim_supplier_universe(spark, sf_dir), stock, cap=dims.MOVER_CAP)
+    return m.withColumn("close", rnd("close", 4))
+
+
 def _sectors_sql(view: str) -> str:
     ctes = f"""{O.bars_cte(view)},
 {O.UNIVERSE_CTE},
@@ -176,19 +187,10 @@ from rk"""
 @register("sector_performance_brand", _sectors_sql("brand"))
 def sector_performance_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     stock = rank.scale_fixed(bars(spark, sf_dir, "brand"))
-    members = rank.sector_members(dims.dim_index(spark), dims.dim_universe(spark),
-                                  dims.dim_sector(spark), dims.sector_rows())
+    members = rank.sector_members(dims.dim_index(spark), dims.dim_universe(spark), dims.dim_sector(spark))
     return rank.sector_performance(members, stock)
 
 
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
-
-
 # =========================================================== market document
 def _stock_ctes(view: str = "brand") -> str:
     """Stock-side CTEs for the document: ``mv`` (movers) and ``sp`` (sectors)."""
@@ -200,7 +202,7 @@ def _stock_ctes(view: str = "brand") -> str:
 {l2},
 mres as (select u."index", u.ord, u.symbol, sl2.close,
                 {O.r(pct.replace('prev_close', 'sl2.prev_close').replace('(close', '(sl2.close'), 2)} as change_pct
-         from u join sl2 using (symbol) where u.ord <= 30 and sl2.n_last = 2),
+         from u join sl2 using (symbol) where sl2.n_last = 2),
 mrk as (select *, row_number() over (partition by "index" order by change_pct desc, ord asc) as up,
                row_number() over (partition by "index" order by change_pct asc, ord desc) as dn
         from mres),
@@ -224,24 +226,22 @@ def _market_snapshot_ctes() -> str:
 msnap as (select ix."index", """ + snapshot_cols() + """ from last join ix on ix.ticker = last.symbol)"""
 
 
-_EXPORT = ["open", "high", "low", "close", "volume", "ma5", "ma10", "ma20", "ma50", "ma100", "ma200",
-           "bb_upper", "bb_mid", "bb_lower", "rsi14", "macd", "macd_signal", "macd_hist", "stoch_k",
-           "stoch_d"]
+_EXPORT = [c for c in EXPORT_COLUMNS if c != "time"]
 
 
 def _market_export_ctes() -> str:
     cols = ", ".join(f"ind.{c}" for c in _EXPORT)
     return O.market_ctes() + f""",
-{'' if False else ''}mexp as (select ix."index", ind.rn, substr(cast(ind.time as varchar), 1, 10) as time, {cols},
+mexp as (select ix."index", ind.rn, substr(cast(ind.time as varchar), 1, 10) as time, {cols},
                  row_number() over (partition by ix."index" order by ind.rn) as pos
           from ind join ix on ix.ticker = ind.symbol where ind.rn > ind.n_bars - 365)"""
 
 
-def _market(spark: SparkSession, sf_dir: str):
-    from tickframe.plans.market import market_tables
-    index_bars = bars(spark, sf_dir, "flag")
-    stock = rank.scale_fixed(bars(spark, sf_dir, "brand"))
-    return market_tables(spark, index_bars, stock)
+def _market(spark: SparkSession, sf_dir: str, settings: market.MarketSettings = market.MarketSettings(), more=()) -> market.MarketTables:
+    """The market tables of the test brands; nothing runs until one of them is read."""
+    indexes = dims.values(spark, [*dims.INDEX_ROWS, *more], "index, ticker, ord")
+    return market.market_tables(bars(spark, sf_dir, "flag"), rank.scale_fixed(bars(spark, sf_dir, "brand")), indexes,
+                                dims.dim_universe(spark), dims.dim_sector(spark), settings)
 
 
 def _round_doubles(df: DataFrame, d: int = 4) -> DataFrame:
@@ -260,13 +260,13 @@ def market_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select \"index\", rn, time, " + ", ".join(f"{O.r(c)} as {c}" for c in _EXPORT) + " from mexp"))
 def market_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 365-bar export rows per index."""
-    return _round_doubles(_market(spark, sf_dir).ohlcv.drop("symbol"))
+    return _round_doubles(_market(spark, sf_dir).ohlcv.drop("symbol", "pos"))
 
 
 def _hero_sql() -> str:
     up = "coalesce(change_pct, 0) >= 0"
     sign = f"case when {up} then '+' else '' end"
-    body = f"""select "index", case when {up} then 'hero-up' else 'hero-down' end as css,
+    body = f"""select "index", case when {up} then 'up' else 'down' end as tone,
        {O.fmt_num('close')} as price,
        {sign} || {O.fixed('change')} || ' (' || {sign} || {O.fixed('change_pct')} || '%)' as change,
        coalesce(date, '') as date, {O.fmt_int('volume')} as volume,
@@ -277,12 +277,11 @@ from msnap"""
 
 @register("report_hero", _hero_sql())
 def report_hero_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickframe.plans import report
-    return report.report_hero(_market(spark, sf_dir).document)
+    return report.report_hero(_market(spark, sf_dir).snapshot)
 
 
 def _indicators_report_sql() -> str:
-    from tickframe.plans.report import INDICATOR_ROWS
+    INDICATOR_ROWS = report.INDICATOR_ROWS
     parts = []
     for pos, grp, label, field, d, st in INDICATOR_ROWS:
         if st == "rsi":
@@ -299,12 +298,11 @@ def _indicators_report_sql() -> str:
 
 @register("report_indicators", _indicators_report_sql())
 def report_indicators_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickframe.plans import report
-    return report.report_indicators(_market(spark, sf_dir).document)
+    return report.report_indicators(_market(spark, sf_dir).snapshot)
 
 
 def _levels_report_sql() -> str:
-    from tickframe.plans.report import LEVEL_ROWS
+    LEVEL_ROWS = report.LEVEL_ROWS
     parts = []
     for pos, label, source, field in LEVEL_ROWS:
         val = "cast(null as double)" if source == "analysis" else O.q(field)
@@ -315,14 +313,13 @@ def _levels_report_sql() -> str:
 
 @register("report_levels", _levels_report_sql())
 def report_levels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickframe.plans import report
-    return report.report_levels(_market(spark, sf_dir).document)
+    return report.report_levels(_market(spark, sf_dir).snapshot)
 
 
 def _movers_report_sql() -> str:
     ctes = O.market_ctes() + ",\n" + _stock_ctes() + """,
 items as (
-  select "index", 'leading' as list, lead_rank as rank, sector as name, 'pos' as css, change_pct
+  select "index", 'leading' as list, lead_rank as rank, sector as name, 'pos' as tone, change_pct
   from sp where lead_rank is not null
   union all
   select "index", 'lagging', lag_rank, sector, 'neg', change_pct from sp where lag_rank is not null
@@ -332,7 +329,7 @@ items as (
   select "index", 'losers', rank, symbol, 'neg', change_pct from mv where side = 'loser'),
 ok as (select ix."index" from ix where ix.ticker in (select symbol from ind)),
 lists as (select * from (values ('leading'), ('lagging'), ('gainers'), ('losers')) t(list))"""
-    body = f"""select i."index", i.list, cast(i.rank as bigint) as rank, i.name, i.css,
+    body = f"""select i."index", i.list, cast(i.rank as bigint) as rank, i.name, i.tone,
        {O.fixed('i.change_pct', 2, True)} || '%' as change
 from items i join ok using ("index")
 union all
@@ -344,8 +341,8 @@ where not exists (select 1 from items i where i."index" = ok."index" and i.list
 
 @register("report_movers", _movers_report_sql())
 def report_movers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickframe.plans import report
-    return report.report_movers(_market(spark, sf_dir).document)
+    m = _market(spark, sf_dir)
+    return report.report_movers(m.movers, m.sectors, m.reported(m.indexes.select("index")))
 
 
 @register("report_index_order", O.with_recursive(
@@ -354,10 +351,9 @@ def report_movers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
        ix.ticker in (select symbol from ok) as has_data from ix"""))
 def report_index_order_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tabs in order with the document's status."""
-    from tickframe.plans.market import index_order
-    doc = _market(spark, sf_dir).document
-    order = index_order(dims.dim_index(spark))
-    return order.join(doc.select("index", F.col("error").isNull().alias("has_data")), "index", "left")
+    m = _market(spark, sf_dir)
+    has = m.reported(m.indexes.select("index")).withColumn("has_data", F.lit(True))
+    return market.index_order(m.indexes).join(has, "index", "left").fillna(False, ["has_data"])
 
 
 def _chart_sql(kind: str) -> str:
@@ -370,7 +366,7 @@ def _chart_sql(kind: str) -> str:
                 "case when close >= open then 'up' else 'down' end as color "
                 "from mexp where volume is not null and volume <> 0")
     else:
-        from tickframe.plans.report import CHART_LINES
+        CHART_LINES = report.CHART_LINES
         body = "\nunion all\n".join(
             f"select \"index\", pos, time, '{c}' as line, {O.r(c)} as value from mexp "
             f"where {c} is not null and {c} <> 0" for c in CHART_LINES)
@@ -379,27 +375,29 @@ def _chart_sql(kind: str) -> str:
 
 @register("chart_candles", _chart_sql("candles"))
 def chart_candles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickframe.plans import report
-    return _round_doubles(report.chart_candles(_market(spark, sf_dir).document))
+    return _round_doubles(report.chart_candles(_market(spark, sf_dir).ohlcv))
 
 
 @register("chart_volume", _chart_sql("volume"))
 def chart_volume_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickframe.plans import report
-    return _round_doubles(report.chart_volume(_market(spark, sf_dir).document))
+    return _round_doubles(report.chart_volume(_market(spark, sf_dir).ohlcv))
 
 
 @register("chart_lines", _chart_sql("lines"))
 def chart_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickframe.plans import report
-    return _round_doubles(report.chart_lines(_market(spark, sf_dir).document))
+    return _round_doubles(report.chart_lines(_market(spark, sf_dir).ohlcv))
 
 
-@register("series_json")
+@register("series_json", O.with_recursive(
+    _market_export_ctes(),
+    "select \"index\", pos, count(*) over (partition by \"index\") as points, time, "
+    + ", ".join(f"{O.r(c)} as {c}" for c in _EXPORT) + " from mexp"))
 def series_json_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S8 (rows-only: JSON number text differs between engines)."""
-    from tickframe.plans import report
-    return report.series_json(_market(spark, sf_dir).document)
+    """The JSON arrays, parsed again and compared point by point."""
+    ohlcv = _market(spark, sf_dir).ohlcv
+    point = ", ".join(f"{c} {'string' if c == 'time' else 'double'}" for c in EXPORT_COLUMNS)
+    j = report.series_json(ohlcv).select("index", "points", F.posexplode(F.from_json("json", f"array<struct<{point.replace(' ', ':').replace(',:', ',')}>>")).alias("p", "o"))
+    return _round_doubles(j.select("index", (F.col("p") + 1).cast("long").alias("pos"), "points", "o.*"))
 
 
 def _prompt_sql() -> str:
@@ -414,30 +412,13 @@ lst as (select ix."index",
           (select string_agg(symbol || ' (' || """ + O.fixed('change_pct', 1, True) + """ || '%)', ', ' order by rank)
            from mv where mv."index" = ix."index" and side = 'loser') as losers
         from ix)"""
-    n = O.na
-    lines = [
-        "'Technical analysis of ' || s.\"index\" || ' for ' || coalesce(date, 'today') || '.'",
-        f"'Close: ' || {n('close')} || ' | Change: ' || {n('change_pct', 2, True)} || '%'",
-        f"'Open/High/Low: ' || {n('open')} || ' / ' || {n('high')} || ' / ' || {n('low')}",
-        f"'Volume: ' || {O.fmt_int('volume')} || ' | Volume MA20: ' || {n('vol_ma20', 0)}",
-        f"'Moving averages: MA5=' || {n('ma5')} || ' | MA10=' || {n('ma10')} || ' | MA20=' || {n('ma20')}"
-        f" || ' | MA50=' || {n('ma50')} || ' | MA100=' || {n('ma100')} || ' | MA200=' || {n('ma200')}",
-        f"'Bollinger bands: upper=' || {n('bb_upper')} || ' | mid=' || {n('bb_mid')} || ' | lower=' || {n('bb_lower')}",
-        f"'RSI(14): ' || {n('rsi14', 1)} || ' | Stochastic %K/%D: ' || {n('stoch_k', 1)} || '/' || {n('stoch_d', 1)}",
-        f"'MACD: ' || {n('macd')} || ' | signal: ' || {n('macd_signal')} || ' | histogram: ' || {n('macd_hist')}",
-        f"'ATR(14): ' || {n('atr14')}",
-        f"'Pivot: ' || {n('pivot')} || ' | R1=' || {n('r1')} || ' R2=' || {n('r2')} || ' R3=' || {n('r3')}"
-        f" || ' | S1=' || {n('s1')} || ' S2=' || {n('s2')} || ' S3=' || {n('s3')}",
-        f"'Fibonacci (52-week high=' || {n('hi52')} || ', low=' || {n('lo52')} || '): 23.6%=' || {n('fibo_236')}"
-        f" || ' | 38.2%=' || {n('fibo_382')} || ' | 50%=' || {n('fibo_500')} || ' | 61.8%=' || {n('fibo_618')}"
-        f" || ' | 78.6%=' || {n('fibo_786')}",
-        "'Leading sectors: ' || coalesce(nullif(l.leading, ''), 'N/A')",
-        "'Lagging sectors: ' || coalesce(nullif(l.lagging, ''), 'N/A')",
-        "'Top gainers: ' || coalesce(nullif(l.gainers, ''), 'N/A')",
-        "'Top losers: ' || coalesce(nullif(l.losers, ''), 'N/A')",
-        "'Answer with one JSON object with the keys summary, market_description, "
-        "support_resistance, timeframe_analysis, scenarios, key_levels, sentiment, recommendation.'",
-    ]
+    lines = ["'Index ' || s.\"index\" || ', bar of ' || coalesce(date, 'today')"]
+    for group, label, field, digits, sign in report.PROMPT_FIELDS:
+        value = O.fmt_int(field) if digits is None else O.na(field, digits, sign)
+        lines.append(f"'[{group}] {label} = ' || {value}")
+    for (label, _, _), column in zip(report.PROMPT_LISTS, ("leading", "lagging", "gainers", "losers")):
+        lines.append(f"'[market] {label} = ' || coalesce(nullif(l.{column}, ''), 'N/A')")
+    lines += ["'" + rule.replace("'", "''") + "'" for rule in report.prompt_rules()]
     body = ("select s.\"index\", concat_ws(chr(10), " + ",\n  ".join(lines)
             + ") as prompt from msnap s join lst l using (\"index\")")
     return O.with_recursive(ctes, body)
@@ -446,8 +427,8 @@ lst as (select ix."index",
 @register("prompt_text", _prompt_sql())
 def prompt_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8 with F6 / F7: one prompt per index."""
-    from tickframe.plans import report
-    return report.build_prompt(_market(spark, sf_dir).document)
+    m = _market(spark, sf_dir)
+    return report.build_prompt(m.snapshot, m.movers, m.sectors)
 
 
 # ================================================================ answers
@@ -460,17 +441,17 @@ t as (select *, case when instr(s, chr(10)) > 0 then substr(s, instr(s, chr(10))
 f as (select *, case when starts_with(s, '```')
                      then {ws("case when contains(tail, '```') then regexp_extract(tail, '^(.*)```', 1, 's') else tail end")}
                      else s end as body from t),
-p as (select *, coalesce(starts_with(body, '{{') and ends_with(body, '}}') and json_valid(body), false) as ok
+p as (select *, coalesce(starts_with(body, '{{') and json_valid(body), false) as ok
       from f)"""
     body = """select conv_id, turn, ok as parsed, case when not ok then 'JSON parse error' end as error,
-       case when not ok then substr(case when body = '' then s else body end, 1, 500) end as raw
+       case when not ok then case when body = '' then s else body end end as raw
 from p"""
     return O.with_recursive(ctes, body)
 
 
 @register("answers_conversations", _answers_sql())
 def answers_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F9 / F10 over every assistant turn (whole texts; the kept raw text is the feature)."""
+    """F9 / F10 over every assistant turn (whole texts, also those that don't parse)."""
     from tickframe.functions.text import parse_analysis
     from tickframe.sources.fixtures import read_table
     conv = read_table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
@@ -561,3 +542,199 @@ def export_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P12 / W13 / P13 on the 25 brand series."""
     from tickframe.operators.clean import export_columns
     return _round_doubles(export_columns(indicators(bars(spark, sf_dir, "brand")), 365))
+
+
+# ================================================================ faults and errors
+_DIRTY = """dirty0 as (select symbol, time, case when day(time) <> 17 then open end as open,
+  case when day(time) = 14 then 'inf'::double else high end as high, low,
+  case when day(time) = 13 then 'nan'::double else close end as close,
+  case when day(time) = 18 then 0.0 else volume end as volume from bars),
+dirty as (select * from dirty0 union all select * from dirty0 where day(time) = 19),
+fault as (select *, case when open is null or not isfinite(high) or not isfinite(close) then 'missing price'
+  when count(*) over (partition by symbol, time) > 1 then 'duplicate time' end as error from dirty)"""
+
+
+@register("rejected_supp", O.with_recursive(
+    O.bars_cte("supp") + ",\n" + _DIRTY, "select symbol, cast(time as varchar) as time, error from fault where error is not null"))
+def rejected_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN, infinite and null prices and repeated bars become error rows."""
+    from tickframe.operators.clean import validate_bars
+    return validate_bars(fixtures.dirty(bars(spark, sf_dir, "supp")))[1]
+
+
+@register("indicators_dirty_flag", O.with_recursive(
+    O.indicator_ctes_from(O.bars_cte("flag", "bars0") + ",\n" + _DIRTY.replace("from bars)", "from bars0)")
+                          + ",\nbars as (select symbol, time, open, high, low, close, volume from fault where error is null)"),
+    "select symbol, cast(time as varchar) as time, rn, " + ", ".join(f"{O.r(c)} as {c}" for c in INDICATOR_COLUMNS) + " from ind"))
+def indicators_dirty_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faulty bars don't reach the indicators."""
+    from tickframe.operators.clean import validate_bars
+    good, _ = validate_bars(fixtures.dirty(bars(spark, sf_dir, "flag")))
+    return indicators(good).select("symbol", time_text().alias("time"), "rn", *[rnd(c, 4).alias(c) for c in INDICATOR_COLUMNS])
+
+
+@register("top_movers_dirty", _movers_sql("supp", _SUPP_UNIVERSE).replace(
+    O.bars_cte("supp"), O.bars_cte("supp", "bars0") + ",\n" + _DIRTY.replace("from bars)", "from bars0)")
+    + ",\nbars as (select symbol, time, open, high, low, close, volume from fault where error is null)"))
+def top_movers_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6 on checked stock bars: a fault in the newest bar doesn't rank a symbol."""
+    from tickframe.operators.clean import validate_bars
+    good, _ = validate_bars(fixtures.dirty(bars(spark, sf_dir, "supp")))
+    m = rank.top_movers(dims.dim_supplier_universe(spark, sf_dir), rank.scale_fixed(good))
+    return m.withColumn("close", rnd("close", 4))
+
+
+@register("epoch_events", """select event_id, cast(case event_id % 5
+    when 0 then cast(ts as date) when 1 then cast(ts as date) end as varchar) as day from events""")
+def epoch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seconds and date text are read; milliseconds, NaN and huge numbers are null and fail nothing."""
+    from tickframe.operators.clean import epoch_or_date
+    e = fixtures.read_table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    seconds = F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01")).cast("long") * 86400 + 3600
+    text = (F.when(F.col("event_id") % 5 == 0, seconds.cast("string")).when(F.col("event_id") % 5 == 1, F.col("ts").cast("date").cast("string"))
+            .when(F.col("event_id") % 5 == 2, (seconds * 1000).cast("string")).when(F.col("event_id") % 5 == 3, "NaN").otherwise("1e20"))
+    return e.select("event_id", epoch_or_date(text).cast("string").alias("day"))
+
+
+_MIN_BARS = 2000
+_ABSENT = ("IX_NONE", "Z", 4)
+_ERRORS = f"""raw as ({O.BARS_SQL['flag']}),
+ix as (select * from (values ('IX_ALL', 'A', 1), ('IX_TOP', 'N', 2), ('IX_WIDE', 'R', 3), ('IX_NONE', 'Z', 4)) t("index", ticker, ord)),
+err as (select "index", ord, case when n is null then 'no data for ' || ticker else 'not enough data: only ' || n || ' rows' end as error
+  from ix left join (select symbol, count(*) as n from raw group by 1) c on c.symbol = ix.ticker where coalesce(n, 0) < {_MIN_BARS})"""
+
+
+@register("errors_market", O.with_recursive(_ERRORS, 'select "index", error from err'))
+def errors_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indexes with too few bars or none."""
+    return _market(spark, sf_dir, market.MarketSettings(min_bars=_MIN_BARS), [_ABSENT]).errors
+
+
+@register("report_errors", O.with_recursive(_ERRORS, 'select "index", ord, error from err'))
+def report_errors_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The error card of failed indexes."""
+    m = _market(spark, sf_dir, market.MarketSettings(min_bars=_MIN_BARS), [_ABSENT])
+    return report.report_errors(m.indexes, m.errors)
+
+
+@register("market_document", O.with_recursive(
+    _market_snapshot_ctes() + ",\n" + _stock_ctes() + ",\nsize as (select \"index\", least(max(rn), 365) as n from ind join ix on ix.ticker = ind.symbol group by 1)",
+    f"""select s."index", {O.r('s.close', 2)} as close, s.date, n as bars,
+  (select count(*) from mv where mv."index" = s."index") as movers, (select count(*) from sp where sp."index" = s."index") as sectors,
+  (select count(*) from u where u."index" = s."index") as symbols, cast(null as varchar) as error
+from msnap s join size using ("index")"""))
+def market_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document's records as JSON, read back with the document's schema."""
+    from pyspark.sql import types as T
+    doc = _market(spark, sf_dir).document()
+    fields = [f for f in doc.schema.fields if f.name not in ("ord", "generated")]
+    entry = market.document_json(doc).select(F.from_json(F.concat(F.lit("{"), "entry", F.lit("}")), T.MapType(T.StringType(), T.StructType(fields))).alias("m"))
+    d = entry.select(F.explode("m").alias("code", "d")).select("d.*")
+    count = lambda c: F.size(c).cast("long")
+    return d.select("index", rnd("snapshot.close", 2).alias("close"), "snapshot.date", count("ohlcv").alias("bars"),
+                    (count("movers.top_gainers") + count("movers.top_losers")).alias("movers"), count("sectors.all").alias("sectors"),
+                    count("symbols").alias("symbols"), "error")
+
+
+for _days in report.VIEW_DAYS:
+    def _view(spark: SparkSession, sf_dir: str, days: int = _days) -> DataFrame:
+        return _round_doubles(report.view_range(_market(spark, sf_dir).ohlcv, days).select("index", "pos", "time", "close"))
+    register(f"view_{_days}", O.with_recursive(
+        _market_export_ctes(), f"""select "index", pos, time, {O.r('close')} as close from
+        (select *, max(pos) over (partition by "index") as n from mexp) where pos > n - {_days}"""))(_view)
+
+
+# ================================================================ the analysis half
+_ANSWERS = """d as (select *, cast(doc_id as varchar) as "index", doc_id % 6 as kind, doc_id % 7 = 0 as failed,
+    doc_id % 6 in (0, 1, 5) and doc_id % 7 <> 0 as ok,
+    case doc_id % 4 when 0 then 'Tăng' when 1 then 'Giảm' when 2 then 'Đi ngang' else source end as trend,
+    case doc_id % 5 when 0 then 'Tích cực' when 1 then 'Tiêu cực' when 2 then 'Trung lập' when 4 then lang end as sentiment
+  from documents)"""
+
+
+def _analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.analyses(*fixtures.answered_indexes(spark, sf_dir), fixtures.rendered_answers(spark, sf_dir))
+
+
+def _answered(name: str, body: str):
+    return register(name, f"with {_ANSWERS}\n{body}")
+
+
+@_answered("analyses", """select "index", case when ok then text end as summary,
+  case when failed then 'no data' when not ok then 'JSON parse error' end as error, not ok and not failed as has_raw from d""")
+def analyses_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every branch of the answers rendered from the documents."""
+    return _analysed(spark, sf_dir).select("index", F.col("analysis.summary").alias("summary"), "error", F.col("raw").isNotNull().alias("has_raw"))
+
+
+@_answered("report_summary", """select "index",
+  case coalesce(sentiment, 'Trung lập') when 'Tích cực' then 'pos' when 'Tiêu cực' then 'neg' else 'flat' end as tone,
+  case coalesce(sentiment, 'Trung lập') when 'Tích cực' then '↑' when 'Tiêu cực' then '↓' when 'Trung lập' then '→' else '—' end
+    || ' ' || coalesce(sentiment, 'Trung lập') as sentiment,
+  text as description, case when doc_id % 2 = 0 then lang end as recommendation from d where ok and text <> ''""")
+def report_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F18, F14, J6."""
+    return report.report_summary(_analysed(spark, sf_dir))
+
+
+@_answered("report_timeframes", """, s as (select *, unnest([1, 2]) as k from d where ok)
+select "index", cast(1 as bigint) as pos, 'short' as frame,
+  case trend when 'Tăng' then 'bull' when 'Giảm' then 'bear' else 'neutral' end as tone,
+  case when doc_id % 3 = 0 then trend else trend || ' · ' || lang end as badge, source as comment,
+  cast(k as bigint) as signal_pos, case when k = 1 then lang else source end as signal from s
+union all select "index", 3, 'long', 'neutral', 'flat', '', null, null from d where ok""")
+def report_timeframes_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F21, F13, J6."""
+    return report.report_timeframes(_analysed(spark, sf_dir))
+
+
+@_answered("report_scenarios", """select "index", cast(1 as bigint) as pos, 'Bull ' || source as name, 'bull' as tone,
+  cast(doc_id % 100 as double) as probability, lang as target, '' as condition, '' as description from d where ok
+union all select "index", 2, 'Kịch bản GIẢM', 'bear', 0.0, '', '', '' from d where ok""")
+def report_scenarios_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a probability may be written as a number, as text or with a percent sign."""
+    return report.report_scenarios(_analysed(spark, sf_dir))
+
+
+@_answered("report_levels_comment", """select "index", 'near ' || doc_id as comment from d where ok and kind <> 5""")
+def report_levels_comment_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F20's comment; a part of another type than expected is missing, and the answer stays."""
+    return report.report_levels_comment(_analysed(spark, sf_dir))
+
+
+def _levels_analysis_sql() -> str:
+    key = {"immediate_support": "cast(doc_id as double)", "strong_resistance": "doc_id * 1.5"}
+    parts = []
+    for pos, label, source, field in report.LEVEL_ROWS:
+        val = f"case when ok then {key[field]} end" if field in key else "cast(null as double)" if source == "analysis" else O.q(field)
+        parts.append(f"""select symbol as "index", cast({pos} as bigint) as pos, '{label}' as level, {O.r(val, 2)} as value, {O.fmt_num(val)} as text from both_""")
+    ctes = snapshot_ctes(O.indicator_ctes("supp")) + ",\nsnap as (select symbol, " + snapshot_cols() + " from last),\n" + _ANSWERS \
+        + """,\nboth_ as (select snap.*, d.doc_id, d.ok from snap left join d on d."index" = snap.symbol)"""
+    return O.with_recursive(ctes, "\nunion all\n".join(parts))
+
+
+@register("report_levels_analysis", _levels_analysis_sql())
+def report_levels_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F20 with key levels: supplier snapshots with the answers of the documents of the same number."""
+    snap = snapshot(indicators(bars(spark, sf_dir, "supp"))).withColumnRenamed("symbol", "index")
+    return report.report_levels(snap, _analysed(spark, sf_dir))
+
+
+@register("changes_supp", O.with_recursive(
+    O.bars_cte("supp") + ",\n" + O.last_two_cte(), f"""select symbol, case when pct > 0 then 'pos' when pct < 0 then 'neg' when pct = 0 then 'flat' end as tone,
+  case when pct is null then '—' else case when pct > 0 then '+' else '' end || {O.fixed('pct')} || '%' end as text
+  from (select symbol, {O.PCT} as pct from l2)"""))
+def changes_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """signed percent texts of the newest changes (none for a single bar)."""
+    from tickframe.functions.text import fmt_chg
+    l2 = rank.last_two(rank.scale_fixed(bars(spark, sf_dir, "supp")))
+    c = fmt_chg(rank.pct_change(F.col("close"), F.col("prev_close")))
+    return l2.select("symbol", c["tone"].alias("tone"), c["text"].alias("text"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)

@@ -1,130 +1,134 @@
 """Report tables (F8, F17-F24, J5, P16-P18, S8): the data behind every card.
 
-The reference renders one HTML page per run.  Here each card is a DataFrame
-with one row per index (or per index and item), ordered by explicit rank
-columns, so a front end — or a table writer — can take them as they are.
-HTML is not produced.
+Each card is a DataFrame with one row per index (or per index and item),
+ordered by explicit rank columns.  Cards are built from the flat tables of
+``market.MarketTables`` they need and from nothing else.  HTML is not produced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickframe.functions import labels, text
 from tickframe.functions.numeric import rnd
 from tickframe.functions.text import fixed, fmt_int, fmt_num, fmt_or_na, join_signed_list
+from tickframe.operators.clean import short_circuit_error
+from tickframe.operators.rank import collect_top_lists
 
 NO_DATA = "no data"   # placeholder item of an empty list (F19)
 
 
 # ------------------------------------------------------------------ J5 / F10
-def attach_analysis(doc: DataFrame, answers: DataFrame) -> DataFrame:
-    """``document ⟕ answers(index, raw)`` with the parsed record.
+def analyses(indexes: DataFrame, errors: DataFrame, answers: DataFrame) -> DataFrame:
+    """``index, analysis, error, raw``: the index codes left-joined with their parsed answers.
 
-    Indexes that failed upstream are not analysed (P15): their analysis is an
-    error record carrying the upstream error.
+    An index that failed upstream is not analysed (P15): it keeps the upstream error.
     """
     parsed = answers.select("index", text.parse_analysis("raw").alias("_p"))
-    j = doc.join(parsed, "index", "left")
-    upstream = F.col("error").isNotNull()
-    analysis = F.when(upstream, F.struct(
-        F.lit(None).cast(text.ANALYSIS).alias("analysis"), F.col("error").alias("error"),
-        F.lit(None).cast("string").alias("raw"))).otherwise(F.col("_p"))
-    return j.select(*[c for c in doc.columns], analysis.alias("analysis")).drop("_p")
+    upstream = errors.groupBy("index").agg(F.concat_ws("; ", F.array_sort(F.collect_list("error"))).alias("error"))
+    ok, failed = short_circuit_error(indexes.select("index").join(upstream, "index", "left"))
+    done = ok.join(parsed, "index", "left").select("index", "_p.analysis", "_p.error", "_p.raw")
+    return done.unionByName(failed.select("index", "error"), allowMissingColumns=True)
+
+
+def report_errors(indexes: DataFrame, errors: DataFrame) -> DataFrame:
+    """The card of an index that failed: its errors, one row each."""
+    return indexes.select("index", "ord").join(errors, "index").select("index", "ord", "error")
 
 
 # ------------------------------------------------------------------------ F8
-def build_prompt(doc: DataFrame) -> DataFrame:
-    """F8: one prompt text per index from its snapshot, sectors and movers.
+#: group, label, snapshot field, digits (None: a count), signed
+PROMPT_FIELDS = [
+    ("price", "close", "close", 2, False), ("price", "change %", "change_pct", 2, True),
+    ("price", "open", "open", 2, False), ("price", "high", "high", 2, False), ("price", "low", "low", 2, False),
+    ("volume", "traded", "volume", None, False), ("volume", "20-bar mean", "vol_ma20", 0, False),
+    *[("average", f"{p} bars", f"ma{p}", 2, False) for p in (5, 10, 20, 50, 100, 200)],
+    *[("band", side, f"bb_{side}", 2, False) for side in ("lower", "mid", "upper")],
+    ("momentum", "RSI 14", "rsi14", 1, False), ("momentum", "stochastic K", "stoch_k", 1, False),
+    ("momentum", "stochastic D", "stoch_d", 1, False), ("momentum", "MACD", "macd", 2, False),
+    ("momentum", "MACD signal", "macd_signal", 2, False), ("momentum", "MACD histogram", "macd_hist", 2, False),
+    ("range", "ATR 14", "atr14", 2, False), ("range", "52-week low", "lo52", 2, False), ("range", "52-week high", "hi52", 2, False),
+    *[("pivot", name.upper(), name, 2, False) for name in ("s3", "s2", "s1", "pivot", "r1", "r2", "r3")],
+    *[("retracement", f"{int(f) / 10:g} %", f"fibo_{f}", 2, False) for f in ("236", "382", "500", "618", "786")],
+]
+PROMPT_LISTS = [("strongest sectors", "leading", "name"), ("weakest sectors", "lagging", "name"),
+                ("gainers", "top_gainers", "symbol"), ("losers", "top_losers", "symbol")]
 
-    Same fields as the reference's prompt, own wording.  Rows with an upstream
-    error get no prompt (P15).
-    """
-    s = lambda c: F.col("snapshot")[c]
-    v = lambda c, d=2, sign=False: fmt_or_na(s(c), d, sign)
-    lines = [
-        F.concat(F.lit("Technical analysis of "), F.col("index"), F.lit(" for "),
-                 F.coalesce(s("date"), F.lit("today")), F.lit(".")),
-        F.concat(F.lit("Close: "), v("close"), F.lit(" | Change: "), v("change_pct", 2, True), F.lit("%")),
-        F.concat(F.lit("Open/High/Low: "), v("open"), F.lit(" / "), v("high"), F.lit(" / "), v("low")),
-        F.concat(F.lit("Volume: "), fmt_int(s("volume")), F.lit(" | Volume MA20: "), v("vol_ma20", 0)),
-        F.concat(F.lit("Moving averages: MA5="), v("ma5"), F.lit(" | MA10="), v("ma10"),
-                 F.lit(" | MA20="), v("ma20"), F.lit(" | MA50="), v("ma50"),
-                 F.lit(" | MA100="), v("ma100"), F.lit(" | MA200="), v("ma200")),
-        F.concat(F.lit("Bollinger bands: upper="), v("bb_upper"), F.lit(" | mid="), v("bb_mid"),
-                 F.lit(" | lower="), v("bb_lower")),
-        F.concat(F.lit("RSI(14): "), v("rsi14", 1), F.lit(" | Stochastic %K/%D: "), v("stoch_k", 1),
-                 F.lit("/"), v("stoch_d", 1)),
-        F.concat(F.lit("MACD: "), v("macd"), F.lit(" | signal: "), v("macd_signal"),
-                 F.lit(" | histogram: "), v("macd_hist")),
-        F.concat(F.lit("ATR(14): "), v("atr14")),
-        F.concat(F.lit("Pivot: "), v("pivot"), F.lit(" | R1="), v("r1"), F.lit(" R2="), v("r2"),
-                 F.lit(" R3="), v("r3"), F.lit(" | S1="), v("s1"), F.lit(" S2="), v("s2"),
-                 F.lit(" S3="), v("s3")),
-        F.concat(F.lit("Fibonacci (52-week high="), v("hi52"), F.lit(", low="), v("lo52"),
-                 F.lit("): 23.6%="), v("fibo_236"), F.lit(" | 38.2%="), v("fibo_382"),
-                 F.lit(" | 50%="), v("fibo_500"), F.lit(" | 61.8%="), v("fibo_618"),
-                 F.lit(" | 78.6%="), v("fibo_786")),
-        F.concat(F.lit("Leading sectors: "), join_signed_list(F.col("sectors")["leading"], "name")),
-        F.concat(F.lit("Lagging sectors: "), join_signed_list(F.col("sectors")["lagging"], "name")),
-        F.concat(F.lit("Top gainers: "), join_signed_list(F.col("movers")["top_gainers"], "symbol")),
-        F.concat(F.lit("Top losers: "), join_signed_list(F.col("movers")["top_losers"], "symbol")),
-        F.lit("Answer with one JSON object with the keys summary, market_description, "
-              "support_resistance, timeframe_analysis, scenarios, key_levels, sentiment, "
-              "recommendation."),
-    ]
-    return doc.filter(F.col("error").isNull()).select("index", F.concat_ws("\n", *lines).alias("prompt"))
+
+def answer_shape(t: T.DataType = text.ANALYSIS) -> str:
+    """The answer's schema as text: every key with the type of its value."""
+    if isinstance(t, T.StructType):
+        return "{" + ", ".join(f'"{f.name}": {answer_shape(f.dataType)}' for f in t.fields) + "}"
+    if isinstance(t, T.ArrayType):
+        return f"[{answer_shape(t.elementType)}, ...]"
+    return "number" if isinstance(t, T.DoubleType) else "text"
+
+
+def prompt_rules() -> list[str]:
+    """What the answer must look like, from the record and the vocabularies that parse it."""
+    return ["Reply with one JSON object of this shape and nothing else:", answer_shape(),
+            "trend: " + ", ".join(t for t, _ in labels.TREND_TONE) + "; sentiment: " + ", ".join(s for s, _, _ in labels.SENTIMENT_ICON)
+            + "; probability: percent, all scenarios together 100"]
+
+
+def build_prompt(snap: DataFrame, movers: DataFrame, sectors: DataFrame) -> DataFrame:
+    """F8: one prompt text per index: a line per field of PROMPT_FIELDS, a line per list, the rules."""
+    lists = collect_top_lists(movers, sectors).withColumnRenamed("index", "_ix")
+    j = snap.join(lists, F.col("index") == F.col("_ix"), "left")
+    lines = [F.concat(F.lit("Index "), F.col("index"), F.lit(", bar of "), F.coalesce("date", F.lit("today")))]
+    for group, label, field, digits, sign in PROMPT_FIELDS:
+        value = fmt_int(F.col(field)) if digits is None else fmt_or_na(F.col(field), digits, sign)
+        lines.append(F.concat(F.lit(f"[{group}] {label} = "), value))
+    lines += [F.concat(F.lit(f"[market] {label} = "), join_signed_list(F.col(column), name)) for label, column, name in PROMPT_LISTS]
+    lines += [F.lit(rule) for rule in prompt_rules()]
+    return j.select("index", F.concat_ws("\n", *lines).alias("prompt"))
 
 
 # ----------------------------------------------------------------------- F17
-def report_hero(doc: DataFrame) -> DataFrame:
+def report_hero(snap: DataFrame) -> DataFrame:
     """F17 + F16: code, price, signed change, date, volume, high, low."""
-    s = lambda c: F.col("snapshot")[c]
-    d = labels.hero_direction(s("change_pct"))
-    sign = d["sign"]
-    change = F.concat(sign, fixed(s("change"), 2), F.lit(" ("), sign, fixed(s("change_pct"), 2), F.lit("%)"))
-    return doc.filter(F.col("error").isNull()).select(
-        "index", d["css"].alias("css"), fmt_num(s("close")).alias("price"), change.alias("change"),
-        F.coalesce(s("date"), F.lit("")).alias("date"), fmt_int(s("volume")).alias("volume"),
-        fmt_num(s("high")).alias("high"), fmt_num(s("low")).alias("low"))
+    d = labels.hero_direction("change_pct")
+    change = F.concat(d["sign"], fixed("change", 2), F.lit(" ("), d["sign"], fixed("change_pct", 2), F.lit("%)"))
+    return snap.select(
+        "index", d["tone"].alias("tone"), fmt_num("close").alias("price"), change.alias("change"),
+        F.coalesce("date", F.lit("")).alias("date"), fmt_int("volume").alias("volume"),
+        fmt_num("high").alias("high"), fmt_num("low").alias("low"))
 
 
 # ----------------------------------------------------------------------- F18
-def report_summary(doc_with_analysis: DataFrame) -> DataFrame:
+def report_summary(analysed: DataFrame) -> DataFrame:
     """shown only when the analysis has a summary."""
-    a = F.col("analysis")["analysis"]
-    sent = F.coalesce(a["sentiment"], F.lit(labels.NEUTRAL_SENTIMENT))
-    icon = labels.sentiment_icon(sent)
-    return doc_with_analysis.filter(F.coalesce(a["summary"], F.lit("")) != "").select(
-        "index", icon["css"].alias("css"), icon["text"].alias("sentiment"),
+    a = F.col("analysis")
+    icon = labels.sentiment_icon(F.coalesce(a["sentiment"], F.lit(labels.NEUTRAL_SENTIMENT)))
+    return analysed.filter(F.coalesce(a["summary"], F.lit("")) != "").select(
+        "index", icon["tone"].alias("tone"), icon["text"].alias("sentiment"),
         F.coalesce(a["market_description"], a["summary"]).alias("description"),
         F.nullif(a["recommendation"], F.lit("")).alias("recommendation"))
 
 
 # ----------------------------------------------------------------------- F19
-def report_movers(doc: DataFrame) -> DataFrame:
-    """four lists (leading / lagging sectors, top gainers / losers).
+MOVER_LISTS = ("leading", "lagging", "gainers", "losers")
 
-    One row per item with a signed percent; an empty list yields one
-    placeholder row with ``rank`` 0.  The four lists are concatenated and
-    exploded once, so the document is read once.
+
+def report_movers(movers: DataFrame, sectors: DataFrame, reported: DataFrame) -> DataFrame:
+    """four lists (leading / lagging sectors, top gainers / losers) of each ``reported`` index.
+
+    One row per item with a signed percent; an empty list has one placeholder row with rank 0.
     """
-    def items(arr: Column, label: str, name: str, css: str) -> Column:
-        tagged = F.transform(arr, lambda x, i: F.struct(
-            F.lit(label).alias("list"), (i + 1).cast("long").alias("rank"), x[name].alias("name"),
-            F.lit(css).alias("css"), x["change_pct"].alias("change_pct")))
-        empty = F.array(F.struct(F.lit(label).alias("list"), F.lit(0).cast("long").alias("rank"),
-                                 F.lit(NO_DATA).alias("name"), F.lit(None).cast("string").alias("css"),
-                                 F.lit(None).cast("double").alias("change_pct")))
-        return F.when(F.coalesce(F.size(arr), F.lit(0)) > 0, tagged).otherwise(empty)
-    all_items = F.concat(items(F.col("sectors")["leading"], "leading", "name", "pos"),
-                         items(F.col("sectors")["lagging"], "lagging", "name", "neg"),
-                         items(F.col("movers")["top_gainers"], "gainers", "symbol", "pos"),
-                         items(F.col("movers")["top_losers"], "losers", "symbol", "neg"))
-    e = doc.filter(F.col("error").isNull()).select("index", F.explode(all_items).alias("_it"))
-    return e.select("index", "_it.list", "_it.rank", "_it.name", "_it.css",
-                    F.concat(fixed(F.col("_it.change_pct"), 2, sign=True), F.lit("%")).alias("change"))
+    def sector(name: str, place: str, tone: str) -> DataFrame:
+        return sectors.filter(F.col(place).isNotNull()).select(
+            "index", F.lit(name).alias("list"), F.col(place).alias("rank"), F.col("sector").alias("name"), F.lit(tone).alias("tone"), "change_pct")
+
+    side = F.col("side") == "gainer"
+    stocks = movers.select("index", F.when(side, "gainers").otherwise("losers").alias("list"), "rank", F.col("symbol").alias("name"),
+                           F.when(side, "pos").otherwise("neg").alias("tone"), "change_pct")
+    items = sector("leading", "lead_rank", "pos").unionByName(sector("lagging", "lag_rank", "neg")).unionByName(stocks)
+    wanted = reported.select("index", F.explode(F.array(*map(F.lit, MOVER_LISTS))).alias("list"))
+    return wanted.join(items, ["index", "list"], "left").select(
+        "index", "list", F.coalesce("rank", F.lit(0)).cast("long").alias("rank"), F.coalesce("name", F.lit(NO_DATA)).alias("name"),
+        "tone", F.concat(fixed("change_pct", 2, sign=True), F.lit("%")).alias("change"))
 
 
 # ----------------------------------------------------------------------- F20
@@ -142,68 +146,56 @@ LEVEL_ROWS = [  # (order, label, source, field)
 ]
 
 
-def report_levels(doc: DataFrame) -> DataFrame:
+def report_levels(snap: DataFrame, analysed: DataFrame | None = None) -> DataFrame:
     """support / resistance card as rows ``index, pos, level, value, text``.
 
     Key levels come from the analysis (null without one), the rest from the
     snapshot; R3, S3 and the 78.6 % level are shown too (N15).
     """
-    has_analysis = "analysis" in doc.columns
-    def src(source: str, field: str) -> Column:
-        if source == "analysis":
-            return (F.col("analysis")["analysis"]["key_levels"][field] if has_analysis
-                    else F.lit(None).cast("double"))
-        return F.col("snapshot")[field]
+    if analysed is None:
+        j = snap.withColumn("_key", F.lit(None).cast(text.ANALYSIS["key_levels"].dataType))
+    else:
+        j = snap.join(analysed.select("index", F.col("analysis.key_levels").alias("_key")), "index", "left")
     rows = F.array(*[F.struct(F.lit(o).cast("long").alias("pos"), F.lit(lbl).alias("level"),
-                              src(so, fld).cast("double").alias("value"))
+                              (F.col("_key")[fld] if so == "analysis" else F.col(fld)).cast("double").alias("value"))
                      for o, lbl, so, fld in LEVEL_ROWS])
-    e = doc.filter(F.col("error").isNull()).select("index", F.explode(rows).alias("_r"))
-    return e.select("index", "_r.pos", "_r.level", rnd(F.col("_r.value"), 2).alias("value"),
-                    fmt_num(F.col("_r.value")).alias("text"))
+    return j.select("index", F.explode(rows).alias("_r")).select(
+        "index", "_r.pos", "_r.level", rnd("_r.value", 2).alias("value"), fmt_num("_r.value").alias("text"))
 
 
-def report_levels_comment(doc_with_analysis: DataFrame) -> DataFrame:
+def report_levels_comment(analysed: DataFrame) -> DataFrame:
     """F20 comment line: only when the analysis has one."""
-    c = F.col("analysis")["analysis"]["support_resistance"]["comment"]
-    return doc_with_analysis.filter(F.coalesce(c, F.lit("")) != "").select("index", c.alias("comment"))
+    c = F.col("analysis.support_resistance.comment")
+    return analysed.filter(F.coalesce(c, F.lit("")) != "").select("index", c.alias("comment"))
 
 
 # ----------------------------------------------------------------------- F21
 TIMEFRAMES = [(1, "short", "short_term"), (2, "mid", "mid_term"), (3, "long", "long_term")]
 
 
-def report_timeframes(doc_with_analysis: DataFrame) -> DataFrame:
-    """three cards; a missing card is skipped; one row per signal.
-
-    Rows: ``index, pos, frame, css, badge, comment, signal_pos, signal`` (a
-    card without signals has one row with a null signal).
-    """
-    ta = F.col("analysis")["analysis"]["timeframe_analysis"]
+def report_timeframes(analysed: DataFrame) -> DataFrame:
+    """three cards; a missing card is skipped; one row per signal (a card without signals: one null signal)."""
     cards = F.array(*[F.struct(F.lit(o).cast("long").alias("pos"), F.lit(lbl).alias("frame"),
-                               ta[key].alias("tf")) for o, lbl, key in TIMEFRAMES])
-    e = doc_with_analysis.select("index", F.explode(cards).alias("_c")).filter(F.col("_c.tf").isNotNull())
+                               F.col("analysis.timeframe_analysis")[key].alias("tf")) for o, lbl, key in TIMEFRAMES])
+    e = analysed.select("index", F.explode(cards).alias("_c")).filter(F.col("_c.tf").isNotNull())
     badge = labels.trend_badge(F.col("_c.tf.trend"), F.col("_c.tf.strength"))
-    e = e.select("index", "_c", badge.alias("_b"))
-    e = e.select("index", "_c.pos", "_c.frame", F.col("_b.css").alias("css"),
-                 F.col("_b.text").alias("badge"),
-                 F.coalesce(F.col("_c.tf.comment"), F.lit("")).alias("comment"),
-                 F.posexplode_outer(F.col("_c.tf.signals")).alias("_sp", "signal"))
-    return e.select("index", "pos", "frame", "css", "badge", "comment",
-                    (F.col("_sp") + 1).cast("long").alias("signal_pos"), "signal")
+    e = e.withColumn("_b", badge).select(
+                 "index", "_c.pos", "_c.frame", F.col("_b.tone").alias("tone"), F.col("_b.text").alias("badge"),
+                 F.coalesce("_c.tf.comment", F.lit("")).alias("comment"), F.posexplode_outer("_c.tf.signals").alias("_sp", "signal"))
+    return e.select("index", "pos", "frame", "tone", "badge", "comment", (F.col("_sp") + 1).cast("long").alias("signal_pos"), "signal")
 
 
 # ----------------------------------------------------------------------- F22
-def report_scenarios(doc_with_analysis: DataFrame) -> DataFrame:
+def report_scenarios(analysed: DataFrame) -> DataFrame:
     """one row per scenario with its class; probability defaults to 0."""
-    sc = F.col("analysis")["analysis"]["scenarios"]
-    e = doc_with_analysis.select("index", F.posexplode(sc).alias("_p", "_s"))
+    e = analysed.select("index", F.posexplode("analysis.scenarios").alias("_p", "_s"))
     return e.select("index", (F.col("_p") + 1).cast("long").alias("pos"),
-                    F.coalesce(F.col("_s.name"), F.lit("")).alias("name"),
-                    labels.scenario_class(F.col("_s.name")).alias("css"),
-                    F.coalesce(F.col("_s.probability"), F.lit(0.0)).alias("probability"),
-                    F.coalesce(F.col("_s.target"), F.lit("")).alias("target"),
-                    F.coalesce(F.col("_s.condition"), F.lit("")).alias("condition"),
-                    F.coalesce(F.col("_s.description"), F.lit("")).alias("description"))
+                    F.coalesce("_s.name", F.lit("")).alias("name"),
+                    labels.scenario_class("_s.name").alias("tone"),
+                    F.coalesce("_s.probability", F.lit(0.0)).alias("probability"),
+                    F.coalesce("_s.target", F.lit("")).alias("target"),
+                    F.coalesce("_s.condition", F.lit("")).alias("condition"),
+                    F.coalesce("_s.description", F.lit("")).alias("description"))
 
 
 # ----------------------------------------------------------------------- F23
@@ -220,44 +212,28 @@ INDICATOR_ROWS = [  # (pos, group, label, field, decimals, status)
 ]
 
 
-def report_indicators(doc: DataFrame, strict_rsi: bool = False) -> DataFrame:
+def report_indicators(snap: DataFrame, strict_rsi: bool = False) -> DataFrame:
     """17 ``(label, value, status)`` rows per index with F11 / F12 statuses."""
-    s = F.col("snapshot")
-    def status(kind):
-        if kind == "rsi":
-            return labels.rsi_status(s["rsi14"], strict_rsi)
-        if kind == "macd":
-            return labels.macd_status(s["macd_hist"])
-        return F.lit(None).cast("string")
-    rows = F.array(*[F.struct(F.lit(p).cast("long").alias("pos"), F.lit(g).alias("grp"),
-                              F.lit(lbl).alias("label"), fmt_num(s[f], d).alias("value"),
-                              status(st).alias("status"))
-                     for p, g, lbl, f, d, st in INDICATOR_ROWS])
-    return doc.filter(F.col("error").isNull()).select("index", F.explode(rows).alias("_r")) \
-        .select("index", "_r.*")
+    status = {"rsi": labels.rsi_status("rsi14", strict_rsi), "macd": labels.macd_status("macd_hist"), None: F.lit(None).cast("string")}
+    rows = F.array(*[F.struct(F.lit(p).cast("long").alias("pos"), F.lit(g).alias("grp"), F.lit(lbl).alias("label"),
+                              fmt_num(f, d).alias("value"), status[st].alias("status")) for p, g, lbl, f, d, st in INDICATOR_ROWS])
+    return snap.select("index", F.explode(rows).alias("_r")).select("index", "_r.*")
 
 
 # ------------------------------------------------------------------- P16-P18
-def _ohlcv_rows(doc: DataFrame) -> DataFrame:
-    return doc.filter(F.col("error").isNull()).select("index", F.posexplode("ohlcv").alias("pos", "_o")) \
-        .select("index", (F.col("pos") + 1).cast("long").alias("pos"), "_o.*")
-
-
 def truthy(x: Column) -> Column:
     """JavaScript truthiness of a number: non-null and non-zero."""
     return x.isNotNull() & (x != 0)
 
 
-def chart_candles(doc: DataFrame) -> DataFrame:
+def chart_candles(ohlcv: DataFrame) -> DataFrame:
     """Candles whose close is truthy."""
-    o = _ohlcv_rows(doc)
-    return o.filter(truthy(F.col("close"))).select("index", "pos", "time", "open", "high", "low", "close")
+    return ohlcv.filter(truthy(F.col("close"))).select("index", "pos", "time", "open", "high", "low", "close")
 
 
-def chart_volume(doc: DataFrame) -> DataFrame:
+def chart_volume(ohlcv: DataFrame) -> DataFrame:
     """Volume bars with a truthy volume; up colour when close >= open."""
-    o = _ohlcv_rows(doc)
-    return o.filter(truthy(F.col("volume"))).select(
+    return ohlcv.filter(truthy(F.col("volume"))).select(
         "index", "pos", "time", F.col("volume").alias("value"),
         F.when(F.col("close") >= F.col("open"), F.lit("up")).otherwise(F.lit("down")).alias("color"))
 
@@ -265,21 +241,23 @@ def chart_volume(doc: DataFrame) -> DataFrame:
 CHART_LINES = ["ma5", "ma10", "ma20", "ma50", "ma100", "ma200", "bb_upper", "bb_mid", "bb_lower"]
 
 
-def chart_lines(doc: DataFrame) -> DataFrame:
+def chart_lines(ohlcv: DataFrame) -> DataFrame:
     """The 6 MA and 3 band lines, long form, truthy points only."""
-    o = _ohlcv_rows(doc)
-    long = o.unpivot(["index", "pos", "time"], CHART_LINES, "line", "value")
+    long = ohlcv.unpivot(["index", "pos", "time"], CHART_LINES, "line", "value")
     return long.filter(truthy(F.col("value")))
 
 
-def view_range(doc: DataFrame, days: int) -> DataFrame:
-    """W13 for the chart zoom buttons: the last ``days`` export rows (by count)."""
-    o = _ohlcv_rows(doc)
-    n = F.max("pos").over(Window.partitionBy("index"))     # <= 365 export rows per index
-    return o.withColumn("_n", n).filter(F.col("pos") > F.col("_n") - F.lit(days)).drop("_n")
+VIEW_DAYS = (30, 90, 180, 365)
+
+
+def view_range(ohlcv: DataFrame, days: int) -> DataFrame:
+    """W13 for the chart zoom buttons: the last ``days`` export rows of each index (by count)."""
+    n = F.max("pos").over(Window.partitionBy("index"))     # the export bounds the rows of an index
+    return ohlcv.withColumn("_n", n).filter(F.col("pos") > F.col("_n") - F.lit(days)).drop("_n")
 
 
-def series_json(doc: DataFrame) -> DataFrame:
+def series_json(ohlcv: DataFrame) -> DataFrame:
     """One JSON array of the export rows per index (the embedded chart data)."""
-    return doc.filter(F.col("error").isNull()).select(
-        "index", F.size("ohlcv").cast("long").alias("points"), F.to_json("ohlcv").alias("json"))
+    fields = [c for c in ohlcv.columns if c not in ("index", "symbol", "rn", "pos")]
+    return ohlcv.groupBy("index").agg(F.array_sort(F.collect_list(F.struct("pos", *fields))).alias("_o")).select(
+        "index", F.size("_o").cast("long").alias("points"), F.to_json(F.transform("_o", lambda x: x.dropFields("pos"))).alias("json"))

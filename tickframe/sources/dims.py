@@ -1,4 +1,6 @@
-"""Constant dimensions (S5): index config, universes, sector map, labels.
+"""Constant dimensions of the test tables (S5): index config, universes, sector map.
+
+A job gets its own tables (``plans/job.py``); these serve the registered queries.
 
 The reference keeps three index codes, two symbol lists (the wide one is the
 narrow one plus 20 more, one of them repeated) and a sector map as Python
@@ -30,12 +32,19 @@ WIDE_BRANDS = 25
 REPEATED_BRAND = 7
 SECTORS = 7              # sectors 0..6; remainder 7 has none
 EXTRA_MEMBER = ("Brand#99", 6)
-MOVER_CAP = 30           # only the first 30 symbols of a universe are ranked (P11)
-TOP_K = 3
+MOVER_CAP = 30           # the cap that one query passes explicitly (P11)
+
+
+def values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """Constant rows as a local relation: Spark knows its size and may broadcast it."""
+    def literal(v) -> str:
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "\\'") + "'"
+    body = ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows)
+    return spark.sql(f"select * from values {body} as t({columns})")
 
 
 def dim_index(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(INDEX_ROWS, "index string, ticker string, ord int")
+    return values(spark, INDEX_ROWS, "index, ticker, ord")
 
 
 def dim_universe(spark: SparkSession, dedupe: bool = True) -> DataFrame:
@@ -43,20 +52,11 @@ def dim_universe(spark: SparkSession, dedupe: bool = True) -> DataFrame:
 
     With ``dedupe`` the repeated entry keeps its lowest ordinal (N8).
     """
-    narrow = spark.range(1, NARROW_BRANDS + 1).select(F.col("id").cast("int").alias("ord"))
-    wide = spark.range(1, WIDE_BRANDS + 1).select(F.col("id").cast("int").alias("ord"))
-    brand = F.concat(F.lit("Brand#"), F.col("ord").cast("string"))
-    parts = [narrow.select(F.lit(ix).alias("index"), brand.alias("symbol"), "ord")
-             for ix in ("IX_ALL", "IX_TOP")]
-    parts.append(wide.select(F.lit("IX_WIDE").alias("index"), brand.alias("symbol"), "ord"))
-    parts.append(spark.createDataFrame([("IX_WIDE", f"Brand#{REPEATED_BRAND}", WIDE_BRANDS + 1)],
-                                       "index string, symbol string, ord int"))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionAll(p)
-    if dedupe:
-        u = u.groupBy("index", "symbol").agg(F.min("ord").alias("ord"))
-    return u
+    rows = [(ix, f"Brand#{n}", n) for ix, size in (("IX_ALL", NARROW_BRANDS), ("IX_TOP", NARROW_BRANDS), ("IX_WIDE", WIDE_BRANDS))
+            for n in range(1, size + 1)]
+    rows.append(("IX_WIDE", f"Brand#{REPEATED_BRAND}", WIDE_BRANDS + 1))
+    u = values(spark, rows, "index, symbol, ord")
+    return u.groupBy("index", "symbol").agg(F.min("ord").alias("ord")) if dedupe else u
 
 
 def sector_rows() -> list[tuple[str, int, str]]:
@@ -69,7 +69,7 @@ def sector_rows() -> list[tuple[str, int, str]]:
 
 def dim_sector(spark: SparkSession) -> DataFrame:
     """Sector map: ``sector, sector_ord, symbol`` (sector_ord = map order)."""
-    return spark.createDataFrame(sector_rows(), "sector string, sector_ord int, symbol string")
+    return values(spark, sector_rows(), "sector, sector_ord, symbol")
 
 
 def dim_supplier_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,15 +78,3 @@ def dim_supplier_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(F.lit("IX_SUPP").alias("index"),
                     F.col("s_suppkey").cast("string").alias("symbol"),
                     F.col("s_suppkey").cast("int").alias("ord"))
-
-
-# Report labels (Vietnamese strings kept as data, as in the reference).
-TREND_CLASS = [("Tăng", "badge-bull"), ("Giảm", "badge-bear"), ("Đi ngang", "badge-neutral")]
-SENTIMENT_ICON = [("Tích cực", "↑", "pos"), ("Tiêu cực", "↓", "neg"), ("Trung lập", "→", "flat")]
-
-
-def dim_labels(spark: SparkSession) -> DataFrame:
-    """J6 lookup: ``kind, code, label, css``."""
-    rows = [("trend", t, None, c) for t, c in TREND_CLASS]
-    rows += [("sentiment", s, i, c) for s, i, c in SENTIMENT_ICON]
-    return spark.createDataFrame(rows, "kind string, code string, label string, css string")

@@ -109,3 +109,53 @@ def time_text(col: str | Column = "time") -> Column:
     """Bar time as text: ``yyyy-MM-dd`` for dates, ``yyyy-MM-dd HH:mm:ss`` for hours."""
     c = F.col(col) if isinstance(col, str) else col
     return c.cast("string")
+
+
+# ------------------------------------------------------------ derived test inputs
+def dirty(b: DataFrame) -> DataFrame:
+    """Bars with faults by day of month: NaN close (13), infinite high (14), null open (17), NaN volume (18), a second copy (19)."""
+    day = F.dayofmonth("time")
+    bad = b.select(
+        "symbol", "time", F.when(day != 17, F.col("open")).alias("open"),
+        F.when(day == 14, F.lit(float("inf"))).otherwise(F.col("high")).alias("high"), "low",
+        F.when(day == 13, F.lit(float("nan"))).otherwise(F.col("close")).alias("close"),
+        F.when(day == 18, F.lit(float("nan"))).otherwise(F.col("volume")).alias("volume"))
+    return bad.unionAll(bad.filter(F.dayofmonth("time") == 19))
+
+
+def rendered_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``index, raw``: one analysis answer per document, written in six ways by its id.
+
+    Plain, fenced, fenced without a newline, cut short, followed by another
+    object, and with loosely typed leaves; the summary is the document's text.
+    """
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    kind = F.col("doc_id") % 6
+    number = F.col("doc_id").cast("string")
+    trend = F.element_at(F.array(F.lit("Tăng"), F.lit("Giảm"), F.lit("Đi ngang"), F.col("source")), (F.col("doc_id") % 4 + 1).cast("int"))
+    sentiment = F.element_at(F.array(F.lit("Tích cực"), F.lit("Tiêu cực"), F.lit("Trung lập"), F.lit(None).cast("string"), F.col("lang")),
+                             (F.col("doc_id") % 5 + 1).cast("int"))
+    frames = F.struct(
+        F.struct(trend.alias("trend"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang")).alias("strength"),
+                 F.array("lang", "source").alias("signals"), F.col("source").alias("comment")).alias("short_term"),
+        F.struct(F.lit("flat").alias("trend"), F.array().cast("array<string>").alias("signals")).alias("long_term"))
+    scenarios = F.array(
+        F.struct(F.concat(F.lit("Bull "), "source").alias("name"), F.when(kind == 5, F.concat((F.col("doc_id") % 100).cast("string"), F.lit("%")))
+                 .otherwise((F.col("doc_id") % 100).cast("string")).alias("probability"), F.col("lang").alias("target")),
+        F.struct(F.lit("Kịch bản GIẢM").alias("name"), F.lit(None).cast("string").alias("probability"), F.lit(None).cast("string").alias("target")))
+    levels = F.struct(F.when(kind == 5, F.format_number("doc_id", 0)).otherwise(number).alias("immediate_support"),
+                      (F.col("doc_id") * 1.5).alias("strong_resistance"), F.lit("n/a").alias("strong_support"))
+    common = [F.col("text").alias("summary"), frames.alias("timeframe_analysis"), scenarios.alias("scenarios"), levels.alias("key_levels"),
+              sentiment.alias("sentiment"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise("").alias("recommendation")]
+    comment = F.struct(F.concat(F.lit("near "), number).alias("comment"))
+    body = F.when(kind == 5, F.to_json(F.struct(*common, F.lit("plain text").alias("support_resistance")))) \
+        .otherwise(F.to_json(F.struct(*common, comment.alias("support_resistance"))))
+    raw = (F.when(kind == 1, F.concat(F.lit(" ```json\n"), body, F.lit("\n```\n"))).when(kind == 2, F.concat(F.lit("```"), body, F.lit("```")))
+           .when(kind == 3, F.expr("substring(_body, 1, length(_body) - 1)")).when(kind == 4, F.concat(body, F.lit(' {"x": 1}'))).otherwise(body))
+    return d.withColumn("_body", body).select(number.alias("index"), raw.alias("raw"))
+
+
+def answered_indexes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``index, ord`` of every document and ``index, error`` of those that count as failed upstream."""
+    d = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("index"), F.col("doc_id").alias("ord"))
+    return d, d.filter("ord % 7 = 0").select("index", F.lit("no data").alias("error"))
