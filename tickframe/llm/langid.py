@@ -94,9 +94,18 @@ def grams(s: np.ndarray, k: int) -> np.ndarray:
 
 # ------------------------------------------------------------------ training
 def labelled_sample(docs: DataFrame, rows: int, chars: int) -> DataFrame:
-    """(label, text, fit): the bounded sample described above."""
+    """(label, text, fit): the bounded sample described above, from (label, id, text, pick).
+
+    The limit of ``pick`` per label comes from narrow rows, first within 64 parts
+    of a label, so that no task sees a whole label; texts follow once it is known.
+    """
+    def first(df: DataFrame, *by: str) -> DataFrame:
+        return df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("pick"))).filter(F.col("_n") <= rows).drop("_n")
+
+    narrow = docs.select("label", "pick", F.pmod("pick", F.lit(64)).alias("part"))
+    limit = first(first(narrow, "label", "part"), "label").groupBy("label").agg(F.max("pick").alias("limit"))
     order = Window.partitionBy("label").orderBy("pick", "id", "text")
-    few = docs.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows)
+    few = docs.join(limit, "label").filter("pick <= limit").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows)
     size = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return few.withColumn("held", size).filter((F.col("held") <= chars) | (F.col("nth") == 1)) \
         .withColumn("fit", (F.col("nth") % 5 != 0)).select("label", "text", "fit", "pick")
