@@ -7,13 +7,14 @@ at least ``o`` common elements are cut to their first ``size - o + l`` elements,
 the cuts share at least ``l``.  Each document picks its own ``l``: a longer
 prefix costs rows and postings, but fewer pairs share so many elements of it;
 the estimated cost of both decides.  A pair must share ``min(l, l')`` elements
-of its prefixes, is looked at under its first common one only, and is verified
-with the whole sets.
-
-A shingle with few documents joins them directly.  A frequent one deals them
-into blocks, and a task takes two blocks, compares them as matrices and returns
-no pairs: only each document's number of links and a star per linked group,
-which is all that degrees and components need.  So neither rows nor a task grow
+of its prefixes, and is then verified with the whole sets.
+
+Documents that share a shingle of few documents are joined directly and their
+common shingles counted.  A frequent shingle deals its documents into blocks; a
+task takes two blocks, compares as matrices the pairs that share frequent
+shingles alone (under the first one), and returns no pairs: only each document's
+number of links and a star per linked group, which is all that degrees and
+components need.  So neither rows nor a task grow
 with the square of a group, and nothing is capped.
 
 Cases: documents without words have the empty set, link with nothing and are a
@@ -181,15 +182,19 @@ def _linked(common: np.ndarray, n1: np.ndarray, n2: np.ndarray, percent: int) ->
     return 100 * common >= percent * (n1 + n2 - common)
 
 
-def direct_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): candidate classes under shingles with few of them."""
-    few = entries.filter(F.col("p") <= DIRECT)
+def direct_pairs(found: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes that share shingles of few classes, and enough of them.
+
+    What both may share of frequent shingles counts in full, so no pair is lost.
+    """
+    few = found.select("cid", "n", "matches", F.size(F.filter("found", lambda f: f["p"] > DIRECT)).alias("more"), F.explode("found").alias("f")) \
+        .filter(F.col("f.p") <= DIRECT).select("cid", "n", "matches", "more", "f.token")
     a, b = few.alias("a"), few.alias("b")
-    return a.join(b, F.expr(f"""a.token = b.token and a.cid < b.cid
-            and 100L * least(a.n, b.n) >= {percent}L * greatest(a.n, b.n)
-            and array_min(array_intersect(a.tokens, b.tokens)) = a.token
-            and size(array_intersect(a.tokens, b.tokens)) >= least(a.matches, b.matches)""")) \
-        .select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b"))
+    together = a.join(b, F.expr(f"""a.token = b.token and a.cid < b.cid
+            and 100L * least(a.n, b.n) >= {percent}L * greatest(a.n, b.n)"""))
+    return together.groupBy(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).agg(
+        F.count(F.lit(1)).alias("c"), F.max(F.expr("least(a.matches, b.matches) - least(a.more, b.more)")).alias("need")) \
+        .filter("c >= need").select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, names: DataFrame, percent: int) -> DataFrame:
@@ -238,9 +243,15 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def block_links(entries: DataFrame, sets: DataFrame, names: DataFrame, percent: int) -> DataFrame:
-    """(cid, root, weight) of the links under shingles with many classes, two blocks of classes at a time."""
-    many = entries.filter(F.col("p") > DIRECT).join(names.select("cid", "sig", "copies"), "cid").join(sets, "sig")
+def block_links(found: DataFrame, sets: DataFrame, names: DataFrame, percent: int) -> DataFrame:
+    """(cid, root, weight) of the links of pairs that share frequent shingles alone, two blocks of classes at a time."""
+    def tokens(often: bool):
+        return F.transform(F.filter("found", lambda f: (f["p"] > DIRECT) if often else (f["p"] <= DIRECT)), lambda f: f["token"])
+
+    many = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)) \
+        .select("cid", "n", "matches", tokens(True).alias("often"), tokens(False).alias("seldom"), F.explode("found").alias("f")) \
+        .filter(F.col("f.p") > DIRECT).select("cid", "n", "matches", "often", "seldom", "f.*") \
+        .join(names.select("cid", "sig", "copies"), "cid").join(sets, "sig")
     blocks = F.ceil(F.col("p") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
     dealt = many.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
@@ -250,22 +261,23 @@ def block_links(entries: DataFrame, sets: DataFrame, names: DataFrame, percent:
     def run(table: pa.Table) -> pa.Table:
         first = np.unique(np.asarray(table.column("cid")), return_index=True)[1]
         table = table.take(pa.array(first))               # a class has several rows if its id stands in several
-        col = {f: table.column(f) for f in ("cid", "n", "matches", "tokens", "shingles", "copies", "block", "lo", "hi")}
-        token = table.column("token")[0].as_py()          # tokens are compared as signed numbers, as Spark does
+        col = {f: table.column(f) for f in ("cid", "n", "matches", "often", "seldom", "shingles", "copies", "block", "lo", "hi")}
+        token = table.column("token")[0].as_py()
         block = np.asarray(col["block"])
         same = col["lo"][0].as_py() == col["hi"][0].as_py()
         left = np.flatnonzero(block == col["lo"][0].as_py())
         right = left if same else np.flatnonzero(block != col["lo"][0].as_py())
         n, need, copies = (np.asarray(col[f]).astype(np.int64) for f in ("n", "matches", "copies"))
-        tokens = [np.array(t, np.int64) for t in col["tokens"].to_pylist()]
+        often, seldom = ([np.array(t, np.int64) for t in col[f].to_pylist()] for f in ("often", "seldom"))
         whole = [np.frombuffer(s, np.uint64) for s in col["shingles"].to_pylist()]
 
         def counted(of: list[np.ndarray]) -> np.ndarray:
             return _common([of[i] for i in left], [of[i] for i in right])
 
         n1, n2 = n[left][:, None], n[right][None, :]
-        before = counted([t[t < token] for t in tokens])
-        ok = (before == 0) & (counted(tokens) >= np.minimum(need[left][:, None], need[right][None, :]))
+        # pairs that share a seldom shingle were joined directly; the others are looked at under their first one
+        ok = (counted(seldom) == 0) & (counted([t[t < token] for t in often]) == 0)
+        ok &= counted(often) >= np.minimum(need[left][:, None], need[right][None, :])
         ok &= 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)
         if same:
             ok &= ~np.eye(len(left), dtype=bool)          # both directions of each pair stay
@@ -288,7 +300,7 @@ def block_links(entries: DataFrame, sets: DataFrame, names: DataFrame, percent:
         some = np.flatnonzero(weight > 0)
         return pa.Table.from_batches([batch_of(schema, [cids[some], cids[root[some]], weight[some]])])
 
-    cols = ["token", "lo", "hi", "cid", "n", "matches", "tokens", "shingles", "copies", "block"]
+    cols = ["token", "lo", "hi", "cid", "n", "matches", "often", "seldom", "shingles", "copies", "block"]
     return dealt.select(*cols).groupBy("token", "lo", "hi").applyInArrow(run, "cid long, root long, weight long")
 
 
@@ -324,13 +336,11 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "d
     shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("p")).filter("p > 1")
     found = written(rows.join(shared, "token").groupBy("cid").agg(F.collect_list(F.struct("token", "p")).alias("found"))
                     .join(cls.select("cid", "n", "matches"), "cid"))
-    entries = found.select("cid", "n", "matches", F.col("found.token").alias("tokens"), F.explode("found").alias("f")) \
-        .select("cid", "n", "matches", "tokens", "f.token", "f.p")
-    pairs = written(direct_pairs(entries, percent))
-    hot = entries.filter(F.col("p") > DIRECT).select("cid")
+    pairs = written(direct_pairs(found, percent))
+    hot = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)).select("cid")
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(hot).distinct()
     whole = whole_sets(texts, written(names.join(wanted, "cid").select("rep")), words)
-    links = written(verified(pairs, whole, names, percent).union(block_links(entries, whole, names, percent)))
+    links = written(verified(pairs, whole, names, percent).union(block_links(found, whole, names, percent)))
     group = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     degree = links.groupBy("cid").agg(F.sum("weight").alias("links"))
     named = names.join(group, F.col("cid") == F.col("node"), "left").join(degree, "cid", "left") \
