@@ -19,10 +19,3 @@ def rnd(x: str | Column, d: int = 2) -> Column:
     """
     c = F.col(x) if isinstance(x, str) else x
     return F.round(F.round(c, NOISE_PLACES), d)
-
-
-def safe_float(x: str | Column, d: int = 2) -> Column:
-    """F1 ``safe_float``: numeric text or number -> rounded double, failure -> null."""
-    c = F.col(x) if isinstance(x, str) else x
-    return rnd(c.try_cast("double"), d)
-

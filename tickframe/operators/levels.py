@@ -62,7 +62,7 @@ def change(close: Column, prev_close: Column) -> tuple[Column, Column]:
 
 
 def snapshot(ind: DataFrame, keys: tuple[str, ...] = ("symbol",), digits: int = 2) -> DataFrame:
-    """L4: the 39-field latest-bar record per symbol, rounded like ``safe_float``.
+    """L4: the 39-field latest-bar record per symbol, rounded half-up.
 
     A one-bar series uses its only bar as the previous one (change 0).
     """
