@@ -12,8 +12,8 @@ Tokens are the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end
 token per text.  A pair's hash is a bijection of both token numbers, so pairs
 never collide and spread evenly over the ranges whatever the hot words are.
 Unknown words share the probability that the lowest order leaves to one unseen
-word.  The order is two: triples of this corpus would take more disk than three
-times the input.
+word.  The order is two: while pairs are counted and stored, they already take
+three times the input in disk.
 
 Files are written under a temporary name and renamed, so a task that runs twice
 leaves the same file.  The folder must be mounted on every worker.
