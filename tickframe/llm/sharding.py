@@ -65,17 +65,20 @@ def histogram(keys: DataFrame, probes: list[int]) -> list[tuple[int, int]]:
     return list(zip(np.cumsum(size)[:-1].tolist(), np.cumsum(rows)[:-1].tolist()))
 
 
-def splitters(keys: DataFrame, targets: list[float], total: tuple[int, int], tolerance: float, fan: int = 63) -> list[int]:
+def splitters(keys: DataFrame, targets: list[float], total: tuple[int, int], tolerance: float, fan: int = 63,
+              most: int = 100_000) -> list[int]:
     """For each target (rising) a boundary with (nearly) that many bytes below it.
 
     ``known`` holds every probe so far in key order; a target lies between the
-    last probe with no more bytes than it and the next one.
+    last probe with no more bytes than it and the next one.  A round sets up to
+    ``fan`` probes for each open target, and about ``most`` in all.
     """
     known = [(0, 0, 0), (SPACE - 1, *total)]              # key, bytes and rows below it
     chosen = [0] * len(targets)
     open_ = set(range(len(targets)))
     while open_:
         below = [b for _, b, _ in known]
+        each = max(1, min(fan, most // len(open_)))
         probes: set[int] = set()
         for t in list(open_):
             at = min(max(1, bisect_right(below, targets[t])), len(known) - 1)
@@ -84,7 +87,7 @@ def splitters(keys: DataFrame, targets: list[float], total: tuple[int, int], tol
             if min(targets[t] - lo_bytes, hi_bytes - targets[t]) <= tolerance or hi_rows - lo_rows <= 1 or hi - lo <= 1:
                 open_.discard(t)
             else:
-                probes |= {lo + (hi - lo) * k // (fan + 1) for k in range(1, fan + 1)} - {lo, hi}
+                probes |= {lo + (hi - lo) * k // (each + 1) for k in range(1, each + 1)} - {lo, hi}
         if probes:
             new = sorted(probes)
             known = sorted([*known, *((p, *c) for p, c in zip(new, histogram(keys, new)))])
@@ -92,16 +95,18 @@ def splitters(keys: DataFrame, targets: list[float], total: tuple[int, int], tol
 
 
 def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
-          tolerance: float = 0.0005, range_bytes: int = 64 << 20) -> DataFrame:
+          tolerance: float = 0.0005, range_bytes: int = 64 << 20, most_ranges: int = 40_000) -> DataFrame:
     """``docs`` with ``size``, ``shard`` (0 .. shards - 1, nearly equal bytes) and ``slot`` (gapless from 0).
 
     ``tolerance`` is the allowed error of a boundary as a share of a shard's bytes.
+    A shard is numbered in ranges of about ``range_bytes``; beyond ``most_ranges``
+    in all they get larger.
     """
     rows = docs.withColumn("size", row_size(text_col)).withColumn("_key", sort_key(id_col, text_col))
     keys = stored(rows.select(F.col("_key").alias("key"), "size"))             # narrow: rounds don't read the texts again
     whole = keys.agg(F.sum("size"), F.count(F.lit(1))).first()
     total = (whole[0] or 0, whole[1])
-    per = max(1, math.ceil(total[0] / shards / range_bytes))            # ranges in a shard
+    per = max(1, min(math.ceil(total[0] / shards / range_bytes), most_ranges // shards))    # ranges in a shard
     n = shards * per
     cuts = splitters(keys, [total[0] * k / n for k in range(1, n)], total, tolerance * total[0] / shards)
     edges = np.array([_digits(c) for c in cuts], "S32")
@@ -115,6 +120,7 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
 
     ranged = rows.withColumn("_range", range_of("_key"))
     place = F.row_number().over(Window.partitionBy("_range").orderBy("_key", id_col)) - 1
-    offset = F.element_at(F.array(*[F.lit(a) for a in ahead]), F.col("_range") + 1)
+    # one literal for all ranges: an array written as text
+    offset = F.element_at(F.split(F.lit(",".join(map(str, ahead))), ",").cast("array<long>"), F.col("_range") + 1)
     return (ranged.withColumn("slot", (place + offset).cast("long"))
             .withColumn("shard", F.expr(f"cast(_range div {per} as int)")).drop("_range", "_key"))
