@@ -156,25 +156,22 @@ def id_bits(ids: DataFrame, column: str) -> tuple[int, np.ndarray]:
     return size, table
 
 
-def whole_sets(texts: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(sig, shingles) of the documents whose id is (by its hash) among ``ids`` (rep); shingles are 8 bytes each.
-
-    The texts don't move: each task drops the other documents by the bit table.
-    """
+def whole_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents whose id is (by its hash) among ``ids`` (rep): no other text moves later."""
     size, table = id_bits(ids, "rep")
     sent = texts.sparkSession.sparkContext.broadcast(table)
-    schema = pa.schema([("sig", pa.binary()), ("shingles", pa.binary())])
 
     def run(batches):
         table = sent.value
         for b in batches:
-            place = np.asarray(b.column(1))
-            b = b.filter(pa.array((table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
-            for _, _, off, data in pieces(b.column(0)):
-                sets = list(shingle_sets(off, data, k))
-                yield batch_of(schema, [[signature(s) for s in sets], [s.tobytes() for s in sets]])
+            place = np.asarray(b.column(2))
+            yield b.select([0, 1]).filter(pa.array((table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return texts.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("place")).mapInArrow(run, "doc_id long, text string")
 
-    return texts.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("place")).mapInArrow(run, "sig binary, shingles binary")
+
+def sets_of(column: pa.Array, k: int) -> list[np.ndarray]:
+    return [s for _, _, off, data in pieces(column) for s in shingle_sets(off, data, k)]
 
 
 # ------------------------------------------------------------------ candidate pairs and links
@@ -197,30 +194,35 @@ def direct_pairs(found: DataFrame, percent: int) -> DataFrame:
         .filter("c >= need").select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, names: DataFrame, percent: int) -> DataFrame:
-    """(cid, root, weight): both directions of each linked pair; the weight is the other side's copies."""
+def verified(pairs: DataFrame, whole: DataFrame, names: DataFrame, k: int, percent: int) -> DataFrame:
+    """(cid, root, weight): both directions of each linked pair; the weight is the other side's copies.
+
+    The texts of both sides meet, as they are smaller than their sets.
+    """
     def side(x: str, rest: DataFrame) -> DataFrame:
-        sig = names.select(F.col("cid").alias(x), F.col("sig").alias(f"g{x}"), F.col("copies").alias(f"c{x}"))
-        return rest.join(sig, x).join(sets.select(F.col("sig").alias(f"g{x}"), F.col("shingles").alias(f"s{x}")), f"g{x}")
+        own = names.select(F.col("cid").alias(x), F.col("rep").alias(f"r{x}"), F.col("sig").alias(f"g{x}"), F.col("copies").alias(f"c{x}"))
+        text = whole.select(F.col("doc_id").alias(f"d{x}"), F.col("text").alias(f"t{x}"))
+        return rest.join(own, x).join(text, F.col(f"r{x}").eqNullSafe(F.col(f"d{x}"))).drop(f"r{x}", f"d{x}")
 
     schema = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())])
 
     def run(batches):
         for t in batches:
             out = []
-            a, b, sa, sb, ca, cb = (t.column(k) for k in range(6))
-            for r in range(t.num_rows):
-                x, y = np.frombuffer(sa[r].as_py(), np.uint64), np.frombuffer(sb[r].as_py(), np.uint64)
+            a, b, ga, gb, ca, cb = (t.column(j).to_pylist() for j in range(6))
+            for x, y, *row in zip(sets_of(t.column(6), k), sets_of(t.column(7), k), a, b, ga, gb, ca, cb):
+                one, other, sig, sig2, copies, copies2 = row
+                if signature(x) != sig or signature(y) != sig2:
+                    continue                              # another document of the same id
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                if _linked(common, len(x), len(y), percent):
-                    out += [(a[r].as_py(), b[r].as_py(), cb[r].as_py()), (b[r].as_py(), a[r].as_py(), ca[r].as_py())]
+                if _linked(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent):
+                    out += [(one, other, copies2), (other, one, copies)]
             if out:
                 yield batch_of(schema, list(zip(*out)))
 
-    # a class has several rows of sets if its id stands in several rows
-    return side("b", side("a", pairs)).select("a", "b", "sa", "sb", "ca", "cb") \
+    # a class may have several rows of one id
+    return side("b", side("a", pairs)).select("a", "b", "ga", "gb", "ca", "cb", "ta", "tb") \
         .mapInArrow(run, "cid long, root long, weight long").dropDuplicates(["cid", "root"])
 
 
@@ -243,7 +245,7 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def block_links(found: DataFrame, sets: DataFrame, names: DataFrame, percent: int) -> DataFrame:
+def block_links(found: DataFrame, whole: DataFrame, names: DataFrame, k: int, percent: int) -> DataFrame:
     """(cid, root, weight) of the links of pairs that share frequent shingles alone, two blocks of classes at a time."""
     def tokens(often: bool):
         return F.transform(F.filter("found", lambda f: (f["p"] > DIRECT) if often else (f["p"] <= DIRECT)), lambda f: f["token"])
@@ -251,7 +253,7 @@ def block_links(found: DataFrame, sets: DataFrame, names: DataFrame, percent: in
     many = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)) \
         .select("cid", "n", "matches", tokens(True).alias("often"), tokens(False).alias("seldom"), F.explode("found").alias("f")) \
         .filter(F.col("f.p") > DIRECT).select("cid", "n", "matches", "often", "seldom", "f.*") \
-        .join(names.select("cid", "sig", "copies"), "cid").join(sets, "sig")
+        .join(names, "cid").join(whole, F.col("rep").eqNullSafe(F.col("doc_id")))
     blocks = F.ceil(F.col("p") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
     dealt = many.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
@@ -259,9 +261,14 @@ def block_links(found: DataFrame, sets: DataFrame, names: DataFrame, percent: in
     schema = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        first = np.unique(np.asarray(table.column("cid")), return_index=True)[1]
-        table = table.take(pa.array(first))               # a class has several rows if its id stands in several
-        col = {f: table.column(f) for f in ("cid", "n", "matches", "often", "seldom", "shingles", "copies", "block", "lo", "hi")}
+        sets = sets_of(table.column("text"), k)
+        sound = [j for j, (s, g) in enumerate(zip(sets, table.column("sig").to_pylist())) if signature(s) == g]
+        one = {c: j for j, c in zip(sound, np.asarray(table.column("cid"))[sound].tolist())}   # a class may have several rows of one id
+        rows = sorted(one.values())
+        table, whole = table.take(pa.array(rows, pa.int64())), [sets[j] for j in rows]
+        if not rows:
+            return schema.empty_table()
+        col = {f: table.column(f) for f in ("cid", "n", "matches", "often", "seldom", "copies", "block", "lo", "hi")}
         token = table.column("token")[0].as_py()
         block = np.asarray(col["block"])
         same = col["lo"][0].as_py() == col["hi"][0].as_py()
@@ -269,7 +276,6 @@ def block_links(found: DataFrame, sets: DataFrame, names: DataFrame, percent: in
         right = left if same else np.flatnonzero(block != col["lo"][0].as_py())
         n, need, copies = (np.asarray(col[f]).astype(np.int64) for f in ("n", "matches", "copies"))
         often, seldom = ([np.array(t, np.int64) for t in col[f].to_pylist()] for f in ("often", "seldom"))
-        whole = [np.frombuffer(s, np.uint64) for s in col["shingles"].to_pylist()]
 
         def counted(of: list[np.ndarray]) -> np.ndarray:
             return _common([of[i] for i in left], [of[i] for i in right])
@@ -300,7 +306,7 @@ def block_links(found: DataFrame, sets: DataFrame, names: DataFrame, percent: in
         some = np.flatnonzero(weight > 0)
         return pa.Table.from_batches([batch_of(schema, [cids[some], cids[root[some]], weight[some]])])
 
-    cols = ["token", "lo", "hi", "cid", "n", "matches", "often", "seldom", "shingles", "copies", "block"]
+    cols = ["token", "lo", "hi", "cid", "n", "matches", "often", "seldom", "sig", "text", "copies", "block"]
     return dealt.select(*cols).groupBy("token", "lo", "hi").applyInArrow(run, "cid long, root long, weight long")
 
 
@@ -339,8 +345,8 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "d
     pairs = written(direct_pairs(found, percent))
     hot = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)).select("cid")
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(hot).distinct()
-    whole = whole_sets(texts, written(names.join(wanted, "cid").select("rep")), words)
-    links = written(verified(pairs, whole, names, percent).union(block_links(found, whole, names, percent)))
+    whole = whole_texts(texts, written(names.join(wanted, "cid").select("rep")))
+    links = written(verified(pairs, whole, names, words, percent).union(block_links(found, whole, names, words, percent)))
     group = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     degree = links.groupBy("cid").agg(F.sum("weight").alias("links"))
     named = names.join(group, F.col("cid") == F.col("node"), "left").join(degree, "cid", "left") \
