@@ -96,8 +96,10 @@ def test_classes_equal_brute_force(docs, corpus, k, percent):
     assert got == brute(corpus, k, percent)
 
 
-def test_blocks_of_a_large_group(spark, vocabulary, monkeypatch):
-    """A group of near copies larger than the direct join and than a block."""
+@pytest.mark.parametrize("bounded", [1 << 16, 4])
+def test_blocks_of_a_large_group(spark, vocabulary, monkeypatch, bounded):
+    """A group of near copies larger than the direct join, than a block, and than a bounded bucket."""
+    monkeypatch.setattr(jaccard, "BOUNDED", bounded)
     rng = random.Random(3)
     base = [rng.choice(vocabulary) for _ in range(60)]
     rows = []

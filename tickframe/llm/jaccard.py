@@ -32,9 +32,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickframe.llm.blocks import SPACE_WORDS, Words, batch_of, mix, pieces, runs_of, written
+from tickframe.llm.blocks import SPACE_WORDS, Words, batch_of, mix, partitions, pieces, runs_of, written
 
 BUCKET_BITS = 20
+#: shingles whose bucket holds more occurrences may be frequent: their rows are counted and joined by Spark alone
+BOUNDED = 1 << 16
+#: prefix rows that a task packs at once
+PACKED_ROWS = 1 << 20
 #: classes of one block, and the most under which a shingle's classes are joined directly
 BLOCK, DIRECT = 256, 48
 #: longest extra prefix, and costs of a prefix row, of reading a posting, of verifying a candidate
@@ -117,26 +121,100 @@ def prefix_of(s: np.ndarray, counts: np.ndarray, usual: float, percent: int) ->
     return pick, s[order[:spare + pick]]
 
 
-def documents_as_sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n, sig, matches, prefix) of each row."""
+def sets_with_signature(texts: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n, sig) of each row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("sig", pa.binary())])
+
+    def run(batches):
+        for b in batches:
+            for lo, hi, off, data in pieces(b.column(1)):
+                rows = [(len(s), signature(s)) for s in shingle_sets(off, data, k)]
+                yield batch_of(schema, [b.column(0).slice(lo, hi - lo), *zip(*rows)])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, sig binary")
+
+
+def prefixes(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, n, sig, matches, prefix, often) of each row with words: its prefix, and the part of it in full buckets."""
     counts = bucket_counts(texts, k)
     usual = float(counts.mean() + 3 * np.sqrt(counts.mean()) + 1)
     sent = texts.sparkSession.sparkContext.broadcast(counts)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("sig", pa.binary()), ("matches", pa.int32()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("sig", pa.binary()), ("matches", pa.int32()),
+                        ("prefix", pa.list_(pa.int64())), ("often", pa.list_(pa.int64()))])
+
+    def lists(arrays: list[np.ndarray]) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(np.concatenate(arrays).view(np.int64)))
 
     def run(batches):
         counts = sent.value
         for b in batches:
-            for lo, hi, off, data in pieces(b.column(1)):
+            for lo, _, off, data in pieces(b.column(1)):
                 rows = []
-                for s in shingle_sets(off, data, k):
-                    pick, prefix = prefix_of(s, counts, usual, percent) if len(s) else (0, s)
-                    rows.append((len(s), signature(s), pick, prefix.view(np.int64)))
-                n, sig, pick, prefix = zip(*rows)
-                flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, prefix)]), pa.int32()), pa.array(np.concatenate(prefix)))
-                yield batch_of(schema, [b.column(0).slice(lo, hi - lo), n, sig, pick, flat])
+                for r, s in enumerate(shingle_sets(off, data, k)):
+                    if len(s):
+                        pick, prefix = prefix_of(s, counts, usual, percent)
+                        full = counts[(prefix >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] > BOUNDED
+                        rows.append((lo + r, len(s), signature(s), pick, prefix[~full], prefix[full]))
+                if rows:
+                    at, n, sig, pick, prefix, often = zip(*rows)
+                    yield batch_of(schema, [b.column(0).take(pa.array(at)), n, sig, pick, lists(prefix), lists(often)])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, sig binary, matches int, prefix array<long>, often array<long>")
+
+
+def shared_tokens(cls: DataFrame) -> DataFrame:
+    """(cid, token, p): prefix shingles that ``p`` classes have, p at least 2.
 
-    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, sig binary, matches int, prefix array<long>")
+    Shingles of bounded buckets travel packed by hash range, and a task keeps
+    those it sees twice.  The others are counted by a partial aggregation.
+    """
+    n = partitions(cls.sparkSession)
+    packed = pa.schema([("part", pa.int32()), ("tokens", pa.binary()), ("cids", pa.binary())])
+    found = pa.schema([("cid", pa.int64()), ("token", pa.int64()), ("p", pa.int64())])
+
+    def send(tokens, cids):
+        t, c = np.concatenate(tokens), np.concatenate(cids)
+        order = np.argsort(t)
+        t, c = t[order], c[order]
+        part = ((t >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+        edges = np.searchsorted(part, np.arange(n + 1))
+        for k in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+            yield batch_of(packed, [[k], [t[edges[k]:edges[k + 1]].tobytes()], [c[edges[k]:edges[k + 1]].tobytes()]])
+
+    def pack(batches):
+        tokens, cids, held = [], [], 0
+        for b in batches:
+            lists = b.column(1)
+            flat = np.asarray(lists.flatten()).view(np.uint64)
+            tokens.append(flat)
+            cids.append(np.repeat(np.asarray(b.column(0)), np.asarray(lists.value_lengths())))
+            held += len(flat)
+            if held > PACKED_ROWS:
+                yield from send(tokens, cids)
+                tokens, cids, held = [], [], 0
+        if held:
+            yield from send(tokens, cids)
+
+    def keep(batches):
+        rows = [(b.column(1)[r].as_py(), b.column(2)[r].as_py()) for b in batches for r in range(b.num_rows)]
+        if not rows:
+            return
+        t, c = (np.concatenate([np.frombuffer(r[j], np.int64) for r in rows]) for j in (0, 1))
+        order = np.argsort(t, kind="stable")
+        t, c = t[order], c[order]
+        first = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
+        p = np.diff(np.append(first, len(t)))
+        p = np.repeat(p, p)
+        some = np.flatnonzero(p > 1)
+        for lo in range(0, len(some), 1 << 16):
+            at = some[lo:lo + (1 << 16)]
+            yield batch_of(found, [c[at], t[at], p[at]])
+
+    seldom = cls.select("cid", "prefix").mapInArrow(pack, "part int, tokens binary, cids binary") \
+        .repartitionById(n, F.col("part")).mapInArrow(keep, "cid long, token long, p long")
+    rows = cls.select("cid", F.explode("often").alias("token"))
+    many = rows.groupBy("token").agg(F.count(F.lit(1)).alias("p")).filter("p > 1")
+    return seldom.unionByName(rows.join(many, "token").select("cid", "token", "p"))
 
 
 def id_bits(ids: DataFrame, column: str) -> tuple[int, np.ndarray]:
@@ -330,17 +408,14 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: n_shingles, component_id (least id reachable by links) and n_links (other documents it links with)."""
     texts = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
-    sets = written(documents_as_sets(texts, words, percent))
+    sets = written(sets_with_signature(texts, words))
     # classes go by their least id, or by a hash of the set where that is null or names two classes
     one = F.count(F.lit(1)).over(Window.partitionBy("rep")) == 1
-    cls = written(sets.filter("n > 0").groupBy("sig").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("matches").alias("matches"), F.first("prefix").alias("prefix"))
+    cls = written(prefixes(texts, words, percent).groupBy("sig").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "matches", "prefix", "often")])
         .withColumn("cid", F.when(F.col("rep").isNotNull() & one, F.col("rep")).otherwise(F.xxhash64("sig"))))
     names = cls.select("cid", "sig", "rep", "copies")
-    rows = cls.select("cid", F.explode("prefix").alias("token"))
-    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("p")).filter("p > 1")
-    found = written(rows.join(shared, "token").groupBy("cid").agg(F.collect_list(F.struct("token", "p")).alias("found"))
+    found = written(shared_tokens(cls).groupBy("cid").agg(F.collect_list(F.struct("token", "p")).alias("found"))
                     .join(cls.select("cid", "n", "matches"), "cid"))
     pairs = written(direct_pairs(found, percent))
     hot = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)).select("cid")
