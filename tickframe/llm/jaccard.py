@@ -277,10 +277,12 @@ def verified(pairs: DataFrame, whole: DataFrame, names: DataFrame, k: int, perce
 
     The texts of both sides meet, as they are smaller than their sets.
     """
-    def side(x: str, rest: DataFrame) -> DataFrame:
-        own = names.select(F.col("cid").alias(x), F.col("rep").alias(f"r{x}"), F.col("sig").alias(f"g{x}"), F.col("copies").alias(f"c{x}"))
+    def named(x: str, rest: DataFrame) -> DataFrame:
+        return rest.join(names.select(F.col("cid").alias(x), F.col("rep").alias(f"r{x}"), F.col("sig").alias(f"g{x}"), F.col("copies").alias(f"c{x}")), x)
+
+    def with_text(x: str, rest: DataFrame) -> DataFrame:
         text = whole.select(F.col("doc_id").alias(f"d{x}"), F.col("text").alias(f"t{x}"))
-        return rest.join(own, x).join(text, F.col(f"r{x}").eqNullSafe(F.col(f"d{x}"))).drop(f"r{x}", f"d{x}")
+        return rest.join(text, F.col(f"r{x}").eqNullSafe(F.col(f"d{x}"))).drop(f"r{x}", f"d{x}")
 
     schema = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())])
 
@@ -300,7 +302,7 @@ def verified(pairs: DataFrame, whole: DataFrame, names: DataFrame, k: int, perce
                 yield batch_of(schema, list(zip(*out)))
 
     # a class may have several rows of one id
-    return side("b", side("a", pairs)).select("a", "b", "ga", "gb", "ca", "cb", "ta", "tb") \
+    return with_text("b", with_text("a", named("b", named("a", pairs)))).select("a", "b", "ga", "gb", "ca", "cb", "ta", "tb") \
         .mapInArrow(run, "cid long, root long, weight long").dropDuplicates(["cid", "root"])
 
 
