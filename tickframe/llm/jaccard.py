@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickframe.llm.blocks import SPACE_WORDS, Words, batch_of, mix, partitions, pieces, runs_of, written
@@ -39,6 +40,8 @@ BUCKET_BITS = 20
 BOUNDED = 1 << 16
 #: prefix rows that a task packs at once
 PACKED_ROWS = 1 << 20
+#: pairs whose texts a task unpacks at once
+SLICE = 256
 #: classes of one block, and the most under which a shingle's classes are joined directly
 BLOCK, DIRECT = 256, 48
 #: longest extra prefix, and costs of a prefix row, of reading a posting, of verifying a candidate
@@ -235,21 +238,29 @@ def id_bits(ids: DataFrame, column: str) -> tuple[int, np.ndarray]:
 
 
 def whole_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents whose id is (by its hash) among ``ids`` (rep): no other text moves later."""
+    """(doc_id, text) of the documents whose id is (by its hash) among ``ids`` (rep): no other text moves later.
+
+    A text is compressed for the way.
+    """
     size, table = id_bits(ids, "rep")
     sent = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        table = sent.value
+        table, pack = sent.value, zstandard.ZstdCompressor(level=3).compress
         for b in batches:
             place = np.asarray(b.column(2))
-            yield b.select([0, 1]).filter(pa.array((table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
+            some = b.filter(pa.array((table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
+            yield batch_of(pa.schema([("doc_id", pa.int64()), ("text", pa.binary())]),
+                           [some.column(0), [pack((t or "").encode()) for t in some.column(1).to_pylist()]])
 
-    return texts.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("place")).mapInArrow(run, "doc_id long, text string")
+    return texts.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("place")).mapInArrow(run, "doc_id long, text binary")
 
 
 def sets_of(column: pa.Array, k: int) -> list[np.ndarray]:
-    return [s for _, _, off, data in pieces(column) for s in shingle_sets(off, data, k)]
+    """The sets of compressed texts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    texts = pa.array([unpack(t).decode() for t in column.to_pylist()], pa.string())
+    return [s for _, _, off, data in pieces(texts) for s in shingle_sets(off, data, k)]
 
 
 # ------------------------------------------------------------------ candidate pairs and links
@@ -287,7 +298,7 @@ def verified(pairs: DataFrame, whole: DataFrame, names: DataFrame, k: int, perce
     schema = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())])
 
     def run(batches):
-        for t in batches:
+        for t in (b.slice(lo, SLICE) for b in batches for lo in range(0, b.num_rows, SLICE)):
             out = []
             a, b, ga, gb, ca, cb = (t.column(j).to_pylist() for j in range(6))
             for x, y, *row in zip(sets_of(t.column(6), k), sets_of(t.column(7), k), a, b, ga, gb, ca, cb):
