@@ -170,7 +170,7 @@ class Words:
         self.row = np.repeat(np.arange(rows), np.diff(self.first))
 
 
-def runs_of(words: Words, k: int, count: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def runs_of(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of ``k`` consecutive words of one row, and the index of their first word."""
     h = words.hash
     n = len(h) - k + 1

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickframe.llm.blocks import LETTER_WORDS, Words, batch_of, mix, pieces, text_bytes
+from tickframe.llm.blocks import LETTER_WORDS, Words, batch_of, mix, pieces, runs_of, text_bytes
 
 GRAM = 3
 MATCH, MISS = 2, -1
@@ -38,20 +38,6 @@ SCHEMA = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", p
 SCHEMA_SQL = "doc_id long, item_id long, score double, seeds long, start long, end long"
 
 
-def gram_hashes(words: Words, row: int | None = None, size: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-grams of a run of texts and the index of their first word."""
-    h = words.hash
-    n = len(h) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    with np.errstate(over="ignore"):
-        out = h[:n].copy()
-        for j in range(1, size):
-            out = mix(out * np.uint64(0xD6E8FEB86659FD93) + h[j:n + j])
-    at = np.flatnonzero(words.row[:n] == words.row[size - 1:])
-    return out[at], at
-
-
 class Items:
     """A block of benchmark items: words, and where each n-gram stands (by sorted hash)."""
 
@@ -92,7 +78,7 @@ class Items:
 def all_grams(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """N-grams of each length up to GRAM that an item may have."""
     for n in range(1, GRAM + 1):
-        yield gram_hashes(words, size=n)
+        yield runs_of(words, n)
 
 
 def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
