@@ -423,10 +423,12 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "d
     texts = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
     sets = written(sets_with_signature(texts, words))
     # classes go by their least id, or by a hash of the set where that is null or names two classes
-    one = F.count(F.lit(1)).over(Window.partitionBy("rep")) == 1
+    double = written(sets.filter("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi"))
+                     .filter("lo <> hi").select(F.col("doc_id").alias("rep"), F.lit(True).alias("double")))
     cls = written(prefixes(texts, words, percent).groupBy("sig").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "matches", "prefix", "often")])
-        .withColumn("cid", F.when(F.col("rep").isNotNull() & one, F.col("rep")).otherwise(F.xxhash64("sig"))))
+        .join(double, "rep", "left")
+        .withColumn("cid", F.when(F.col("rep").isNotNull() & F.col("double").isNull(), F.col("rep")).otherwise(F.xxhash64("sig"))).drop("double"))
     names = cls.select("cid", "sig", "rep", "copies")
     found = written(shared_tokens(cls).groupBy("cid").agg(F.collect_list(F.struct("token", "p")).alias("found"))
                     .join(cls.select("cid", "n", "matches"), "cid"))
@@ -449,7 +451,12 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "d
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document with the least id of each component.  Rows that share an id are told apart by their texts."""
-    kept = classes(docs, words, percent, id_col, text_col).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "inner")
-    copy = F.row_number().over(Window.partitionBy("_kept", F.xxhash64(text_col)).orderBy("_kept"))
-    return rows.withColumn("_copy", copy).filter("_copy = 1").select(*[f"`{c}`" for c in docs.columns])
+    cl = classes(docs, words, percent, id_col, text_col)
+    gone = written(cl.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_id")).distinct())
+    again = written(cl.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id"))
+    is_it = F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
+    # ids of several rows are few as a rule; their rows alone are compared by text
+    copy = F.row_number().over(Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(id_col))
+    several = docs.join(again, is_it, "left_semi").withColumn("_copy", copy).filter("_copy = 1").drop("_copy").join(gone, is_it, "left_anti")
+    single = docs.join(again, is_it, "left_anti").join(gone, is_it, "left_anti")
+    return single.unionAll(several)
