@@ -105,7 +105,9 @@ def labelled_sample(docs: DataFrame, rows: int, chars: int) -> DataFrame:
     narrow = docs.select("label", "pick", F.pmod("pick", F.lit(64)).alias("part"))
     limit = first(first(narrow, "label", "part"), "label").groupBy("label").agg(F.max("pick").alias("limit"))
     order = Window.partitionBy("label").orderBy("pick", "id", "text")
-    few = docs.join(limit, "label").filter("pick <= limit").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows)
+    limits = [x for r in limit.collect() for x in (F.lit(r["label"]), F.lit(r["limit"]))]       # one for each label
+    within = F.col("pick") <= F.element_at(F.create_map(*limits), F.col("label")) if limits else F.lit(False)
+    few = docs.filter(within).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows)
     size = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return few.withColumn("held", size).filter((F.col("held") <= chars) | (F.col("nth") == 1)) \
         .withColumn("fit", (F.col("nth") % 5 != 0)).select("label", "text", "fit", "pick")
