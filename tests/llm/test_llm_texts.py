@@ -63,6 +63,32 @@ def test_leaks_are_found_in_blocks_too(leaky, words):
     assert all(r["score"] >= 0.5 and r["end"] > r["start"] for r in got)
 
 
+def test_edited_copies_are_found_as_by_plain_alignment(spark, vocabulary):
+    """5 to 9 spread edits, alone in the corpus and beside a verbatim copy; items of frequent pairs; short items."""
+    rng = random.Random(12)
+    items = [(k, rng.choices(vocabulary, k=30)) for k in range(20)] + [(50 + n, rng.choices(vocabulary, k=n)) for n in range(3, 9)]
+    items += [(60, (vocabulary[:6] * 5)), (61, vocabulary[:6] + rng.choices(vocabulary, k=20))]
+    rows = []
+    for k, (_, item) in enumerate(items):
+        for way in range(6):
+            copy, edits = list(item), min(5 + (k + way) % 5, len(item) // 3)
+            places = [len(item) * j // edits for j in range(edits)] if way % 2 else rng.sample(range(len(item)), edits)
+            for at in sorted(places, reverse=True):
+                copy[at:at + 1] = [["edited%d" % rng.randrange(10**6)], ["edited%d" % rng.randrange(10**6)], [], ["added", copy[at]]][rng.randrange(4) if way > 2 else 0]
+            w = rng.choices(vocabulary, k=40)
+            w[20:20] = copy
+            rows.append((len(rows), " ".join(w)))
+        if k % 2:
+            rows.append((len(rows), " ".join(item)))
+    rows += [(len(rows) + j, " ".join(vocabulary[:6] * 8)) for j in range(5)]
+    number = {w: j for j, w in enumerate({w for _, t in rows for w in t.split()} | {w for _, i in items for w in i})}
+    coded = [(k, np.array([number[w] for w in i], np.uint64)) for k, i in items]
+    scores = {(d, k): decontaminate.align(np.array([number[w] for w in t.split()], np.uint64), i)[0] / (2 * len(i)) for d, t in rows for k, i in coded}
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                                   spark.createDataFrame([(k, " ".join(i)) for k, i in items], "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in got} == {x: s for x, s in scores.items() if s >= 0.5}
+
+
 def test_clean_documents_stay(leaky, messy, nothing, spark):
     docs, items, expect = leaky
     kept = {r["doc_id"] for r in decontaminate.without_leaks(docs, items).collect()}
