@@ -99,6 +99,18 @@ def test_clean_documents_stay(leaky, messy, nothing, spark):
     assert decontaminate.find_leaks(docs, items.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("words", [4_000_000, 40])
+def test_leaking_rows_go_whatever_their_ids(spark, vocabulary, words):
+    rng = random.Random(13)
+    items = [(k, " ".join(rng.choices(vocabulary, k=30))) for k in range(3)]
+    prose = [" ".join(rng.choices(vocabulary, k=50)) for _ in range(8)]
+    clean = [(None, prose[0], 1), (None, prose[1], 2), (None, None, 3), (7, prose[2], 4), (7, prose[3], 5), (8, prose[4], 6), (None, "", None)]
+    bad = [(None, f"{prose[5]} {items[0][1]}", 7), (7, f"{items[1][1]} {prose[6]}", 8), (9, items[2][1], 9)]
+    docs = spark.createDataFrame(clean + bad, "doc_id long, text string, more long")
+    out = decontaminate.without_leaks(docs, spark.createDataFrame(items, "item_id long, text string"), block_words=words)
+    assert out.schema == docs.schema and Counter(map(tuple, out.collect())) == Counter(clean)
+
+
 def test_every_verbatim_passage_of_the_tables_is_found(spark):
     docs, items = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "benchmark"))
     full = {(d["doc_id"], i["item_id"]) for d in docs.collect() for i in items.collect() if i["text"] in d["text"]}

@@ -289,7 +289,26 @@ def found_in(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT) -> DataFrame:
-    """The documents that hold no item."""
-    bad = find_leaks(docs, benchmark, id_col, text_col, limit).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_leak"), "left_anti")
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT,
+                  block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows that hold no item, whatever their ids: the scan passes them on, and no join is needed."""
+    texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
+    for items in item_blocks(benchmark, limit, block_words):
+        docs = _clean_of(docs, counted(texts, items), text_col, limit)
+    return docs
+
+
+def _clean_of(docs: DataFrame, items: Items, text_col: str, limit: float) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(items)
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = sent.value
+        for b in batches:
+            clean = np.ones(b.num_rows, bool)
+            for lo, _, off, data in pieces(b.column(place)):
+                for row, *_ in leaks_in(block, Words(off, data, LETTER_WORDS), limit):
+                    clean[lo + row] = False
+            yield b.filter(pa.array(clean))
+
+    return docs.mapInArrow(keep, docs.schema)
