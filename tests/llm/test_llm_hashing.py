@@ -122,6 +122,26 @@ def test_one_of_each(docs, corpus, messy, nothing):
     assert jaccard.classes(nothing).collect() == [] and jaccard.one_of_each(nothing).collect() == []
 
 
+def test_one_of_each_decides_rows_of_null_and_repeated_ids_by_class(spark, vocabulary):
+    rng = random.Random(21)
+    text = [" ".join(rng.choices(vocabulary, k=80)) for _ in range(12)]
+
+    def near(t):
+        return t + " and more"
+
+    stay = [(1, text[0]), (2, text[1]), (None, text[2]), (None, text[3]), (5, text[4]), (12, text[5]), (None, None), (None, ""), (20, ""), (20, None)]
+    go = [(None, near(text[0])), (5, near(text[1])), (5, text[1]), (12, text[5]), (13, text[5]), (None, text[5]), (None, near(text[5]))]
+    one = [{(6, text[6]), (6, near(text[6]))}, {(None, text[7]), (None, near(text[7]))}]   # either one stays
+    rows = stay + go + [r for pair in one for r in pair] + [(None, text[3])]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, sig string").repartition(4)
+    out = jaccard.one_of_each(df)
+    assert out.schema == df.schema
+    kept = [(r["doc_id"], r["text"]) for r in out.collect()]
+    for pair in one:
+        assert sum(r in pair for r in kept) == 1
+    assert Counter(r for r in kept if not any(r in pair for pair in one)) == Counter(stay)
+
+
 def test_prefix_asks_for_more_matches_under_frequent_shingles():
     import numpy as np
     s = np.sort(np.random.default_rng(0).integers(0, 2**63, 200).astype(np.uint64))

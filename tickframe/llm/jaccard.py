@@ -418,9 +418,9 @@ def components(edges: DataFrame) -> DataFrame:
         e = written(small)
 
 
-def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: n_shingles, component_id (least id reachable by links) and n_links (other documents it links with)."""
-    texts = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
+def _grouped(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, sig) of each row, and (sig, component_id, n_links, first) of each class with words:
+    ``first`` is true for one class of each component, one of the least id."""
     sets = written(sets_with_signature(texts, words))
     # classes go by their least id, or by a hash of the set where that is null or names two classes
     double = written(sets.filter("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi"))
@@ -441,22 +441,56 @@ def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "d
     degree = links.groupBy("cid").agg(F.sum("weight").alias("links"))
     named = names.join(group, F.col("cid") == F.col("node"), "left").join(degree, "cid", "left") \
         .select("sig", "rep", "copies", F.coalesce("root", "cid").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    final = named.join(least, "root").select("sig", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    return sets.select("doc_id", "n", "sig").join(final, "sig", "left").select(
+    least = named.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("late"), "rep", F.col("sig").alias("head"))).alias("least"))
+    return sets, named.join(least, "root").select(
+        "sig", F.col("least.rep").alias("component_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"),
+        (F.col("sig") == F.col("least.head")).alias("first"))
+
+
+def classes(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: n_shingles, component_id (least id reachable by links) and n_links (other documents it links with)."""
+    texts = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
+    sets, final = _grouped(texts, words, percent)
+    return sets.select("doc_id", "n", "sig").join(final.drop("first"), "sig", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def with_signature(docs: DataFrame, text_col: str, k: int, name: str) -> DataFrame:
+    """``docs`` and the signature of each row's set."""
+    place, out = docs.columns.index(text_col), docs.withColumn(name, F.lit(None).cast("binary")).schema
+
+    def run(batches):
+        for b in batches:
+            sigs = [signature(s) for _, _, off, data in pieces(b.column(place)) for s in shingle_sets(off, data, k)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sigs, pa.binary())], names=[*b.schema.names, name])
+
+    return docs.mapInArrow(run, out)
+
+
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the least id of each component.  Rows that share an id are told apart by their texts."""
-    cl = classes(docs, words, percent, id_col, text_col)
-    gone = written(cl.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_id")).distinct())
-    again = written(cl.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id"))
-    is_it = F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
-    # ids of several rows are few as a rule; their rows alone are compared by text
-    copy = F.row_number().over(Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(id_col))
-    several = docs.join(again, is_it, "left_semi").withColumn("_copy", copy).filter("_copy = 1").drop("_copy").join(gone, is_it, "left_anti")
-    single = docs.join(again, is_it, "left_anti").join(gone, is_it, "left_anti")
-    return single.unionAll(several)
+    """One row of each component, with its least id.
+
+    Rows are decided by class, not by id: rows that share an id, or have none, are told
+    apart by the signatures of their sets (taken for those rows alone).  Rows without
+    words are components of their own, so all of them stay.
+    """
+    texts = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
+    sets, final = _grouped(texts, words, percent)
+    least = F.col("first") & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    cl = written(sets.join(final, "sig", "left").select("doc_id", "n", "sig", F.when(F.col("n") > 0, least).otherwise(True).alias("stays")))
+    ids = cl.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("rows"), F.bool_and("stays").alias("stay"))
+    decided = written(ids.filter("rows > 1 or not stay"))
+    again = decided.filter("rows > 1").select("_id")
+    own = F.col(id_col).cast("long")
+    single = docs.filter(own.isNotNull()).join(decided.select("_id"), own == F.col("_id"), "left_anti")
+    several = docs.filter(own.isNull()).unionAll(docs.join(again, own == F.col("_id"), "left_semi"))
+    several = with_signature(several, text_col, words, "_set")
+    first = cl.filter("stays and n > 0")
+    first = written(first.filter("doc_id is null").unionAll(first.join(again, F.col("doc_id") == F.col("_id"), "left_semi"))
+                    .select(F.col("doc_id").alias("_id"), F.col("sig").alias("_sig")).distinct())
+    copy = F.row_number().over(Window.partitionBy(own, "_set").orderBy(id_col))
+    full = several.filter("length(_set) > 0").withColumn("_copy", copy).filter("_copy = 1").drop("_copy") \
+        .join(first, (F.col("_set") == F.col("_sig")) & own.eqNullSafe(F.col("_id")), "left_semi")
+    return single.unionAll(full.drop("_set")).unionAll(several.filter("length(_set) = 0").drop("_set"))
