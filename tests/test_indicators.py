@@ -102,6 +102,20 @@ def test_matches_sequential_definitions(spark, block):
                     assert g is not None and abs(g - v) <= 1e-9 * max(1.0, abs(v)), (sym, col, r.rn, g, v)
 
 
+@pytest.mark.parametrize("block", [256, 2048])
+def test_rsi_outlasts_flat_and_rising_stretches(spark, block):
+    """50 moving bars, then 3 000 flat, rising or falling ones: the averages fade, their ratio doesn't."""
+    moving = closes_of(50, 1)
+    series = {"F": moving + [moving[-1]] * 3000, "R": moving + [moving[-1] + i for i in range(1, 3001)],
+              "D": moving + [moving[-1] - i / 64 for i in range(1, 3001)]}
+    rows = indicators(make(spark, series), block=block).select("symbol", "rn", "rsi14").collect()
+    got = {(r.symbol, r.rn): r.rsi14 for r in rows}
+    for sym, closes in series.items():
+        for i, v in enumerate(reference(closes)["rsi14"], 1):
+            g = got[sym, i]
+            assert (g is None) == (v is None) and (v is None or abs(g - v) <= 1e-9 * max(1.0, abs(v))), (sym, i, g, v)
+
+
 def test_affine_scan_small_blocks(spark):
     """The scan with tiny blocks and a halo of many blocks equals the recursion."""
     xs = [float((i * 37) % 11) for i in range(1, 58)]

@@ -11,7 +11,7 @@ of all bars, so the layout spreads every series over bounded units:
 2. ``with_blocks`` cuts each series into blocks of ``BLOCK`` rows.  The last
    ``lookback`` rows before a block are copied into it as *halo* rows, so every
    finite frame (at most ``lookback`` preceding rows) and every recurrence (see
-   ``recurrence.py``) can be evaluated inside ``(symbol, blk)``.  Halo rows are
+   ``recurrence.py``; the RSI's also takes a carry) can be evaluated inside ``(symbol, blk)``.  Halo rows are
    dropped after the windows ran.  In a long series the copies cost
    ``lookback / BLOCK`` extra rows; a series of one block has none.
 

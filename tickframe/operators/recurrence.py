@@ -10,10 +10,15 @@ EMA and Wilder's RMA are first-order recurrences with a constant factor:
 
 A block carries the ``LOOKBACK`` rows before it, and the sum starts at the
 first of them.  What it leaves out is ``q^LOOKBACK`` of the value before, less
-than 1e-20 of it for every factor used here: below the rounding of a double.  So
-no carry has to travel between blocks, and one window per block serves all
-recurrences.  The running sum is scaled by ``q^(width - 1 - j)``, and
-``check_width`` keeps that inside the double range.
+than 1e-20 of it for every factor used here: below the rounding of a double where
+the value is added to or compared with prices.  The running sum is scaled by
+``q^(width - 1 - j)``, and ``check_width`` keeps that inside the double range.
+
+The RSI is a ratio of two such values, and both may fade for thousands of rows
+without changing it.  So the averages of gains and losses start at the block's
+own rows and take the value at the end of the block before from ``carries``: the
+totals of the blocks (one small row per block) folded as far back as they can
+still change a double.  This, too, stays a lazy plan.
 
 The MACD signal is an EMA of a difference of EMAs.  The response of two chained
 recurrences is a difference of two geometric ones, so the signal is a linear
@@ -24,7 +29,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tickframe.operators.layout import BLOCK, LOOKBACK
 
@@ -58,6 +63,36 @@ def affine_scan(df: DataFrame, specs: list[tuple[str, str, float]], key: str = "
         for n, b, q in specs])
 
 
+def carry_depth(q: float, block: int) -> int:
+    """Number of block totals before a block that can still change a double."""
+    return max(1, math.ceil(745.2 / (block * -math.log(q))) + 1)
+
+
+def carries(df: DataFrame, specs: list[tuple[str, str, float]], key: str = "symbol", block: int = BLOCK) -> DataFrame:
+    """(key, blk, name, ..): the value of each ``(name, b, q)`` at the last row before the block."""
+    j = f"(rn - 1 - blk * {block})"
+    # the last block of a series is carried nowhere, so that it may be short changes nothing
+    totals = df.filter("not _halo").groupBy(key, "blk").agg(F.expr("named_struct(" + ", ".join(
+        f"'{n}', coalesce(sum(({b}) * pow({dlit(q)}, {block - 1} - {j})), 0D)" for n, b, q in specs) + ") as _t"))
+    depth = max(carry_depth(q, block) for _, _, q in specs)
+    before = f"collect_list(_t) over (partition by {key} order by blk rows between {depth} preceding and 1 preceding)"
+    return totals.selectExpr(key, "blk", f"{before} as _before").selectExpr(
+        key, "blk", *[f"aggregate(_before, 0D, (y, t) -> y * {dlit(q ** block)} + t.{n}) as {n}" for n, _, q in specs])
+
+
+def carried_scan(df: DataFrame, specs: list[tuple[str, str, float]], key: str = "symbol", block: int = BLOCK) -> DataFrame:
+    """``affine_scan`` without a halo: the values keep their relative precision however far they fade."""
+    for _, _, q in specs:
+        check_width(q, block)
+    j = f"(rn - 1 - blk * {block})"
+    run = f"over (partition by {key}, blk order by rn rows between unbounded preceding and current row)"
+    own = df.selectExpr("*", *[
+        f"sum(case when not _halo then ({b}) * pow({dlit(q)}, {block - 1} - {j}) end) {run} as _own{n}" for n, b, q in specs])
+    carry = carries(df, [(f"_carry{n}", b, q) for n, b, q in specs], key, block)
+    return own.join(carry, [key, "blk"], "left").selectExpr(*[f"`{c}`" for c in df.columns], *[
+        f"_own{n} / pow({dlit(q)}, {block - 1} - {j}) + _carry{n} * pow({dlit(q)}, {j} + 1) as {n}" for n, _, q in specs])
+
+
 def ema_spec(name: str, x: str, span: int) -> tuple[str, str, float]:
     """R2: ``ewm(span, adjust=False).mean()``: y_1 = x_1, no null prefix."""
     a = 2.0 / (span + 1.0)
@@ -83,9 +118,8 @@ def wilder_and_macd(frames: DataFrame, key: str = "symbol", block: int = BLOCK,
     s = affine_scan(frames, [
         fast, slow, mixed,
         rma_spec("_atr", "tr", 14, 14),
-        rma_spec("_avg_gain", "gain", 14, 15),
-        rma_spec("_avg_loss", "loss", 14, 15),
     ], key, block, lookback)
+    s = carried_scan(s, [rma_spec("_avg_gain", "gain", 14, 15), rma_spec("_avg_loss", "loss", 14, 15)], key, block)
     signal = f"({dlit(of_fast * fast[2])} * _ema12 - {dlit(of_slow * slow[2])} * _ema26 - {dlit(r)} * _mixed)"
     return s.selectExpr(
         *[f"`{c}`" for c in frames.columns],
