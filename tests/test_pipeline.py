@@ -61,6 +61,13 @@ def test_stock_candles_epoch_and_scale(spark):
     assert {r.symbol for r in rows} == {"AAA"}
 
 
+def test_candle_bars_are_all_kept_by_default(spark):
+    days = [str(D0 + dt.timedelta(days=i)) for i in range(450)]
+    docs = spark.createDataFrame([("AAA", json.dumps({"data": [{"t": d, "o": 1, "h": 1, "l": 1, "c": 1} for d in days]}))], "symbol string, body string")
+    assert candles.read_index_bars(docs).count() == candles.read_stock_bars(docs).count() == 450
+    assert candles.read_index_bars(docs, 400).count() == 400 and candles.read_stock_bars(docs, 10).count() == 10
+
+
 def test_candle_files(spark):
     d = tempfile.mkdtemp(prefix="tf-candles-")
     with open(os.path.join(d, "VNX.json"), "w") as f:

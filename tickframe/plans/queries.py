@@ -470,7 +470,7 @@ def candles_index_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index candle documents (three shapes) back to bars."""
     from tickframe.sources import candles
     docs = candles.render_documents(bars(spark, sf_dir, "flag"), "index")
-    b = candles.read_index_bars(docs)
+    b = candles.read_index_bars(docs, candles.INDEX_HISTORY)
     return b.select("symbol", time_text().alias("time"), *[rnd(c, 4).alias(c) for c in PRICES])
 
 
@@ -483,7 +483,7 @@ def candles_stock_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock envelopes (epoch or date text, prices in thousands)."""
     from tickframe.sources import candles
     docs = candles.render_documents(bars(spark, sf_dir, "supp"), "stock", price_div=1000.0)
-    b = candles.read_stock_bars(docs)
+    b = candles.read_stock_bars(docs, candles.STOCK_HISTORY)
     return b.select("symbol", time_text().alias("time"), *[rnd(c, 4).alias(c) for c in PRICES])
 
 

@@ -73,18 +73,18 @@ def unwrap_envelope(docs: DataFrame, body: str = "body", envelope_only: bool = F
     return exploded.select(*keep, *fields)
 
 
-def read_index_bars(docs: DataFrame, count: int = INDEX_HISTORY) -> DataFrame:
-    """Index candles -> canonical bars, newest ``count`` per symbol."""
+def read_index_bars(docs: DataFrame, count: int | None = None) -> DataFrame:
+    """Index candles -> canonical bars, all or the newest ``count`` per symbol."""
     bars = clean.coerce_bars(unwrap_envelope(docs), clean.normalize_date)
-    return last_n_bars(bars, count).drop("rn_desc")
+    return bars if count is None else last_n_bars(bars, count).drop("rn_desc")
 
 
-def read_stock_bars(docs: DataFrame, days: int = STOCK_HISTORY,
+def read_stock_bars(docs: DataFrame, days: int | None = None,
                     scale: float = STOCK_SCALE) -> DataFrame:
-    """Stock candles (``t`` epoch seconds or date text, prices in thousands)."""
+    """Stock candles (``t`` epoch seconds or date text, prices in thousands), all or the newest ``days``."""
     raw = unwrap_envelope(docs, envelope_only=True)
     bars = clean.coerce_bars(raw, clean.epoch_or_date, scale=scale)
-    return last_n_bars(bars, days).drop("rn_desc")
+    return bars if days is None else last_n_bars(bars, days).drop("rn_desc")
 
 
 def read_candle_files(spark: SparkSession, path: str, symbol_from: str = "file") -> DataFrame:
