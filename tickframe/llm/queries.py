@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickframe.llm import chat, decontaminate, fingerprint, jaccard, langid, licenses, lm, oracles, packing, secrets, sharding
+from tickframe.llm import chat, decontaminate, fingerprint, jaccard, langid, licenses, lm, oracles, packing, secrets, sharding, spelling
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +72,10 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_pairs(pairs).select("pair_id", "prompt_turns", "prompt", "chosen", "rejected", written("chosen_mask"), written("rejected_mask"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
