@@ -60,3 +60,33 @@ SELECT pair_id, prompt_turns, array_to_string(prompt_parts, '') AS prompt,
   {_mask('chosen')}, {_mask('rejected')}
 FROM parts
 """
+
+
+OP12 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY 1),
+fails AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+    [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+     regexp_matches(text, '[#$%&*|]'), coalesce(min(words.doc_id) OVER (PARTITION BY text) < words.doc_id, false)] AS f
+  FROM words LEFT JOIN marks ON words.doc_id = marks.doc_id),
+kinds AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM fails GROUP BY ALL),
+orders(o) AS (
+  SELECT '' UNION ALL SELECT o || c FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c) WHERE NOT contains(o, c)),
+steps AS (SELECT o AS filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM orders WHERE length(o) = 5),
+seen AS (
+  SELECT part, filter_order, step, n, good, bad, f[ascii(filter_order[step]) - 64] AS own,
+    len(list_filter(range(1, step), lambda i: f[ascii(filter_order[i]) - 64])) AS before,
+    len(list_filter(f, lambda x: x)) AS many FROM kinds, steps)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(sum(CASE WHEN before = 0 AND NOT own THEN n ELSE 0 END) AS BIGINT) AS kept,
+  CAST(sum(CASE WHEN before = 0 AND own THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN before > 0 AND own THEN n ELSE 0 END) AS BIGINT) AS redundant,
+  CAST(sum(CASE WHEN own AND many = 1 THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN before = 0 AND own THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+  CAST(sum(CASE WHEN before = 0 AND own THEN bad ELSE 0 END) AS BIGINT) AS toxic_lost,
+  CAST(sum(sum(CASE WHEN before = 0 AND own THEN n ELSE 0 END)) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
+FROM seen GROUP BY part, filter_order, step
+"""
