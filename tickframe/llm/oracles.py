@@ -90,3 +90,24 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step,
   CAST(sum(sum(CASE WHEN before = 0 AND own THEN n ELSE 0 END)) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
 FROM seen GROUP BY part, filter_order, step
 """
+
+
+OP11 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS nx, any_value(b.n) AS ny
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM common WHERE 100 * c >= 80 * (nx + ny - c)
+  UNION ALL SELECT y, x FROM common WHERE 100 * c >= 80 * (nx + ny - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x),
+component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN component USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickframe.llm import audit, chat, decontaminate, fingerprint, jaccard, langid, licenses, lm, oracles, packing, secrets, sharding, spelling
+from tickframe.llm import audit, chat, decontaminate, fingerprint, hyperminhash, jaccard, langid, licenses, lm, oracles, packing, secrets, sharding, spelling
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +72,10 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_pairs(pairs).select("pair_id", "prompt_turns", "prompt", "chosen", "rejected", written("chosen_mask"), written("rejected_mask"))
 
 
+def op11_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(_documents(spark, sf_dir), words=4, percent=80)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -86,4 +90,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express a query; tests hold the others against brute force."""
-    return {"op3_jaccard": oracles.OP3, "op10_preferences": oracles.OP10, "op12_filter_audit": oracles.OP12}
+    return {"op11_hyperminhash": oracles.OP11, "op3_jaccard": oracles.OP3, "op10_preferences": oracles.OP10, "op12_filter_audit": oracles.OP12}
