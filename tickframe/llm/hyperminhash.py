@@ -18,9 +18,11 @@ sets, made anew from the texts.
 
 Components need no list of all pairs.  First each class of a band's bucket is
 compared with the bucket's least class (a star, as many rows as members), and only
-its best estimate is verified.  What is linked then needs no further look: of a
-bucket that still holds several components, the classes outside its largest one
-are compared with the others of other components.  Few of them make pairs
+its best estimate is verified.  In large buckets the classes outside the largest
+component are then compared with a member of it drawn by each bucket, round after
+round, as long as many of them are linked.  What is linked needs no further look:
+of a bucket that still holds several components, the classes outside its largest
+one are compared with all others of other components.  Few of them make pairs
 directly; many are dealt into blocks, whose sketches a task compares as matrices.
 So a group of near copies costs rows in proportion to its size, and no pair
 between different components goes unseen.
@@ -43,14 +45,17 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tickframe.llm.blocks import SPACE_WORDS, Words, batch_of, mix, pieces, runs_of, written
-from tickframe.llm.jaccard import components, id_bits, sets_of, signature
+from tickframe.llm.jaccard import _common as common_sizes, components, id_bits, sets_of, signature
 
 BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
 BANDS, WIDTH = 32, 5
-SIGMAS = 5.0
+#: estimates below the limit by so many deviations and registers are dropped
+SIGMAS, SLACK = 5.0, 2.0
 #: classes outside a bucket's largest component that are paired directly; classes of a block beyond
-DIRECT, BLOCK = 64, 512
+DIRECT, BLOCK = 16, 512
+#: buckets of more classes draw members of their largest component for the others, as long as that links a quarter of these
+LARGE, GAIN = 64, 0.25
 #: pairs whose texts a task unpacks at once
 SLICE = 256
 
@@ -186,9 +191,15 @@ def estimate(equal: np.ndarray, used: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def likely(equal: np.ndarray, used: np.ndarray, n1: np.ndarray, n2: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The estimate, and whether sets of these sizes may well be linked."""
+    """The estimate, and whether sets of these sizes may well be linked.
+
+    The least hashes of the used buckets are drawn from the union without replacement, so the
+    deviation at the limit is hypergeometric: small sets are known almost whole.
+    """
     j, limit = estimate(equal, used, np.sqrt(n1 * 1.0 * n2)), percent / 100
-    near = j >= limit - SIGMAS * np.sqrt(limit * (1 - limit) / np.maximum(used, 1))
+    union = np.maximum((n1 + n2) / (1 + limit), used + 1)
+    spread = np.sqrt(limit * (1 - limit) / np.maximum(used, 1) * (union - used) / (union - 1))
+    near = j >= limit - SIGMAS * spread - SLACK / np.maximum(used, 1)
     return j, near & (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2))
 
 
@@ -227,59 +238,45 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long, j double")
 
 
+def best_pairs(pairs: DataFrame, classes: DataFrame, percent: int, best: int) -> DataFrame:
+    """(a, b): of the pairs of each ``a`` the ``best`` likeliest."""
+    top = F.slice(F.sort_array(F.collect_list(F.struct("j", "b")), asc=False), 1, best)     # a class has at most BANDS pairs
+    return estimated(pairs, classes, percent).groupBy("a").agg(top.alias("top")).select("a", F.explode("top.b").alias("b"))
+
+
 def star_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b): for each class its likeliest one among the least classes of its buckets."""
     pairs = members.filter("cid <> lead").select(F.col("cid").alias("a"), F.col("lead").alias("b")).distinct()
-    return estimated(pairs, classes, percent).groupBy("a").agg(F.max_by("b", F.struct("j", "b")).alias("b"))
+    return best_pairs(pairs, classes, percent, 1)
 
 
-def remaining_pairs(members: DataFrame, group: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the likely pairs of classes that share a bucket and are of different components (``group``: node, root)."""
-    rooted = members.select("key", "cid").join(group.select(F.col("node").alias("cid"), "root"), "cid", "left") \
-        .select("key", "cid", F.coalesce("root", "cid").alias("root"))
-    rooted = written(rooted)
+def mixed_buckets(members: DataFrame, group: DataFrame) -> DataFrame:
+    """(key, cid, root, top, p, others) of the buckets with several components (``group``: node, root): the component
+    with most of the bucket's ``p`` classes, and how many are in others."""
+    rooted = written(members.select("key", "cid").join(group.select(F.col("node").alias("cid"), "root"), "cid", "left")
+                     .select("key", "cid", F.coalesce("root", "cid").alias("root")))
     sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     mixed = sizes.groupBy("key").agg(F.sum("c").alias("p"), F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("roots")) \
         .filter("roots > 1").select("key", "p", F.col("top.root").alias("top"), (F.col("p") - F.col("top.c")).alias("others"))
-    mixed = written(mixed)
-    rows = rooted.join(mixed, "key")
-    few = rows.filter(F.col("others") <= DIRECT).select("key", "cid", "root", "top")
-    x, y = few.filter("root <> top").alias("x"), few.alias("y")
-    direct = x.join(y, F.expr("x.key = y.key and x.root <> y.root and (y.root = y.top or x.cid < y.cid)")) \
-        .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
-    return estimated(direct, classes, percent).select("a", "b").union(block_pairs(rows.filter(F.col("others") > DIRECT), classes, percent)).distinct()
+    return written(rooted.join(written(mixed), "key"))
 
 
-def block_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b) in buckets with many classes outside the largest component: those in blocks against all others in blocks."""
-    def blocks(of: str):
-        return F.ceil(F.col(of) / BLOCK).cast("int")
+def outside_pairs(mixed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for each class outside the largest component of a large bucket a few members of that component,
+    drawn by bucket, that are likeliest."""
+    large = mixed.filter(F.col("p") > LARGE)
+    drawn = large.filter("root = top").groupBy("key").agg(F.min_by("cid", F.xxhash64("cid", "key")).alias("b"))
+    pairs = large.filter("root <> top").select("key", F.col("cid").alias("a")).join(drawn, "key").select("a", "b").distinct()
+    return best_pairs(pairs, classes, percent, 3)
 
-    place = F.xxhash64("cid")
-    left = rows.filter("root <> top").withColumn("l", F.pmod(place, blocks("others")).cast("int")) \
-        .withColumn("r", F.explode(F.sequence(F.lit(0), blocks("p") - 1))).withColumn("first", F.lit(True))
-    right = rows.withColumn("r", F.pmod(place, blocks("p")).cast("int")) \
-        .withColumn("l", F.explode(F.sequence(F.lit(0), blocks("others") - 1))).withColumn("first", F.lit(False))
-    cols = ["key", "l", "r", "first", "cid", "root"]
-    dealt = left.select(*cols).union(right.select(*cols)).join(classes.select("cid", "n", "regs"), "cid")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def run(t: pa.Table) -> pa.Table:
-        first = np.asarray(t.column("first"))
-        cid, root, n = (np.asarray(t.column(c)) for c in ("cid", "root", "n"))
-        regs = matrix(t.column("regs"))
-        rest = np.flatnonzero(~first)
-        other = regs[rest]
-        out = [np.zeros((0, 2), np.int64)]
-        for i in np.flatnonzero(first).tolist():
-            equal, used = ((other == regs[i]) & (other > 0)).sum(axis=1), ((other > 0) | (regs[i] > 0)).sum(axis=1)
-            near = likely(equal, used, n[rest], n[i], percent)[1] & (root[rest] != root[i])
-            ids = cid[rest[near]]
-            out.append(np.stack([np.minimum(ids, cid[i]), np.maximum(ids, cid[i])], axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0)
-        return pa.Table.from_batches([batch_of(schema, [pairs[:, 0], pairs[:, 1]])])
 
-    return dealt.groupBy("key", "l", "r").applyInArrow(run, "a long, b long")
+def remaining_pairs(mixed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the likely pairs of different components in buckets with few classes outside the largest one."""
+    few = mixed.filter(F.col("others") <= DIRECT).select("key", "cid", "root", "top")
+    x, y = few.filter("root <> top").alias("x"), few.alias("y")
+    direct = x.join(y, F.expr("x.key = y.key and x.root <> y.root and (y.root = y.top or x.cid < y.cid)")) \
+        .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
+    return estimated(direct, classes, percent).select("a", "b")
 
 
 # ------------------------------------------------------------------ links
@@ -327,6 +324,63 @@ def verified(pairs: DataFrame, texts: DataFrame, names: DataFrame, k: int, perce
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def block_links(mixed: DataFrame, texts: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): stars of the linked classes in buckets with many classes outside the largest component.
+
+    These are dealt into blocks, and so are all the bucket's classes; a task takes one block of each, compares
+    their sketches as matrices and verifies the likely pairs on the sets of the texts that came along.
+    """
+    def blocks(of: str):
+        return F.ceil(F.col(of) / BLOCK).cast("int")
+
+    many = mixed.filter(F.col("others") > DIRECT)
+    wanted = written(classes.join(many.select("cid").distinct(), "cid", "left_semi"))
+    whole = wanted.join(whole_texts(texts, wanted.select("rk")), ["rk", "rk2"]).select("cid", "n", "sig", "regs", "text")
+    place = F.xxhash64("cid")
+    left = many.filter("root <> top").withColumn("l", F.pmod(place, blocks("others")).cast("int")) \
+        .withColumn("r", F.explode(F.sequence(F.lit(0), blocks("p") - 1))).withColumn("first", F.lit(True))
+    right = many.withColumn("r", F.pmod(place, blocks("p")).cast("int")) \
+        .withColumn("l", F.explode(F.sequence(F.lit(0), blocks("others") - 1))).withColumn("first", F.lit(False))
+    cols = ["key", "l", "r", "first", "cid", "root"]
+    dealt = left.select(*cols).union(right.select(*cols)).join(written(whole), "cid")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(t: pa.Table) -> pa.Table:
+        first = np.asarray(t.column("first"))
+        cid, root, n = (np.asarray(t.column(c)) for c in ("cid", "root", "n"))
+        regs = matrix(t.column("regs"))
+        x, y = np.flatnonzero(first), np.flatnonzero(~first)
+        near = np.zeros((len(x), len(y)), bool)
+        other, set_there = regs[y], regs[y] > 0
+        for i, own in enumerate(x.tolist()):
+            equal, used = ((other == regs[own]) & set_there).sum(axis=1), (set_there | (regs[own] > 0)).sum(axis=1)
+            near[i] = likely(equal, used, n[y], n[own], percent)[1] & (root[y] != root[own])
+        i, j = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        if not len(i):
+            return schema.empty_table()
+        near, x, y = near[np.ix_(i, j)], x[i], y[j]
+        sets = []
+        for side in (x, y):
+            some = t.take(pa.array(side))
+            sets.append(sets_of(some.column("text"), k))
+            if [signature(s) for s in sets[-1]] != some.column("sig").to_pylist():
+                raise ValueError("two rows share the hashes of id and text")
+        common = common_sizes(*sets)
+        linked = near & (100 * common >= percent * (n[x][:, None] + n[y][None, :] - common))
+        label = {c: c for c in cid[x].tolist() + cid[y].tolist()}
+        a, b = (cid[side[at]].tolist() for side, at in zip((x, y), np.nonzero(linked)))
+        for c, d in zip(a, b):                            # the least class of each linked group
+            while label[c] != c:
+                c = label[c]
+            while label[d] != d:
+                d = label[d]
+            label[max(c, d)] = min(c, d)
+        pairs = [(c, d) for c, d in label.items() if c != d]
+        return pa.Table.from_batches([batch_of(schema, list(zip(*pairs)))]) if pairs else schema.empty_table()
+
+    return dealt.groupBy("key", "l", "r").applyInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable by links) and kept (it is the row's own id)."""
     texts = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
@@ -342,8 +396,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     lead = bands.groupBy("key").agg(F.min("cid").alias("lead"), F.count(F.lit(1)).alias("p")).filter("p > 1").select("key", "lead")
     members = written(bands.join(lead, "key"))
     links = written(verified(star_pairs(members, classes, percent), texts, names, words, percent))
-    more = verified(remaining_pairs(members, components(links), classes, percent), texts, names, words, percent)
-    group = components(links.union(more))
+    mixed = mixed_buckets(members, components(links))
+    outside = F.count_distinct(F.when((F.col("p") > LARGE) & (F.col("root") != F.col("top")), F.col("cid")))
+    left = mixed.agg(outside).first()[0]
+    while left:
+        links = written(links.union(verified(outside_pairs(mixed, classes, percent), texts, names, words, percent)))
+        mixed = mixed_buckets(members, components(links))
+        before, left = left, mixed.agg(outside).first()[0]
+        if left > (1 - GAIN) * before:
+            break
+    more = verified(remaining_pairs(mixed, classes, percent), texts, names, words, percent)
+    group = components(links.union(more).union(block_links(mixed, texts, classes, words, percent)))
     named = classes.select("cid", "sig", "rep").join(group, F.col("cid") == F.col("node"), "left").select("sig", "rep", F.coalesce("root", "cid").alias("root"))
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     final = named.join(ids, "root").select("sig", "component_id")
