@@ -183,3 +183,38 @@ def test_shards_of_messy_rows(messy, nothing):
 
 def test_crc_is_unsigned():
     assert zlib.crc32(b"abc") == 891568578
+
+
+def test_many_rows_without_id_cost_what_rows_with_ids_cost(spark, vocabulary):
+    """Rows are known by id and text: no row of a null or repeated id meets the others of it."""
+    import time
+    rng = random.Random(31)
+    base = [rng.choice(vocabulary) for _ in range(70)]
+    texts = []
+    for _ in range(500):
+        w = list(base)
+        w[rng.randrange(70)] = rng.choice(vocabulary)
+        texts.append(" ".join(w))
+    took = {}
+    for name, ids in (("own", range(500)), ("null", [None] * 500), ("same", [4] * 500)):
+        rows = list(zip(ids, texts))
+        start = time.perf_counter()
+        got = Counter(map(tuple, jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).collect()))
+        took[name] = time.perf_counter() - start
+        assert got == brute(rows, 3, 80)
+    assert max(took.values()) < 3 * took["own"] + 20
+
+
+def test_bitmaps_lose_no_link():
+    rng = random.Random(8)
+    import numpy as np
+    for n in (5, 60, 900, 5000):
+        for _ in range(30):
+            h = np.array([rng.getrandbits(64) for _ in range(n + n // 4)], np.uint64)
+            drop = rng.randint(0, n // 8)
+            a, b = np.unique(h[:n]), np.unique(np.append(h[drop:n], h[n:n + rng.randint(0, n // 8)]))
+            common = len(np.intersect1d(a, b))
+            least = -(-80 * (len(a) + len(b)) // 180)
+            if 100 * common >= 80 * (len(a) + len(b) - common):
+                x, y = (np.frombuffer(jaccard.bitmap(s), np.uint64) for s in (a, b))
+                assert int(np.bitwise_count(x ^ y).sum()) <= len(a) + len(b) - 2 * least

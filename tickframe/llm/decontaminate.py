@@ -45,6 +45,8 @@ BLOCK_WORDS = 4_000_000
 FREQUENT, FEWEST = 20_000, 3
 #: hits that a task holds at once
 HITS = 1 << 21
+#: hits held at once where a task keeps whole rows in the JVM beside it
+FEW_HITS, SMALL_PIECE = 1 << 18, 1 << 18
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("seeds", pa.int64()),
                     ("start", pa.int64()), ("end", pa.int64())])
 SCHEMA_SQL = "doc_id long, item_id long, score double, seeds long, start long, end long"
@@ -158,7 +160,7 @@ def align(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def leaks_in(items: Items, words: Words, limit: float) -> Iterator[tuple[int, int, float, int, int, int]]:
+def leaks_in(items: Items, words: Words, limit: float, hits: int = HITS) -> Iterator[tuple[int, int, float, int, int, int]]:
     """Leaks of a piece's texts: row, item, score, seeds, and the span in words."""
     gram, at = pairs_of(words.hash, words.row)
     place = found_in(items.keys, gram)
@@ -170,8 +172,8 @@ def leaks_in(items: Items, words: Words, limit: float) -> Iterator[tuple[int, in
     rows = words.row[at]
     ends = np.append(np.flatnonzero(rows[1:] != rows[:-1]) + 1, len(rows)) if len(rows) else []
     lo, before = 0, 0
-    for j, end in enumerate(ends):                        # whole rows, and as many of them as hold HITS hits
-        if j + 1 == len(ends) or total[ends[j + 1] - 1] - before > HITS:
+    for j, end in enumerate(ends):                        # whole rows, and as many of them as hold so many hits
+        if j + 1 == len(ends) or total[ends[j + 1] - 1] - before > hits:
             yield from _aligned(items, words, place[lo:end], at[lo:end], many[lo:end], limit)
             lo, before = end, int(total[end - 1])
 
@@ -299,16 +301,17 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def _clean_of(docs: DataFrame, items: Items, text_col: str, limit: float) -> DataFrame:
+    """Texts go to Python and one boolean comes back; the rows stay in the JVM."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
-    place = docs.columns.index(text_col)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def clean_text(column: pa.Array) -> pa.Array:
         block = sent.value
-        for b in batches:
-            clean = np.ones(b.num_rows, bool)
-            for lo, _, off, data in pieces(b.column(place)):
-                for row, *_ in leaks_in(block, Words(off, data, LETTER_WORDS), limit):
-                    clean[lo + row] = False
-            yield b.filter(pa.array(clean))
-
-    return docs.mapInArrow(keep, docs.schema)
+        clean = np.ones(len(column), bool)
+        for lo, _, off, data in pieces(column, SMALL_PIECE):
+            for row, *_ in leaks_in(block, Words(off, data, LETTER_WORDS), limit, FEW_HITS):
+                clean[lo + row] = False
+        pa.default_memory_pool().release_unused()
+        return pa.array(clean)
+
+    return docs.filter(clean_text(F.col(f"`{text_col}`").cast("string")))

@@ -41,11 +41,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tickframe.llm.blocks import SPACE_WORDS, Words, batch_of, mix, pieces, runs_of, written
-from tickframe.llm.jaccard import _common as common_sizes, components, id_bits, sets_of, signature
+from tickframe.llm.jaccard import _common as common_sizes, components, row_hashes, sets_of, signature, whole_texts
 
 BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
@@ -73,11 +72,6 @@ _ASKS = _orders()
 
 
 # ------------------------------------------------------------------ sketches
-def row_hashes() -> list:
-    """128 bits by which a row is known: of its id and text."""
-    return [F.xxhash64("doc_id", "text").alias("rk"), F.xxhash64("text", "doc_id").alias("rk2")]
-
-
 def shingles(off: np.ndarray, data: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and hash of the distinct shingles of each text, sorted by both."""
     w = Words(off, data, SPACE_WORDS)
@@ -280,24 +274,6 @@ def remaining_pairs(mixed: DataFrame, classes: DataFrame, percent: int) -> DataF
 
 
 # ------------------------------------------------------------------ links
-def whole_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rk, rk2, text) of the rows whose hash ``rk`` is (by a bit table) among ``wanted`` (rk), compressed; equal rows once."""
-    size, table = id_bits(wanted, "rk")
-    sent = texts.sparkSession.sparkContext.broadcast(table)          # 64 MB at most
-    schema = pa.schema([("rk", pa.int64()), ("rk2", pa.int64()), ("text", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, pack = sent.value, zstandard.ZstdCompressor(level=3).compress
-        for b in batches:
-            place = np.asarray(b.column(3))
-            some = b.filter(pa.array((table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
-            yield batch_of(schema, [some.column(0), some.column(1), [pack((t or "").encode()) for t in some.column(2).to_pylist()]])
-
-    rows = texts.select(*row_hashes(), "text").withColumn("place", F.pmod(F.xxhash64("rk"), F.lit(size)))
-    rows = rows.select("rk", "rk2", "text", "place").mapInArrow(run, "rk long, rk2 long, text binary")
-    return rows.groupBy("rk", "rk2").agg(F.first("text").alias("text"))
-
-
 def verified(pairs: DataFrame, texts: DataFrame, names: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b) of the pairs whose whole sets are linked; ``names``: cid, rk, rk2, sig."""
     pairs = written(pairs)

@@ -42,6 +42,8 @@ BOUNDED = 1 << 16
 PACKED_ROWS = 1 << 20
 #: pairs whose texts a task unpacks at once
 SLICE = 256
+#: bits of a set's bitmap
+BITMAP = 2048
 #: classes of one block, and the most under which a shingle's classes are joined directly
 BLOCK, DIRECT = 256, 48
 #: longest extra prefix, and costs of a prefix row, of reading a posting, of verifying a candidate
@@ -76,6 +78,18 @@ def signature(s: np.ndarray) -> bytes:
         return np.array([mix(s).sum(), np.bitwise_xor.reduce(mix(s + np.uint64(0x9E3779B97F4A7C15)))], np.uint64).tobytes()
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Which of BITMAP places the set's elements fall on."""
+    there = np.zeros(BITMAP, bool)
+    there[(s & np.uint64(BITMAP - 1)).astype(np.int64)] = True
+    return np.packbits(there).tobytes()
+
+
+def row_hashes() -> list:
+    """128 bits by which a row is known: of its id and text."""
+    return [F.xxhash64("doc_id", "text").alias("rk"), F.xxhash64("text", "doc_id").alias("rk2")]
+
+
 def bucket_counts(texts: DataFrame, k: int) -> np.ndarray:
     """Occurrences of the shingles of each hash bucket in the whole corpus (2**BUCKET_BITS numbers)."""
     segments = 16
@@ -138,12 +152,13 @@ def sets_with_signature(texts: DataFrame, k: int) -> DataFrame:
 
 
 def prefixes(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n, sig, matches, prefix, often) of each row with words: its prefix, and the part of it in full buckets."""
+    """(doc_id, rk, rk2, n, sig, bits, matches, prefix, often) of each row with words: hashes of id and text, the bitmap of
+    its set, its prefix, and the part of that in full buckets."""
     counts = bucket_counts(texts, k)
     usual = float(counts.mean() + 3 * np.sqrt(counts.mean()) + 1)
     sent = texts.sparkSession.sparkContext.broadcast(counts)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("sig", pa.binary()), ("matches", pa.int32()),
-                        ("prefix", pa.list_(pa.int64())), ("often", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("rk", pa.int64()), ("rk2", pa.int64()), ("n", pa.int32()), ("sig", pa.binary()), ("bits", pa.binary()),
+                        ("matches", pa.int32()), ("prefix", pa.list_(pa.int64())), ("often", pa.list_(pa.int64()))])
 
     def lists(arrays: list[np.ndarray]) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(np.concatenate(arrays).view(np.int64)))
@@ -151,18 +166,19 @@ def prefixes(texts: DataFrame, k: int, percent: int) -> DataFrame:
     def run(batches):
         counts = sent.value
         for b in batches:
-            for lo, _, off, data in pieces(b.column(1)):
+            for lo, _, off, data in pieces(b.column(3)):
                 rows = []
                 for r, s in enumerate(shingle_sets(off, data, k)):
                     if len(s):
                         pick, prefix = prefix_of(s, counts, usual, percent)
                         full = counts[(prefix >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] > BOUNDED
-                        rows.append((lo + r, len(s), signature(s), pick, prefix[~full], prefix[full]))
+                        rows.append((lo + r, len(s), signature(s), bitmap(s), pick, prefix[~full], prefix[full]))
                 if rows:
-                    at, n, sig, pick, prefix, often = zip(*rows)
-                    yield batch_of(schema, [b.column(0).take(pa.array(at)), n, sig, pick, lists(prefix), lists(often)])
+                    at, n, sig, bits, pick, prefix, often = zip(*rows)
+                    yield batch_of(schema, [*(b.column(j).take(pa.array(at)) for j in range(3)), n, sig, bits, pick, lists(prefix), lists(often)])
 
-    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, sig binary, matches int, prefix array<long>, often array<long>")
+    return texts.select("doc_id", *row_hashes(), "text").mapInArrow(
+        run, "doc_id long, rk long, rk2 long, n int, sig binary, bits binary, matches int, prefix array<long>, often array<long>")
 
 
 def shared_tokens(cls: DataFrame) -> DataFrame:
@@ -237,23 +253,25 @@ def id_bits(ids: DataFrame, column: str) -> tuple[int, np.ndarray]:
     return size, table
 
 
-def whole_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents whose id is (by its hash) among ``ids`` (rep): no other text moves later.
+def whole_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rk, rk2, text) of the rows whose hash ``rk`` is (by a bit table) among ``wanted`` (rk): no other text moves later.
 
-    A text is compressed for the way.
+    Equal rows come once; a text is compressed for the way.
     """
-    size, table = id_bits(ids, "rep")
-    sent = texts.sparkSession.sparkContext.broadcast(table)
+    size, table = id_bits(wanted, "rk")
+    sent = texts.sparkSession.sparkContext.broadcast(table)          # 64 MB at most
+    schema = pa.schema([("rk", pa.int64()), ("rk2", pa.int64()), ("text", pa.binary())])
 
     def run(batches):
         table, pack = sent.value, zstandard.ZstdCompressor(level=3).compress
         for b in batches:
-            place = np.asarray(b.column(2))
+            place = np.asarray(b.column(3))
             some = b.filter(pa.array((table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
-            yield batch_of(pa.schema([("doc_id", pa.int64()), ("text", pa.binary())]),
-                           [some.column(0), [pack((t or "").encode()) for t in some.column(1).to_pylist()]])
+            yield batch_of(schema, [some.column(0), some.column(1), [pack((t or "").encode()) for t in some.column(2).to_pylist()]])
 
-    return texts.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("place")).mapInArrow(run, "doc_id long, text binary")
+    rows = texts.select(*row_hashes(), "text").withColumn("place", F.pmod(F.xxhash64("rk"), F.lit(size)))
+    rows = rows.select("rk", "rk2", "text", "place").mapInArrow(run, "rk long, rk2 long, text binary")
+    return rows.groupBy("rk", "rk2").agg(F.first("text").alias("text"))
 
 
 def sets_of(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -283,17 +301,38 @@ def direct_pairs(found: DataFrame, percent: int) -> DataFrame:
         .filter("c >= need").select("a", "b")
 
 
+def possible(pairs: DataFrame, cls: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs whose bitmaps don't rule out a link.
+
+    A place that is set in one bitmap alone has an element that the other set lacks, and linked sets
+    differ in a bounded number of elements, so no link is lost.
+    """
+    def side(x: str) -> DataFrame:
+        return cls.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"m{x}"))
+
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        for whole in batches:
+            for t in (whole.slice(lo, 4096) for lo in range(0, whole.num_rows, 4096)):
+                x, y = (np.frombuffer(b"".join(t.column(j).to_pylist()), np.uint64).reshape(t.num_rows, -1) for j in (4, 5))
+                both = np.asarray(t.column(2)).astype(np.int64) + np.asarray(t.column(3))
+                least = -(-percent * both // (100 + percent))         # common elements of a link
+                some = np.flatnonzero(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= both - 2 * least)
+                if len(some):
+                    yield batch_of(schema, [np.asarray(t.column(0))[some], np.asarray(t.column(1))[some]])
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ma", "mb").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, whole: DataFrame, names: DataFrame, k: int, percent: int) -> DataFrame:
     """(cid, root, weight): both directions of each linked pair; the weight is the other side's copies.
 
     The texts of both sides meet, as they are smaller than their sets.
     """
-    def named(x: str, rest: DataFrame) -> DataFrame:
-        return rest.join(names.select(F.col("cid").alias(x), F.col("rep").alias(f"r{x}"), F.col("sig").alias(f"g{x}"), F.col("copies").alias(f"c{x}")), x)
-
-    def with_text(x: str, rest: DataFrame) -> DataFrame:
-        text = whole.select(F.col("doc_id").alias(f"d{x}"), F.col("text").alias(f"t{x}"))
-        return rest.join(text, F.col(f"r{x}").eqNullSafe(F.col(f"d{x}"))).drop(f"r{x}", f"d{x}")
+    def side(x: str) -> DataFrame:
+        return names.join(whole, ["rk", "rk2"]).select(
+            F.col("cid").alias(x), F.col("sig").alias(f"g{x}"), F.col("copies").alias(f"c{x}"), F.col("text").alias(f"t{x}"))
 
     schema = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())])
 
@@ -304,7 +343,7 @@ def verified(pairs: DataFrame, whole: DataFrame, names: DataFrame, k: int, perce
             for x, y, *row in zip(sets_of(t.column(6), k), sets_of(t.column(7), k), a, b, ga, gb, ca, cb):
                 one, other, sig, sig2, copies, copies2 = row
                 if signature(x) != sig or signature(y) != sig2:
-                    continue                              # another document of the same id
+                    raise ValueError("two rows share the hashes of id and text")
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 if _linked(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent):
@@ -312,9 +351,8 @@ def verified(pairs: DataFrame, whole: DataFrame, names: DataFrame, k: int, perce
             if out:
                 yield batch_of(schema, list(zip(*out)))
 
-    # a class may have several rows of one id
-    return with_text("b", with_text("a", named("b", named("a", pairs)))).select("a", "b", "ga", "gb", "ca", "cb", "ta", "tb") \
-        .mapInArrow(run, "cid long, root long, weight long").dropDuplicates(["cid", "root"])
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ga", "gb", "ca", "cb", "ta", "tb") \
+        .mapInArrow(run, "cid long, root long, weight long")
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -344,7 +382,7 @@ def block_links(found: DataFrame, whole: DataFrame, names: DataFrame, k: int, pe
     many = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)) \
         .select("cid", "n", "matches", tokens(True).alias("often"), tokens(False).alias("seldom"), F.explode("found").alias("f")) \
         .filter(F.col("f.p") > DIRECT).select("cid", "n", "matches", "often", "seldom", "f.*") \
-        .join(names, "cid").join(whole, F.col("rep").eqNullSafe(F.col("doc_id")))
+        .join(names.join(whole, ["rk", "rk2"]), "cid")
     blocks = F.ceil(F.col("p") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
     dealt = many.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
@@ -352,13 +390,9 @@ def block_links(found: DataFrame, whole: DataFrame, names: DataFrame, k: int, pe
     schema = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        sets = sets_of(table.column("text"), k)
-        sound = [j for j, (s, g) in enumerate(zip(sets, table.column("sig").to_pylist())) if signature(s) == g]
-        one = {c: j for j, c in zip(sound, np.asarray(table.column("cid"))[sound].tolist())}   # a class may have several rows of one id
-        rows = sorted(one.values())
-        table, whole = table.take(pa.array(rows, pa.int64())), [sets[j] for j in rows]
-        if not rows:
-            return schema.empty_table()
+        whole = sets_of(table.column("text"), k)
+        if [signature(s) for s in whole] != table.column("sig").to_pylist():
+            raise ValueError("two rows share the hashes of id and text")
         col = {f: table.column(f) for f in ("cid", "n", "matches", "often", "seldom", "copies", "block", "lo", "hi")}
         token = table.column("token")[0].as_py()
         block = np.asarray(col["block"])
@@ -425,17 +459,19 @@ def _grouped(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     # classes go by their least id, or by a hash of the set where that is null or names two classes
     double = written(sets.filter("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi"))
                      .filter("lo <> hi").select(F.col("doc_id").alias("rep"), F.lit(True).alias("double")))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "rk", "rk2")).alias("least")
     cls = written(prefixes(texts, words, percent).groupBy("sig").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "matches", "prefix", "often")])
+        least, F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "bits", "matches", "prefix", "often")])
+        .select("*", F.col("least.doc_id").alias("rep"), "least.rk", "least.rk2").drop("least")
         .join(double, "rep", "left")
         .withColumn("cid", F.when(F.col("rep").isNotNull() & F.col("double").isNull(), F.col("rep")).otherwise(F.xxhash64("sig"))).drop("double"))
-    names = cls.select("cid", "sig", "rep", "copies")
+    names = cls.select("cid", "sig", "rep", "rk", "rk2", "copies")
     found = written(shared_tokens(cls).groupBy("cid").agg(F.collect_list(F.struct("token", "p")).alias("found"))
                     .join(cls.select("cid", "n", "matches"), "cid"))
-    pairs = written(direct_pairs(found, percent))
+    pairs = written(possible(direct_pairs(found, percent), cls, percent))
     hot = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)).select("cid")
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(hot).distinct()
-    whole = whole_texts(texts, written(names.join(wanted, "cid").select("rep")))
+    whole = written(whole_texts(texts, written(names.join(wanted, "cid").select("rk"))))
     links = written(verified(pairs, whole, names, words, percent).union(block_links(found, whole, names, words, percent)))
     group = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     degree = links.groupBy("cid").agg(F.sum("weight").alias("links"))
