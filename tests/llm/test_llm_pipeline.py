@@ -71,3 +71,16 @@ def test_pipeline_of_empty_tables(spark, folder, tmp_path):
     for t in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_columns_named_like_working_columns_keep_their_values(spark, corpus):
+    from tickframe.llm import decontaminate, jaccard, secrets
+    names = "row id sig copy i s _id _set _copy _sig _text _base _spans _runs _table _m Text2 c0".split()
+    rows = [(i, (t or "") + ' password = "abcd1234efgh5678"' if i < 20 else t, *[f"{i}{n}" for n in names]) for i, t in corpus[:70]]
+    wide = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    items = spark.createDataFrame([(1, "an item that nothing holds at all here")], "item_id long, text string")
+    for out in (secrets.redact(wide), jaccard.one_of_each(wide), decontaminate.without_leaks(wide, items)):
+        assert out.columns == wide.columns
+        got = out.collect()
+        assert len(got) > 50 and all(r[n] == f"{r['doc_id']}{n}" for r in got for n in names)
+    assert not any("abcd1234efgh5678" in str(r.asDict()) for r in secrets.redact(wide).collect())

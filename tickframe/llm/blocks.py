@@ -15,7 +15,7 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickframe.session import checkpoint_dir
 
@@ -196,3 +196,14 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def boxed(df: DataFrame, **columns: str) -> DataFrame:
+    """``row`` (all columns of ``df``, by place) and the given columns of it: names of ``df`` can't clash with any other."""
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)]).alias("row")
+    return df.select(row, *[F.col(f"`{c}`").alias(name) for name, c in columns.items()])
+
+
+def unboxed(df: DataFrame, names: list[str], **changed: Column) -> DataFrame:
+    """The columns ``names`` of boxed rows, some of them ``changed``."""
+    return df.select(*[changed.get(c, F.col(f"row.c{k}")).alias(c) for k, c in enumerate(names)])

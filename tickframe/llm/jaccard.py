@@ -33,7 +33,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickframe.llm.blocks import SPACE_WORDS, Words, batch_of, mix, partitions, pieces, runs_of, written
+from tickframe.llm.blocks import SPACE_WORDS, Words, batch_of, boxed, mix, partitions, pieces, runs_of, unboxed, written
 
 BUCKET_BITS = 20
 #: shingles whose bucket holds more occurrences may be frequent: their rows are counted and joined by Spark alone
@@ -516,17 +516,17 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     sets, final = _grouped(texts, words, percent)
     least = F.col("first") & F.col("doc_id").eqNullSafe(F.col("component_id"))
     cl = written(sets.join(final, "sig", "left").select("doc_id", "n", "sig", F.when(F.col("n") > 0, least).otherwise(True).alias("stays")))
-    ids = cl.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("rows"), F.bool_and("stays").alias("stay"))
-    decided = written(ids.filter("rows > 1 or not stay"))
-    again = decided.filter("rows > 1").select("_id")
-    own = F.col(id_col).cast("long")
-    single = docs.filter(own.isNotNull()).join(decided.select("_id"), own == F.col("_id"), "left_anti")
-    several = docs.filter(own.isNull()).unionAll(docs.join(again, own == F.col("_id"), "left_semi"))
-    several = with_signature(several, text_col, words, "_set")
-    first = cl.filter("stays and n > 0")
-    first = written(first.filter("doc_id is null").unionAll(first.join(again, F.col("doc_id") == F.col("_id"), "left_semi"))
-                    .select(F.col("doc_id").alias("_id"), F.col("sig").alias("_sig")).distinct())
-    copy = F.row_number().over(Window.partitionBy(own, "_set").orderBy(id_col))
-    full = several.filter("length(_set) > 0").withColumn("_copy", copy).filter("_copy = 1").drop("_copy") \
-        .join(first, (F.col("_set") == F.col("_sig")) & own.eqNullSafe(F.col("_id")), "left_semi")
-    return single.unionAll(full.drop("_set")).unionAll(several.filter("length(_set) = 0").drop("_set"))
+    ids = cl.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and("stays").alias("stay"))
+    decided = written(ids.filter("rows > 1 or not stay").select(F.col("doc_id").alias("id"), "rows"))
+    again = decided.filter("rows > 1").select("id")
+    rows = boxed(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
+    single = rows.filter("id is not null").join(decided.select("id"), "id", "left_anti")
+    several = rows.filter("id is null").unionByName(rows.join(again, "id", "left_semi"))
+    several = with_signature(several, "text", words, "sig")
+    first = cl.filter("stays and n > 0").select(F.col("doc_id").alias("i"), F.col("sig").alias("s"))
+    first = written(first.filter("i is null").unionAll(first.join(again, F.col("i") == F.col("id"), "left_semi")).distinct())
+    copy = F.row_number().over(Window.partitionBy("id", "sig").orderBy("id"))
+    full = several.filter("length(sig) > 0").withColumn("copy", copy).filter("copy = 1") \
+        .join(first, (F.col("sig") == F.col("s")) & F.col("id").eqNullSafe(F.col("i")), "left_semi")
+    kept = single.select("row").unionAll(full.select("row")).unionAll(several.filter("length(sig) = 0").select("row"))
+    return unboxed(kept, docs.columns)

@@ -28,6 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickframe.llm.arrays import with_running
+from tickframe.llm.blocks import boxed, unboxed
 
 #: The base patterns (a value of 12, 18 and 16 or more characters counts).
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -146,11 +147,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", sample: int = SAMPLE_DOCS) -> DataFrame:
     """``docs`` with every span (overlapping ones as one) replaced by ``mark``; a null text stays null."""
-    found = find(docs, train(labelled_samples(docs, id_col, text_col, sample)), text_col)
+    rows = boxed(docs, doc_id=id_col, text=text_col)
+    found = find(rows, train(labelled_samples(rows, sample=sample)))
     parts = F.aggregate("_spans", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")), lambda acc, s: F.struct(
         F.greatest(acc["at"], s["end"]).alias("at"),
         F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(
             F.substring(F.col("_text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mark))))
         .otherwise(acc["out"]).alias("out")))
     clean = F.concat(F.concat_ws("", parts["out"]), F.substring(F.col("_text"), (parts["at"] + 1).cast("int"), F.length("_text")))
-    return found.withColumn(text_col, F.when(F.size("_spans") > 0, clean).otherwise(F.col(text_col))).select(*[f"`{c}`" for c in docs.columns])
+    return unboxed(found, docs.columns, **{text_col: F.when(F.size("_spans") > 0, clean).otherwise(F.col("text"))})
