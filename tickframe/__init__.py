@@ -11,7 +11,6 @@ sources    readers of bar tables, candle JSON, the market document (S1-S8)
 operators  cleaning, the series layout, windows, recurrences, levels, ranking
 functions  column-level helpers: rounding, formatting, labels, prompt text
 plans      composed jobs (market document, report tables) and the query registry
-streaming  intentionally empty: the reference is a daily batch (see README)
 """
 
 from tickframe.session import get_spark, checkpoint_dir  # noqa: F401

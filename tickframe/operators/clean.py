@@ -13,7 +13,7 @@ expressions, ``groupBy`` and joins; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PRICE_COLUMNS = ["open", "high", "low", "close"]
@@ -153,23 +153,24 @@ def validate_bars(bars: DataFrame, key: str = "symbol") -> tuple[DataFrame, Data
 
     Rejected rows: a null time, a price that is null, NaN or infinite (a bar
     needs all four prices), and every copy of a duplicated ``(symbol, time)``.
-    A volume that is no finite number becomes 0 (P5).  The duplicate count is a
-    window over ``(symbol, time)``, a key that is unique in clean data.
+    A volume that is no finite number becomes 0 (P5).  Repeated pairs are found by
+    partial counts and taken out by a join with the few that there are, so a pair with a
+    million copies is counted where it is read and no bar is sorted for it.
     """
-    w = Window.partitionBy(key, "time")
     if "volume" in bars.columns:
         bars = bars.withColumn("volume", F.coalesce(finite(F.col("volume").cast("double")), F.lit(0.0)))
-    counted = bars.withColumn("_dup", F.count(F.lit(1)).over(w))
-    missing = F.col("time").isNull()
+    several = bars.filter(F.col("time").isNotNull()).groupBy(F.col(key).alias("_key"), F.col("time").alias("_time")) \
+        .agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1").drop("_copies")
+    repeated = F.col(key).eqNullSafe(F.col("_key")) & (F.col("time") == F.col("_time"))
+    missing = F.lit(False)
     for c in PRICE_COLUMNS:
         missing = missing | finite(F.col(c)).isNull()
-    reason = (F.when(F.col("time").isNull(), F.lit("missing time"))
-               .when(missing, F.lit("missing price"))
-               .when(F.col("_dup") > 1, F.lit("duplicate time")))
-    tagged = counted.withColumn("_reason", reason)
-    good = tagged.filter(F.col("_reason").isNull()).drop("_dup", "_reason")
-    bad = errors_of(tagged.filter(F.col("_reason").isNotNull()), F.col("_reason"), F.col("time"))
-    return good, bad
+    whole = F.col("time").isNotNull() & ~missing
+    good = bars.filter(whole).join(several, repeated, "left_anti")
+    lacking = bars.filter(~whole)
+    bad = errors_of(lacking, F.when(F.col("time").isNull(), F.lit("missing time")).otherwise(F.lit("missing price")), F.col("time"))
+    copies = bars.filter(whole).join(several, repeated, "left_semi")
+    return good, bad.unionByName(errors_of(copies, F.lit("duplicate time"), F.col("time")))
 
 
 def require_history(bars: DataFrame, min_bars: int = 50,

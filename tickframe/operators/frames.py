@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 
 MA_PERIODS = (5, 10, 20, 50, 100, 200)
 YEAR_BARS = 252       # 52-week high / low look-back, by row count
-#: averages longer than this are differences of running sums (Spark sums a sliding frame anew for each row)
-DIRECT_FRAME = 20
+#: longer averages add up the sums of shorter frames before them (Spark sums a sliding frame anew for each row);
+#: nothing is subtracted, so one huge price is gone when it leaves the frame
+DIRECT_FRAME, CHUNK = 20, 10
 
 
 def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
@@ -24,7 +25,6 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
     newest bar of each symbol.
     """
     w = f"partition by {key}, blk order by rn"
-    run = f"over ({w} rows between unbounded preceding and current row)"
 
     def frame(p: int) -> str:
         return f"over ({w} rows between {p - 1} preceding and current row)"
@@ -32,15 +32,12 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
     def guarded(fn: str, x: str, p: int) -> str:
         return f"case when count({x}) {frame(p)} = {p} then {fn}({x}) {frame(p)} end"
 
-    def difference(p: int) -> str:
-        # the sums restart in every block, so they stay as small as a block; the counts tell nulls
-        before = [f"coalesce(lag({c}, {p}) over ({w}), {zero})" for c, zero in (("_sum", "0D"), ("_count", "0L"))]
-        return f"case when _count - {before[1]} = {p} then (_sum - {before[0]}) / {float(p)!r}D end"
+    def added(of: str, step: int, n: int) -> str:
+        return " + ".join([of, *[f"lag({of}, {k * step}) over ({w})" for k in range(1, n)]])
 
     a = blocked.selectExpr(
         "*",
-        f"sum(close) {run} as _sum",
-        f"count(close) {run} as _count",
+        f"{guarded('sum', 'close', CHUNK)} as _chunk",
         f"{guarded('stddev_samp', 'close', 20)} as _std20",
         f"lag(close, 1) over ({w}) as prev_close",
         f"{guarded('min', 'low', 14)} as lo14",
@@ -49,8 +46,8 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
         *[f"{guarded('avg', 'close', p)} as ma{p}" for p in MA_PERIODS if p <= DIRECT_FRAME])
     delta = "(close - prev_close)"
     a = a.selectExpr(
-        *[f"`{c}`" for c in a.columns if c not in ("_sum", "_count")],
-        *[f"{difference(p)} as ma{p}" for p in MA_PERIODS if p > DIRECT_FRAME],
+        *[f"`{c}`" for c in a.columns if c != "_chunk"],
+        f"{added('_chunk', CHUNK, 5)} as _sum50",
         f"{delta} as delta",
         "greatest(high - low, abs(high - prev_close), abs(low - prev_close)) as tr",
         "100D * (close - lo14) / nullif(hi14 - lo14, 0D) as stoch_k",
@@ -58,7 +55,9 @@ def finite_frames(blocked: DataFrame, key: str = "symbol") -> DataFrame:
         f"case when {delta} is not null then greatest(-{delta}, 0D) end as loss")
     whole = f"over (partition by {key}, blk)"
     return a.selectExpr(
-        *[f"`{c}`" for c in a.columns if c != "_std20"],
+        *[f"`{c}`" for c in a.columns if c not in ("_std20", "_sum50")],
+        # 50 rows are five chunks, 100 and 200 rows two and four times 50; a null chunk makes the sum null
+        *[f"({added('_sum50', 50, p // 50)}) / {float(p)!r}D as ma{p}" for p in MA_PERIODS if p > DIRECT_FRAME],
         "ma20 as bb_mid",
         "ma20 + 2D * _std20 as bb_upper",
         "ma20 - 2D * _std20 as bb_lower",

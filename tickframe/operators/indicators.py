@@ -8,7 +8,7 @@ scan.  Input bars must be clean (``clean.validate_bars``): unique
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tickframe.operators.frames import finite_frames
 from tickframe.operators.layout import BLOCK, LOOKBACK, drop_halo, with_blocks, with_row_index
@@ -28,9 +28,12 @@ def indicators(bars: DataFrame, key: str = "symbol", block: int = BLOCK, lookbac
 
     The rows move twice: once to be numbered by ``(key, bucket)``, once to
     ``(key, blk)``, where all windows run.  The bar counts per bucket are a
-    second, narrow read of key and time.
+    second, narrow read of key and time.  Bars that carry ``rn`` and ``n_bars``
+    already (``profile.checked_series``) are not numbered again.
     """
-    idx = with_row_index(bars, bucket=bucket, key=key)
-    frames = finite_frames(with_blocks(idx, lookback, block), key)
-    out = drop_halo(wilder_and_macd(frames, key, block, lookback))
-    return out.select(*[f"`{c}`" for c in bars.columns], "rn", "n_bars", "blk", "prev_close", *INDICATOR_COLUMNS, "hi52", "lo52")
+    idx = bars if {"rn", "n_bars"} <= set(bars.columns) else with_row_index(bars, bucket=bucket, key=key)
+    # the filter is what the join of the carries would infer on its side alone; on both, they share the exchange
+    blocked = with_blocks(idx, lookback, block).filter(F.col(key).isNotNull() & F.col("blk").isNotNull())
+    frames = finite_frames(blocked, key)
+    out = drop_halo(wilder_and_macd(frames, key, block, lookback, blocked.columns))
+    return out.select(*[f"`{c}`" for c in bars.columns if c not in ("rn", "n_bars")], "rn", "n_bars", "blk", "prev_close", *INDICATOR_COLUMNS, "hi52", "lo52")

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators.profile import series_profile, with_bucket
+
 BLOCK = 2048          # rows per block
 LOOKBACK = 640        # covers the 252-bar high / low; (25/27)^640 < 1e-21 for the recurrences
 
@@ -33,17 +35,9 @@ def with_row_index(bars: DataFrame, bucket: str = "MM", key: str = "symbol") ->
     ``bucket`` is a ``trunc`` unit; the default month keeps the per-task unit
     small for daily or hourly bars.
     """
-    b = bars.withColumn("_tb", F.trunc(F.to_date("time"), bucket))
-    counts = b.groupBy(key, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_sym = Window.partitionBy(key)
-    w_acc = w_sym.orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        key, "_tb",
-        F.coalesce(F.sum("_cnt").over(w_acc), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(w_sym).alias("n_bars"),
-    )
-    w_loc = Window.partitionBy(key, "_tb").orderBy("time")
-    return (b.withColumn("_lrn", F.row_number().over(w_loc))
+    offsets = series_profile(bars, [], bucket, key).select(key, "_tb", "_off", "n_bars")
+    place = F.row_number().over(Window.partitionBy(key, "_tb").orderBy("time"))
+    return (with_bucket(bars, bucket).withColumn("_lrn", place)
             .join(offsets, [key, "_tb"])
             .withColumn("rn", (F.col("_off") + F.col("_lrn")).cast("long"))
             .drop("_tb", "_lrn", "_off"))

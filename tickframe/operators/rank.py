@@ -16,9 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.numeric import rnd
+from tickframe.operators.profile import newest_rows
 
 STOCK_SCALE = 1000.0     # stock candles are quoted in thousands (S2)
 TOP_K = 3                # movers and sectors listed on each side
+FEW_BARS = 1000          # more bars of a symbol than this are not sorted in one task
 
 
 def scale_fixed(bars: DataFrame, factor: float = STOCK_SCALE) -> DataFrame:
@@ -28,7 +30,12 @@ def scale_fixed(bars: DataFrame, factor: float = STOCK_SCALE) -> DataFrame:
 
 
 def last_n_bars(bars: DataFrame, n: int, key: str = "symbol") -> DataFrame:
-    """Newest ``n`` bars per symbol, with ``rn_desc`` (1 = newest)."""
+    """Newest ``n`` bars per symbol, with ``rn_desc`` (1 = newest).
+
+    Few bars are a top-k that Spark limits before the shuffle; many are cut out of the series' profile.
+    """
+    if n > FEW_BARS:
+        return newest_rows(bars, n, key=key)
     w = Window.partitionBy(key).orderBy(F.col("time").desc())
     return bars.withColumn("rn_desc", F.row_number().over(w)).filter(F.col("rn_desc") <= n)
 
@@ -67,7 +74,8 @@ def top_movers(universe: DataFrame, stock_bars: DataFrame, k: int = TOP_K,
 
     Gainers: rounded percent descending, ties in list order.  Losers: the last
     ``k`` of that order reversed = percent ascending, ties in reverse list
-    order.  With fewer than ``2k`` symbols the two lists overlap (N9).
+    order.  With fewer than ``2k`` symbols the two lists overlap (N9).  Each side is a
+    top-k of its own: Spark limits it before the shuffle by index and after it.
     ``last2`` may be a precomputed ``last_two`` table shared with sectors.
     """
     capped = cap_universe(universe, cap)
@@ -77,17 +85,15 @@ def top_movers(universe: DataFrame, stock_bars: DataFrame, k: int = TOP_K,
     res = capped.join(l2, "symbol").select(
         "index", "ord", "symbol", "close",
         rnd(pct_change(F.col("close"), F.col("prev_close")), 2).alias("change_pct")).filter("change_pct is not null")
-    w_up = Window.partitionBy("index").orderBy(F.col("change_pct").desc(), F.col("ord").asc())
-    w_dn = Window.partitionBy("index").orderBy(F.col("change_pct").asc(), F.col("ord").desc())
-    ranked = res.select("*", F.row_number().over(w_up).alias("_up"),
-                        F.row_number().over(w_dn).alias("_dn"))
-    gain = ranked.filter(F.col("_up") <= k).select(
-        "index", F.lit("gainer").alias("side"), F.col("_up").cast("long").alias("rank"), "symbol", "close",
-        "change_pct")
-    lose = ranked.filter(F.col("_dn") <= k).select(
-        "index", F.lit("loser").alias("side"), F.col("_dn").cast("long").alias("rank"), "symbol", "close",
-        "change_pct")
-    return gain.unionByName(lose)
+
+    def side(name: str, *order: Column) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy("index").orderBy(*order))
+        return res.withColumn("_place", place).filter(F.col("_place") <= k).select(
+            "index", F.lit(name).alias("side"), F.col("_place").cast("long").alias("rank"), "symbol", "close", "change_pct")
+
+    # one window to a select, so that each map task sends at most k rows of an index and side
+    return side("gainer", F.col("change_pct").desc(), F.col("ord").asc()) \
+        .unionByName(side("loser", F.col("change_pct").asc(), F.col("ord").desc()))
 
 
 def sector_members(indexes: DataFrame, universe: DataFrame, sectors: DataFrame) -> DataFrame:

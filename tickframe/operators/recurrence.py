@@ -18,7 +18,8 @@ The RSI is a ratio of two such values, and both may fade for thousands of rows
 without changing it.  So the averages of gains and losses start at the block's
 own rows and take the value at the end of the block before from ``carries``: the
 totals of the blocks (one small row per block) folded as far back as they can
-still change a double.  This, too, stays a lazy plan.
+still change a double.  The totals are read off the same layout: one exchange into
+blocks serves the frames and the totals.  This, too, stays a lazy plan.
 
 The MACD signal is an EMA of a difference of EMAs.  The response of two chained
 recurrences is a difference of two geometric ones, so the signal is a linear
@@ -68,19 +69,30 @@ def carry_depth(q: float, block: int) -> int:
     return max(1, math.ceil(745.2 / (block * -math.log(q))) + 1)
 
 
-def carries(df: DataFrame, specs: list[tuple[str, str, float]], key: str = "symbol", block: int = BLOCK) -> DataFrame:
-    """(key, blk, name, ..): the value of each ``(name, b, q)`` at the last row before the block."""
+def carries(df: DataFrame, specs: list[tuple[str, str, float]], key: str = "symbol", block: int = BLOCK,
+            laid_out: list[str] | None = None) -> DataFrame:
+    """(key, blk, name, ..): the value of each ``(name, b, q)`` at the last row before the block.
+
+    ``laid_out`` are the columns that ``df``'s rows had when they were moved to their blocks.  The totals
+    look at all of them, so that both readers of the layout want the same columns and
+    share one exchange (and the scans below it); a narrower copy would be read and moved again.
+    """
     j = f"(rn - 1 - blk * {block})"
     # the last block of a series is carried nowhere, so that it may be short changes nothing
-    totals = df.filter("not _halo").groupBy(key, "blk").agg(F.expr("named_struct(" + ", ".join(
-        f"'{n}', coalesce(sum(({b}) * pow({dlit(q)}, {block - 1} - {j})), 0D)" for n, b, q in specs) + ") as _t"))
+    total = "named_struct(" + ", ".join(
+        f"'{n}', coalesce(sum(({b}) * pow({dlit(q)}, {block - 1} - {j})), 0D)" for n, b, q in specs) + ")"
+    if laid_out:
+        whole = ", ".join(f"`{c}`" for c in laid_out)
+        total = f"case when bit_xor(xxhash64({whole})) is not null then {total} end"      # true for every block
+    totals = df.filter("not _halo").groupBy(key, "blk").agg(F.expr(f"{total} as _t"))
     depth = max(carry_depth(q, block) for _, _, q in specs)
     before = f"collect_list(_t) over (partition by {key} order by blk rows between {depth} preceding and 1 preceding)"
     return totals.selectExpr(key, "blk", f"{before} as _before").selectExpr(
         key, "blk", *[f"aggregate(_before, 0D, (y, t) -> y * {dlit(q ** block)} + t.{n}) as {n}" for n, _, q in specs])
 
 
-def carried_scan(df: DataFrame, specs: list[tuple[str, str, float]], key: str = "symbol", block: int = BLOCK) -> DataFrame:
+def carried_scan(df: DataFrame, specs: list[tuple[str, str, float]], key: str = "symbol", block: int = BLOCK,
+                 laid_out: list[str] | None = None) -> DataFrame:
     """``affine_scan`` without a halo: the values keep their relative precision however far they fade."""
     for _, _, q in specs:
         check_width(q, block)
@@ -88,7 +100,7 @@ def carried_scan(df: DataFrame, specs: list[tuple[str, str, float]], key: str =
     run = f"over (partition by {key}, blk order by rn rows between unbounded preceding and current row)"
     own = df.selectExpr("*", *[
         f"sum(case when not _halo then ({b}) * pow({dlit(q)}, {block - 1} - {j}) end) {run} as _own{n}" for n, b, q in specs])
-    carry = carries(df, [(f"_carry{n}", b, q) for n, b, q in specs], key, block)
+    carry = carries(df, [(f"_carry{n}", b, q) for n, b, q in specs], key, block, laid_out)
     return own.join(carry, [key, "blk"], "left").selectExpr(*[f"`{c}`" for c in df.columns], *[
         f"_own{n} / pow({dlit(q)}, {block - 1} - {j}) + _carry{n} * pow({dlit(q)}, {j} + 1) as {n}" for n, _, q in specs])
 
@@ -105,8 +117,9 @@ def rma_spec(name: str, x: str, p: int, first_rn: int) -> tuple[str, str, float]
     return name, f"{x} / {dlit(float(p))} * case when rn < {first_rn} then pow({dlit(q)}, rn - {first_rn}) else 1D end", q
 
 
-def wilder_and_macd(frames: DataFrame, key: str = "symbol", block: int = BLOCK, lookback: int = LOOKBACK) -> DataFrame:
-    """R1-R7 on the output of ``finite_frames`` (halo rows included).
+def wilder_and_macd(frames: DataFrame, key: str = "symbol", block: int = BLOCK, lookback: int = LOOKBACK,
+                    laid_out: list[str] | None = None) -> DataFrame:
+    """R1-R7 on the output of ``finite_frames`` (halo rows included; ``laid_out``: see ``carries``).
 
     atr14 from rn 14, rsi14 from rn 15 (null when the loss average is 0),
     macd / macd_signal / macd_hist from rn 1.
@@ -119,7 +132,7 @@ def wilder_and_macd(frames: DataFrame, key: str = "symbol", block: int = BLOCK,
         fast, slow, mixed,
         rma_spec("_atr", "tr", 14, 14),
     ], key, block, lookback)
-    s = carried_scan(s, [rma_spec("_avg_gain", "gain", 14, 15), rma_spec("_avg_loss", "loss", 14, 15)], key, block)
+    s = carried_scan(s, [rma_spec("_avg_gain", "gain", 14, 15), rma_spec("_avg_loss", "loss", 14, 15)], key, block, laid_out)
     signal = f"({dlit(of_fast * fast[2])} * _ema12 - {dlit(of_slow * slow[2])} * _ema26 - {dlit(r)} * _mixed)"
     return s.selectExpr(
         *[f"`{c}`" for c in frames.columns],

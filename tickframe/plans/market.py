@@ -19,8 +19,9 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickframe.operators import clean, rank
+from tickframe.operators import clean, profile, rank
 from tickframe.operators.indicators import indicators
 from tickframe.operators.levels import snapshot
 
@@ -60,7 +61,8 @@ def index_series(index_bars: DataFrame, indexes: DataFrame,
                  settings: MarketSettings = MarketSettings()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S1 + S4 + P9 + P14 + P8 + P7 for the index series.
 
-    Returns ``(bars, index errors, rejected rows)``: index errors (no data,
+    Returns ``(bars, index errors, rejected rows)``; the bars are numbered (``rn``, ``n_bars``), as guard,
+    rescaling and numbering share one profile.  Index errors (no data,
     too little history) fail that index only; rejected rows (missing price,
     duplicate time) are dropped and reported without failing it.
     """
@@ -69,10 +71,10 @@ def index_series(index_bars: DataFrame, indexes: DataFrame,
     good, rejected = clean.validate_bars(wanted)
     if settings.history is not None:
         good = rank.last_n_bars(good, settings.history).drop("rn_desc")
-    enough, short = clean.require_history(good, settings.min_bars)
+    enough, short = profile.checked_series(good, settings.min_bars, settings.small_price)
     missing = clean.require_nonempty(tick, good)
     errors = short.unionByName(missing).join(tick, "symbol").select("index", "error")
-    return clean.scale_if_small(enough, settings.small_price), errors, rejected
+    return enough, errors, rejected
 
 
 def market_tables(index_bars: DataFrame, stock_bars: DataFrame, indexes: DataFrame, universe: DataFrame,
@@ -123,22 +125,34 @@ def document(m: MarketTables) -> DataFrame:
 
 
 def write_document(doc: DataFrame, path: str) -> None:
-    """Full overwrite, one JSON object per index, UTF-8."""
-    doc.write.mode("overwrite").json(path)
+    """One JSON object per index, UTF-8, in a folder of its own (``index=<code>``).
+
+    Only the folders of the indexes in ``doc`` are replaced: documents of other indexes stay, and a run
+    that fails before its commit leaves all of them.
+    """
+    doc.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("index").json(path)
 
 
-def read_document(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read a written document back with its schema (no inference).
+def read_document(spark: SparkSession, path: str, schema, indexes: list[str] | None = None) -> DataFrame:
+    """Read a written document back with its schema (no inference), all of it or the given ``indexes``.
 
-    A missing document is not an error: the result is empty, like the
-    reference, which reports the missing file and stops.
+    The index is the folder, so others are not read.  A line that is no such document becomes a row
+    with the ``error`` "damaged document".  A missing document is not an error: the result is empty,
+    like the reference, which reports the missing file and stops.
     """
+    names = [f.name for f in schema.fields]
+    corrupt = T.StructField("_damaged", T.StringType())
     try:
-        return spark.read.schema(schema).json(path)
+        found = spark.read.schema(T.StructType([*schema.fields, corrupt])).option("columnNameOfCorruptRecord", "_damaged").json(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+    if indexes is not None:
+        found = found.filter(F.col("index").isin(indexes))
+    damaged = F.col("_damaged").isNotNull()
+    return found.select(*[F.col(c) if c == "index" else F.when(damaged, F.lit("damaged document")).otherwise(F.col(c)).alias(c) if c == "error"
+                          else F.when(~damaged, F.col(c)).alias(c) for c in names])
 
 
 def generated_text(ts: str = "generated"):

@@ -487,6 +487,36 @@ def candles_stock_supp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("symbol", time_text().alias("time"), *[rnd(c, 4).alias(c) for c in PRICES])
 
 
+def _all_bars_sql(view: str) -> str:
+    return O.with_recursive(O.bars_cte(view), "select symbol, cast(time as varchar) as time, " + ", ".join(f"{O.r(c)} as {c}" for c in PRICES) + " from bars")
+
+
+@register("candles_index_flag_all", _all_bars_sql("flag"))
+def candles_index_flag_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 / S3 / P1-P5 without a count: every bar of the index candle documents."""
+    from tickframe.sources import candles
+    b = candles.read_index_bars(candles.render_documents(bars(spark, sf_dir, "flag"), "index"))
+    return b.select("symbol", time_text().alias("time"), *[rnd(c, 4).alias(c) for c in PRICES])
+
+
+@register("candles_stock_supp_all", _all_bars_sql("supp"))
+def candles_stock_supp_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 / S3 / P3-P6 without a count: every bar of the stock envelopes."""
+    from tickframe.sources import candles
+    b = candles.read_stock_bars(candles.render_documents(bars(spark, sf_dir, "supp"), "stock", price_div=1000.0))
+    return b.select("symbol", time_text().alias("time"), *[rnd(c, 4).alias(c) for c in PRICES])
+
+
+@register("tail_brand", O.with_recursive(
+    O.bars_cte("brand") + """,
+t as (select *, row_number() over (partition by symbol order by time desc) as rd from bars)""",
+    f"select symbol, cast(time as varchar) as time, rd as rn_desc, {O.r('close')} as close from t where rd <= 1200"))
+def tail_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 / W13 for a tail too long to sort in one task: cut out of the series' profile."""
+    t = rank.last_n_bars(bars(spark, sf_dir, "brand"), 1200)
+    return t.select("symbol", time_text().alias("time"), F.col("rn_desc").cast("long").alias("rn_desc"), rnd("close", 4).alias("close"))
+
+
 @register("rescaled_user", O.with_recursive(
     O.bars_cte("user") + """,
 mx as (select symbol, max(open) as m_open, max(high) as m_high, max(low) as m_low, max(close) as m_close
@@ -617,23 +647,43 @@ def report_errors_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.report_errors(m.indexes, m.errors)
 
 
-@register("market_document", O.with_recursive(
+_DOCUMENT_SQL = O.with_recursive(
     _market_snapshot_ctes() + ",\n" + _stock_ctes() + ",\nsize as (select \"index\", least(max(rn), 365) as n from ind join ix on ix.ticker = ind.symbol group by 1)",
     f"""select s."index", {O.r('s.close', 2)} as close, s.date, n as bars,
   (select count(*) from mv where mv."index" = s."index") as movers, (select count(*) from sp where sp."index" = s."index") as sectors,
   (select count(*) from u where u."index" = s."index") as symbols, cast(null as varchar) as error
-from msnap s join size using ("index")"""))
+from msnap s join size using ("index")""")
+
+
+def _document_row(d: DataFrame) -> DataFrame:
+    count = lambda c: F.size(c).cast("long")
+    return d.select("index", rnd("snapshot.close", 2).alias("close"), "snapshot.date", count("ohlcv").alias("bars"),
+                    (count("movers.top_gainers") + count("movers.top_losers")).alias("movers"), count("sectors.all").alias("sectors"),
+                    count("symbols").alias("symbols"), "error")
+
+
+@register("market_document", _DOCUMENT_SQL)
 def market_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document's records as JSON, read back with the document's schema."""
     from pyspark.sql import types as T
     doc = _market(spark, sf_dir).document()
     fields = [f for f in doc.schema.fields if f.name not in ("ord", "generated")]
     entry = market.document_json(doc).select(F.from_json(F.concat(F.lit("{"), "entry", F.lit("}")), T.MapType(T.StringType(), T.StructType(fields))).alias("m"))
-    d = entry.select(F.explode("m").alias("code", "d")).select("d.*")
-    count = lambda c: F.size(c).cast("long")
-    return d.select("index", rnd("snapshot.close", 2).alias("close"), "snapshot.date", count("ohlcv").alias("bars"),
-                    (count("movers.top_gainers") + count("movers.top_losers")).alias("movers"), count("sectors.all").alias("sectors"),
-                    count("symbols").alias("symbols"), "error")
+    return _document_row(entry.select(F.explode("m").alias("code", "d")).select("d.*"))
+
+
+@register("document_roundtrip", _DOCUMENT_SQL)
+def document_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document written by index, one index of it written again by a later run, and all of it read back."""
+    import uuid
+    from tickframe.session import checkpoint_dir
+    doc = _market(spark, sf_dir).document()
+    path = f"{checkpoint_dir(spark)}/document-{uuid.uuid4().hex}"
+    market.write_document(doc, path)
+    first = market.read_document(spark, path, doc.schema, ["IX_ALL"])
+    market.write_document(first.withColumn("generated", F.current_timestamp()), f"{path}-again")
+    market.write_document(market.read_document(spark, f"{path}-again", doc.schema), path)
+    return _document_row(market.read_document(spark, path, doc.schema))
 
 
 for _days in report.VIEW_DAYS:
@@ -667,6 +717,19 @@ def analyses_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _analysed(spark, sf_dir).select("index", F.col("analysis.summary").alias("summary"), "error", F.col("raw").isNotNull().alias("has_raw"))
 
 
+@register("analyses_latest", f"""with {_ANSWERS},
+last as (select *, doc_id % 100 as code, row_number() over (partition by doc_id % 100 order by doc_id desc) as rd from documents),
+r as (select doc_id, code, text, doc_id % 6 in (0, 1, 5) as ok from last where rd = 1)
+select cast(code as varchar) as "index", case when ok then text end as summary, case when not ok then 'JSON parse error' end as error, not ok as has_raw from r""")
+def analyses_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 where analyses are run again: of several answers for an index the latest counts."""
+    runs = fixtures.rendered_answers(spark, sf_dir).select(
+        (F.col("index").cast("long") % 100).cast("string").alias("index"), F.col("index").cast("long").alias("run"), "raw")
+    none = runs.select("index", F.lit("no data").alias("error")).filter(F.lit(False))
+    a = report.analyses(runs.select("index").distinct(), none, runs, order="run")
+    return a.select("index", F.col("analysis.summary").alias("summary"), "error", F.col("raw").isNotNull().alias("has_raw"))
+
+
 @_answered("report_summary", """select "index",
   case coalesce(sentiment, 'Trung lập') when 'Tích cực' then 'pos' when 'Tiêu cực' then 'neg' else 'flat' end as tone,
   case coalesce(sentiment, 'Trung lập') when 'Tích cực' then '↑' when 'Tiêu cực' then '↓' when 'Trung lập' then '→' else '—' end

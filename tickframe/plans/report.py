@@ -21,12 +21,23 @@ NO_DATA = "no data"   # placeholder item of an empty list (F19)
 
 
 # ------------------------------------------------------------------ J5 / F10
-def analyses(indexes: DataFrame, errors: DataFrame, answers: DataFrame) -> DataFrame:
-    """``index, analysis, error, raw``: the index codes left-joined with their parsed answers.
+def latest_answers(answers: DataFrame, order: str | None = None) -> DataFrame:
+    """One answer per index (``index, raw``): the last by column ``order``, such as a time or a run number.
 
+    A later answer replaces an earlier one, as a rewritten document does.  Rows without an order
+    come before all others; ties, and answers without an order column, go by the largest text.
+    """
+    place = F.struct(*([F.col(order)] if order else []), F.coalesce("raw", F.lit("")))
+    return answers.groupBy("index").agg(F.max_by("raw", place).alias("raw"))
+
+
+def analyses(indexes: DataFrame, errors: DataFrame, answers: DataFrame, order: str | None = None) -> DataFrame:
+    """``index, analysis, error, raw``: the index codes left-joined with their latest answers.
+
+    ``order`` is the column of ``answers`` that says which one of an index is the latest.
     An index that failed upstream is not analysed (P15): it keeps the upstream error.
     """
-    parsed = answers.select("index", text.parse_analysis("raw").alias("_p"))
+    parsed = latest_answers(answers, order).select("index", text.parse_analysis("raw").alias("_p"))
     upstream = errors.groupBy("index").agg(F.concat_ws("; ", F.array_sort(F.collect_list("error"))).alias("error"))
     ok, failed = short_circuit_error(indexes.select("index").join(upstream, "index", "left"))
     done = ok.join(parsed, "index", "left").select("index", "_p.analysis", "_p.error", "_p.raw")

@@ -10,16 +10,16 @@ shapes (S3):
 
 Documents are rows of a table ``symbol, body`` (one row per symbol and
 request), read with ``spark.read.text`` / ``json`` or produced upstream.  The
-parse is ``from_json`` with a fixed schema that is the union of every field
-synonym, all as text, so no schema inference runs and numbers written as text
-survive until ``coerce_numeric`` decides.
+document is parsed once, into a variant; the three shapes are read off that by
+fixed paths, the union of every field synonym, all as text, so no schema inference
+runs and numbers written as text survive until ``coerce_numeric`` decides.  Text
+that is no JSON has no candles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickframe.operators import clean
 from tickframe.operators.rank import STOCK_SCALE, last_n_bars
@@ -27,14 +27,7 @@ from tickframe.operators.rank import STOCK_SCALE, last_n_bars
 # Every field name a candle may use (P1 synonyms), read as text.
 CANDLE_FIELDS = ["time", "tradingDate", "t", "d", "date", "Date",
                  "open", "o", "high", "h", "low", "l", "close", "c", "volume", "v"]
-CANDLE = T.StructType([T.StructField(f, T.StringType()) for f in CANDLE_FIELDS])
-ENVELOPE = T.StructType([T.StructField("data", T.ArrayType(CANDLE))])
-COLUMNAR = T.StructType([T.StructField(f, T.ArrayType(T.StringType())) for f in CANDLE_FIELDS])
-# Spark resolves names case-insensitively, so ``date`` and ``Date`` are renamed
-# by position (a struct cast) before any field is referenced.
 _UNIQUE = [f"_f{i}" for i in range(len(CANDLE_FIELDS))]
-CANDLE_POS = T.StructType([T.StructField(f, T.StringType()) for f in _UNIQUE])
-COLUMNAR_POS = T.StructType([T.StructField(f, T.ArrayType(T.StringType())) for f in _UNIQUE])
 OUT_FIELDS = [f for f in CANDLE_FIELDS if f != "Date"]
 
 INDEX_HISTORY = 400       # bars requested per index (S1)
@@ -47,22 +40,25 @@ def unwrap_envelope(docs: DataFrame, body: str = "body", envelope_only: bool = F
     ``envelope_only`` follows the stock source: only ``data`` is looked at and
     a document without it yields no rows.
     """
-    txt = F.trim(F.col(body))
-    is_list = txt.startswith("[")
-    env = F.from_json(txt, ENVELOPE).cast(T.StructType([T.StructField("data", T.ArrayType(CANDLE_POS))]))
-    if envelope_only:
-        items = F.when(~is_list, env["data"])
-    else:
-        as_list = F.from_json(txt, T.ArrayType(CANDLE)).cast(T.ArrayType(CANDLE_POS))
-        col = F.from_json(txt, COLUMNAR).cast(COLUMNAR_POS)
-        empty = F.array().cast(T.ArrayType(T.StringType()))
-        zipped = F.arrays_zip(*[F.coalesce(col[f], empty).alias(f) for f in _UNIQUE])
-        as_columns = F.transform(zipped, lambda z: F.struct(*[z[f].alias(f) for f in _UNIQUE]))
-        items = (F.when(is_list, as_list)
-                  .when(env["data"].isNotNull(), env["data"])
-                  .otherwise(F.when(F.size(zipped) > 0, as_columns)))
     keep = [c for c in docs.columns if c != body]
-    exploded = docs.select(*keep, F.explode(items).alias("_c"))
+    parsed = docs.select(*keep, F.try_parse_json(F.trim(F.col(body))).alias("_v"))
+
+    def array(path: str, of: str) -> Column:
+        return F.try_variant_get("_v", path, f"array<{of}>")
+
+    # paths are case-sensitive, so ``date`` and ``Date`` stay apart; a candle's fields are read as text
+    def candle(v: Column) -> Column:
+        return F.struct(*[F.try_variant_get(v, f"$.{f}", "string").alias(n) for f, n in zip(CANDLE_FIELDS, _UNIQUE)])
+
+    items = F.transform(array("$.data", "variant"), candle)
+    if not envelope_only:
+        none = F.array().cast("array<string>")
+        zipped = F.arrays_zip(*[F.coalesce(array(f"$.{f}", "string"), none).alias(n) for f, n in zip(CANDLE_FIELDS, _UNIQUE)])
+        listed = array("$", "variant")
+        items = F.when(listed.isNotNull(), F.transform(listed, candle)) \
+            .when(F.try_variant_get("_v", "$.data", "array<variant>").isNotNull(), items) \
+            .otherwise(F.when(F.size(zipped) > 0, zipped))
+    exploded = parsed.select(*keep, F.explode(items).alias("_c"))
     pos = dict(zip(CANDLE_FIELDS, _UNIQUE))
     fields = []
     for f in OUT_FIELDS:
