@@ -183,3 +183,14 @@ def test_redaction(spark, docs, messy, nothing):
     assert secrets.scan(nothing).collect() == [] and secrets.redact(nothing).collect() == []
     clean = {r["doc_id"]: r["text"] for r in docs.filter("doc_id < 60").collect()}
     assert {r["doc_id"]: r["text"] for r in secrets.redact(docs.filter("doc_id < 60")).collect()} == clean
+
+
+def test_one_long_text_does_not_starve_a_language(spark):
+    from tickframe.llm import langid
+    rng = random.Random(9)
+    rows = [(k, " ".join(rng.choices("the of and house water under".split(), k=40)), "en") for k in range(100)]
+    rows += [(200 + k, " ".join(rng.choices("der die und haus wasser unter".split(), k=40)), "de") for k in range(100)]
+    rows += [(500 + k, "the water " * 160_000, "en") for k in range(3)]
+    docs = spark.createDataFrame(rows, "id long, text string, label string").withColumn("pick", F.xxhash64("id", "text"))
+    got = {(r["label"], r["fit"]): r["count"] for r in langid.labelled_sample(docs, 400, 1_500_000).groupBy("label", "fit").count().collect()}
+    assert got == {("en", True): 80, ("en", False): 20, ("de", True): 80, ("de", False): 20}

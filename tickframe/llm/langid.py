@@ -7,7 +7,7 @@ with one column of log-probabilities per language.  The language with the
 lowest cross-entropy per symbol wins; a text is rejected if even that one is
 above the language's calibrated limit.
 
-The sample: per language the rows with the smallest hash of their id, at most
+The sample: per language the rows with the smallest hash of their id and text, at most
 ``rows`` of them, whole texts while they hold no more than ``symbols``
 characters together (the first one always).  A fifth of them is left out of the
 counts and calibrates the limit: the mean cross-entropy plus ``z`` standard
@@ -34,6 +34,8 @@ from tickframe.llm.blocks import batch_of, mix, pieces
 
 ORDER = 4
 SAMPLE_ROWS, SAMPLE_CHARS = 400, 1_500_000
+#: texts of more than this part of the characters are sampled last
+LONG = 25
 SPACE = 32
 #: columns that identify() adds; input columns of these names are replaced
 RESULT = ("lang_pred", "score", "entropy", "rejected")
@@ -104,7 +106,8 @@ def labelled_sample(docs: DataFrame, rows: int, chars: int) -> DataFrame:
 
     narrow = docs.select("label", "pick", F.pmod("pick", F.lit(64)).alias("part"))
     limit = first(first(narrow, "label", "part"), "label").groupBy("label").agg(F.max("pick").alias("limit"))
-    order = Window.partitionBy("label").orderBy("pick", "id", "text")
+    # texts that would take more than a share of the budget come last, so that they push out no other and a fifth can be held out
+    order = Window.partitionBy("label").orderBy(F.length("text") > chars // LONG, "pick", "id", "text")
     limits = [x for r in limit.collect() for x in (F.lit(r["label"]), F.lit(r["limit"]))]       # one for each label
     within = F.col("pick") <= F.element_at(F.create_map(*limits), F.col("label")) if limits else F.lit(False)
     few = docs.filter(within).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows)
@@ -251,7 +254,7 @@ def train(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text
           rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model | None:
     """A model of the labelled rows; None without any.  What reaches the driver is bounded by the sample."""
     labelled = docs.select(F.col(label_col).cast("string").alias("label"), F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .filter("label is not null and text is not null").withColumn("pick", F.xxhash64("id"))
+        .filter("label is not null and text is not null").withColumn("pick", F.xxhash64("id", "text"))
     sample = labelled_sample(labelled, rows, chars).persist()
     try:
         counts = gram_counts(sample.filter("fit")).toPandas()

@@ -298,7 +298,8 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         note = [*count_of_counts(counts), len(keys)]
         for p in np.unique(own).tolist():
             of = own == p
-            yield batch_of(stats, [[p], [numbers[of].astype("<u4").tobytes()], [rows[of].astype("<u4").tobytes()], [note]])
+            wide = rows[of].astype(np.min_scalar_type(int(rows[of].max())))      # a frequent word begins more than 2**32 pairs
+            yield batch_of(stats, [[p], [numbers[of].astype("<u4").tobytes()], [wide.dtype.char.encode() + wide.tobytes()], [note]])
             note = [0] * 5
 
     def keep_words(batches):
@@ -308,13 +309,14 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
             for r in range(b.num_rows):
                 part = b.column(0)[r].as_py()
                 numbers.append(np.frombuffer(b.column(1)[r].as_py(), "<u4"))
-                rows.append(np.frombuffer(b.column(2)[r].as_py(), "<u4").reshape(-1, 5))
+                raw = b.column(2)[r].as_py()
+                rows.append(np.frombuffer(raw, np.dtype(raw[:1].decode()), offset=1).reshape(-1, 5))
                 note += np.array(b.column(3)[r].as_py())
         if part < 0:
             return
         out = np.zeros((lows[part + 1] - lows[part], 5), np.int64)
         for n, x in zip(numbers, rows):
-            out[n.astype(np.int64) - lows[part]] += x     # a row's numbers are distinct
+            out[n.astype(np.int64) - lows[part]] += x.astype(np.int64)     # a row's numbers are distinct
         save(folder, f"word-{part}", out)
         yield batch_of(pa.schema([("c", pa.list_(pa.int64())), ("w", pa.list_(pa.int64()))]),
                        [[note.tolist()], [[*count_of_counts(out[:, 4]), int((out[:, 4] >= 3).sum()), int(out[:, 4].sum())]]])
