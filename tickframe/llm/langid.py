@@ -7,7 +7,7 @@ with one column of log-probabilities per language.  The language with the
 lowest cross-entropy per symbol wins; a text is rejected if even that one is
 above the language's calibrated limit.
 
-The sample: per language the rows with the smallest hash of their id and text, at most
+The sample: per language the rows with the smallest hash of their id (or text), at most
 ``rows`` of them, whole texts while they hold no more than ``symbols``
 characters together (the first one always).  A fifth of them is left out of the
 counts and calibrates the limit: the mean cross-entropy plus ``z`` standard
@@ -254,7 +254,8 @@ def train(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text
           rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model | None:
     """A model of the labelled rows; None without any.  What reaches the driver is bounded by the sample."""
     labelled = docs.select(F.col(label_col).cast("string").alias("label"), F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .filter("label is not null and text is not null").withColumn("pick", F.xxhash64("id", "text"))
+        .filter("label is not null and text is not null")\
+        .withColumn("pick", F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("id")))
     sample = labelled_sample(labelled, rows, chars).persist()
     try:
         counts = gram_counts(sample.filter("fit")).toPandas()
