@@ -166,6 +166,25 @@ def test_shards_are_even_and_slots_gapless(spark, corpus):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("copies", [1000, 4000])
+def test_repeated_rows_are_cut_too(spark, copies):
+    """Rows equal in id and text, more than a shard holds: shards stay even, slots gapless, columns their own."""
+    rng = random.Random(6)
+    rows = [(k, "x" * rng.randint(0, 60), "a", k) for k in range(2000)]
+    rows += [(None, "the same text without an id", "b", -k) for k in range(copies)] + [(7, None, "c", 0)] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key string, _part long").repartition(6)
+    got = sharding.shard(df, shards=8, range_bytes=9000)
+    assert got.columns == [*df.columns, "size", "slot", "shard"]
+    out = got.collect()
+    assert Counter((r["doc_id"], r["text"], r["_key"], r["_part"]) for r in out) == Counter(rows)
+    total, slots = Counter(), defaultdict(list)
+    for r in out:
+        total[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert sorted(total) == list(range(8)) and max(total.values()) - min(total.values()) <= 160
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_histogram_counts_exactly(spark):
     keys = spark.range(500).select(sharding.sort_key("id", "id").alias("key"), F.lit(3).cast("long").alias("size"))
     values = [int(r["key"], 16) for r in keys.collect()]

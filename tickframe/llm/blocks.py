@@ -207,3 +207,14 @@ def boxed(df: DataFrame, **columns: str) -> DataFrame:
 def unboxed(df: DataFrame, names: list[str], **changed: Column) -> DataFrame:
     """The columns ``names`` of boxed rows, some of them ``changed``."""
     return df.select(*[changed.get(c, F.col(f"row.c{k}")).alias(c) for k, c in enumerate(names)])
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns beside those of ``df``: each with as many underscores as it needs to be none of them."""
+    taken = {c.lower() for c in df.columns}
+
+    def free(name: str) -> str:
+        while name in taken:
+            name = "_" + name
+        return name
+    return [free("_" + n) for n in names]
