@@ -228,6 +228,15 @@ def test_word_cache_starts_anew_when_full(monkeypatch, vocabulary):
             assert part.tolist() == [*words.tokenizer.encode(x, add_special_tokens=False).ids, packing.END_ID]
 
 
+def test_rows_without_an_id_are_several_streams(spark, vocabulary):
+    rng = random.Random(12)
+    rows = [(None, " ".join(rng.choices(vocabulary, k=60))) for _ in range(400)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len({r["sequence_id"] >> 40 for r in out}) > 1 and all(r["doc_id"] is None for r in out)
+    assert sum(r["length"] for r in out) == sum(r["doc_tokens"] for r in out if r["start"] == 0)
+    assert sum(r["start"] == 0 for r in out) == len(rows)
+
+
 def test_packing_of_messy_rows(messy, nothing):
     ids = Counter(r["doc_id"] for r in packing.pack(messy).filter("start = 0").collect())
     assert ids == Counter(r["doc_id"] for r in messy.collect())

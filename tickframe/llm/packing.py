@@ -12,7 +12,8 @@ Tokens come from a public tokenizer that lower-cases and whose words never cross
 ASCII white space, so each distinct word is encoded once and its ids are gathered.
 
 Cases: a null text is empty and has only its end token; rows of one id are
-ordered by text, null ids come last; very long texts are cut like others; an
+ordered by a hash of the text and then the text, so many of them make several
+ranges; null ids come last; very long texts are cut like others; an
 empty table gives no pieces; further columns of the input are ignored.
 """
 
@@ -288,7 +289,7 @@ class Stream:
 def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: where it lies in its document and in its sequence, and its ``ids``.
 
-    Texts are shuffled once, by ranges of ids; a task holds ``STREAM`` tokens and one batch.
+    Texts are shuffled once, by ranges of ids and, within an id, of text hashes; a task holds ``STREAM`` tokens and one batch.
     """
     path = tokenizer or tokenizer_path()
 
@@ -306,7 +307,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, id_col
             yield from stream.flush(True)
 
     rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
-    ranged = rows.repartitionByRange(partitions(docs.sparkSession), F.asc_nulls_last("doc_id")) \
-        .sortWithinPartitions(F.asc_nulls_last("doc_id"), F.asc("text")).withColumn("part", F.spark_partition_id())
+    order = F.asc_nulls_last("doc_id"), F.xxhash64("text").asc()
+    ranged = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order, F.asc("text"))\
+        .withColumn("part", F.spark_partition_id())
     return ranged.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
                                   "offset long, ids array<int>")
