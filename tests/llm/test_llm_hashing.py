@@ -54,6 +54,21 @@ def test_fingerprints_of_neighbours(docs, corpus):
         assert 0 <= r["near_next"] <= 1 and r["near_edited"] == likeness(PrefixHash(t), PrefixHash(edit))[0]
 
 
+def test_many_rows_of_one_id_or_none_are_several_ranges(spark):
+    rng = random.Random(14)
+    texts = ["".join(rng.choices("abcd ", k=rng.randint(1, 40))) for _ in range(900)]
+    rows = [(None if k < 300 else 7 if k < 600 else k - 500, t) for k, t in enumerate(texts)] + [(None, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    spread = fingerprint.with_next(df).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in spread) <= 300
+    hashes = {r["t"]: r["h"] for r in spark.createDataFrame([(t or "",) for _, t in rows], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), -hashes[r[1]], r[1]))
+    want = Counter()
+    for (i, t), (_, nxt) in zip(order, order[1:] + order[:1]):
+        want[i, len(t), hashlib.sha256((t[:len(t) - len(t) // 2] + nxt[:len(t) // 2]).encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in fingerprint.fingerprints(df).collect()) == want
+
+
 def test_fingerprints_of_messy_rows(spark, messy, nothing):
     rows = fingerprint.fingerprints(messy).collect()
     assert len(rows) == messy.count() and sum(r["doc_id"] is None for r in rows) == 2

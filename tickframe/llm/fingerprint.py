@@ -8,13 +8,15 @@ as a string; ``likeness`` compares two prefix arrays.
 
 Cases: a null text is the empty text; two empty texts have likeness 1, an empty
 and another one 0.  Rows are ordered by descending id, null ids last, and rows
-of one id by text, so ties and repeated rows have one defined order.  Further
-columns of the input are ignored.
+of one id by descending hash of the text and then the text, so ties and repeated
+rows have one defined order, and many rows of one id (or none) are several ranges.
+Further columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,60 +130,84 @@ def edited(text: str, nxt: str) -> str:
 
 
 # ------------------------------------------------------------------ rows and their neighbours
+def _places(ids: pa.Array, hashes: pa.Array) -> np.ndarray:
+    """Places of rows in rising order (null ids first), as byte strings that compare alike."""
+    out = np.zeros((len(ids), 17), np.uint8)
+    out[:, 0] = np.asarray(ids.is_valid())
+    for at, column in ((1, ids.fill_null(0)), (9, hashes)):
+        flipped = np.asarray(column).astype(np.int64) ^ np.int64(-1 << 63)
+        out[:, at:at + 8] = flipped.astype(">i8").view(np.uint8).reshape(-1, 8)
+    return out.reshape(-1).view("S17")
+
+
+def _cuts(rows: DataFrame, n: int) -> tuple[list[tuple[int | None, int]], bool]:
+    """About n - 1 places that part rows evenly, as (id, hash); and whether one id (or none) has several."""
+    total, valid = rows.agg(F.count(F.lit(1)), F.count("id")).first()
+    null_parts = round(n * (total - valid) / total) if total else 0
+    parts = max(1, n - null_parts)
+    points = rows.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 20 * n).alias("c")).first()["c"] or []
+    least = -1 << 63
+
+    def spread(i: int | None, k: int) -> list[tuple[int | None, int]]:
+        return [(i, least + j * (1 << 64) // k) for j in range(k)]
+
+    cuts = spread(None, null_parts)[1:]
+    if null_parts:
+        cuts.append((least, least))                                        # the ids begin
+    for i, k in sorted(Counter(points).items()):                           # an id that is several percentiles is cut by hash
+        cuts += spread(i, k)
+    return sorted(set(cuts), key=lambda c: (c[0] is not None, c)), null_parts > 1 or len(set(points)) < len(points)
+
+
 def _dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, bucket, extra): id ranges in buckets 0, 1, ... upwards, where each bucket also
+    """(id, text, hash, bucket, extra): ranges of rows in buckets 0, 1, ... upwards, where each bucket also
     gets, as extra rows, the rows that come first after it in descending order."""
-    spark = docs.sparkSession
-    n = partitions(spark)
+    n = partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cuts = rows.agg(F.percentile_approx("id", [i / n for i in range(1, n)] or [0.5], 20 * n).alias("c")).first()["c"]
-    cuts = np.unique(np.array(cuts or [], np.int64))
+    cuts, within = _cuts(rows, n)
+    # without an id of several ranges, ids alone tell the range, and the texts needn't be read for it
+    rows = rows.withColumn("hash", F.xxhash64("text") if within else F.lit(0).cast("long"))
+    edges = _places(pa.array([i for i, _ in cuts], pa.int64()), pa.array([h if within else -1 << 63 for _, h in cuts], pa.int64()))
 
-    def bucket(ids: pa.Array) -> np.ndarray:
-        at = np.searchsorted(cuts, np.asarray(ids.fill_null(0)), side="right")
-        return np.where(np.asarray(ids.is_null()), 0, at)
+    def bucket(ids: pa.Array, hashes: pa.Array) -> np.ndarray:
+        return np.searchsorted(edges, _places(ids, hashes), side="right")
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield batch_of(pa.schema([("bucket", pa.int32()), ("id", pa.int64())]), [bucket(b.column(0)), b.column(0)])
+            yield batch_of(pa.schema([("bucket", pa.int32()), ("id", pa.int64()), ("hash", pa.int64())]), [bucket(*b.columns), *b.columns])
 
-    first = rows.select("id").mapInArrow(tops, "bucket int, id long").groupBy("bucket").agg(F.max("id").alias("id"))
-    have = sorted((r["bucket"], r["id"]) for r in first.collect())         # one row per bucket
+    first = rows.select("id", "hash").mapInArrow(tops, "bucket int, id long, hash long") \
+        .groupBy("bucket").agg(F.max(F.struct("id", "hash")).alias("top"))
+    have = sorted((r["bucket"], tuple(r["top"])) for r in first.collect())  # one row per bucket
     # the first row of a bucket follows the last of the next bucket up; the very first follows the very last
-    goes = {i: have[(k + 1) % len(have)][0] for k, (_, i) in enumerate(have)}
-    ids = np.array(sorted(i for i in goes if i is not None), np.int64)
-    to = np.array([goes[i] for i in ids.tolist()], np.int32)
-    null_to = goes.get(None)
-    schema = pa.schema([("id", pa.int64()), ("text", pa.string()), ("bucket", pa.int32()), ("extra", pa.bool_())])
+    goes = sorted(((top, have[(k + 1) % len(have)][0]) for k, (_, top) in enumerate(have)), key=lambda g: (g[0][0] is not None, g[0]))
+    tops_at = _places(pa.array([i for (i, _), _ in goes], pa.int64()), pa.array([h for (_, h), _ in goes], pa.int64()))
+    to = np.array([t for _, t in goes], np.int32)
+    schema = pa.schema([("id", pa.int64()), ("text", pa.string()), ("hash", pa.int64()), ("bucket", pa.int32()), ("extra", pa.bool_())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            key, text = b.column(0), b.column(1)
-            yield batch_of(schema, [key, text, bucket(key), np.zeros(len(key), bool)])
-            target = np.full(len(key), -1, np.int32)
-            if len(ids):
-                at = np.minimum(np.searchsorted(ids, np.asarray(key.fill_null(0))), len(ids) - 1)
-                hit = (ids[at] == np.asarray(key.fill_null(0))) & np.asarray(key.is_valid())
-                target[hit] = to[at[hit]]
-            if null_to is not None:
-                target[np.asarray(key.is_null())] = null_to
-            some = np.flatnonzero(target >= 0)
+            key, text, hashes = b.columns
+            yield batch_of(schema, [key, text, hashes, bucket(key, hashes), np.zeros(len(key), bool)])
+            place = _places(key, hashes)
+            at = np.minimum(np.searchsorted(tops_at, place), len(tops_at) - 1)
+            some = np.flatnonzero(tops_at[at] == place)
             if len(some):
-                yield batch_of(schema, [key.take(pa.array(some)), text.take(pa.array(some)), target[some], np.ones(len(some), bool)])
+                yield batch_of(schema, [*(c.take(pa.array(some)) for c in (key, text, hashes)), to[at[some]], np.ones(len(some), bool)])
 
-    return rows.mapInArrow(deal, "id long, text string, bucket int, extra boolean")
+    return rows.mapInArrow(deal, "id long, text string, hash long, bucket int, extra boolean")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows sorted for a scan in which each is followed by the next by descending id.
 
-    One shuffle of the texts.  The only rows sent twice are the first of each id
-    range, so no task sees more than its range and one row.
+    One shuffle of the texts.  The only rows sent twice are the first of each
+    range, so no task sees more than its range and one row (and rows equal to it).
     """
     n = partitions(docs.sparkSession)
     dealt = _dealt(docs, id_col, text_col)
     return dealt.repartitionById(n, F.col("bucket")).sortWithinPartitions(
-        F.desc("bucket"), F.asc("extra"), F.desc_nulls_last("id"), F.asc("text"))
+        F.desc("bucket"), F.asc("extra"), F.desc_nulls_last("id"), F.xxhash64("text").desc(), F.asc("text"))
 
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -202,7 +228,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         waiting = None                                  # id, text, hash, bucket of the row before
         out: list[tuple] = []
         for b in batches:
-            columns = b.column(0), b.column(1), b.column(2), b.column(3)
+            columns = [b.column(k) for k in ("id", "text", "bucket", "extra")]
             for k in range(b.num_rows):
                 i, text, bucket, extra = (c[k].as_py() for c in columns)
                 own = None
