@@ -262,12 +262,23 @@ def test_common_prefix_and_masks(spark):
     assert got[3]["prompt"] == "" and got[4]["rejected"] == ""
 
 
+def test_the_next_conversation_is_the_next_id_with_an_answer(spark):
+    rng = random.Random(9)
+    ids = sorted(rng.sample(range(-10**6, 10**6), 120)) + [(1 << 63) - 1, -1 << 63]
+    rows = [(i, 0, "user", "q") for i in ids]
+    answered = sorted(i for k, i in enumerate(ids) if k % 3 or i < -10**6)
+    rows += [(i, 1, "assistant", f"a{i}") for i in answered] + [(None, 1, "assistant", "none")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    got = {r["pair_id"]: [t["text"] for t in r["rejected"]] for r in chat.preference_pairs(df).collect()}
+    assert got == {i: ["q"] + [f"a{n}" for n in nxt] for i, nxt in zip(answered, [*([x] for x in answered[1:]), []])}
+
+
 def test_pairs_of_messy_conversations(spark):
     schema = "conv_id long, turn long, role string, text string, pair_id string, chosen string"
     rows = [(1, 0, "user", "a", "x", "x"), (1, 1, "assistant", "b", "x", "x"), (1, 1, "assistant", "b", "x", "x"), (2, 0, None, None, "x", "x"),
             (2, None, "assistant", "late", "x", "x"), (3, 0, "user", "alone", "x", "x"), (None, 0, "assistant", "n", "x", "x")]
     got = {r["pair_id"]: r for r in chat.format_pairs(chat.preference_pairs(spark.createDataFrame(rows, schema))).collect()}
-    assert set(got) == {1, 2, None}
+    assert set(got) == {1, 2}
     assert got[1]["prompt_turns"] == 2 and got[1]["rejected"] == "<|assistant|>\nlate<|end|>\n"
     assert got[2]["prompt"] == "<|" + "|>\n<|end|>\n" and got[2]["rejected"] == ""
     assert chat.format_pairs(chat.preference_pairs(spark.createDataFrame([], schema))).collect() == []
@@ -283,4 +294,4 @@ def test_query_equals_sql(spark, name):
 def test_every_query_is_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 11)} and set(queries.queries()) | {"pipeline"} <= names
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 14)} and set(queries.queries()) | {"pipeline"} <= names

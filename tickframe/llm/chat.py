@@ -8,15 +8,17 @@ should count: the texts and end marks of its assistant turns.
 Cases: a null role or text is empty; turns are ordered by number (nulls last),
 then role and text, so repeated and tied turns have one order; two equal
 conversations are all prompt with empty completions; a conversation without an
-assistant turn makes no pair; rows with a null conversation id form one
-conversation; an empty table makes no pairs; further columns are ignored.
+assistant turn makes no pair; rows with a null conversation id belong to no
+conversation and make no pair; an empty table makes no pairs; further columns are
+ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickframe.llm.arrays import with_running
+from tickframe.llm.blocks import stored
 
 HEAD, BREAK, END = "<|", "|>\n", "<|end|>\n"
 TURNS = "array<struct<role: string, text: string>>"
@@ -25,17 +27,32 @@ TURNS = "array<struct<role: string, text: string>>"
 def conversations(turns: DataFrame) -> DataFrame:
     """(conv_id, turns): each conversation's turns in order, one row each."""
     one = F.struct(F.col("turn").isNull().alias("late"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return turns.select("conv_id", one.alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t")) \
+    return turns.filter("conv_id is not null").select("conv_id", one.alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t")) \
         .select("conv_id", F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
+def with_previous(ids: DataFrame) -> DataFrame:
+    """(conv_id, previous): each of the distinct ids and the largest below it (none: null).
+
+    Ids are ordered within ranges; the first of a range gets the last of the
+    range before it, from a table of one row per range.
+    """
+    ranged = stored(ids.repartitionByRange("conv_id").select("conv_id", F.spark_partition_id().alias("part")))
+    ends = ranged.groupBy("part").agg(F.max("conv_id").alias("top")) \
+        .select("part", F.lag("top").over(Window.orderBy("part")).alias("before"))
+    within = F.lag("conv_id").over(Window.partitionBy("part").orderBy("conv_id"))
+    return ranged.withColumn("below", within).join(ends, "part").select("conv_id", F.coalesce("below", "before").alias("previous"))
+
+
 def preference_pairs(turns: DataFrame) -> DataFrame:
-    """(pair_id, chosen, rejected): a conversation up to its last assistant turn, and the same with
-    that turn replaced by the last assistant turn of the conversation with the next id (none: without it)."""
+    """(pair_id, chosen, rejected): a conversation up to its last assistant turn, and the same with that turn
+    replaced by the last assistant turn of the next conversation that has one, by id (none: without it)."""
     whole = conversations(turns)
     last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1)))
     chosen = whole.withColumn("n", last).filter("n is not null").select("conv_id", "n", F.slice("turns", 1, F.col("n")).alias("chosen"))
-    other = chosen.select((F.col("conv_id") - 1).alias("conv_id"), F.element_at("chosen", -1).alias("swap"))
+    neighbours = with_previous(turns.filter("role = 'assistant' and conv_id is not null").select("conv_id").distinct())
+    other = chosen.join(neighbours, "conv_id").filter("previous is not null") \
+        .select(F.col("previous").alias("conv_id"), F.element_at("chosen", -1).alias("swap"))
     return chosen.join(other, "conv_id", "left").select(
         F.col("conv_id").alias("pair_id"), "chosen",
         F.concat(F.slice("chosen", F.lit(1), F.col("n") - 1), F.when(F.col("swap").isNull(), F.array().cast(TURNS)).otherwise(F.array("swap"))).alias("rejected"))

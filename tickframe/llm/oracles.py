@@ -39,14 +39,15 @@ def _mask(name: str) -> str:
 OP10 = f"""
 WITH whole AS (
   SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
-    ORDER BY turn NULLS LAST, coalesce(role, ''), coalesce(text, '')) AS turns FROM conversations GROUP BY 1),
+    ORDER BY turn NULLS LAST, coalesce(role, ''), coalesce(text, '')) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
 cut AS (
   SELECT conv_id, list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')) AS n, turns FROM whole),
-given AS (SELECT conv_id, turns[:n] AS chosen, turns[n] AS last FROM cut WHERE n IS NOT NULL),
+given AS (
+  SELECT conv_id, turns[:n] AS chosen, turns[n] AS last, lead(conv_id) OVER (ORDER BY conv_id) AS next FROM cut WHERE n IS NOT NULL),
 pairs AS (
   SELECT a.conv_id AS pair_id, a.chosen,
     a.chosen[:len(a.chosen) - 1] || CASE WHEN b.conv_id IS NULL THEN [] ELSE [b.last] END AS rejected
-  FROM given a LEFT JOIN given b ON b.conv_id = a.conv_id + 1),
+  FROM given a LEFT JOIN given b ON b.conv_id = a.next),
 differ AS (
   SELECT *, list_min(list_filter(range(1, least(len(chosen), len(rejected)) + 1),
     lambda i: chosen[i].role <> rejected[i].role OR chosen[i].text <> rejected[i].text)) AS place FROM pairs),
