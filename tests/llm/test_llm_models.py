@@ -194,3 +194,24 @@ def test_one_long_text_does_not_starve_a_language(spark):
     docs = spark.createDataFrame(rows, "id long, text string, label string").withColumn("pick", F.xxhash64("id", "text"))
     got = {(r["label"], r["fit"]): r["count"] for r in langid.labelled_sample(docs, 400, 1_500_000).groupBy("label", "fit").count().collect()}
     assert got == {("en", True): 80, ("en", False): 20, ("de", True): 80, ("de", False): 20}
+
+
+def test_language_scores_take_little_memory_at_once(spark, vocabulary):
+    """A batch of many texts is scored in small runs: the working arrays of a whole one took over 100 MB of each worker."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = random.Random(3)
+    words = [rng.choice(vocabulary) for _ in range(40_000)]
+    texts = pa.array([" ".join(words[(k * 97) % 39_000:][:300]) for k in range(1000)])
+    docs = spark.createDataFrame([(k, t, "aa" if k % 2 else "bb") for k, t in enumerate(texts[:60].to_pylist())], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    want = [langid.entropies(model, off, data) for _, _, off, data in pieces(texts, 1 << 30)][0]
+    langid.symbol_table()
+    tracemalloc.start()
+    got = list(langid.scored(model, texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6, peak
+    for k, whole in enumerate(want):
+        assert np.array_equal(np.concatenate([g[k] for g in got]), whole)

@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tickframe.llm.blocks import batch_of, mix, pieces
 
 ORDER = 4
+#: bytes of text scored at once: their hashes, places and log-probabilities take some hundred times as much memory
+PIECE = 1 << 17
 SAMPLE_ROWS, SAMPLE_CHARS = 400, 1_500_000
 #: texts of more than this part of the characters are sampled last
 LONG = 25
@@ -124,7 +126,7 @@ def gram_counts(sample: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             labels = b.column(0).to_pylist()
-            for lo, hi, off, data in pieces(b.column(1)):
+            for lo, hi, off, data in pieces(b.column(1), PIECE):
                 s, row, scored = symbols(off, data)
                 names, code = np.unique(np.array(labels[lo:hi], object).astype(str), return_inverse=True)
                 own = code[row]
@@ -250,6 +252,12 @@ def entropies(model: Model, off: np.ndarray, data: np.ndarray) -> tuple[np.ndarr
     return -total / np.maximum(many, 1)[:, None], many, letters
 
 
+def scored(model: Model, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``entropies`` of runs of the texts, in order."""
+    for _, _, off, data in pieces(texts, PIECE):
+        yield entropies(model, off, data)
+
+
 def train(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
           rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model | None:
     """A model of the labelled rows; None without any.  What reaches the driver is bounded by the sample."""
@@ -270,7 +278,7 @@ def train(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text
     cross = np.full((len(languages), len(languages)), np.nan)           # texts of a language under each model
     for j, name in enumerate(languages):
         texts = pa.array(held["text"][held["label"] == name].tolist(), pa.string())
-        runs = [(e[letters > 0], m[letters > 0]) for _, _, off, data in pieces(texts) for e, m, letters in [entropies(model, off, data)]]
+        runs = [(e[letters > 0], m[letters > 0]) for e, m, letters in scored(model, texts)]
         ce = np.concatenate([e for e, _ in runs]) if runs else np.zeros((0, len(languages)))
         own.append(np.concatenate([m for _, m in runs]) if runs else np.zeros(0))
         if len(ce) >= 5:
@@ -292,14 +300,12 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
     def classify(column: pa.Array) -> list[np.ndarray | list]:
         m = shared.value
+        if m is None:
+            n = len(column)
+            return [["und"] * n, np.zeros(n), np.full(n, np.nan), np.ones(n, bool)]
         pred, score, entropy, rejected = [], [], [], []
-        for lo, hi, off, data in pieces(column):
-            n = hi - lo
-            if m is None:
-                pred += ["und"] * n
-                score.append(np.zeros(n)), entropy.append(np.full(n, np.nan)), rejected.append(np.ones(n, bool))
-                continue
-            ce, many, letters = entropies(m, off, data)
+        for ce, many, letters in scored(m, column):
+            n = len(many)
             best = ce.argmin(axis=1)
             low = ce[np.arange(n), best]
             weight = np.exp(-(ce - low[:, None]) * np.minimum(many, 50)[:, None])
@@ -312,11 +318,11 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
             rejected.append(none | (low > top))
         return [pred, *(np.concatenate(x) if x else np.zeros(0) for x in (score, entropy, rejected))]
 
-    @F.pandas_udf("lang_pred string, score double, entropy double, rejected boolean")
-    def predict(text):
-        import pandas as pd
-        pred, score, entropy, rejected = classify(pa.array(text, pa.string()))
-        return pd.DataFrame({"lang_pred": pred, "score": score, "entropy": entropy, "rejected": rejected})
+    # Arrow in and out: a batch of texts is never copied into Python strings
+    @F.arrow_udf("lang_pred string, score double, entropy double, rejected boolean")
+    def predict(text: pa.Array) -> pa.Array:
+        types = pa.string(), pa.float64(), pa.float64(), pa.bool_()
+        return pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(classify(text), types)], list(RESULT))
 
     kept = [f"`{c}`" for c in docs.columns if c not in RESULT]
     return docs.withColumn("_language", predict(F.col(text_col).cast("string"))).select(*kept, "_language.*")
