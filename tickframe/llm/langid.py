@@ -322,7 +322,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     @F.arrow_udf("lang_pred string, score double, entropy double, rejected boolean")
     def predict(text: pa.Array) -> pa.Array:
         types = pa.string(), pa.float64(), pa.float64(), pa.bool_()
-        return pa.StructArray.from_arrays([pa.array(x, t) for x, t in zip(classify(text), types)], list(RESULT))
+        return pa.StructArray.from_arrays([pa.array(x, t, from_pandas=True) for x, t in zip(classify(text), types)], list(RESULT))
 
     kept = [f"`{c}`" for c in docs.columns if c not in RESULT]
     return docs.withColumn("_language", predict(F.col(text_col).cast("string"))).select(*kept, "_language.*")
