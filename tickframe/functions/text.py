@@ -70,7 +70,7 @@ def join_signed_list(arr: str | Column, name: str, value: str = "change_pct", d:
 
 def strip_ws(x: Column) -> Column:
     """Python ``str.strip()`` for ASCII whitespace (Spark ``trim`` keeps newlines)."""
-    return F.regexp_replace(x, r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$", "")
+    return F.btrim(x, F.lit(" \t\n\r\f\x0b"))
 
 
 def strip_fence(raw: str | Column) -> Column:
@@ -81,12 +81,14 @@ def strip_fence(raw: str | Column) -> Column:
     stripped again.  A fenced answer without a newline becomes empty, so it
     is reported as malformed with its text (N17).
     """
-    s = strip_ws(_c(raw))
-    first_nl = F.instr(s, "\n")
-    tail = F.when(first_nl > 0, F.substr(s, first_nl + 1)).otherwise(F.lit(""))
-    before_last = F.when(tail.contains("```"), F.regexp_extract(tail, r"(?s)^(.*)```", 1)) \
-        .otherwise(tail)
-    return F.when(s.startswith("```"), strip_ws(before_last)).otherwise(s)
+    def fenced(s: Column) -> Column:
+        first_nl = F.instr(s, "\n")
+        tail = F.when(first_nl > 0, F.substr(s, first_nl + 1)).otherwise(F.lit(""))
+        before_last = F.when(tail.contains("```"), F.regexp_extract(tail, r"(?s)^(.*)```", 1)) \
+            .otherwise(tail)
+        return F.when(s.startswith("```"), strip_ws(before_last)).otherwise(s)
+
+    return _let(strip_ws(_c(raw)), fenced)
 
 
 # The analysis record the answer must parse into.
@@ -116,6 +118,11 @@ PARSE_ERROR = "JSON parse error"
 
 
 
+def _let(x: Column, of) -> Column:
+    """``of(x)`` with ``x`` evaluated once: a filter or a branch would evaluate it anew at each place it stands."""
+    return F.get(F.transform(F.array(x), of), F.lit(0))
+
+
 def _number(text: Column) -> Column:
     """A number written as such, with thousands separators, or with a percent sign; else null."""
     return F.regexp_replace(text, r"[,%\s]", "").try_cast("double")
@@ -131,16 +138,10 @@ def parse_analysis(raw: str | Column) -> Column:
     a part of another type is null (numbers may be written as text), and the
     rest of the answer stays.  A malformed answer keeps its whole stripped text.
     """
-    s = strip_fence(raw)
-    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), s, F.lit("]"))), "$", "array<variant>")
-    value = F.get(listed, F.lit(0))
-    ok = F.coalesce((F.size(listed) == 1) & F.schema_of_variant(value).startswith("OBJECT")
-                    & F.try_parse_json(F.concat(F.lit('{"":'), s, F.lit("}"))).isNotNull(), F.lit(False))
-
-    def part(t: T.DataType, path: str) -> Column:
+    def part(value: Column, t: T.DataType, path: str) -> Column:
         if isinstance(t, T.StructType):
             return F.when(F.try_variant_get(value, path, "map<string,variant>").isNotNull(),
-                          F.struct(*[part(f.dataType, f"{path}.{f.name}").alias(f.name) for f in t.fields]))
+                          F.struct(*[part(value, f.dataType, f"{path}.{f.name}").alias(f.name) for f in t.fields]))
         if isinstance(t, T.ArrayType):
             whole = F.try_variant_get(value, path, "array<variant>")
             inside = t.elementType
@@ -153,8 +154,21 @@ def parse_analysis(raw: str | Column) -> Column:
     def leaf(t: T.DataType, text: Column) -> Column:
         return _number(text) if isinstance(t, T.DoubleType) else text
 
-    analysis = F.when(ok, F.struct(*[part(f.dataType, f"$.{f.name}").alias(f.name) for f in ANALYSIS.fields]))
-    shown = F.when(s == "", strip_ws(_c(raw))).otherwise(s)
-    return F.struct(analysis.alias("analysis"),
-                    F.when(~ok, F.lit(PARSE_ERROR)).alias("error"),
-                    F.when(~ok, shown).alias("raw"))
+    def one_object(s: Column, listed: Column) -> Column:
+        return F.coalesce((F.size(listed) == 1) & F.schema_of_variant(F.get(listed, F.lit(0))).startswith("OBJECT")
+                          & F.try_parse_json(F.concat(F.lit('{"":'), s, F.lit("}"))).isNotNull(), F.lit(False))
+
+    def answer(s: Column, value: Column) -> Column:
+        shown = F.when(s == "", strip_ws(_c(raw))).otherwise(s)
+        ok = value.isNotNull()
+        analysis = F.when(ok, F.struct(*[part(value, f.dataType, f"$.{f.name}").alias(f.name) for f in ANALYSIS.fields]))
+        return F.struct(analysis.alias("analysis"),
+                        F.when(~ok, F.lit(PARSE_ERROR)).alias("error"),
+                        F.when(~ok, shown).alias("raw"))
+
+    def parsed(s: Column) -> Column:
+        listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), s, F.lit("]"))), "$", "array<variant>")
+        value = _let(listed, lambda v: F.when(one_object(s, v), F.get(v, F.lit(0))))
+        return _let(value, lambda v: answer(s, v))
+
+    return _let(strip_fence(raw), parsed)
