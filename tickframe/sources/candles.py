@@ -50,6 +50,12 @@ def unwrap_envelope(docs: DataFrame, body: str = "body", envelope_only: bool = F
     def candle(v: Column) -> Column:
         return F.struct(*[F.try_variant_get(v, f"$.{f}", "string").alias(n) for f, n in zip(CANDLE_FIELDS, _UNIQUE)])
 
+    if envelope_only:
+        # a candle's own few fields are read once, as a map, not looked up one by one for each synonym
+        rows = parsed.select(*keep, F.explode(array("$.data", "variant")).alias("_c")) \
+            .select(*keep, F.try_variant_get("_c", "$", "map<string,string>").alias("_m"))
+        get = lambda f: F.try_element_at("_m", F.lit(f))
+        return rows.select(*keep, *[(F.coalesce(get(f), get("Date")) if f == "date" else get(f)).alias(f) for f in OUT_FIELDS])
     items = F.transform(array("$.data", "variant"), candle)
     if not envelope_only:
         none = F.array().cast("array<string>")
