@@ -120,3 +120,30 @@ def test_documents_are_replaced_by_index_and_damage_is_reported(spark):
     with open(f"{path}/index=B/part-damaged.json", "w") as f:
         f.write('{"ord": 2, "symbols": ["z"\n')
     assert sorted((r["index"], r.error) for r in market.read_document(spark, path, t).filter("error is not null").collect()) == [("007", "no data"), ("B", "damaged document")]
+
+
+def test_queries_of_few_columns_share_the_scans_too(spark):
+    from tickframe.plans.queries import queries
+    p = plan_of(queries()["indicators_supp"](spark, SF001))
+    assert len(re.findall(r"FileScan parquet \[l_", p)) == 2
+
+
+def test_answers_are_parsed_by_few_expressions(spark):
+    from tickframe.functions.text import parse_analysis
+    raw = ' \n```json\n{"summary": "s", "key_levels": {"strong_support": "1,5%"}}\n``` \t'
+    df = spark.createDataFrame([(raw,), ("[1]",), (None,)], "raw string")
+    good, bad, none = (r.p for r in df.select(parse_analysis("raw").alias("p")).collect())
+    assert (good.analysis.summary, good.analysis.key_levels.strong_support, good.error) == ("s", 15.0, None)
+    assert (bad.analysis, bad.error, bad.raw) == (None, "JSON parse error", "[1]") and none.analysis is None
+    # once for a filter and once for the columns, not for every field
+    shown = df.select(parse_analysis("raw").alias("p")).filter("coalesce(p.analysis.summary, '') <> ''").select("p.analysis.summary", "p.analysis.sentiment")
+    assert shown._jdf.queryExecution().optimizedPlan().toString().count("parseJson") < 10
+
+
+def test_stock_candles_are_read_as_one_map(spark):
+    from tickframe.sources import candles
+    docs = spark.createDataFrame([("A", '{"data": [{"t": "2020-01-02", "o": 1, "h": "2", "l": 1.5, "c": {"x": 1}, "Date": "z"}, null, 3]}')], "symbol string, body string")
+    raw = candles.unwrap_envelope(docs, envelope_only=True)
+    rows = [(r.t, r.o, r.h, r.l, r.c, r.date, r.time) for r in raw.collect()]
+    assert rows == [("2020-01-02", "1", "2", "1.5", '{"x":1}', "z", None), *[(None,) * 7] * 2]
+    assert raw._jdf.queryExecution().optimizedPlan().toString().count("variant_get") < 4

@@ -57,7 +57,7 @@ for _v in ("brand", "supp", "flag", "hour", "user"):
 # ------------------------------------------------- W1-W11, R1-R7 indicator columns
 def _indicator_query(view: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ind = indicators(bars(spark, sf_dir, view))
+        ind = indicators(bars(spark, sf_dir, view), wanted=["symbol", "time", "rn", *INDICATOR_COLUMNS])
         return ind.select("symbol", time_text().alias("time"), "rn",
                           *[rnd(c, 4).alias(c) for c in INDICATOR_COLUMNS])
     return q
