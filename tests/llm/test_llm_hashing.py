@@ -129,6 +129,58 @@ def test_blocks_of_a_large_group(spark, vocabulary, monkeypatch, bounded):
     assert Counter(map(tuple, jaccard.classes(df, 3, 80).collect())) == brute(rows, 3, 80)
 
 
+def test_rows_sent_to_blocks_do_not_grow_with_the_square_of_a_group(spark, vocabulary, monkeypatch):
+    """A class goes once to each frequent shingle, whatever the number of blocks; links and components stay exact."""
+    from pyspark.sql import functions as F
+    rng = random.Random(9)
+    base = [rng.choice(vocabulary) for _ in range(60)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for _ in range(rng.randint(1, 5)):
+            w[rng.randrange(60)] = rng.choice(vocabulary)
+        rows.append((i if i % 50 else None, " ".join(w)))
+    monkeypatch.setattr(jaccard, "BLOCK", 40)
+    sent, before = {}, jaccard.block_links
+
+    def counted(found, *more):
+        sent["shingles"] = found.select(F.explode("found.p").alias("p")).filter(F.col("p") > jaccard.DIRECT).count()
+        sent["rows"] = 0
+        Frame, Groups = type(spark.range(1)), type(spark.range(1).groupBy())
+        grouped, mapped = Groups.applyInArrow, Frame.mapInArrow
+
+        def count_grouped(data, *args, **kw):
+            sent["rows"] += data._df.count()
+            return grouped(data, *args, **kw)
+
+        def count_mapped(df, *args, **kw):
+            sent["rows"] += df.count()
+            return mapped(df, *args, **kw)
+
+        with monkeypatch.context() as m:
+            m.setattr(Groups, "applyInArrow", count_grouped)
+            m.setattr(Frame, "mapInArrow", count_mapped)
+            out = before(found, *more)
+        sent["links"] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "block_links", counted)
+    got = Counter(map(tuple, jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).collect()))
+    assert got == brute(rows, 3, 80)
+    assert sent["shingles"] > 2000 and sent["links"] < sent["shingles"]
+    assert sent["rows"] < 1.5 * sent["shingles"]
+
+
+def test_classes_are_compared_where_enough_common_shingles_can_follow(spark):
+    """Of five frequent shingles a class that asks for three needs the three rarest alone, and one that has two needs none."""
+    D = jaccard.DIRECT
+    rows = [(1, 3, [(t, D + 9 - t) for t in range(5)] + [(50, 2)]), (2, 3, [(t, D + 9 - t) for t in range(5)]),
+            (3, 4, [(3, D + 6), (4, D + 5)]), (4, 3, [(0, D + 9), (1, D + 8)])]
+    df = spark.createDataFrame(rows, "cid long, matches int, found array<struct<token:long,p:long>>")
+    got = {(r["cid"], r["token"], r["place"], r["p"]) for r in jaccard.compared_under(df).collect()}
+    assert got == {(c, t, 4 - t, 2) for c in (1, 2) for t in (4, 3, 2)}
+
+
 def test_one_of_each(docs, corpus, messy, nothing):
     kept = {r["doc_id"] for r in jaccard.one_of_each(docs).select("doc_id").collect()}
     assert kept == {i for (i, _, c, _) in brute(corpus, 5, 80) if i == c}

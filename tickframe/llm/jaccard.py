@@ -10,12 +10,16 @@ the estimated cost of both decides.  A pair must share ``min(l, l')`` elements
 of its prefixes, and is then verified with the whole sets.
 
 Documents that share a shingle of few documents are joined directly and their
-common shingles counted.  A frequent shingle deals its documents into blocks; a
-task takes two blocks, compares as matrices the pairs that share frequent
-shingles alone (under the first one), and returns no pairs: only each document's
-number of links and a star per linked group, which is all that degrees and
-components need.  So neither rows nor a task grow
-with the square of a group, and nothing is capped.
+common shingles counted.  The pairs that share frequent shingles alone are
+compared under the rarest of these: it deals its documents into blocks, a
+document goes once to each such shingle that can be the first of enough common
+ones, and a task compares a block with itself as matrices.  Where there are
+several blocks, each is packed into one compressed row, and a task streams the
+other blocks past its own.  No pairs are returned: only each document's number
+of links and what joins linked groups, which is all that degrees and components
+need.  So no document's rows and no task's memory grow with a group.  The
+comparisons do, as links are counted exactly, and with them the packed blocks
+that are sent, the square of their number.  Nothing is capped.
 
 Cases: documents without words have the empty set, link with nothing and are a
 component of their own; fewer words than the shingle are one shingle; rows with
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickframe.llm.blocks import SPACE_WORDS, Words, batch_of, boxed, mix, partitions, pieces, runs_of, unboxed, written
 
@@ -374,65 +378,150 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def block_links(found: DataFrame, whole: DataFrame, names: DataFrame, k: int, percent: int) -> DataFrame:
-    """(cid, root, weight) of the links of pairs that share frequent shingles alone, two blocks of classes at a time."""
-    def tokens(often: bool):
-        return F.transform(F.filter("found", lambda f: (f["p"] > DIRECT) if often else (f["p"] <= DIRECT)), lambda f: f["token"])
+def often_of() -> Column:
+    """The frequent shingles of ``found``, rarest first."""
+    many = F.filter("found", lambda f: f["p"] > DIRECT)
+    return F.transform(F.array_sort(F.transform(many, lambda f: F.struct(f["p"], f["token"]))), lambda f: f["token"])
 
-    many = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)) \
-        .select("cid", "n", "matches", tokens(True).alias("often"), tokens(False).alias("seldom"), F.explode("found").alias("f")) \
-        .filter(F.col("f.p") > DIRECT).select("cid", "n", "matches", "often", "seldom", "f.*") \
-        .join(names.join(whole, ["rk", "rk2"]), "cid")
-    blocks = F.ceil(F.col("p") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    dealt = many.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
-        .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    schema = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())])
 
-    def run(table: pa.Table) -> pa.Table:
-        whole = sets_of(table.column("text"), k)
-        if [signature(s) for s in whole] != table.column("sig").to_pylist():
-            raise ValueError("two rows share the hashes of id and text")
-        col = {f: table.column(f) for f in ("cid", "n", "matches", "often", "seldom", "copies", "block", "lo", "hi")}
-        token = table.column("token")[0].as_py()
-        block = np.asarray(col["block"])
-        same = col["lo"][0].as_py() == col["hi"][0].as_py()
-        left = np.flatnonzero(block == col["lo"][0].as_py())
-        right = left if same else np.flatnonzero(block != col["lo"][0].as_py())
-        n, need, copies = (np.asarray(col[f]).astype(np.int64) for f in ("n", "matches", "copies"))
-        often, seldom = ([np.array(t, np.int64) for t in col[f].to_pylist()] for f in ("often", "seldom"))
-
-        def counted(of: list[np.ndarray]) -> np.ndarray:
-            return _common([of[i] for i in left], [of[i] for i in right])
-
-        n1, n2 = n[left][:, None], n[right][None, :]
-        # pairs that share a seldom shingle were joined directly; the others are looked at under their first one
-        ok = (counted(seldom) == 0) & (counted([t[t < token] for t in often]) == 0)
-        ok &= counted(often) >= np.minimum(need[left][:, None], need[right][None, :])
-        ok &= 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)
-        if same:
-            ok &= ~np.eye(len(left), dtype=bool)          # both directions of each pair stay
+def compared_under(found: DataFrame) -> DataFrame:
+    """(cid, token, place, p): frequent shingles under which ``p`` classes are compared, and their place among a class's own.
+
+    Pairs that share no seldom shingle must share as many frequent ones as the one that asks for fewer does.  So their
+    first common one has that many at or after it in both lists, and a class is left out where it has too few.
+    """
+    rows = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)).select("cid", "matches", often_of().alias("often")) \
+        .select("cid", "matches", F.size("often").alias("size"), F.posexplode("often").alias("place", "token"))
+    least = rows.groupBy("token").agg(F.min("matches").alias("least"))
+    some = written(rows.join(least, "token").filter("size - place >= least").select("cid", "token", "place"))
+    return written(some.join(some.groupBy("token").agg(F.count(F.lit(1)).alias("p")).filter("p > 1"), "token"))
+
+
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The rows of a list column."""
+    lists = column.combine_chunks()
+    return np.split(np.asarray(lists.flatten()), np.cumsum(np.asarray(lists.value_lengths()))[:-1])
+
+
+def _block(table: pa.Table) -> dict:
+    """The columns of a block of classes, as arrays and lists of arrays."""
+    block = {c: np.asarray(table.column(c)) for c in ("cid", "n", "matches", "copies", "place", "root")}
+    block |= {c: _arrays(table.column(c)) for c in ("often", "seldom", "whole")}
+    block["before"] = [s[:at] for s, at in zip(block["often"], block["place"].tolist())]
+    return block
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+
+
+def _unpacked(packed: bytes) -> dict:
+    return _block(pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(packed)).read_all())
+
+
+def _links(x: dict, y: dict, percent: int) -> np.ndarray:
+    """Which classes of two blocks of a shingle are linked and have it as their first common one, and no seldom one."""
+    n1, n2 = x["n"][:, None].astype(np.int64), y["n"][None, :].astype(np.int64)
+    ok = 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)
+    ok &= _common(x["often"], y["often"]) >= np.minimum(x["matches"][:, None], y["matches"][None, :])
+    # pairs that share a seldom shingle were joined directly; the others are looked at under their first one
+    for c in ("seldom", "before"):
         if ok.any():
-            ok &= _linked(counted(whole), n1, n2, percent)
-        cids = np.asarray(col["cid"])
-        weight = np.zeros(len(cids), np.int64)
-        weight[left] += ok @ copies[right]
-        if not same:
-            weight[right] += copies[left] @ ok
-        root = np.arange(len(cids))
-        i, j = left[np.nonzero(ok)[0]], right[np.nonzero(ok)[1]]
-        while len(i):                                     # the least row of each linked group
-            old = root.copy()
-            np.minimum.at(root, i, root[j])
-            np.minimum.at(root, j, root[i])
-            root = root[root]
-            if (old == root).all():
-                break
+            ok &= _common(x[c], y[c]) == 0
+    i, j = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
+    if len(i):
+        common = _common([x["whole"][r] for r in i], [y["whole"][r] for r in j])
+        ok[np.ix_(i, j)] &= _linked(common, n1[i], n2[:, j], percent)
+    return ok
+
+
+def _least_linked(ok: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix the least one of its linked group."""
+    root = np.arange(len(ok))
+    i, j = np.nonzero(ok)
+    while True:
+        old = root.copy()
+        np.minimum.at(root, i, root[j])
+        root = root[root]
+        if (old == root).all():
+            return root
+
+
+def block_links(found: DataFrame, under: DataFrame, whole: DataFrame, names: DataFrame, k: int, percent: int) -> DataFrame:
+    """(cid, root, weight) of the links of pairs that share frequent shingles alone (``under``: see ``compared_under``)."""
+    lists = found.select("cid", "n", "matches", often_of().alias("often"),
+                         F.transform(F.filter("found", lambda f: f["p"] <= DIRECT), lambda f: f["token"]).alias("seldom"))
+    dealt = under.withColumn("blocks", F.ceil(F.col("p") / BLOCK).cast("int")) \
+        .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")) \
+        .join(lists, "cid").join(names.join(whole, ["rk", "rk2"]), "cid")
+    fields = [("cid", pa.int64()), ("root", pa.int64()), ("weight", pa.int64())]
+    links, sql = pa.schema(fields), "cid long, root long, weight long"
+    schema = pa.schema([*fields, ("token", pa.int64()), ("block", pa.int32()), ("blocks", pa.int32()), ("packed", pa.binary())])
+
+    def within(table: pa.Table) -> pa.Table:
+        sets = sets_of(table.column("text"), k)
+        if [signature(s) for s in sets] != table.column("sig").to_pylist():
+            raise ValueError("two rows share the hashes of id and text")
+        table = table.append_column("whole", pa.array(sets, pa.list_(pa.uint64()))).append_column("root", table.column("cid"))
+        block = _block(table)
+        cid = block["cid"]
+        ok = _links(block, block, percent) & ~np.eye(len(cid), dtype=bool)            # both directions of each pair stay
+        weight, root = ok @ block["copies"], cid[_least_linked(ok)]
         some = np.flatnonzero(weight > 0)
-        return pa.Table.from_batches([batch_of(schema, [cids[some], cids[root[some]], weight[some]])])
+        out = [batch_of(schema, [cid[some], root[some], weight[some], *[[None] * len(some)] * 4])]
+        token, number, blocks = (table.column(c)[0].as_py() for c in ("token", "block", "blocks"))
+        if blocks > 1:
+            table = table.set_column(table.schema.get_field_index("root"), "root", pa.array(root)) \
+                .select(["cid", "n", "matches", "copies", "place", "root", "often", "seldom", "whole"])
+            out.append(batch_of(schema, [[None], [None], [None], [token], [number], [blocks], [_packed(table)]]))
+        return pa.Table.from_batches(out)
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, mine, weight, edges, label = None, None, None, [], {}
+
+        def first(c: int) -> int:
+            while label.setdefault(c, c) != c:
+                c = label[c]
+            return c
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if mine is not None:
+                some = np.flatnonzero(weight > 0)
+                rows = [(c, c, w) for c, w in zip(mine["cid"][some].tolist(), weight[some].tolist())] + edges
+                if rows:
+                    yield batch_of(links, list(zip(*rows)))
 
-    cols = ["token", "lo", "hi", "cid", "n", "matches", "often", "seldom", "sig", "text", "copies", "block"]
-    return dealt.select(*cols).groupBy("token", "lo", "hi").applyInArrow(run, "cid long, root long, weight long")
+        for b in batches:
+            for r in range(b.num_rows):                  # a block comes first among those that it is compared with
+                token, own, number = (b.column(j)[r].as_py() for j in range(3))
+                if (token, own) != key:
+                    yield from ended()
+                    key, mine, edges, label = (token, own), None, [], {}
+                if number == own:
+                    mine = _unpacked(b.column(3)[r].as_py())
+                    weight = np.zeros(len(mine["cid"]), np.int64)
+                elif mine is not None:
+                    other = _unpacked(b.column(3)[r].as_py())
+                    ok = _links(mine, other, percent)
+                    weight += ok @ other["copies"]
+                    if number > own and ok.any():        # what joins the groups that each block has linked
+                        i, j = np.nonzero(ok)
+                        for c, d in np.unique(np.stack([mine["root"][i], other["root"][j]], axis=1), axis=0).tolist():
+                            e, f = first(c), first(d)
+                            if e != f:
+                                label[max(e, f)] = min(e, f)
+                                edges.append((c, d, 0))
+        yield from ended()
+
+    cols = ["token", "block", "blocks", "cid", "n", "matches", "place", "often", "seldom", "sig", "text", "copies"]
+    made = written(dealt.select(*cols).groupBy("token", "block").applyInArrow(within, f"{sql}, token long, block int, blocks int, packed binary"))
+    sent = made.filter("packed is not null").select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"), "block", "packed")
+    between = sent.repartition(partitions(found.sparkSession), "token", "own") \
+        .sortWithinPartitions("token", "own", F.col("block") != F.col("own"), "block").mapInArrow(across, sql)
+    return made.filter("packed is null").select("cid", "root", "weight").union(between)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -469,10 +558,10 @@ def _grouped(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     found = written(shared_tokens(cls).groupBy("cid").agg(F.collect_list(F.struct("token", "p")).alias("found"))
                     .join(cls.select("cid", "n", "matches"), "cid"))
     pairs = written(possible(direct_pairs(found, percent), cls, percent))
-    hot = found.filter(F.exists("found", lambda f: f["p"] > DIRECT)).select("cid")
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(hot).distinct()
+    under = compared_under(found)
+    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(under.select("cid")).distinct()
     whole = written(whole_texts(texts, written(names.join(wanted, "cid").select("rk"))))
-    links = written(verified(pairs, whole, names, words, percent).union(block_links(found, whole, names, words, percent)))
+    links = written(verified(pairs, whole, names, words, percent).union(block_links(found, under, whole, names, words, percent)))
     group = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     degree = links.groupBy("cid").agg(F.sum("weight").alias("links"))
     named = names.join(group, F.col("cid") == F.col("node"), "left").join(degree, "cid", "left") \
