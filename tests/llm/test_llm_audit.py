@@ -82,6 +82,15 @@ def test_a_smaller_id_retracts_and_a_later_run_goes_on(spark, tmp_path):
     assert log.filter("n < 0").count() == 2               # 9 and 5 were the least for a while
 
 
+def test_labels_are_not_broadcast(spark):
+    rows = spark.createDataFrame([(i, "aa", bytes([k]) * 16, 1) for i in (1, 2, 3, None) for k in range(40)], "doc_id long, part string, hash binary, mask int")
+    out = audit.labelled(rows, spark.createDataFrame([(1, 1, 1), (2, 0, 1), (2, 1, None), (3, 0, 0), (None, 1, 1), (4, 1, 1)], LABELS))
+    both = 1 + audit.GOOD + audit.TOXIC
+    assert Counter((r["doc_id"], r["mark"]) for r in out.collect()) == {(1, both): 40, (2, both): 40, (3, 1): 40, (None, 1): 40}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_state_round_trip():
     texts = {b"a" * 16: [5, {("x", 3): 2, ("", 64): 1}], b"\0" * 16: [-1, {("é", 0): 1}]}
     assert audit.unpacked(audit.packed(texts)) == texts

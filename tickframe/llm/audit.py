@@ -16,8 +16,9 @@ that small table all orders of the filters follow.
 
 Texts never move: a task turns each into (id, part, hash, mask).  Rows of one text
 are combined per Arrow batch before the shuffle, so a text that a third of all
-rows share costs a row per batch; labels are joined salted.  Texts are dealt into
-groups of about ``group_texts`` that share one call and one state value.  State
+rows share costs a row per batch; labels are joined salted, sorted and never
+broadcast.  Texts are dealt into groups of about ``group_texts`` that share one
+call and one state value.  State
 lives in the session's state store, written to ``spark.checkpoint.dir`` after each
 micro-batch; for state beyond the executors' memory set the RocksDB provider in
 ``spark.sql.streaming.stateStore.providerClass``.
@@ -180,7 +181,8 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     salt = F.when(F.col("doc_id").isNull(), salt + SALTS * (1 + F.pmod(F.xxhash64("hash", F.lit(1)), F.lit(1024)).cast("int"))).otherwise(salt)
     out = rows.withColumn("salt", salt)
     mark = F.expr(f"mask + if(good = 1, {GOOD}, 0) + if(toxic = 1, {TOXIC}, 0)")
-    return out.join(ids, (out["doc_id"] == ids["id"]) & (out["salt"] == ids["at"]), "left").select("doc_id", "part", "hash", mark.alias("mark"))
+    # not broadcast: Spark would go by the size of the file, which has each id once, not SALTS times
+    return out.join(ids.hint("merge"), (out["doc_id"] == ids["id"]) & (out["salt"] == ids["at"]), "left").select("doc_id", "part", "hash", mark.alias("mark"))
 
 
 def counter_log(spark: SparkSession, path: str, labels: DataFrame, folder: str, batches: int = 4, group_texts: int = 256) -> DataFrame:
